@@ -29,6 +29,20 @@ def record_lines(fields: Sequence[tuple[str, Column]]) -> Column:
     return F.concat(*[field_line(name, value, "   - ") for name, value in fields])
 
 
+def field_size(name: str, value: Column, tokenizer, prefix: str = "") -> Column:
+    """Token figure of ``field_line``: the label's is a constant, only the value is read."""
+    shown = printable(value)
+    label = tokenizer.floor(F.lit(f"{prefix}{name}: \n"))
+    return F.when(shown.isNotNull(), label + tokenizer.floor(shown)).otherwise(F.lit(0))
+
+
+def record_size(fields: Sequence[tuple[str, Column]], tokenizer) -> Column:
+    total = F.lit(0)
+    for name, value in fields:
+        total = total + field_size(name, value, tokenizer, "   - ")
+    return total
+
+
 def value_line(value: Column) -> Column:
     shown = printable(value)
     return F.when(shown.isNotNull(), F.concat(F.lit(" - "), shown, F.lit("\n"))).otherwise(F.lit(""))

@@ -1,11 +1,13 @@
 """Ordered operators that hold when one key owns a large share of all rows.
 
-``Window.partitionBy(key)`` puts a whole key into one task. The operators here
-split a key into *buckets* that follow the sort order (calendar days, blocks of a
-sequence number). Each bucket is one window group, and one summary row per
-``(key, bucket)`` carries the state between buckets. A key then costs a task at
-most one bucket of rows, plus one summary row per bucket, and the number of
-buckets per key is bounded by the calendar (or by ``max(seq) / block``).
+``Window.partitionBy(key)`` puts a whole key into one task. ``ordered_scan`` first
+counts rows per key (combined on the map side). If no key is large, plain windows
+are the cheapest plan: one shuffle. Large keys are split into *buckets* that follow
+the sort order (calendar days, blocks of a sequence number): each bucket is one
+window group, and one summary row per ``(key, bucket)`` carries the state between
+buckets. A large key then costs a task at most one bucket of rows, plus one summary
+row per bucket, and the number of buckets per key is bounded by the calendar (or by
+``max(seq) / block``). Other keys are not touched by that.
 """
 
 from __future__ import annotations
@@ -15,10 +17,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoweave.session import cut_lineage
+from chronoweave.session import cut_lineage, stage
+
+LARGE_KEY = 1_000_000  # rows of one key that one task sorts without trouble
 
 _B = "__bucket"
 _NULLS_FIRST = -(1 << 62)  # nulls sort ahead of all values, so their bucket is the lowest
+_HEX = 4  # digits of a digest that choose the bucket
 _POSITION_BITS = 33  # monotonically_increasing_id() keeps the row position in its low 33 bits
 
 
@@ -46,8 +51,9 @@ def ordered_scan(
     carry: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
     monotone: Sequence[str] = (),
+    large_key: int | None = LARGE_KEY,
 ) -> DataFrame:
-    """Window functions over ``keys`` ordered by ``order``, computed bucket by bucket.
+    """Window functions over ``keys`` ordered by ``order``.
 
     number     output column for the row number, from 1
     running    {out: value}  sum of value over all rows up to and including this one
@@ -55,70 +61,97 @@ def ordered_scan(
     following  {out: value}  first non-null value strictly after this row
     monotone   outputs of carry/following whose value never falls along the order;
                they are summarised by plain min/max
+    bucket     a column, or a struct, that never falls along the order
+    large_key  keys with more rows than this are scanned bucket by bucket;
+               None: the caller knows that keys are bounded
 
     Keys must not be null and ``order`` must be total within a key.
     """
-    running, carry, following = dict(running or {}), dict(carry or {}), dict(following or {})
-    keys, order = list(keys), list(order)
-    d = df.withColumn(_B, bucket)  # may be a struct: any prefix of the order
-
-    rank = F.struct(*[F.col(c) for c in order])
-    summary: list[Column] = []
-    if number:
-        summary.append(F.count(F.lit(1)).alias("__s_number"))
-    for out, value in running.items():
-        summary.append(F.sum(value).alias(f"__s_{out}"))
-    for out, value in carry.items():
-        agg = F.max(value) if out in monotone else F.max_by(F.col(value), F.when(F.col(value).isNotNull(), rank))
-        summary.append(agg.alias(f"__s_{out}"))
-    for out, value in following.items():
-        agg = F.min(value) if out in monotone else F.min_by(F.col(value), F.when(F.col(value).isNotNull(), rank))
-        summary.append(agg.alias(f"__s_{out}"))
-
+    outs = _Outputs(number, dict(running or {}), dict(carry or {}), dict(following or {}), set(monotone))
+    large = None if large_key is None else _large_keys(df, keys, large_key)
+    if large is None:
+        whole = df.select("*", *outs.windows(list(keys), order))
+        return whole.select(*outs.kept(df), *[outs.local(o).alias(o) for o in outs.names])
+
+    d = df.join(large, list(keys), "left").withColumn(_B, F.when(F.col("__large"), bucket))
+    groups = [*keys, _B]
     up = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    # A frame that ends at UNBOUNDED FOLLOWING is re-read for every row, so "what
-    # follows" is computed as "what precedes" in descending order.
     down = Window.partitionBy(*keys).orderBy(F.col(_B).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    before: list[Column] = []
-    if number:
-        before.append(F.coalesce(F.sum("__s_number").over(up), F.lit(0)).alias("__p_number"))
-    for out in running:
-        before.append(F.sum(f"__s_{out}").over(up).alias(f"__p_{out}"))
-    for out in carry:
-        before.append(F.last(f"__s_{out}", ignorenulls=True).over(up).alias(f"__p_{out}"))
-    for out in following:
-        before.append(F.last(f"__s_{out}", ignorenulls=True).over(down).alias(f"__p_{out}"))
-    state = d.groupBy(*keys, _B).agg(*summary).select(*keys, _B, *before)
-
-    inner = Window.partitionBy(*keys, _B).orderBy(*order)
-    upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = Window.partitionBy(*keys, _B).orderBy(*[F.col(c).desc() for c in order])
-    after = after.rowsBetween(Window.unboundedPreceding, -1)
-    local: list[Column] = []
-    if number:
-        local.append(F.row_number().over(inner).alias("__l_number"))
-    for out, value in running.items():
-        local.append(F.sum(value).over(upto).alias(f"__l_{out}"))
-    for out, value in carry.items():
-        local.append(F.last(value, ignorenulls=True).over(upto).alias(f"__l_{out}"))
-    for out, value in following.items():
-        local.append(F.last(value, ignorenulls=True).over(after).alias(f"__l_{out}"))
-
-    final: list[Column] = []
-    if number:
-        final.append((F.col("__l_number") + F.col("__p_number")).alias(number))
-    for out in running:
-        final.append(
-            F.when(F.col(f"__p_{out}").isNull(), F.col(f"__l_{out}"))
-            .otherwise(F.col(f"__p_{out}") + F.coalesce(F.col(f"__l_{out}"), F.lit(0)))
-            .alias(out)
-        )
-    for out in [*carry, *following]:
-        final.append(F.coalesce(F.col(f"__l_{out}"), F.col(f"__p_{out}")).alias(out))
-
-    made = {number, *running, *carry, *following}
-    kept = [c for c in df.columns if c not in made]
-    return d.select("*", *local).join(state, [*keys, _B]).select(*kept, *final)
+    # Rows of other keys have a null bucket, so they find no state and stay as they are.
+    state = d.where("__large").groupBy(*groups).agg(*outs.summaries(order)).select(*groups, *outs.before(up, down))
+    scanned = d.select("*", *outs.windows(groups, order)).join(state, groups, "left")
+    return scanned.select(*outs.kept(df), *[outs.combined(o).alias(o) for o in outs.names])
+
+
+def _large_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    """Keys with more than ``limit`` rows (at most rows/limit of them), or None."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    longest = counts.agg(F.max("__n")).first()[0]
+    if longest is None or longest <= limit:
+        return None
+    return stage(counts.where(F.col("__n") > limit).select(*keys, F.lit(True).alias("__large")))
+
+
+class _Outputs:
+    """The column expressions of one scan."""
+
+    def __init__(self, number, running, carry, following, monotone):
+        self.number, self.running, self.carry, self.following = number, running, carry, following
+        self.monotone = monotone
+        self.names = [*([number] if number else []), *running, *carry, *following]
+
+    def kept(self, df: DataFrame) -> list[Column]:
+        return [F.col(f"`{c}`") for c in df.columns if c not in self.names]
+
+    def local(self, out: str) -> Column:
+        return F.col(f"__l_{out}")
+
+    def windows(self, groups: Sequence[str], order: Sequence[str]) -> list[Column]:
+        inner = Window.partitionBy(*groups).orderBy(*order)
+        upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        # A frame that ends at UNBOUNDED FOLLOWING is re-read for every row, so "what
+        # follows" is computed as "what precedes" in descending order.
+        after = Window.partitionBy(*groups).orderBy(*[F.col(c).desc() for c in order])
+        after = after.rowsBetween(Window.unboundedPreceding, -1)
+        made = []
+        if self.number:
+            made.append((self.number, F.row_number().over(inner).cast("bigint")))
+        made += [(o, F.sum(v).over(upto)) for o, v in self.running.items()]
+        made += [(o, F.last(v, ignorenulls=True).over(upto)) for o, v in self.carry.items()]
+        made += [(o, F.last(v, ignorenulls=True).over(after)) for o, v in self.following.items()]
+        return [c.alias(f"__l_{o}") for o, c in made]
+
+    def summaries(self, order: Sequence[str]) -> list[Column]:
+        rank = F.struct(*[F.col(c) for c in order])
+
+        def known(value: str) -> Column:
+            return F.when(F.col(value).isNotNull(), rank)
+
+        made = [(self.number, F.count(F.lit(1)))] if self.number else []
+        made += [(o, F.sum(v)) for o, v in self.running.items()]
+        for o, v in self.carry.items():
+            made.append((o, F.max(v) if o in self.monotone else F.max_by(F.col(v), known(v))))
+        for o, v in self.following.items():
+            made.append((o, F.min(v) if o in self.monotone else F.min_by(F.col(v), known(v))))
+        return [c.alias(f"__s_{o}") for o, c in made]
+
+    def before(self, up, down) -> list[Column]:
+        made = []
+        for o in self.names:
+            summary = f"__s_{o}"
+            if o in self.following:
+                made.append(F.last(summary, ignorenulls=True).over(down).alias(f"__p_{o}"))
+            elif o in self.carry:
+                made.append(F.last(summary, ignorenulls=True).over(up).alias(f"__p_{o}"))
+            else:
+                made.append(F.sum(summary).over(up).alias(f"__p_{o}"))
+        return made
+
+    def combined(self, out: str) -> Column:
+        here, before = self.local(out), F.col(f"__p_{out}")
+        if out in self.carry or out in self.following:
+            return F.coalesce(here, before)
+        return F.when(before.isNull(), here).otherwise(before + F.coalesce(here, F.lit(0)))
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -157,16 +190,19 @@ def global_positions(df: DataFrame, order: Sequence[str], out: str = "position")
     )
 
 
-def hash_positions(
-    df: DataFrame, hash_hex: Column, tie: Sequence[str], keys: Sequence[str] = (), out: str = "position"
-) -> DataFrame:
-    """Number rows from 1 by a hex digest (per ``keys`` if given).
+def hash_positions(df: DataFrame, hash_hex: Column, tie: Sequence[str], out: str = "position") -> DataFrame:
+    """Number all rows from 1 by the hex digest of a unique id.
 
-    The first three hex digits spread any key over 4,096 even buckets, so the
-    numbering is an ``ordered_scan`` whose carried state has a fixed size per key.
+    The first digits spread the rows over 65,536 even buckets. Ranks inside a
+    bucket plus the sizes of the buckets below give the position; the table of
+    sizes has at most 65,536 rows whatever the data, which bounds its broadcast.
     """
     keyed = df.withColumn("__hex", hash_hex)
-    keyed = keyed.withColumn("__all", F.lit(0)) if not keys else keyed
-    bucket = F.conv(F.substring("__hex", 1, 3), 16, 10).cast("int")
-    numbered = ordered_scan(keyed, list(keys) or ["__all"], ["__hex", *tie], bucket, number=out)
-    return numbered.drop("__hex", "__all")
+    bucket = F.conv(F.substring("__hex", 1, _HEX), 16, 10).cast("int")
+    keyed = keyed.withColumn(_B, bucket)
+    per_bucket = keyed.groupBy(_B).agg(F.count(F.lit(1)).alias("__n"))
+    below = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    bases = per_bucket.select(_B, F.coalesce(F.sum("__n").over(below), F.lit(0)).alias("__base"))
+    inside = F.row_number().over(Window.partitionBy(_B).orderBy("__hex", *tie))
+    numbered = keyed.withColumn("__rank", inside).join(F.broadcast(bases), _B)
+    return numbered.select(*df.columns, (F.col("__base") + F.col("__rank")).alias(out))

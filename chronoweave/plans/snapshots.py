@@ -125,7 +125,7 @@ def _let(value: Column, body) -> Column:
 
 def _section_text(section: Column, at: Column) -> Column:
     def lines(row: Column) -> Column:
-        return F.when(row["t_end"] <= at, row["line_full"]).otherwise(row["line_open"])
+        return F.when(row["t_end"] <= at, row["line_full"]).otherwise(F.coalesce(row["line_open"], row["line_full"]))
 
     def body(shown: Column) -> Column:
         head = F.concat(section["section"], F.lit(":\n"))

@@ -42,27 +42,22 @@ def next_changes(snapshots: DataFrame, groups: DataFrame, sections: Sequence[str
     """
     extra = [c for c in snapshots.columns if c not in ("stay_id", "t")]
     asked = snapshots.select(
-        "stay_id", "t", F.struct(F.lit(True).alias("asked"), *extra).alias("ask"),
-        F.explode(F.array(*[F.lit(s) for s in sections])).alias("section"),
+        "stay_id", "t", *extra, F.explode(F.array(*[F.lit(s) for s in sections])).alias("section"), F.lit(1).alias("asks"),
     )
     found = groups.select(
-        "stay_id", "section", "t",
+        "stay_id", "section", "t", F.lit(0).alias("asks"),
         F.struct(F.col("t"), F.col("n_rows"), F.col("size")).alias("change"),
     )
-    # Both sides have at most one row per (stay, section, t), so max() only merges them.
-    merged = (
-        asked.unionByName(found, allowMissingColumns=True)
-        .groupBy("stay_id", "section", "t")
-        .agg(F.max("ask").alias("ask"), F.max("change").alias("change"))
-    )
+    # A change sorts ahead of a question at the same instant, so that it is not "after" it.
     scanned = ordered_scan(
-        merged, ["stay_id", "section"], ["t"], time_bucket("t", hours),
+        asked.unionByName(found, allowMissingColumns=True),
+        ["stay_id", "section"], ["t", "asks"], time_bucket("t", hours),
         following={"next": "change"}, monotone=["next"],
     )
-    return scanned.where(F.col("ask").isNotNull() & F.col("next").isNotNull()).select(
+    return scanned.where((F.col("asks") == 1) & F.col("next").isNotNull()).select(
         "stay_id",
         "t",
-        *[F.col(f"ask.{c}").alias(c) for c in extra],
+        *extra,
         "section",
         F.col("next.t").alias("next_t"),
         F.col("next.n_rows").alias("n_rows"),

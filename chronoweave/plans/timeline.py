@@ -6,6 +6,7 @@ Everything that a snapshot may print becomes one long table, printed once per ro
     section, sec_ord, kind                   its place inside the event
     t, t_eff, tie                            own time, time it becomes visible, tie-break
     t_end, line_open, line_full              text before and after its end time has passed
+                                             (line_open is null where they are the same)
     size_open, size_full                     their token figures
     answer, answer_size                      text as part of an answer
     spine, target, mute                      section flags
@@ -58,7 +59,7 @@ def event_rows(
         t=F.col("event_t"),
         t_end=None,
         tie=F.lit(""),
-        line_open=opening,
+        line_open=F.lit(None).cast("string"),
         line_full=opening,
         size_open=size,
         size_full=size,
@@ -76,28 +77,29 @@ def section_rows(df: DataFrame, section: Section, sec_ord: int, tokenizer, *, ra
     def values(names: Sequence[str]) -> list[tuple[str, Column]]:
         return [(n, F.col(f"`{n}`")) for n in names]
 
+    ended = section.end is not None and section.end in section.fields
+    shown = values(section.fields)
+    told = values([n for n in section.fields if n not in section.hidden]) if section.target else []
+    still = values([n for n in section.fields if n != section.end]) if ended else []
+    number_line = tokenizer.floor(F.lit(NUMBER_LINE))
+    no_line, line_open = F.lit(None).cast("string"), None
     if section.kind == "records":
-        unended = [n for n in section.fields if n != section.end]
-        line_full = text.record_lines(values(section.fields))
-        line_open = text.record_lines(values(unended))
-        answer = text.record_lines(values([n for n in section.fields if n not in section.hidden]))
-        extra = F.lit(NUMBER_LINE)
+        line_full, size_full = text.record_lines(shown), text.record_size(shown, tokenizer) + number_line
+        answer, answer_size = text.record_lines(told), text.record_size(told, tokenizer) + number_line
+        if ended:
+            line_open, size_open = text.record_lines(still), text.record_size(still, tokenizer) + number_line
     elif section.kind == "values":
-        line_full = line_open = answer = text.value_line(F.col(f"`{section.fields[0]}`"))
-        extra = F.lit("")
+        line_full = answer = text.value_line(shown[0][1])
+        size_full = answer_size = tokenizer.floor(line_full)
     else:
-        line_full = line_open = answer = text.field_line(section.name, F.col(f"`{section.fields[0]}`"))
-        extra = F.lit("")
+        line_full = answer = text.field_line(section.name, shown[0][1])
+        size_full = answer_size = text.field_size(section.name, shown[0][1], tokenizer)
 
-    ended = section.end is not None and section.end in section.fields
     t = F.col(f"`{section.time}`").cast("timestamp_ntz") if section.time else F.col("event_t")
     base = df.where(F.col(f"`{section.time}`").isNotNull()) if section.time else df
     if section.kind == "scalar":
         base = base.where(text.printable(F.col(f"`{section.fields[0]}`")).isNotNull())
 
-    def size(line: Column) -> Column:
-        return (tokenizer.floor(line) + tokenizer.floor(extra)).cast("double")
-
     return _canonical(
         base,
         rank=rank,
@@ -107,12 +109,12 @@ def section_rows(df: DataFrame, section: Section, sec_ord: int, tokenizer, *, ra
         t=t,
         t_end=F.col(f"`{section.end}`").cast("timestamp_ntz") if section.end else None,
         tie=_tie([F.col(f"`{c}`") for c in section.tie]),
-        line_open=line_open if ended else line_full,
+        line_open=no_line if line_open is None else line_open,
         line_full=line_full,
-        size_open=size(line_open if ended else line_full),
-        size_full=size(line_full),
-        answer=answer,
-        answer_size=size(answer),
+        size_open=(size_full if line_open is None else size_open).cast("double"),
+        size_full=size_full.cast("double"),
+        answer=answer if section.target else F.lit(""),
+        answer_size=(answer_size if section.target else F.lit(0)).cast("double"),
         spine=section.spine,
         target=section.target,
         mute=section.mute,

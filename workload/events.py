@@ -98,7 +98,7 @@ def rows_of(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         event_rows(incident, TOKENIZER, event_type="Incident", rank=1),
         section_rows(incident, CODE, 0, TOKENIZER, rank=1),
     ]
-    return stage(union_rows(parts)), stays
+    return union_rows(parts), stays
 
 
 # --- SQL shared by the queries below -----------------------------------------------------
@@ -327,7 +327,7 @@ SELECT p.stay_id, l.section, p.t, count(*) AS n_visible, max(l.t) AS last_t
 FROM spine p JOIN sec l ON l.stay_id = p.stay_id AND l.t <= p.t GROUP BY p.stay_id, l.section, p.t""",
 )
 def snapshot_asof(spark, sf):
-    rows = rows_of(spark, sf)[0].where("kind = 'records' or spine")
+    rows = stage(rows_of(spark, sf)[0].where("kind = 'records' or spine"))
     counts = visible_counts(rows).where(F.col("section").isin("views", "clicks", "purchases"))
     return counts.select("stay_id", "section", "t", "n_visible", "last_t")
 
@@ -340,9 +340,8 @@ JOIN child c ON c.stay_id = p.stay_id AND c.event_type = 'error' AND c.ts <= p.t
 )
 def event_visibility(spark, sf):
     """Events visible at each snapshot, as one running count per stay."""
-    events = assigned(spark, sf)
     rows = rows_of(spark, sf)[0]
-    incidents = children_of(events).where("event_type = 'error'").groupBy("stay_id", F.col("ts").alias("t")).agg(
+    incidents = rows.where("kind = 'event' and event_rank = 1").groupBy("stay_id", "t").agg(
         F.count(F.lit(1)).alias("n")
     )
     asked = snapshot_times(rows).withColumn("asked", F.lit(True))
@@ -360,9 +359,8 @@ SELECT p.stay_id, p.t, CASE WHEN s.end_t <= p.t THEN s.end_t END AS end_t,
   CASE WHEN s.end_t <= p.t THEN s.plan END AS outcome FROM spine p JOIN stays s USING (stay_id)""",
 )
 def snapshot_censored(spark, sf):
-    events = assigned(spark, sf)
-    at = snapshot_times(rows_of(spark, sf)[0])
-    return at.join(stays_of(events), "stay_id").select(
+    rows, stays = rows_of(spark, sf)
+    return snapshot_times(rows).join(stays, "stay_id").select(
         "stay_id", "t", known_at("end_t", "end_t", "t").alias("end_t"), known_at("plan", "end_t", "t").alias("outcome")
     )
 
@@ -373,8 +371,8 @@ def snapshot_censored(spark, sf):
     f" WHERE {COUNT_SQL.format('text')} <= {MAX_TOKENS}",
 )
 def snapshot_text(spark, sf):
-    rows = rows_of(spark, sf)[0]
-    sizes = snapshot_sizes(rows, TOKENIZER).where(F.col("size") <= MAX_TOKENS)
+    rows = stage(rows_of(spark, sf)[0])
+    sizes = stage(snapshot_sizes(rows, TOKENIZER).where(F.col("size") <= MAX_TOKENS))
     asked = sizes.where("in_spine").select("stay_id", "t", F.col("size").cast("bigint").alias("n_tokens"))
     return snapshot_texts(asked, fitting_rows(rows, sizes, MAX_TOKENS)).select("stay_id", "t", "text", "n_tokens")
 
@@ -384,7 +382,7 @@ def snapshot_text(spark, sf):
 
 @query("next_change", f"WITH {STAYS_SQL}{NEXT_SQL} SELECT stay_id, t, section, next_t FROM nexts")
 def next_change(spark, sf):
-    rows = rows_of(spark, sf)[0]
+    rows = stage(rows_of(spark, sf)[0])
     found = next_changes(snapshot_times(rows), change_groups(change_rows(rows)), TARGETS)
     return found.select("stay_id", "t", "section", "next_t")
 
@@ -395,9 +393,9 @@ def next_change(spark, sf):
     " (SELECT n.next_t FROM nexts n WHERE n.stay_id = answers.stay_id AND n.section = answers.section)",
 )
 def answer_text(spark, sf):
-    rows = rows_of(spark, sf)[0]
+    rows = stage(rows_of(spark, sf)[0])
     changes = change_rows(rows)
-    found = next_changes(snapshot_times(rows), change_groups(changes), TARGETS)
+    found = stage(next_changes(snapshot_times(rows), change_groups(changes), TARGETS))
     fitting = found.where(F.col("answer_size") <= MAX_TOKENS)
     return answer_texts(changes, fitting, WORDING)
 

@@ -94,7 +94,7 @@ SELECT n.stay_id, n.t, n.section, n.next_t, a.n_rows, a.answer FROM nexts n JOIN
 def next_event_targets(spark, sf):
     rows = stage(rows_of(spark, sf))
     changes = change_rows(rows)
-    found = next_changes(snapshot_times(rows), change_groups(changes), list(FLAGS.values()), hours=24 * 30)
+    found = stage(next_changes(snapshot_times(rows), change_groups(changes), list(FLAGS.values()), hours=24 * 30))
     texts = answer_texts(changes, found.where(F.col("answer_size") <= ANSWER_TOKENS), WORDING)
     return found.join(texts, ["stay_id", "section", "next_t"], "left").select(
         "stay_id", "t", "section", "next_t", "n_rows", "answer"

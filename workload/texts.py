@@ -19,7 +19,7 @@ from workload.base import query, table
 
 TOKENIZER = PatternTokenizer()
 SYSTEM = "You answer briefly."
-COUNT = "len(regexp_extract_all({0}, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\r]'))"
+COUNT = "CAST(len(regexp_extract_all({0}, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\r]')) AS INTEGER)"
 IDS = (
     "list_transform(regexp_extract_all({0}, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\r]'), "
     "lambda x: CAST(('0x' || substr(md5(x), 1, 8))::BIGINT % 32000 AS INTEGER))"
@@ -42,8 +42,8 @@ def length_filter(spark, sf):
 
 @query(
     "token_totals",
-    f"""SELECT lang, sum({COUNT.format('text')}) AS tokens, count(*) AS n_rows FROM documents GROUP BY lang
-UNION ALL SELECT 'all', sum({COUNT.format('text')}), count(*) FROM documents""",
+    f"""SELECT lang, CAST(sum({COUNT.format('text')}) AS BIGINT) AS tokens, count(*) AS n_rows FROM documents GROUP BY lang
+UNION ALL SELECT 'all', CAST(sum({COUNT.format('text')}) AS BIGINT), count(*) FROM documents""",
 )
 def token_totals(spark, sf):
     counted = table(spark, sf, "documents").select("lang", TOKENIZER.count(F.col("text")).alias("n"))
@@ -101,7 +101,7 @@ FITS = (10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 10000)
     f"""WITH d AS (SELECT strlen(text) AS bytes, row_number() OVER (ORDER BY doc_id) AS pos FROM documents),
 b AS (SELECT n, (pos - 1) // n AS batch, count(*) AS n_rows, sum(bytes) AS bytes FROM d, (SELECT unnest({list(FITS)}) AS n) GROUP BY 1, 2),
 f AS (SELECT regr_slope(bytes, n_rows) AS slope, regr_intercept(bytes, n_rows) AS intercept FROM b)
-SELECT round(slope, 4) AS slope, round(intercept, 4) AS intercept, round((32000000000 - intercept) / slope, 2) AS x_at_budget,
+SELECT round(slope, 4) AS slope, round(intercept, 4) + 0.0 AS intercept, round((32000000000 - intercept) / slope, 2) AS x_at_budget,
   round(intercept + slope * 540000, 2) AS y_at_x FROM f""",
 )
 def payload_fit(spark, sf):
@@ -114,7 +114,7 @@ def payload_fit(spark, sf):
     )
     fit = project_capacity(linear_fit(per_batch, "n_rows", "bytes"), 32_000_000_000, 540_000)
     return fit.select(
-        F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"),
+        F.round("slope", 4).alias("slope"), (F.round("intercept", 4) + 0.0).alias("intercept"),
         F.round("x_at_budget", 2).alias("x_at_budget"), F.round("y_at_x", 2).alias("y_at_x"),
     )
 
@@ -203,7 +203,7 @@ CONTEXT_SQL = f"""WITH m AS (SELECT *, '<|im_start|>' || role || chr(10) || text
 s AS (SELECT *, sum({COUNT.format('body')}) OVER (PARTITION BY conv_id ORDER BY turn) AS total FROM m),
 o AS (SELECT '<|im_start|>system' || chr(10) || 'You answer briefly.<|im_end|>' || chr(10) AS opening, '<|im_start|>assistant' || chr(10) AS closing),
 asked AS (SELECT conv_id, turn FROM s, o WHERE role = 'user' AND total + {COUNT.format('opening')} + {COUNT.format('closing')} <= 400),
-ctx AS (SELECT a.conv_id, a.turn, count(*) + 1 AS n_messages,
+ctx AS (SELECT a.conv_id, a.turn, CAST(count(*) + 1 AS INTEGER) AS n_messages,
   any_value(o.opening) || string_agg(m.body, '' ORDER BY m.turn) || any_value(o.closing) AS prompt
   FROM asked a JOIN m ON m.conv_id = a.conv_id AND m.turn <= a.turn, o GROUP BY a.conv_id, a.turn)"""
 
@@ -274,7 +274,7 @@ def stop_sequence(spark, sf):
 # --- embeddings and pages ----------------------------------------------------------------------
 
 
-@query("argmax_label", "SELECT vec_id, list_position(embedding, list_max(embedding)) - 1 AS best FROM embeddings")
+@query("argmax_label", "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS best FROM embeddings")
 def argmax_label(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", argmax(F.col("embedding")).alias("best"))
 
@@ -310,7 +310,7 @@ def greedy_similarity(spark, sf):
 h AS (SELECT page_id, url,
   regexp_extract_all(tags, '(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)'')', 1) AS d,
   regexp_extract_all(tags, '(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)'')', 2) AS s FROM t),
-e AS (SELECT page_id, url, unnest(d) AS d, unnest(s) AS s, generate_subscripts(d, 1) - 1 AS position FROM h),
+e AS (SELECT page_id, url, unnest(d) AS d, unnest(s) AS s, CAST(generate_subscripts(d, 1) - 1 AS INTEGER) AS position FROM h),
 l AS (SELECT page_id, position, replace(replace(replace(replace(replace(CASE WHEN d <> '' THEN d ELSE s END,
     '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS href,
   regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)', 1) AS scheme, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS origin,
