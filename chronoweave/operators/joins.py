@@ -55,13 +55,12 @@ def first_seen(df: DataFrame, scope: Sequence[str], item: str, event: str) -> Da
     Duplicates inside that first event stay, and null is an item like any other.
     The first event comes from a min that combines on the map side.
     """
-    first = df.groupBy(*scope, item).agg(F.min(event).alias("__first"))
-    first = first.select(
-        *[F.col(c).alias(f"__{c}") for c in scope], F.col(item).alias("__item"), F.col("__first").alias("__event")
-    )
-    same = F.col(item).eqNullSafe(F.col("__item")) & (F.col(event) == F.col("__event"))
+    first = df.groupBy(*scope, item).agg(F.min(event).alias("__first_event"))
+    names = {c: f"__first_{c}" for c in (*scope, item)}
+    first = first.withColumnsRenamed(names)
+    same = F.col(item).eqNullSafe(F.col(names[item])) & (F.col(event) == F.col("__first_event"))
     for c in scope:
-        same = same & (F.col(c) == F.col(f"__{c}"))
+        same = same & (F.col(c) == F.col(names[c]))
     return df.join(first, same, "left_semi")
 
 
