@@ -106,3 +106,13 @@ def pad_batches(
             "labels": fill(ignore_id, labels),
         }
     )
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """Apply a function to Arrow record batches (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows each)."""
+
+    def each(batches):
+        for batch in batches:
+            yield function(batch)
+
+    return df.mapInArrow(each, schema)
