@@ -83,6 +83,15 @@ def ordered_scan(
     return scanned.select(*outs.kept(df), *[outs.combined(o).alias(o) for o in outs.names])
 
 
+def scan_limit(df: DataFrame, keys: Sequence[str], large_key: int = LARGE_KEY) -> int | None:
+    """``large_key`` for scans over tables derived from ``df``: None if no key of ``df`` is large.
+
+    Several scans of one pipeline share the answer, and only the key columns are read.
+    """
+    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+    return None if longest is None or longest <= large_key else large_key
+
+
 def _large_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
     """Keys with more than ``limit`` rows (at most rows/limit of them), or None."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))

@@ -11,7 +11,7 @@ from chronoweave.functions import text
 from chronoweave.functions.identifiers import sample_id
 from chronoweave.functions.prompts import chat_prompt
 from chronoweave.functions.tokens import attention_mask
-from chronoweave.operators.ordered import ordered_scan, time_bucket
+from chronoweave.operators.ordered import ordered_scan, scan_limit, time_bucket
 from chronoweave.plans.snapshots import fitting_rows, snapshot_sizes, snapshot_texts
 from chronoweave.plans.targets import answer_head, answer_texts, change_groups, change_rows, next_changes
 from chronoweave.session import stage
@@ -71,6 +71,7 @@ def build_samples(
     stay: meant for stays of known length.
     """
     rows = reuse(rows)
+    large_key = scan_limit(rows, ["stay_id"])
     sections = [*targets, *standing]
     overhead = tokenizer.floor(
         chat_prompt(
@@ -80,13 +81,13 @@ def build_samples(
         )
     ).cast("double")
 
-    sizes = snapshot_sizes(rows, tokenizer, hours)
+    sizes = snapshot_sizes(rows, tokenizer, hours, large_key)
     if max_tokens is not None:
         sizes = reuse(sizes.where(F.col("size") <= max_tokens))
     snapshots = sizes.where("in_spine").select("stay_id", "t", "size")
 
     changes = change_rows(rows, dedupe)
-    asked = next_changes(snapshots, change_groups(changes), targets, hours)
+    asked = next_changes(snapshots, change_groups(changes), targets, hours, large_key)
     if not keep_empty:
         asked = asked.where(F.col("n_rows") > 0)
     asked = asked.select("stay_id", "t", "size", "section", "next_t", "answer_size")
@@ -103,7 +104,7 @@ def build_samples(
         (F.col("size") + F.col("answer_size") + overhead).alias("n_tokens"),
     )
     if max_tokens is None:
-        kept = ordered_scan(asked, ["stay_id"], ["t", "rank"], time_bucket("t", hours), number="number")
+        kept = ordered_scan(asked, ["stay_id"], ["t", "rank"], time_bucket("t", hours), number="number", large_key=large_key)
     else:
         # Every snapshot here fits, so a stay has at most about max_tokens of them: a plain window.
         upto = Window.partitionBy("stay_id").orderBy("t", "rank")

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.functions import text
-from chronoweave.operators.ordered import ordered_scan, time_bucket
+from chronoweave.operators.ordered import LARGE_KEY, ordered_scan, time_bucket
 from chronoweave.plans.timeline import snapshot_times
 
 
-def visible_counts(rows: DataFrame, hours: int = 24) -> DataFrame:
+def visible_counts(rows: DataFrame, hours: int = 24, large_key: int | None = LARGE_KEY) -> DataFrame:
     """Rows visible per snapshot and section: ``stay_id, t, section, n_visible, last_t``.
 
     The visible rows of a section are a prefix of it, so its length says which
@@ -42,13 +42,16 @@ def visible_counts(rows: DataFrame, hours: int = 24) -> DataFrame:
         running={"n_visible": "n"},
         carry={"last_t": "own_t"},
         monotone=["last_t"],
+        large_key=large_key,
     )
     return scanned.where(F.col("asked") & (F.col("n_visible") > 0)).select(
         "stay_id", "event_id", "section", "t", "n_visible", "last_t"
     )
 
 
-def snapshot_sizes(rows: DataFrame, tokenizer, hours: int = 24) -> DataFrame:
+def snapshot_sizes(
+    rows: DataFrame, tokenizer, hours: int = 24, large_key: int | None = LARGE_KEY
+) -> DataFrame:
     """Token figure of the text of every instant: ``stay_id, t, in_spine, size``.
 
     A text only grows with time, so its size is a running sum: each row adds its
@@ -83,7 +86,10 @@ def snapshot_sizes(rows: DataFrame, tokenizer, hours: int = 24) -> DataFrame:
             F.coalesce(F.sum("size"), F.lit(0.0)).alias("step"),
         )
     )
-    return ordered_scan(grid, ["stay_id"], ["t"], time_bucket("t", hours), running={"size": "step"}).drop("step")
+    scanned = ordered_scan(
+        grid, ["stay_id"], ["t"], time_bucket("t", hours), running={"size": "step"}, large_key=large_key
+    )
+    return scanned.drop("step")
 
 
 def stay_documents(rows: DataFrame) -> DataFrame:

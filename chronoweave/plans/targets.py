@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.functions import text
-from chronoweave.operators.ordered import ordered_scan, time_bucket
+from chronoweave.operators.ordered import LARGE_KEY, ordered_scan, time_bucket
 from chronoweave.spec import Wording
 
 
@@ -33,7 +33,13 @@ def change_groups(changes: DataFrame) -> DataFrame:
     )
 
 
-def next_changes(snapshots: DataFrame, groups: DataFrame, sections: Sequence[str], hours: int = 24) -> DataFrame:
+def next_changes(
+    snapshots: DataFrame,
+    groups: DataFrame,
+    sections: Sequence[str],
+    hours: int = 24,
+    large_key: int | None = LARGE_KEY,
+) -> DataFrame:
     """For each snapshot and section, the section's next instant after the snapshot.
 
     ``snapshots`` has ``stay_id, t`` and may carry more columns. Adds ``section,
@@ -52,7 +58,7 @@ def next_changes(snapshots: DataFrame, groups: DataFrame, sections: Sequence[str
     scanned = ordered_scan(
         asked.unionByName(found, allowMissingColumns=True),
         ["stay_id", "section"], ["t", "asks"], time_bucket("t", hours),
-        following={"next": "change"}, monotone=["next"],
+        following={"next": "change"}, monotone=["next"], large_key=large_key,
     )
     return scanned.where((F.col("asks") == 1) & F.col("next").isNotNull()).select(
         "stay_id",

@@ -71,8 +71,14 @@ def event_rows(
     )
 
 
-def section_rows(df: DataFrame, section: Section, sec_ord: int, tokenizer, *, rank: int) -> DataFrame:
-    """Rows of one section: ``stay_id, event_id, event_t`` and the section's columns in."""
+def section_rows(
+    df: DataFrame, section: Section, sec_ord: int | Column, tokenizer, *, rank: int, name: Column | None = None
+) -> DataFrame:
+    """Rows of one section: ``stay_id, event_id, event_t`` and the section's columns in.
+
+    Sections that differ in their name only can share one pass: ``name`` and
+    ``sec_ord`` are then columns.
+    """
 
     def values(names: Sequence[str]) -> list[tuple[str, Column]]:
         return [(n, F.col(f"`{n}`")) for n in names]
@@ -103,7 +109,7 @@ def section_rows(df: DataFrame, section: Section, sec_ord: int, tokenizer, *, ra
     return _canonical(
         base,
         rank=rank,
-        section=section.name,
+        section=section.name if name is None else name,
         sec_ord=sec_ord,
         kind=section.kind,
         t=t,
@@ -123,13 +129,14 @@ def section_rows(df: DataFrame, section: Section, sec_ord: int, tokenizer, *, ra
 
 def _canonical(df: DataFrame, *, rank, section, sec_ord, kind, t, t_end, tie, spine, target, mute, **lines) -> DataFrame:
     t_end = F.lit(None).cast("timestamp_ntz") if t_end is None else t_end
+    section, sec_ord = (c if isinstance(c, Column) else F.lit(c) for c in (section, sec_ord))
     return df.select(
         "stay_id",
         F.col("event_id").cast("string").alias("event_id"),
         "event_t",
         F.lit(rank).alias("event_rank"),
-        F.lit(section).alias("section"),
-        F.lit(sec_ord).alias("sec_ord"),
+        section.alias("section"),
+        sec_ord.alias("sec_ord"),
         F.lit(kind).alias("kind"),
         t.alias("t"),
         F.greatest(t, F.col("event_t")).alias("t_eff"),

@@ -14,7 +14,7 @@ from chronoweave.functions.identifiers import base_id, numeric_id, sample_id
 from chronoweave.functions.tokens import PatternTokenizer
 from chronoweave.operators.columns import known_at, recode, rename, keep_listed, drop_listed, whole_days
 from chronoweave.operators.joins import counts_before
-from chronoweave.operators.ordered import ordered_scan, time_bucket
+from chronoweave.operators.ordered import ordered_scan, scan_limit, time_bucket
 from chronoweave.plans.cohort import assign_stays, cohort, cohort_per_visit
 from chronoweave.plans.samples import build_samples
 from chronoweave.plans.snapshots import fitting_rows, snapshot_sizes, snapshot_texts, visible_counts
@@ -328,7 +328,7 @@ FROM spine p JOIN sec l ON l.stay_id = p.stay_id AND l.t <= p.t GROUP BY p.stay_
 )
 def snapshot_asof(spark, sf):
     rows = stage(rows_of(spark, sf)[0].where("kind = 'records' or spine"))
-    counts = visible_counts(rows).where(F.col("section").isin("views", "clicks", "purchases"))
+    counts = visible_counts(rows, large_key=scan_limit(rows, ["stay_id"])).where(F.col("section").isin("views", "clicks", "purchases"))
     return counts.select("stay_id", "section", "t", "n_visible", "last_t")
 
 
@@ -372,7 +372,7 @@ def snapshot_censored(spark, sf):
 )
 def snapshot_text(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
-    sizes = stage(snapshot_sizes(rows, TOKENIZER).where(F.col("size") <= MAX_TOKENS))
+    sizes = stage(snapshot_sizes(rows, TOKENIZER, large_key=scan_limit(rows, ["stay_id"])).where(F.col("size") <= MAX_TOKENS))
     asked = sizes.where("in_spine").select("stay_id", "t", F.col("size").cast("bigint").alias("n_tokens"))
     return snapshot_texts(asked, fitting_rows(rows, sizes, MAX_TOKENS)).select("stay_id", "t", "text", "n_tokens")
 
@@ -383,7 +383,7 @@ def snapshot_text(spark, sf):
 @query("next_change", f"WITH {STAYS_SQL}{NEXT_SQL} SELECT stay_id, t, section, next_t FROM nexts")
 def next_change(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
-    found = next_changes(snapshot_times(rows), change_groups(change_rows(rows)), TARGETS)
+    found = next_changes(snapshot_times(rows), change_groups(change_rows(rows)), TARGETS, large_key=scan_limit(rows, ["stay_id"]))
     return found.select("stay_id", "t", "section", "next_t")
 
 
@@ -395,7 +395,7 @@ def next_change(spark, sf):
 def answer_text(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
     changes = change_rows(rows)
-    found = stage(next_changes(snapshot_times(rows), change_groups(changes), TARGETS))
+    found = stage(next_changes(snapshot_times(rows), change_groups(changes), TARGETS, large_key=scan_limit(rows, ["stay_id"])))
     fitting = found.where(F.col("answer_size") <= MAX_TOKENS)
     return answer_texts(changes, fitting, WORDING)
 

@@ -15,7 +15,7 @@ from chronoweave.operators.columns import (
     drop_unset, first_set, not_denied, null_second_if_both, recode, trimmed, whole_days,
 )
 from chronoweave.operators.joins import enrich, first_seen, full_merge, keep_if_listed, look_up, not_in, restrict
-from chronoweave.operators.ordered import block_bucket, first_by
+from chronoweave.operators.ordered import block_bucket, first_by, scan_limit, time_bucket
 from chronoweave.plans.cohort import clean_and_bad, missing_children
 from chronoweave.plans.targets import answer_texts, change_groups, change_rows, next_changes
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
@@ -31,11 +31,10 @@ LINES = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 FLAGS = {"A": "accepted lines", "N": "new lines", "R": "returned lines"}
 
 
-def _section(name: str) -> Section:
-    return Section(
-        name, "records", ("item", "brand", "quantity", "shipped"), time="shipped",
-        tie=("line", "part", "supplier", "cents"), spine=True, target=True, hidden=("shipped",),
-    )
+LINE_SECTION = Section(
+    "lines", "records", ("item", "brand", "quantity", "shipped"), time="shipped",
+    tie=("line", "part", "supplier", "cents"), spine=True, target=True, hidden=("shipped",),
+)
 
 
 def rows_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,12 +53,11 @@ def rows_of(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_extendedprice") * 100).cast("bigint").alias("cents"), "l_returnflag",
     )
     lines = enrich(look_up(lines, orders, ["stay_id"]), parts, ["part"])
-    lines = stage(lines, "l_returnflag")
-    kinds = [
-        section_rows(lines.where(F.col("l_returnflag") == flag), _section(name), i, TOKENIZER, rank=0)
-        for i, (flag, name) in enumerate(FLAGS.items())
-    ]
-    return union_rows([event_rows(orders, TOKENIZER, event_type="Order", rank=0, spine=True), *kinds])
+    flags = list(FLAGS)
+    name = recode("l_returnflag", FLAGS)
+    order = F.array_position(F.array(*[F.lit(f) for f in flags]), F.col("l_returnflag")).cast("int") - 1
+    heads = event_rows(orders, TOKENIZER, event_type="Order", rank=0, spine=True)
+    return union_rows([heads, section_rows(lines, LINE_SECTION, order, TOKENIZER, rank=0, name=name)])
 
 
 NEXT_SQL = """
@@ -94,7 +92,11 @@ SELECT n.stay_id, n.t, n.section, n.next_t, a.n_rows, a.answer FROM nexts n JOIN
 def next_event_targets(spark, sf):
     rows = stage(rows_of(spark, sf))
     changes = change_rows(rows)
-    found = stage(next_changes(snapshot_times(rows), change_groups(changes), list(FLAGS.values()), hours=24 * 30))
+    found = next_changes(
+        snapshot_times(rows), change_groups(changes), list(FLAGS.values()), hours=24 * 30,
+        large_key=scan_limit(rows, ["stay_id"]),
+    )
+    found = stage(found)
     texts = answer_texts(changes, found.where(F.col("answer_size") <= ANSWER_TOKENS), WORDING)
     return found.join(texts, ["stay_id", "section", "next_t"], "left").select(
         "stay_id", "t", "section", "next_t", "n_rows", "answer"
@@ -285,8 +287,6 @@ SELECT o_orderkey, o_custkey, part, n_rows, body FROM orders LEFT JOIN g ON l_or
 )
 def nested_children(spark, sf):
     lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", *LINES)
-    from chronoweave.operators.ordered import time_bucket
-
     nested = nest_children(
         lines, ["o_orderkey"], ["l_shipdate", *LINES], ["l_linenumber", "l_partkey"],
         time_bucket("l_shipdate", 24 * 30), part_rows=5,

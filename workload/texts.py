@@ -13,6 +13,7 @@ from chronoweave.operators.columns import at_most_tokens
 from chronoweave.operators.ordered import global_positions
 from chronoweave.plans.samples import cut_after_overflow, discharge_samples, tokenise
 from chronoweave.plans.splits import hold_out, shuffle_order, split_by_hash, split_chunks, split_counts
+from chronoweave.session import stage
 from chronoweave.sources.paging import batches
 from chronoweave.spec import Wording
 from workload.base import query, table
@@ -65,7 +66,7 @@ def prefix_cutoff(spark, sf):
         (F.col("doc_id") % 20).alias("number"),
         TOKENIZER.count(F.col("text")).alias("n_tokens"),
     )
-    return cut_after_overflow(counted, "stay", "number", "n_tokens", 800)
+    return cut_after_overflow(stage(counted), "stay", "number", "n_tokens", 800)
 
 
 @query(
