@@ -11,6 +11,16 @@ def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work where the input has fewer splits than that.
+
+    For scans that feed costly row-wise expressions. Input with as many splits as
+    cores, as any large table has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def jdbc_table(
     spark: SparkSession,
     url: str,

@@ -21,6 +21,7 @@ from chronoweave.plans.targets import answer_texts, change_groups, change_rows,
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
 from chronoweave.session import stage
 from chronoweave.sources.paging import batches, keyset_page, offset_page, page_count
+from chronoweave.sources.relational import spread
 from chronoweave.spec import Section, Wording
 from workload.base import query, table
 
@@ -52,7 +53,7 @@ def rows_of(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"), F.col("l_shipdate").alias("shipped"),
         (F.col("l_extendedprice") * 100).cast("bigint").alias("cents"), "l_returnflag",
     )
-    lines = enrich(look_up(lines, orders, ["stay_id"]), parts, ["part"])
+    lines = enrich(look_up(spread(lines), orders, ["stay_id"]), parts, ["part"])
     flags = list(FLAGS)
     name = recode("l_returnflag", FLAGS)
     order = F.array_position(F.array(*[F.lit(f) for f in flags]), F.col("l_returnflag")).cast("int") - 1

@@ -15,6 +15,7 @@ from chronoweave.plans.samples import cut_after_overflow, discharge_samples, tok
 from chronoweave.plans.splits import hold_out, shuffle_order, split_by_hash, split_chunks, split_counts
 from chronoweave.session import stage
 from chronoweave.sources.paging import batches
+from chronoweave.sources.relational import spread
 from chronoweave.spec import Wording
 from workload.base import query, table
 
@@ -30,15 +31,19 @@ IDS = (
 # --- documents -----------------------------------------------------------------------------
 
 
+def documents(spark, sf, *columns):
+    return spread(table(spark, sf, "documents").select(*columns))
+
+
 @query("token_counts", f"SELECT doc_id, {COUNT.format('text')} AS n_tokens FROM documents")
 def token_counts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", TOKENIZER.count(F.col("text")).alias("n_tokens"))
+    return documents(spark, sf, "doc_id", "text").select("doc_id", TOKENIZER.count(F.col("text")).alias("n_tokens"))
 
 
 @query("length_filter", f"SELECT doc_id, n_chars FROM documents WHERE {COUNT.format('text')} <= 300")
 def length_filter(spark, sf):
-    documents = table(spark, sf, "documents").withColumn("tokens", TOKENIZER.tokens(F.col("text")))
-    return documents.where(at_most_tokens("tokens", 300)).select("doc_id", "n_chars")
+    split = documents(spark, sf, "doc_id", "n_chars", "text").withColumn("tokens", TOKENIZER.tokens(F.col("text")))
+    return split.where(at_most_tokens("tokens", 300)).select("doc_id", "n_chars")
 
 
 @query(
@@ -47,7 +52,7 @@ def length_filter(spark, sf):
 UNION ALL SELECT 'all', CAST(sum({COUNT.format('text')}) AS BIGINT), count(*) FROM documents""",
 )
 def token_totals(spark, sf):
-    counted = table(spark, sf, "documents").select("lang", TOKENIZER.count(F.col("text")).alias("n"))
+    counted = documents(spark, sf, "lang", "text").select("lang", TOKENIZER.count(F.col("text")).alias("n"))
     per = counted.groupBy("lang").agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("n_rows"))
     return per.unionByName(
         per.agg(F.sum("tokens").alias("tokens"), F.sum("n_rows").alias("n_rows")).withColumn("lang", F.lit("all"))
@@ -61,7 +66,7 @@ f AS (SELECT stay, min(number) AS first_over FROM c WHERE n_tokens > 800 GROUP B
 SELECT c.* FROM c LEFT JOIN f USING (stay) WHERE n_tokens < 800 AND (first_over IS NULL OR number < first_over)""",
 )
 def prefix_cutoff(spark, sf):
-    counted = table(spark, sf, "documents").select(
+    counted = documents(spark, sf, "doc_id", "lang", "text").select(
         F.concat_ws("/", "lang", F.floor(F.col("doc_id") / 20).cast("string")).alias("stay"),
         (F.col("doc_id") % 20).alias("number"),
         TOKENIZER.count(F.col("text")).alias("n_tokens"),
@@ -290,7 +295,7 @@ SELECT vec_id, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r
 )
 def greedy_similarity(spark, sf):
     """Each embedding is eight token vectors of one text; its reference is the next text."""
-    vectors = table(spark, sf, "embeddings").select(
+    vectors = spread(table(spark, sf, "embeddings").select("vec_id", "embedding")).select(
         "vec_id", F.transform(token_vectors(F.col("embedding"), 8), unit).alias("tokens")
     )
     reference = vectors.select((F.col("vec_id") - 1).alias("vec_id"), F.col("tokens").alias("reference"))
@@ -324,4 +329,4 @@ SELECT page_id, position, href, CASE WHEN href LIKE '%/' THEN 'directory' ELSE '
   END AS address FROM l WHERE href <> '../'""",
 )
 def extract_links_query(spark, sf):
-    return extract_links(table(spark, sf, "pages"), "page_id", "url", "html")
+    return extract_links(spread(table(spark, sf, "pages")), "page_id", "url", "html")
