@@ -161,9 +161,8 @@ def cut_after_overflow(
         .where(F.col("__first").isNotNull())
     )
     before = F.col("__first").isNull() | F.col(number).isNull() | (F.col(number) < F.col("__first"))
-    return (
-        samples.where(F.col(size) < max_tokens).join(first, stay, "left").where(before).drop("__first")
-    )
+    kept = samples.where(F.col(size) < max_tokens).join(first, stay, "left").where(before)
+    return kept.select(*samples.columns)
 
 
 def tokenise(samples: DataFrame, tokenizer, wording: Wording, *, key: str = "sample_id") -> DataFrame:
