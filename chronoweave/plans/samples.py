@@ -113,9 +113,6 @@ def build_samples(
         kept = kept.where(~F.col("__over") & (F.col("n_tokens") < max_tokens)).drop("__over")
 
     kept = reuse(kept.withColumn("number", F.col("number") - 1))
-    texts = snapshot_texts(
-        kept.select("stay_id", "t").distinct(), fitting_rows(rows, sizes, max_tokens)
-    )
     answers = answer_texts(changes, kept.where(F.col("next_t").isNotNull()), wording)
     if keep_empty:
         wanted = kept.where(F.col("next_t").isNotNull()).select("stay_id", "section", "next_t").distinct()
@@ -129,20 +126,25 @@ def build_samples(
         )
         timed = timed.unionByName(part)
 
-    question = _by_section(sections, wording.question)
-    return (
-        timed.join(texts, ["stay_id", "t"])
+    # Texts are the bulk of the data, so they are built last: one text per snapshot,
+    # next to its few targets, and not shuffled after that.
+    target = F.struct("number", "section", "answer", "n_tokens")
+    snapshots = (
+        timed.groupBy("stay_id", "t")
+        .agg(F.collect_list(target).alias("targets"))
         .join(stays.select("stay_id", "subject_id"), "stay_id")
-        .select(
-            sample_id("stay_id", "number").alias("sample_id"),
-            "subject_id",
-            "stay_id",
-            "t",
-            "section",
-            F.concat("text", F.lit("\n\n"), question).alias("input"),
-            F.col("answer").alias("output"),
-            F.col("n_tokens").cast("bigint").alias("n_tokens"),
-        )
+    )
+    texts = snapshot_texts(snapshots, fitting_rows(rows, sizes, max_tokens))
+    each = texts.select("stay_id", "subject_id", "t", "text", F.inline("targets"))
+    return each.select(
+        sample_id("stay_id", "number").alias("sample_id"),
+        "subject_id",
+        "stay_id",
+        "t",
+        "section",
+        F.concat("text", F.lit("\n\n"), _by_section(sections, wording.question)).alias("input"),
+        F.col("answer").alias("output"),
+        F.col("n_tokens").cast("bigint").alias("n_tokens"),
     )
 
 
@@ -176,21 +178,37 @@ def tokenise(samples: DataFrame, tokenizer, wording: Wording, *, key: str = "sam
 
 
 def discharge_samples(
-    stays: DataFrame, labels: DataFrame, *, preamble: Column, note: str, label: str, tie: Sequence[str],
-    question: str, heading: str = "Potential diagnoses",
+    stays: DataFrame,
+    labels: DataFrame,
+    *,
+    preamble: Column,
+    note: str,
+    label: str,
+    tie: Sequence[str],
+    question: str,
+    tokenizer,
+    max_tokens: int,
+    heading: str = "Potential diagnoses",
 ) -> DataFrame:
     """One sample per stay: what is known at the end in, the list of labels out.
 
-    A stay without labels gives no sample.
+    A stay without labels gives no sample, nor does one whose label list alone is
+    longer than ``max_tokens`` (its prompt would be cut later); such lists are never
+    collected.
     """
-    listed = labels.groupBy("stay_id").agg(
-        F.array_sort(F.collect_list(F.struct(*tie, text.value_line(F.col(label)).alias("__line")))).alias("__labels")
+    lines = labels.select("stay_id", *tie, text.value_line(F.col(label)).alias("__line"))
+    fitting = lines.groupBy("stay_id").agg(F.sum(tokenizer.floor(F.col("__line"))).alias("__size"))
+    fitting = fitting.where(F.col("__size") <= max_tokens)
+    listed = (
+        lines.join(fitting, "stay_id", "left_semi")
+        .groupBy("stay_id")
+        .agg(F.array_sort(F.collect_list(F.struct(*tie, "__line"))).alias("__labels"))
     )
-    lines = F.array_join(F.transform("__labels", lambda r: r["__line"]), "")
+    answer = F.array_join(F.transform("__labels", lambda r: r["__line"]), "")
     return stays.join(listed, "stay_id").select(
         F.concat(F.col("stay_id").cast("string"), F.lit("_discharge")).alias("sample_id"),
         "subject_id",
         "stay_id",
         F.concat(preamble, text.field_line("note", F.col(note)), F.lit(f"\n\n{question}")).alias("input"),
-        F.concat(F.lit(f"{heading}:\n"), lines, F.lit("\n")).alias("output"),
+        F.concat(F.lit(f"{heading}:\n"), answer, F.lit("\n")).alias("output"),
     )

@@ -95,11 +95,13 @@ def snapshot_sizes(
 def stay_documents(rows: DataFrame) -> DataFrame:
     """Per stay, its events with their sections and printed rows, nested and sorted.
 
-    The rows must be bounded per stay (see ``fitting_rows``).
+    The rows must be bounded per stay (see ``fitting_rows``). They are shuffled by
+    stay once; the three levels of nesting and the join with snapshots keep to that.
     """
     line = F.struct("t", "tie", "t_eff", "t_end", "line_open", "line_full")
     by_section = (
         rows.where(~F.col("mute"))
+        .repartition("stay_id")
         .groupBy("stay_id", "event_t", "event_rank", "event_id", "sec_ord", "section", "kind")
         .agg(F.array_sort(F.collect_list(line)).alias("rows"))
     )

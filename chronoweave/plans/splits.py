@@ -54,10 +54,10 @@ def shuffle_order(df: DataFrame, key: str, seed: int = 0, out: str = "position")
 def hold_out(df: DataFrame, key: str, share: float, seed: int = 0) -> DataFrame:
     """The first int(n * share) rows of the shuffle are validation, the rest train."""
     placed = shuffle_order(df, key, seed, "__position")
-    total = df.agg(F.count(F.lit(1)).alias("__n"))  # one row
-    bound = F.floor(F.col("__n") * F.lit(str(share)).cast("decimal(18,9)"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    bound = F.floor(total * F.lit(str(share)).cast("decimal(18,9)"))
     side = F.when(F.col("__position") <= bound, "validation").otherwise("train")
-    return placed.join(F.broadcast(total)).withColumn("split", side).drop("__n", "__position")
+    return placed.withColumn("split", side).drop("__position")
 
 
 def validation_count(n: int, share: float) -> int:

@@ -182,13 +182,14 @@ listed AS (
   SELECT stay_id, section, t, value, k,
     row_number() OVER (PARTITION BY stay_id, section, t ORDER BY tie) AS i,
     count(*) OVER (PARTITION BY stay_id, section, t) AS n FROM plain),
+printed AS (
+  SELECT *, CASE WHEN section = 'purchases'
+      THEN '   - value: ' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || chr(10) ELSE '' END
+    || '   - k: ' || k || chr(10) AS line FROM listed),
 answers AS (
-  SELECT stay_id, section, t AS next_t, any_value(n) AS n_rows,
-    'Potential ' || section || ':' || chr(10) || string_agg(' - ' || i || ' of ' || n || chr(10)
-      || CASE WHEN section = 'purchases'
-         THEN '   - value: ' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || chr(10) ELSE '' END
-      || '   - k: ' || k || chr(10), '' ORDER BY i) AS answer
-  FROM listed GROUP BY stay_id, section, t)
+  SELECT stay_id, section, t AS next_t, any_value(n) AS n_rows, sum(4 + """ + COUNT_SQL.format("line") + """) AS size,
+    'Potential ' || section || ':' || chr(10) || string_agg(' - ' || i || ' of ' || n || chr(10) || line, '' ORDER BY i) AS answer
+  FROM printed GROUP BY stay_id, section, t)
 """
 
 SAMPLES_SQL = (
@@ -389,7 +390,8 @@ def next_change(spark, sf):
 
 @query(
     "answer_text",
-    f"WITH {STAYS_SQL}{NEXT_SQL} SELECT stay_id, section, next_t, answer FROM answers WHERE section <> 'views' AND next_t IN"
+    f"WITH {STAYS_SQL}{NEXT_SQL} SELECT stay_id, section, next_t, answer FROM answers WHERE section <> 'views'"
+    f" AND size <= {MAX_TOKENS} AND next_t IN"
     " (SELECT n.next_t FROM nexts n WHERE n.stay_id = answers.stay_id AND n.section = answers.section)",
 )
 def answer_text(spark, sf):

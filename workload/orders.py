@@ -77,11 +77,14 @@ plain AS (SELECT stay_id, section, t, item, brand, quantity, min(tie) AS tie FRO
 listed AS (
   SELECT *, row_number() OVER (PARTITION BY stay_id, section, t ORDER BY tie) AS i,
     count(*) OVER (PARTITION BY stay_id, section, t) AS n FROM plain),
+printed AS (
+  SELECT *, '   - item: ' || item || chr(10) || '   - brand: ' || brand || chr(10) || '   - quantity: ' || quantity || chr(10) AS line
+  FROM listed),
 answers AS (
   SELECT stay_id, section, t AS next_t, any_value(n) AS n_rows,
-    'Potential ' || section || ':' || chr(10) || string_agg(' - ' || i || ' of ' || n || chr(10) || '   - item: ' || item
-    || chr(10) || '   - brand: ' || brand || chr(10) || '   - quantity: ' || quantity || chr(10), '' ORDER BY i) AS answer
-  FROM listed GROUP BY stay_id, section, t),
+    CASE WHEN sum(4 + len(regexp_extract_all(line, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\r]'))) <= 32000 THEN
+      'Potential ' || section || ':' || chr(10) || string_agg(' - ' || i || ' of ' || n || chr(10) || line, '' ORDER BY i) END AS answer
+  FROM printed GROUP BY stay_id, section, t),
 nexts AS (
   SELECT p.stay_id, p.t, g.section, min(g.t) AS next_t
   FROM spine p JOIN sec g ON g.stay_id = p.stay_id AND g.t > p.t GROUP BY p.stay_id, p.t, g.section)

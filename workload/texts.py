@@ -77,7 +77,8 @@ def prefix_cutoff(spark, sf):
 @query(
     "discharge_samples",
     """WITH l AS (SELECT doc_id, 1 AS k, 'quality ' || quality AS label FROM labels UNION ALL SELECT doc_id, 2, 'toxic ' || toxic FROM labels),
-g AS (SELECT doc_id, string_agg(' - ' || label || chr(10), '' ORDER BY k) AS lines FROM l GROUP BY doc_id)
+g AS (SELECT doc_id, string_agg(' - ' || label || chr(10), '' ORDER BY k) AS lines FROM l GROUP BY doc_id
+  HAVING sum(len(regexp_extract_all(' - ' || label, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\r]'))) <= 32000)
 SELECT doc_id || '_discharge' AS sample_id, source AS subject_id, doc_id AS stay_id,
   'language: ' || lang || chr(10) || chr(10) || 'note: ' || text || chr(10) || chr(10) || chr(10) || 'Which labels fit?' AS input,
   'Potential labels:' || chr(10) || lines || chr(10) AS output FROM documents JOIN g USING (doc_id)""",
@@ -95,7 +96,7 @@ def discharge_query(spark, sf):
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("stay_id"), F.inline(pair))
     return discharge_samples(
         stays, labels, preamble=lines.block([("language", F.col("lang"))]), note="text", label="label", tie=["k"],
-        question="Which labels fit?", heading="Potential labels",
+        question="Which labels fit?", heading="Potential labels", tokenizer=TOKENIZER, max_tokens=32_000,
     )
 
 
