@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions import text
-from chronoweave.functions.identifiers import sample_id
+from chronoweave.functions.identifiers import base_id, numeric_id, sample_id
 from chronoweave.functions.prompts import chat_prompt
 from chronoweave.functions.tokens import attention_mask
 from chronoweave.operators.ordered import ordered_scan, scan_limit, time_bucket
@@ -177,6 +177,26 @@ def tokenise(samples: DataFrame, tokenizer, wording: Wording, *, key: str = "sam
     ).drop("input", "output")
 
 
+def token_dataset(
+    samples: DataFrame,
+    tokenizer,
+    wording: Wording,
+    max_tokens: int,
+    *,
+    reuse: Callable[[DataFrame], DataFrame] = stage,
+) -> DataFrame:
+    """Token rows of the samples that fit: ``sample_id, input_ids, attention_mask, token_count`` and the other columns.
+
+    Stays are cut after their first overlong sample (see ``cut_after_overflow``), by
+    true token counts. ``build_samples`` has dropped most of those before by their
+    sizes; with a tokenizer whose ``floor`` is only a lower bound, the rest go here.
+    """
+    tokens = reuse(tokenise(samples, tokenizer, wording))
+    numbered = tokens.withColumns({"__base": base_id("sample_id"), "__number": numeric_id("sample_id")})
+    kept = cut_after_overflow(numbered, "__base", "__number", "token_count", max_tokens)
+    return kept.select(*tokens.columns)
+
+
 def discharge_samples(
     stays: DataFrame,
     labels: DataFrame,

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoweave.operators.columns import at_most_tokens
 from chronoweave.operators.ordered import global_positions, hash_positions
 
 _SPAN = 16**8
@@ -51,13 +52,27 @@ def shuffle_order(df: DataFrame, key: str, seed: int = 0, out: str = "position")
     return hash_positions(df, seeded_digest(key, seed), [key], out=out)
 
 
-def hold_out(df: DataFrame, key: str, share: float, seed: int = 0) -> DataFrame:
-    """The first int(n * share) rows of the shuffle are validation, the rest train."""
+def hold_out(df: DataFrame, key: str, share: float, seed: int = 0, position: str | None = None) -> DataFrame:
+    """The first int(n * share) rows of the shuffle are validation, the rest train.
+
+    ``position`` names a column for the place in the shuffle; None leaves it out.
+    """
     placed = shuffle_order(df, key, seed, "__position")
     total = df.agg(F.count(F.lit(1))).scalar()
     bound = F.floor(total * F.lit(str(share)).cast("decimal(18,9)"))
     side = F.when(F.col("__position") <= bound, "validation").otherwise("train")
-    return placed.withColumn("split", side).drop("__position")
+    split = placed.withColumn("split", side)
+    return split.withColumnRenamed("__position", position) if position else split.drop("__position")
+
+
+def training_data(
+    rows: DataFrame, key: str, ids: str, *, max_tokens: int = 16_000, share: float = 0.1, seed: int = 0
+) -> DataFrame:
+    """Token rows of at most ``max_tokens``, in a seeded shuffle, with the first part held out.
+
+    ``position`` is the place in the shuffle; sorting by it gives a reader its order.
+    """
+    return hold_out(rows.where(at_most_tokens(ids, max_tokens)), key, share, seed, position="position")
 
 
 def validation_count(n: int, share: float) -> int:

@@ -16,7 +16,7 @@ from chronoweave.operators.columns import known_at, recode, rename, keep_listed,
 from chronoweave.operators.joins import counts_before
 from chronoweave.operators.ordered import ordered_scan, scan_limit, time_bucket
 from chronoweave.plans.cohort import assign_stays, cohort, cohort_per_visit
-from chronoweave.plans.samples import build_samples
+from chronoweave.plans.samples import build_samples, token_dataset
 from chronoweave.plans.snapshots import fitting_rows, snapshot_sizes, snapshot_texts, visible_counts
 from chronoweave.plans.targets import answer_texts, change_groups, change_rows, next_changes
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
@@ -413,6 +413,18 @@ def training_samples(spark, sf):
     )
 
 
+@query(
+    "token_dataset",
+    f"WITH {SAMPLES_SQL} SELECT sample_id, subject_id, n_tokens AS token_count FROM samples WHERE n_tokens < 220 AND number <"
+    " coalesce((SELECT min(number) FROM counted c WHERE c.stay_id = samples.stay_id AND c.n_tokens > 220), 1000000000)",
+)
+def token_dataset_query(spark, sf):
+    """Samples as token rows, cut again at a lower limit by their true counts."""
+    samples = training_samples(spark, sf).select("sample_id", "subject_id", "input", "output")
+    tokens = token_dataset(samples, TOKENIZER, WORDING, max_tokens=220)
+    return tokens.select("sample_id", "subject_id", F.col("token_count").cast("bigint").alias("token_count"))
+
+
 @query(
     "sample_ids",
     """WITH ids AS (SELECT user_id || '_' || event_id AS sample_id FROM events

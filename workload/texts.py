@@ -12,7 +12,7 @@ from chronoweave.operators.aggregates import linear_fit, project_capacity
 from chronoweave.operators.columns import at_most_tokens
 from chronoweave.operators.ordered import global_positions
 from chronoweave.plans.samples import cut_after_overflow, discharge_samples, tokenise
-from chronoweave.plans.splits import hold_out, shuffle_order, split_by_hash, split_chunks, split_counts
+from chronoweave.plans.splits import hold_out, shuffle_order, split_by_hash, split_chunks, split_counts, training_data
 from chronoweave.session import stage
 from chronoweave.sources.paging import batches
 from chronoweave.sources.relational import spread
@@ -248,6 +248,19 @@ def tokenised(spark, sf):
     return rows.select("sample_id", F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("ids"), "token_count")
 
 
+@query(
+    "training_data",
+    f"""WITH t AS (SELECT doc_id, {COUNT.format('text')} AS n_tokens FROM documents WHERE {COUNT.format('text')} <= 900),
+r AS (SELECT *, row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) AS position, count(*) OVER () AS n FROM t)
+SELECT doc_id, n_tokens, position,
+  CASE WHEN position <= floor(n * CAST(0.1 AS DECIMAL(18,9))) THEN 'validation' ELSE 'train' END AS split FROM r""",
+)
+def training_data_query(spark, sf):
+    rows = documents(spark, sf, "doc_id", "text").select("doc_id", TOKENIZER.ids(F.col("text")).alias("input_ids"))
+    loaded = training_data(stage(rows), "doc_id", "input_ids", max_tokens=900, share=0.1, seed=7)
+    return loaded.select("doc_id", F.size("input_ids").alias("n_tokens"), "position", "split")
+
+
 @query(
     "pad_batches",
     f"""WITH r AS (SELECT conv_id, turn, {IDS.format('text')} AS ids,
