@@ -21,7 +21,7 @@ def duck():
 
 
 def _plain(value):
-    if value is None or value is pd.NaT or value != value:
+    if pd.isna(value):
         return None
     return f"{float(value):.9g}" if isinstance(value, (int, float)) and not isinstance(value, bool) else str(value)
 

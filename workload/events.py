@@ -297,7 +297,7 @@ def timeline(spark, sf):
 @query(
     "subject_cutoff_join",
     f"""WITH {STAYS_SQL}
-SELECT s.stay_id, count(e.event_id) AS n_before, sum(CAST(e.value AS DECIMAL(18,2))) AS value_before,
+SELECT s.stay_id, count(e.event_id) AS n_before, CAST(sum(CAST(e.value AS DECIMAL(18,2))) AS DOUBLE) AS value_before,
   max_by(e.event_id, (e.ts, e.event_id)) AS last_before
 FROM stays s LEFT JOIN events e ON e.user_id = s.subject_id AND e.event_type = 'error' AND e.ts < s.end_t
 WHERE s.end_t IS NOT NULL GROUP BY s.stay_id""",
@@ -309,7 +309,8 @@ def subject_cutoff(spark, sf):
     notes = notes.withColumn("value", F.col("value").cast("decimal(18,2)"))
     found = counts_before(anchors, notes, "user_id", "cutoff", "ts", "event_id", "value")
     return found.select(
-        "stay_id", "n_before", F.when(F.col("n_before") > 0, F.col("value_before")).alias("value_before"), "last_before"
+        "stay_id", "n_before", F.when(F.col("n_before") > 0, F.col("value_before").cast("double")).alias("value_before"),
+        "last_before",
     )
 
 
