@@ -6,8 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from chronoweave.functions.tokens import PatternTokenizer
-from chronoweave.plans.samples import build_samples, cut_after_overflow, tokenise
+from chronoweave.functions.tokens import HookTokenizer, PatternTokenizer
+from chronoweave.plans.samples import build_samples, cut_after_overflow, discharge_samples, token_dataset, tokenise
 from chronoweave.plans.snapshots import fitting_rows, snapshot_sizes, snapshot_texts, visible_counts
 from chronoweave.plans.targets import change_groups, change_rows, next_changes
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
@@ -111,3 +111,44 @@ def test_samples_equal_cutting_after_rendering(data, limit):
     late = cut_after_overflow(numbered, "stay_id", "number", "n_tokens", limit).drop("number")
     assert 0 < early.count() < every.count()
     assert early.exceptAll(late).count() == 0 and early.count() == late.count()
+
+
+def test_a_lower_bound_cuts_nothing_that_fits(spark, data):
+    """With a tokenizer whose size is only bounded from below, the true counts decide in the end."""
+
+    def load():
+        return lambda s: [len(s[i : i + 3]) for i in range(0, len(s), 3)]
+
+    tokenizer = HookTokenizer(load, longest=3)
+    rng = random.Random(9)
+    stays = spark.createDataFrame([(s, s, START) for s in range(5)], "stay_id int, subject_id int, event_t timestamp_ntz")
+    anchor = stays.select("stay_id", F.col("stay_id").alias("event_id"), "event_t")
+    labs = [(0 if i % 3 == 0 else rng.randrange(1, 5), i, START + timedelta(hours=rng.randrange(100)), "lab", "v") for i in range(60)]
+    labs = spark.createDataFrame(labs, "stay_id int, id int, time timestamp_ntz, name string, value string").join(anchor, "stay_id")
+    rows = union_rows(
+        [
+            event_rows(anchor, tokenizer, event_type="Stay", rank=0, preamble=F.lit("Who:\n\n"), spine=True),
+            section_rows(labs, LABS, 0, tokenizer, rank=0),
+        ]
+    )
+    common = dict(targets=["labs"], wording=Wording(), tokenizer=tokenizer)
+    limit = 260
+    early = build_samples(rows, stays, max_tokens=limit, **common)
+    every = build_samples(rows, stays, max_tokens=None, **common)
+    kept = token_dataset(early, tokenizer, Wording(), limit).select("sample_id", "token_count")
+    want = token_dataset(every, tokenizer, Wording(), limit).select("sample_id", "token_count")
+    assert 0 < kept.count() == want.count() < every.count()
+    assert kept.exceptAll(want).count() == 0
+    assert early.count() < every.count()
+
+
+def test_long_label_lists_give_no_discharge_sample(spark):
+    stays = spark.createDataFrame([(1, 7, "note"), (2, 7, "note"), (3, 7, "note")], "stay_id int, subject_id int, note string")
+    labels = spark.createDataFrame([(1, i, f"d{i}") for i in range(3)] + [(2, i, f"d{i}") for i in range(50)], "stay_id int, n int, name string")
+    got = discharge_samples(
+        stays, labels, preamble=F.lit("x: y\n\n"), note="note", label="name", tie=["n"], question="Which?",
+        tokenizer=TOKENIZER, max_tokens=20,
+    ).collect()
+    assert [(r["sample_id"], r["input"], r["output"]) for r in got] == [
+        ("1_discharge", "x: y\n\nnote: note\n\n\nWhich?", "Potential diagnoses:\n - d0\n - d1\n - d2\n\n")
+    ]
