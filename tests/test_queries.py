@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from workload import base
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,10 +33,11 @@ def _rows(frame):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(base.QUERIES) == set(base.SQL)
+    assert set(base.QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(base.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     got = queries()[name](spark, SF).toPandas()
     want = duck.execute(oracle_sql()[name]).df()
