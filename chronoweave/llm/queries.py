@@ -1,4 +1,4 @@
 """Importing this module registers the queries of all operators."""
 
-from chronoweave.llm import dart, decontaminate, html, mixing, vectors  # noqa: F401
+from chronoweave.llm import dart, decontaminate, html, language, mixing, secrets, vectors  # noqa: F401
 from chronoweave.llm.base import QUERIES, SQL  # noqa: F401
