@@ -25,7 +25,6 @@ text with itself count; repeated rows repeat each other. An empty table gives no
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +35,7 @@ from pyspark.sql import types as T
 
 from chronoweave.llm.base import mix, prefix_hash, query, span_hash, stage, table, text_batches, text_bytes
 from chronoweave.llm.groups import group_bounds, map_groups
+from chronoweave.llm.spans import cut_spans
 
 DEPTH = 400
 DIGIT = 64
@@ -231,40 +231,6 @@ def _counted(runs: DataFrame, depth: int, step: int) -> DataFrame:
     return rows.join(often, "key").select("run", F.col("d").alias("lo"), F.col("d").alias("hi"))
 
 
-def _kept(texts: DataFrame) -> DataFrame:
-    """(body, n_removed, n_spans, kept_sha256, kept) from texts with the spans to remove."""
-    schema = T.StructType(
-        [
-            T.StructField("body", T.BinaryType()),
-            T.StructField("n_removed", T.LongType()),
-            T.StructField("n_spans", T.LongType()),
-            T.StructField("kept_sha256", T.StringType()),
-            T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
-        ]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, "text"):
-            out = []
-            for body, text, spans in zip(batch.column("body"), batch.column("text"), batch.column("spans"), strict=True):
-                data, merged = text.as_py().encode(), []
-                for s in sorted((s["start"], s["end"]) for s in spans.as_py()):
-                    if merged and s[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], s[1])
-                    else:
-                        merged.append([*s])
-                sha, at = hashlib.sha256(), 0
-                for start, end in merged:
-                    sha.update(data[at:start])
-                    at = end
-                sha.update(data[at:])
-                out.append((body.as_py(), sum(e - s for s, e in merged), len(merged), sha.hexdigest(), merged))
-            columns = [pa.array(c, f) for c, f in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64()))), strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return texts.select("body", "text", "spans").mapInArrow(run, schema)
-
-
 def body_of(text: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
 
@@ -297,7 +263,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", depth: int = DEPTH, digi
     spans = alive.select("digit", "whole", "body", "at").join(found, ["digit", "whole"])
     span = F.struct((F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + depth).alias("end"))
     spans = spans.groupBy("body").agg(F.collect_list(span).alias("spans"))  # at most one for each byte of a text
-    return _kept(whole.select("body", "text").join(spans, "body"))
+    return cut_spans(whole.select("body", "text").join(spans, "body"), ["body"])
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", **options) -> DataFrame:
