@@ -4,10 +4,12 @@ Tokens of the report are words, letters A-Z in lower case, and one end per text.
 model splits every word into subwords of a public vocabulary (never trained here). Two
 experts give the probability of the next subword, and a gate mixes them:
 
-* counts: an interpolated trigram model of the subwords inside a word, from the counts of
-  all training words, which Spark sums; it also says where a word ends;
+* counts: what follows in a word after all its subwords so far, interpolated with trigrams
+  of subwords, from the counts of all training words, which Spark sums; it also says
+  where a word ends;
 * attention: one causal head over the last subwords predicts a class of subwords; within
-  a class a subword has its share of the counts. Gate and classes read the same output.
+  a class a subword has its share of the counts. How a word begins is left to it; inside
+  words the gate, which reads the same output, weighs the two.
 
 The network is trained in numpy by averaging: a share of the training texts, chosen by
 digest and growing with the corpus, is dealt to workers, each takes steps of its
@@ -38,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoweave.llm.base import LOWER, Words, query, stage, table, text_batches
+from chronoweave.llm.base import LOWER, Words, mix, query, stage, table, text_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how texts are cut before byte pairs are merged; words reach it one by one.
@@ -49,8 +51,8 @@ GRAMS = 1_000_000
 DISCOUNT = 0.5
 WINDOW, STRIDE = 32, 24
 WIDTH, CLASSES, KNOWN = 16, 48, 4096
-SHARE = 64  # one in so many training texts trains the network
-WORKERS, ROUNDS, BATCH, RATE = 8, 2, 128, 0.01
+SHARE, LEAST = 128, 2000  # one in so many training texts trains the network, or about so many texts if that is more
+WORKERS, ROUNDS, BATCH, RATE = 4, 2, 128, 0.01
 _START, _STOP = 65535, 65534
 
 
@@ -131,6 +133,46 @@ def _gram_counts(vocabulary: DataFrame, path: str) -> DataFrame:
     return vocabulary.select("word", "n").mapInArrow(run, schema).groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def _prefixes(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of what a word has before each subword, hash with the subword, hash with each word's stop)."""
+    after = np.zeros(len(ids), np.uint64)
+    before = np.zeros(len(ids), np.uint64)
+    first = np.cumsum(counts) - counts
+    values = ids.astype(np.uint64) + np.uint64(1)
+    alive, depth, state = np.flatnonzero(counts > 0), 0, np.zeros(len(counts), np.uint64)
+    while len(alive):
+        at = first[alive] + depth
+        before[at] = state[alive]
+        state[alive] = mix(state[alive] * np.uint64(0x9E3779B97F4A7C15) + values[at])
+        after[at] = state[alive]
+        depth += 1
+        alive = alive[counts[alive] > depth]
+    return before, after, mix(state * np.uint64(0x9E3779B97F4A7C15) + np.uint64(_STOP + 1))
+
+
+class Prefixes:
+    """What follows in a word after all its subwords so far, by the frequent words."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, n: np.ndarray) -> None:
+        before, after, stop = _prefixes(ids, counts)
+        last = np.cumsum(counts) - 1
+        parent, child = np.concatenate([before, after[last]]), np.concatenate([after, stop])
+        weight = np.concatenate([np.repeat(n, counts), n]).astype(float)
+        self.child, pick, index = np.unique(child, return_index=True, return_inverse=True)
+        total = np.bincount(index, weight)
+        self.context, index = np.unique(parent[pick], return_inverse=True)
+        part = np.maximum(total - DISCOUNT, 0) / np.bincount(index, total)[index]
+        self.part, self.rest = part, 1 - np.bincount(index, part)
+
+    def mixed(self, parent: np.ndarray, child: np.ndarray, below: np.ndarray) -> np.ndarray:
+        if not len(self.child):
+            return below
+        at = np.minimum(np.searchsorted(self.child, child), len(self.child) - 1)
+        c = np.minimum(np.searchsorted(self.context, parent), len(self.context) - 1)
+        below = np.where(self.context[c] == parent, self.rest[c] * below, below)
+        return below + np.where(self.child[at] == child, self.part[at], 0)
+
+
 class Counts:
     """Interpolated trigrams with absolute discounting, from packed trigrams and counts."""
 
@@ -171,15 +213,50 @@ class Lexicon:
         words = sorted(words, key=lambda w: np.uint64(w[1] & 0xFFFFFFFFFFFFFFFF))
         self.hash = np.array([w[1] for w in words], np.int64).view(np.uint64)
         self.n = np.array([w[2] for w in words], np.int64)
-        self.ids, self.length, self.chance, self.stop = self.read([w[0].encode() for w in words])
+        spelled = [w[0].encode() for w in words]
+        self.prefixes = Prefixes(*split_words(self._encoding, spelled), self.n)
+        self.ids, self.length, self.chance, self.stop = self.read(spelled)
         self.first = np.cumsum(self.length) - self.length
         weight = self.counts.single.copy()
         self.rank = np.full(65536, KNOWN, np.int64)
         top = np.argsort(-weight, kind="stable")[:KNOWN]
         self.rank[top] = np.arange(len(top))
-        self.group = self._groups(top, grams, n)
+        self.top = top
+        self.classify(None)
+
+    def classify(self, context: np.ndarray | None) -> None:
+        """Classes of the frequent subwords by the direction of their contexts; the rest is the last class."""
+        self.group = np.full(65536, CLASSES - 1)
+        if context is not None:
+            points = context[: len(self.top)] / np.maximum(np.linalg.norm(context[: len(self.top)], axis=1, keepdims=True), 1e-9)
+            centres = points[: CLASSES - 1]  # the most frequent ones
+            for _ in range(15):
+                near = (points @ centres.T).argmax(1)
+                sums = np.zeros_like(centres)
+                np.add.at(sums, near, points)
+                centres = np.where(np.abs(sums).sum(1, keepdims=True) > 0, sums, centres)
+                centres = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
+            self.group[self.top] = (points @ centres.T).argmax(1)
+        weight = self.counts.single
         share = np.bincount(self.group, weight, minlength=CLASSES)
         self.share = weight / np.maximum(share[self.group], 1e-30)
+        starts = self.counts.probability((_START << 32) | (_START << 16) | np.arange(65536))
+        share = np.bincount(self.group, starts, minlength=CLASSES)
+        self.start_share = starts / np.maximum(share[self.group], 1e-30)
+
+    def contexts(self, laid: dict[str, np.ndarray]) -> np.ndarray:
+        """For every frequent subword the sum of what its windows hold, in a random projection."""
+        project = np.random.default_rng(0).standard_normal((KNOWN + 1, 32)).astype(np.float32)
+        project[: len(self.top)] /= np.sqrt(self.counts.single[self.top] + 1e-4)[:, None].astype(np.float32)
+        project[KNOWN] = 0
+        out = np.zeros((KNOWN + 1, 32), np.float32)
+        for at in range(0, len(laid["index"]), 1024):
+            rank = self.rank[laid["ids"][laid["index"][at : at + 1024]]]
+            held = project[rank]
+            around = held.sum(1, keepdims=True) - held
+            around /= np.maximum(np.linalg.norm(around, axis=-1, keepdims=True), 1e-9)
+            np.add.at(out, rank.ravel(), around.reshape(-1, 32))
+        return out[:KNOWN]
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_encoding"}
@@ -211,8 +288,11 @@ class Lexicon:
         if not len(ids):
             return ids, counts, np.zeros(0, np.float32), np.zeros(0)
         grams, stops = _trigrams(ids, counts)
-        chance = self.counts.probability(grams)
-        stop = np.log10(np.maximum(self.counts.probability(stops), 1e-30))
+        before, after, stopped = _prefixes(ids, counts)
+        last = np.cumsum(counts) - 1
+        chance = self.prefixes.mixed(before, after, self.counts.probability(grams))
+        stop = self.prefixes.mixed(after[last], stopped, self.counts.probability(stops))
+        stop = np.log10(np.maximum(stop, 1e-30))
         return ids, counts, chance.astype(np.float32), stop
 
     def subwords(self, words: Words) -> tuple[np.ndarray, ...]:
@@ -231,7 +311,10 @@ class Lexicon:
         word = head.copy()
         word[rare] = len(self.length) + where
         flat = _gather(first[word], sizes[word])
-        return head, all_ids[flat], all_chance[flat], np.repeat(words.text, sizes[word]), stops[word]
+        all_ids, opening = all_ids[flat], np.zeros(len(flat), bool)
+        opening[np.cumsum(sizes[word]) - sizes[word]] = True
+        share = np.where(opening, self.start_share[all_ids], self.share[all_ids]).astype(np.float32)
+        return head, all_ids, all_chance[flat], share, opening, np.repeat(words.text, sizes[word]), stops[word]
 
 
 def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -281,21 +364,22 @@ class Network:
         gate = 1 / (1 + np.exp(logits[..., CLASSES + 1] - logits[..., CLASSES]))
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": mixed, "z": z, "classes": classes, "gate": gate}
 
-    def probability(self, f: dict, group: np.ndarray, share: np.ndarray, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def probability(self, f: dict, group: np.ndarray, share: np.ndarray, chance: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(probability, part of the attention expert in it) of the subwords that came."""
-        own = f["gate"] * np.take_along_axis(f["classes"], group[..., None], -1)[..., 0] * share
-        total = own + (1 - f["gate"]) * chance
+        gate = np.where(opening, np.float32(1), f["gate"])  # how words begin is left to the attention
+        own = gate * np.take_along_axis(f["classes"], group[..., None], -1)[..., 0] * share
+        total = own + (1 - gate) * chance
         return total, own / np.maximum(total, 1e-30)
 
-    def gradient(self, inputs: np.ndarray, group: np.ndarray, share: np.ndarray, chance: np.ndarray, scored: np.ndarray) -> np.ndarray:
+    def gradient(self, inputs: np.ndarray, group: np.ndarray, share: np.ndarray, chance: np.ndarray, opening: np.ndarray, scored: np.ndarray) -> np.ndarray:
         """Gradient of the mean log probability of the scored subwords, laid out as ``flat``."""
         f = self.forward(inputs)
-        _, part = self.probability(f, group, share, chance)
+        _, part = self.probability(f, group, share, chance, opening)
         weight = (scored / max(scored.sum(), 1)).astype(np.float32)
         dlogits = np.zeros((*inputs.shape, CLASSES + 2), np.float32)
         dlogits[..., :CLASSES] = -f["classes"] * part[..., None]
         np.put_along_axis(dlogits, group[..., None], np.take_along_axis(dlogits, group[..., None], -1) + part[..., None], -1)
-        dlogits[..., CLASSES] = part - f["gate"]
+        dlogits[..., CLASSES] = np.where(opening, np.float32(0), part - f["gate"])
         dlogits[..., CLASSES + 1] = -dlogits[..., CLASSES]
         dlogits *= weight[..., None]
         flat = lambda t: t.reshape(-1, t.shape[-1])
@@ -318,49 +402,67 @@ class Network:
 
 
 def _laid_out(lexicon: Lexicon, words: Words) -> dict[str, np.ndarray]:
-    head, ids, chance, text, stops = lexicon.subwords(words)
+    head, ids, chance, share, opening, text, stops = lexicon.subwords(words)
     lengths = np.bincount(text, minlength=len(words.first) - 1)
     index, valid, scored = windows(lengths)
     rank = lexicon.rank[ids]
     begins = np.zeros(len(ids), bool)
     begins[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
     before = np.where(begins, KNOWN + 1, np.roll(rank, 1)) if len(ids) else rank
-    return {"head": head, "ids": ids, "chance": chance, "text": text, "stops": stops, "index": index, "scored": scored, "before": before}
+    return {"head": head, "ids": ids, "chance": chance, "share": share, "opening": opening, "text": text, "stops": stops, "index": index, "scored": scored, "before": before}
 
 
 def _train_network(texts: DataFrame, lexicon: Lexicon, workers: int, rounds: int) -> np.ndarray:
-    """Weights after rounds of local steps and averaging."""
-    weights = Network().flat
-    schema = T.StructType([T.StructField("weights", T.BinaryType()), T.StructField("n", T.LongType())])
+    """Weights after rounds of local steps and averaging; sets the classes of ``lexicon`` before."""
     dealt = stage(texts.repartition(workers, F.xxhash64("text")))
+    schema = T.StructType([T.StructField("made", T.BinaryType()), T.StructField("n", T.LongType())])
+
+    def one(made: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([made.astype(np.float32).tobytes()]), pa.array([n])], names=["made", "n"])
+
+    def context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, n = np.zeros((KNOWN, 32)), 0
+        for batch in text_batches(batches, "text"):
+            out, n = out + lexicon.contexts(_laid_out(lexicon, Words(batch.column("text")))), n + batch.num_rows
+        yield from one(out, n)
+
+    def gathered(run) -> list:
+        return dealt.mapInArrow(run, schema).collect()  # one row of fixed size for each worker
+
+    found = [np.frombuffer(r.made, np.float32).reshape(KNOWN, 32) for r in gathered(context)]
+    weights = Network().flat
+    if not found:
+        return weights
+    lexicon.classify(sum(found))
     for _ in range(rounds):
 
-        def run(batches: Iterator[pa.RecordBatch], start: np.ndarray = weights) -> Iterator[pa.RecordBatch]:
+        def steps(batches: Iterator[pa.RecordBatch], start: np.ndarray = weights) -> Iterator[pa.RecordBatch]:
             net, m, v, step = Network(start.copy()), np.zeros_like(start), np.zeros_like(start), 0
             seen = 0
             for batch in text_batches(batches, "text"):
                 laid = _laid_out(lexicon, Words(batch.column("text")))
                 order = np.random.default_rng(step).permutation(len(laid["index"]))
                 for at in range(0, len(order), BATCH):
-                    rows = laid["index"][order[at : at + BATCH]]
-                    ids = laid["ids"][rows]
-                    g = net.gradient(laid["before"][rows], lexicon.group[ids], lexicon.share[ids], laid["chance"][rows], laid["scored"][order[at : at + BATCH]])
-                    step += 1
-                    m += 0.1 * (g - m)
-                    v += 0.01 * (g * g - v)
-                    net.flat += RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-                    seen += len(rows)
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([net.flat.tobytes()]), pa.array([seen])], names=["weights", "n"])
-
-        made = dealt.mapInArrow(run, schema).collect()  # one row for each worker
-        if not made:
-            break
+                    step, seen = step + 1, seen + len(order[at : at + BATCH])
+                    adam_step(net, lexicon, laid, order[at : at + BATCH], m, v, step)
+            yield from one(net.flat, seen)
+
+        made = gathered(steps)
         total = sum(r.n for r in made)
-        weights = sum(np.frombuffer(r.weights, np.float32) * (r.n / total) for r in made).astype(np.float32)
+        weights = sum(np.frombuffer(r.made, np.float32) * (r.n / total) for r in made).astype(np.float32)
     return weights
 
 
+def adam_step(net: Network, lexicon: Lexicon, laid: dict, rows: np.ndarray, m: np.ndarray, v: np.ndarray, step: int) -> None:
+    index = laid["index"][rows]
+    known = [laid[k][index] for k in ("share", "chance", "opening")]
+    g = net.gradient(laid["before"][index], lexicon.group[laid["ids"][index]], *known, laid["scored"][rows])
+    m += 0.1 * (g - m)
+    v += 0.01 * (g * g - v)
+    net.flat += RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+
+
 def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens: int, distinct: int, ends: int) -> DataFrame:
     """(key, held_out, n_tokens, known, base, score, rare, rare_n): words of the head are settled, the others listed."""
     fields = [docs.schema["id"], docs.schema["held_out"], T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType())]
@@ -380,7 +482,7 @@ def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens
                 rows, scored = laid["index"][at : at + 1024], laid["scored"][at : at + 1024]
                 ids = laid["ids"][rows]
                 f = net.forward(laid["before"][rows])
-                p, _ = net.probability(f, lexicon.group[ids], lexicon.share[ids], laid["chance"][rows])
+                p, _ = net.probability(f, lexicon.group[ids], laid["share"][rows], laid["chance"][rows], laid["opening"][rows])
                 logs[rows[scored]] = np.log10(np.maximum(p[scored], 1e-300))
             per_text = np.diff(words.first)
             score = np.bincount(laid["text"], logs, minlength=n) + np.bincount(words.text, laid["stops"], minlength=n)
@@ -416,7 +518,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
     frequent = vocabulary.orderBy(F.col("n").desc(), "hash").limit(head).select("word", "hash", "n").toPandas()
     top = stage(_gram_counts(vocabulary, path)).orderBy(F.col("n").desc(), "gram").limit(grams).toPandas()
     lexicon = Lexicon(list(frequent.itertuples(index=False, name=None)), top["gram"].to_numpy(np.int64), top["n"].to_numpy(np.int64), path)
-    some = F.pmod(F.xxhash64(F.md5("text")), F.lit(share)) == 0
+    some = F.pmod(F.xxhash64(F.md5("text")), F.lit(max(1, min(share, ends // LEAST)))) == 0
     weights = _train_network(training.where(some), lexicon, workers, ROUNDS)
     scored = _scored(slim, lexicon, weights, train_tokens, distinct, ends)
     scored = stage(scored.withColumn("row", F.monotonically_increasing_id()))
