@@ -486,7 +486,7 @@ def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens
                 logs[rows[scored]] = np.log10(np.maximum(p[scored], 1e-300))
             per_text = np.diff(words.first)
             score = np.bincount(laid["text"], logs, minlength=n) + np.bincount(words.text, laid["stops"], minlength=n)
-            score += per_text * np.log10(1 - end_chance) + np.log10(end_chance)
+            score = score + per_text * np.log10(1 - end_chance) + np.log10(end_chance)
             known = laid["head"] >= 0
             base = np.bincount(words.text[known], head_base[laid["head"][known]], minlength=n) + end_base
             n_known = np.bincount(words.text[known], minlength=n) + (ends > 0)

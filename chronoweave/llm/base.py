@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoweave.session import shared_folder, stage
+from chronoweave import session
+from chronoweave.session import shared_folder
 
-__all__ = ["QUERIES", "SQL", "query", "table", "stage", "shared_folder", "text_batches", "Words", "mix"]
+__all__ = ["QUERIES", "SQL", "query", "table", "stage", "shared_folder", "text_batches", "Words", "mix", "recording", "release"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +20,37 @@ SQL: dict[str, str] = {}
 
 CHUNK_BYTES = 2 << 20  # text bytes that one vectorised step works on
 
+_RECORDED: list[list[str]] = []
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """``session.stage``; inside ``recording`` the folder is noted."""
+    staged = session.stage(df)
+    for paths in _RECORDED:
+        paths += staged.inputFiles()[:1]
+    return staged
+
+
+@contextmanager
+def recording() -> Iterator[list[str]]:
+    """A file of each table staged inside, for ``release`` once nothing reads them any more."""
+    paths: list[str] = []
+    _RECORDED.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDED.remove(paths)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables by a file of theirs."""
+    jvm = spark.sparkContext._jvm
+    for file in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder.getName().startswith("staged-"):
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
