@@ -46,8 +46,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how texts are cut before byte pairs are merged; words reach it one by one.
 PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 FOLDS, HELD = 7, 2
-HEAD = 300_000
-GRAMS = 1_000_000
+HEAD = 150_000
+GRAMS = 400_000
 DISCOUNT = 0.5
 WINDOW, STRIDE = 32, 24
 WIDTH, CLASSES, KNOWN = 16, 48, 4096
@@ -66,9 +66,22 @@ def tokenizer(path: str):
 
 def split_words(encoding, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words, subwords of each word); every word has at least one."""
-    ids = encoding.encode_ordinary_batch([" " + w.decode("utf-8", "replace") for w in words], num_threads=1) if words else []
-    counts = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-    return np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum())), counts
+    parts, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for at in range(0, len(words), 10_000):
+        ids = encoding.encode_ordinary_batch([" " + w.decode("utf-8", "replace") for w in words[at : at + 10_000]], num_threads=1)
+        sizes = np.fromiter((len(x) for x in ids), np.int64, len(ids))
+        parts.append(np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum())))
+        counts.append(sizes)
+    return np.concatenate(parts), np.concatenate(counts)
+
+
+def most_frequent(counted: DataFrame, limit: int) -> pa.Table:
+    """The rows whose ``n`` is so high that at most ``limit`` rows have as much; read without a sort."""
+    sizes = counted.groupBy("n").agg(F.count(F.lit(1)).alias("c")).toArrow()  # a row for each different count
+    n, c = sizes.column("n").to_numpy(), sizes.column("c").to_numpy()
+    order = np.argsort(-n)
+    fits = np.flatnonzero(np.cumsum(c[order]) <= limit)
+    return counted.where(F.col("n") >= int(n[order[fits[-1]]]) if len(fits) else F.lit(False)).toArrow()
 
 
 def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -207,13 +220,14 @@ class Counts:
 class Lexicon:
     """Subwords of frequent words with their probabilities, and the classes of subwords."""
 
-    def __init__(self, words: list[tuple[str, int, int]], grams: np.ndarray, n: np.ndarray, path: str) -> None:
+    def __init__(self, words: pa.Table, grams: np.ndarray, n: np.ndarray, path: str) -> None:
+        """``words`` has word, hash and n."""
         self.path, self.counts = path, Counts(grams, n)
         self._encoding = tokenizer(path)
-        words = sorted(words, key=lambda w: np.uint64(w[1] & 0xFFFFFFFFFFFFFFFF))
-        self.hash = np.array([w[1] for w in words], np.int64).view(np.uint64)
-        self.n = np.array([w[2] for w in words], np.int64)
-        spelled = [w[0].encode() for w in words]
+        hashes = words.column("hash").to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(hashes)
+        self.hash, self.n = hashes[order], words.column("n").to_numpy().astype(np.int64)[order]
+        spelled = [w.encode() for w in words.column("word").take(pa.array(order)).to_pylist()]
         self.prefixes = Prefixes(*split_words(self._encoding, spelled), self.n)
         self.ids, self.length, self.chance, self.stop = self.read(spelled)
         self.first = np.cumsum(self.length) - self.length
@@ -515,9 +529,9 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
     words, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = training.count()
     train_tokens, distinct = words + ends, distinct + (ends > 0)
-    frequent = vocabulary.orderBy(F.col("n").desc(), "hash").limit(head).select("word", "hash", "n").toPandas()
-    top = stage(_gram_counts(vocabulary, path)).orderBy(F.col("n").desc(), "gram").limit(grams).toPandas()
-    lexicon = Lexicon(list(frequent.itertuples(index=False, name=None)), top["gram"].to_numpy(np.int64), top["n"].to_numpy(np.int64), path)
+    frequent = most_frequent(vocabulary.select("word", "hash", "n"), head)
+    top = most_frequent(stage(_gram_counts(vocabulary, path)), grams)
+    lexicon = Lexicon(frequent, top.column("gram").to_numpy().astype(np.int64), top.column("n").to_numpy().astype(np.int64), path)
     some = F.pmod(F.xxhash64(F.md5("text")), F.lit(max(1, min(share, ends // LEAST)))) == 0
     weights = _train_network(training.where(some), lexicon, workers, ROUNDS)
     scored = _scored(slim, lexicon, weights, train_tokens, distinct, ends)
