@@ -19,7 +19,7 @@ from chronoweave.operators.columns import (
     shorter_than_days,
 )
 from chronoweave.operators.joins import enrich, first_seen, full_merge, keep_if_listed, look_up, restrict, rows_before
-from chronoweave.operators.ordered import first_by, ordered_scan, time_bucket
+from chronoweave.operators.ordered import first_by
 from chronoweave.plans.timeline import event_rows, section_rows, union_rows
 from chronoweave.spec import Section, Wording
 
@@ -247,38 +247,13 @@ def discharge_notes(tables: Tables, stays: DataFrame) -> DataFrame:
 # --- history of the subject ----------------------------------------------------------------------
 
 
-def fitting_history(
-    df: DataFrame, time: str, tie: Sequence[str], fields: Sequence[str], tokenizer, max_tokens: int | None
-) -> DataFrame:
-    """The part of each subject's history that some text within ``max_tokens`` can hold.
-
-    A text that shows a row shows all of the subject's earlier rows too, so rows
-    beyond a running total of ``max_tokens`` are in no text that fits. That bounds what a
-    subject with many stays repeats.
-    """
-    dated = df.where(F.col(f"`{time}`").isNotNull())
-    if max_tokens is None:
-        return dated
-    sized = dated.withColumn("__size", text.record_size([(f, F.col(f"`{f}`")) for f in fields], tokenizer).cast("double"))
-    sized = sized.withColumn("__time", F.col(f"`{time}`").cast("timestamp_ntz"))
-    total = ordered_scan(
-        sized, ["subject_id"], ["__time", *tie], time_bucket("__time"), running={"__total": "__size"}
-    )
-    return total.where(F.col("__total") <= max_tokens).drop("__size", "__time", "__total")
-
-
-def other_information(tables: Tables, stays: DataFrame, tokenizer, max_tokens: int | None) -> DataFrame:
-    """Outpatient measurements of the stay's subject."""
+def other_information(tables: Tables, stays: DataFrame) -> DataFrame:
+    """Outpatient measurements of the stay's subject, all of them: sizes are judged once snapshots are sized."""
     measured = _named(restrict(tables["omr"], stays, ["subject_id"]), "omr")
-    bounded = fitting_history(
-        measured, "chart date", ["seq_num", "name", "value"], ["chart date", "name", "value"], tokenizer, max_tokens
-    )
-    return stays.select("stay_id", "subject_id").join(bounded, "subject_id")
+    return stays.select("stay_id", "subject_id").join(measured.where(F.col("`chart date`").isNotNull()), "subject_id")
 
 
-def radiology_notes(
-    tables: Tables, stays: DataFrame, tokenizer, max_tokens: int | None, options: Options = Options()
-) -> DataFrame:
+def radiology_notes(tables: Tables, stays: DataFrame, options: Options = Options()) -> DataFrame:
     """Notes of the subject before the cutoff, with their details as columns and their type spelled out."""
     if options.radiology_cutoff == "stay_end":
         anchors = stays.select("stay_id", "subject_id", F.col("end_t").alias("cutoff"))
@@ -289,7 +264,7 @@ def radiology_notes(
         )
     notes = drop_listed(restrict(tables["radiology"], stays, ["subject_id"]), ["hadm_id", *DROPPED["radiology"]])
     notes = notes.withColumn("note_type", recode("note_type", NOTE_TYPES))
-    notes = fitting_history(notes, "charttime", ["note_id"], ["text"], tokenizer, max_tokens)
+    notes = notes.where(F.col("charttime").isNotNull())
     details = pivot_first(
         tables["radiology_detail"], ["note_id", "subject_id"], "field_name", "field_value", NOTE_DETAILS, ["field_value"]
     )
@@ -381,8 +356,8 @@ def timeline_rows(
     )
     labs, micro = own(lab_tests(tables, stays)), own(microbiology_tests(tables, stays))
     done, ordered = own(procedures(tables, stays)), own(provider_orders(tables, stays, options))
-    omr = own(other_information(tables, stays, tokenizer, max_tokens))
-    notes = own(radiology_notes(tables, stays, tokenizer, max_tokens, options))
+    omr = own(other_information(tables, stays))
+    notes = own(radiology_notes(tables, stays, options))
     served, moved = own(services(tables, stays)), own(transfers(tables, stays))
     letters, findings = own(discharge_notes(tables, stays)), own(diagnoses(tables, stays))
 

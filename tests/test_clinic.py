@@ -115,16 +115,14 @@ def test_dispensed_medications_once_per_name_and_time(tables, stays, rows_of):
 
 
 def test_radiology_cutoff(tables, stays, rows_of):
-    notes = clinic.radiology_notes(tables, stays, TOKENIZER, 4000)
+    notes = clinic.radiology_notes(tables, stays)
     assert rows_of(notes, "`note id`", "type", "`exam name`", "`parent note id`") == [
         ("10-AR-2", "Radiology Report Addendum", None, "10-RR-1"),
         ("10-RR-1", "Radiology Report", "CHEST", None),
         ("10-XX-3", None, None, None),
     ]
-    late = clinic.radiology_notes(tables, stays, TOKENIZER, 4000, clinic.Options(radiology_cutoff="stay_end"))
+    late = clinic.radiology_notes(tables, stays, clinic.Options(radiology_cutoff="stay_end"))
     assert late.count() == 5
-    few = clinic.radiology_notes(tables, stays, TOKENIZER, 10)
-    assert few.count() < 3  # the rest of the history is in no text of at most ten tokens
 
 
 def test_spine(rows, rows_of):
