@@ -54,22 +54,23 @@ def conversation_contexts(
     text: str,
     *,
     system: str,
-    tokenizer,
-    max_tokens: int,
+    tokenizer=None,
+    max_tokens: int | None = None,
 ) -> DataFrame:
     """The context each user turn is answered from: system message, history, message.
 
-    Contexts longer than ``max_tokens`` do not fit the model and are left out. A
-    running token total decides that before anything is collected, so a
-    conversation contributes at most ``max_tokens`` worth of turns to any task.
+    Every user turn gives one, which holds its whole history. With ``max_tokens`` and a
+    ``tokenizer``, contexts that are longer are left out; a running token total decides
+    that before anything is collected, so a conversation contributes at most
+    ``max_tokens`` worth of turns to any task.
     """
-    sized = turns.withColumn(
-        "__size", tokenizer.floor(message_text(F.col(role), F.col(text)))
-    )
-    sized = ordered_scan(sized, [conversation], [turn], block_bucket(turn), running={"__total": "__size"})
-    opening = F.lit(f"{OPEN}system\n{system}{CLOSE}\n")
-    closing = F.lit(f"{OPEN}assistant\n")
-    fitting = sized.where(F.col("__total") + tokenizer.floor(opening) + tokenizer.floor(closing) <= max_tokens)
+    fitting = turns
+    if max_tokens is not None:
+        sized = turns.withColumn("__size", tokenizer.floor(message_text(F.col(role), F.col(text))))
+        sized = ordered_scan(sized, [conversation], [turn], block_bucket(turn), running={"__total": "__size"})
+        opening = F.lit(f"{OPEN}system\n{system}{CLOSE}\n")
+        closing = F.lit(f"{OPEN}assistant\n")
+        fitting = sized.where(F.col("__total") + tokenizer.floor(opening) + tokenizer.floor(closing) <= max_tokens)
 
     line = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     history = fitting.groupBy(conversation).agg(F.array_sort(F.collect_list(line)).alias("__turns"))

@@ -25,23 +25,23 @@ def _by_section(sections: Sequence[str], value: Callable[[str], str]) -> Column:
     )
 
 
-def standing_answers(rows: DataFrame, section: str, wording: Wording, tokenizer, max_tokens: int | None) -> DataFrame:
-    """Answers of a target without times (a plain list): the whole list, at every snapshot.
+def _standing(rows: DataFrame, section: str) -> DataFrame:
+    return rows.where((F.col("section") == section) & F.col("target") & (F.col("kind") == "values"))
 
-    Lists over the token limit are left out before they are collected.
-    """
-    listed = rows.where((F.col("section") == section) & F.col("target") & (F.col("kind") == "values"))
-    sizes = listed.groupBy("stay_id").agg(F.sum("answer_size").alias("answer_size"))
-    if max_tokens is not None:
-        sizes = sizes.where(F.col("answer_size") <= max_tokens)
-        listed = listed.join(sizes, "stay_id", "left_semi")
+
+def standing_sizes(rows: DataFrame, section: str) -> DataFrame:
+    """Size of a target without times (a plain list), which is asked whole at every snapshot."""
+    sizes = _standing(rows, section).groupBy("stay_id").agg(F.sum("answer_size").alias("answer_size"))
+    return sizes.withColumn("section", F.lit(section))
+
+
+def standing_answers(rows: DataFrame, section: str, stays: DataFrame, wording: Wording) -> DataFrame:
+    """The lists of the given stays as texts: ``stay_id, section, answer``. No other list is collected."""
+    listed = _standing(rows, section).join(stays, "stay_id", "left_semi")
     lines = F.array_sort(F.collect_list(F.struct("tie", "answer")))
-    joined = listed.groupBy("stay_id").agg(
-        F.array_join(F.transform(lines, lambda r: r["answer"]), "").alias("lines"),
-        F.sum("answer_size").alias("answer_size"),
-    )
+    joined = listed.groupBy("stay_id").agg(F.array_join(F.transform(lines, lambda r: r["answer"]), "").alias("lines"))
     return joined.withColumn("section", F.lit(section)).select(
-        "stay_id", "section", "answer_size", F.concat(answer_head(wording), F.col("lines")).alias("answer")
+        "stay_id", "section", F.concat(answer_head(wording), F.col("lines")).alias("answer")
     )
 
 
@@ -91,10 +91,9 @@ def build_samples(
     if not keep_empty:
         asked = asked.where(F.col("n_rows") > 0)
     asked = asked.select("stay_id", "t", "size", "section", "next_t", "answer_size")
-    full_lists = [standing_answers(rows, s, wording, tokenizer, max_tokens) for s in standing]
-    for listed in full_lists:
-        always = snapshots.join(listed.drop("answer"), "stay_id")
-        asked = asked.unionByName(always, allowMissingColumns=True)
+    # An overlong list counts as a sample until numbering: it cuts its stay like any other.
+    for s in standing:
+        asked = asked.unionByName(snapshots.join(standing_sizes(rows, s), "stay_id"), allowMissingColumns=True)
 
     rank = F.element_at(
         F.create_map(*[F.lit(x) for i, s in enumerate(sections) for x in (s, i)]), F.col("section")
@@ -120,11 +119,10 @@ def build_samples(
             "answer", F.coalesce("answer", answer_head(wording))
         )
     timed = kept.join(answers, ["stay_id", "section", "next_t"])
-    for listed in full_lists:
-        part = kept.where(F.col("next_t").isNull()).join(
-            listed.select("stay_id", "section", "answer"), ["stay_id", "section"]
-        )
-        timed = timed.unionByName(part)
+    for s in standing:
+        part = kept.where(F.col("next_t").isNull() & (F.col("section") == s))
+        listed = standing_answers(rows, s, part.select("stay_id").distinct(), wording)
+        timed = timed.unionByName(part.join(listed, ["stay_id", "section"]))
 
     # Texts are the bulk of the data, so they are built last: one text per snapshot,
     # next to its few targets, and not shuffled after that.
@@ -206,24 +204,21 @@ def discharge_samples(
     label: str,
     tie: Sequence[str],
     question: str,
-    tokenizer,
-    max_tokens: int,
+    tokenizer=None,
+    max_tokens: int | None = None,
     heading: str = "Potential diagnoses",
 ) -> DataFrame:
     """One sample per stay: what is known at the end in, the list of labels out.
 
-    A stay without labels gives no sample, nor does one whose label list alone is
-    longer than ``max_tokens`` (its prompt would be cut later); such lists are never
-    collected.
+    A stay without labels gives no sample. Every other stay gives one; its length is
+    judged by the filters on token rows. With ``max_tokens`` and a ``tokenizer``, lists
+    that alone are longer (their prompts would be cut later) are never collected.
     """
     lines = labels.select("stay_id", *tie, text.value_line(F.col(label)).alias("__line"))
-    fitting = lines.groupBy("stay_id").agg(F.sum(tokenizer.floor(F.col("__line"))).alias("__size"))
-    fitting = fitting.where(F.col("__size") <= max_tokens)
-    listed = (
-        lines.join(fitting, "stay_id", "left_semi")
-        .groupBy("stay_id")
-        .agg(F.array_sort(F.collect_list(F.struct(*tie, "__line"))).alias("__labels"))
-    )
+    if max_tokens is not None:
+        sizes = lines.groupBy("stay_id").agg(F.sum(tokenizer.floor(F.col("__line"))).alias("__size"))
+        lines = lines.join(sizes.where(F.col("__size") <= max_tokens), "stay_id", "left_semi")
+    listed = lines.groupBy("stay_id").agg(F.array_sort(F.collect_list(F.struct(*tie, "__line"))).alias("__labels"))
     answer = F.array_join(F.transform("__labels", lambda r: r["__line"]), "")
     return stays.join(listed, "stay_id").select(
         F.concat(F.col("stay_id").cast("string"), F.lit("_discharge")).alias("sample_id"),

@@ -4,7 +4,7 @@ Everything that a snapshot may print becomes one long table, printed once per ro
 
     stay_id, event_id, event_t, event_rank   the timeline event a row belongs to
     section, sec_ord, kind                   its place inside the event
-    t, t_eff, tie                            own time, time it becomes visible, tie-break
+    t, t_eff, tie                            own time, time it becomes visible, tie-break (typed values)
     t_end, line_open, line_full              text before and after its end time has passed
                                              (line_open is null where they are the same)
     size_open, size_full                     their token figures
@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoweave.functions import text
 from chronoweave.spec import Section
@@ -28,10 +29,26 @@ HEADER = -1  # sec_ord of the row that stands for the event itself
 NUMBER_LINE = " - 1 of 1\n"
 
 
-def _tie(columns: Sequence[Column]) -> Column:
-    """Sort key as text: numbers are padded so that text order is number order."""
-    parts = [F.coalesce(F.lpad(c.cast("string"), 20, "0"), F.lit("")) for c in columns]
-    return F.concat_ws("|", *parts) if parts else F.lit("")
+_TIE = "array<struct<whole:decimal(38,10),real:double,words:string>>"
+
+
+def _tie(df: DataFrame, names: Sequence[str]) -> Column:
+    """Sort key: one struct per column, its value in the field of its kind, so numbers sort as numbers.
+
+    Whole texts count. Nulls sort first.
+    """
+
+    def part(name: str) -> Column:
+        kind, value = df.select(F.col(f"`{name}`")).schema[0].dataType, F.col(f"`{name}`")
+        real = isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType)
+        whole = isinstance(kind, T.NumericType) and not real
+        return F.struct(
+            (value if whole else F.lit(None)).cast("decimal(38,10)").alias("whole"),
+            (value if real else F.lit(None)).cast("double").alias("real"),
+            (F.lit(None) if whole or real else value).cast("string").alias("words"),
+        )
+
+    return F.array(*[part(n) for n in names]).cast(_TIE)
 
 
 def event_rows(
@@ -58,7 +75,7 @@ def event_rows(
         kind="event",
         t=F.col("event_t"),
         t_end=None,
-        tie=F.lit(""),
+        tie=_tie(events, ()),
         line_open=F.lit(None).cast("string"),
         line_full=opening,
         size_open=size,
@@ -114,7 +131,7 @@ def section_rows(
         kind=section.kind,
         t=t,
         t_end=F.col(f"`{section.end}`").cast("timestamp_ntz") if section.end else None,
-        tie=_tie([F.col(f"`{c}`") for c in section.tie]),
+        tie=_tie(df, section.tie),
         line_open=no_line if line_open is None else line_open,
         line_full=line_full,
         size_open=(size_full if line_open is None else size_open).cast("double"),

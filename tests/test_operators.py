@@ -138,6 +138,15 @@ def test_prompts(spark):
     assert one.select(apply_template(messages, add_generation_prompt=True)).first()[0].endswith("<|im_start|>assistant\n")
 
 
+def test_contexts_are_whole_without_a_limit(spark):
+    turns = spark.createDataFrame(
+        [(1, i, "user" if i % 2 == 0 else "assistant", f"word{i}") for i in range(300)], "c int, turn long, role string, text string"
+    )
+    rows = conversation_contexts(turns, "c", "turn", "role", "text", system="S").orderBy("turn").collect()
+    assert [r["turn"] for r in rows] == list(range(0, 300, 2))
+    assert [len(r["messages"]) for r in rows] == [r["turn"] + 2 for r in rows]
+
+
 def test_contexts_stop_at_the_limit(spark):
     turns = spark.createDataFrame(
         [(1, i, "user" if i % 2 == 0 else "assistant", f"word{i}") for i in range(200)], "c int, turn long, role string, text string"

@@ -16,6 +16,7 @@ from chronoweave.spec import Section, Wording
 
 TOKENIZER = PatternTokenizer()
 START = datetime(2021, 3, 1)
+FINDINGS = Section("findings", "values", ("name",), tie=("n",), target=True, mute=True)
 LABS = Section("labs", "records", ("time", "name", "value"), time="time", tie=("id",), spine=True, target=True, hidden=("time", "value"))
 BEDS = Section("beds", "records", ("time", "name", "until"), time="time", end="until", tie=("id",), spine=True, target=True)
 
@@ -97,12 +98,23 @@ def test_nothing_from_the_future(data):
     assert seen.where(F.col("stamp").cast("timestamp_ntz") > F.col("t")).count() == 0
 
 
-@pytest.mark.parametrize("limit", [120, 200, 350])
-def test_samples_equal_cutting_after_rendering(data, limit):
-    """Cutting by sizes before rendering keeps exactly what cutting by real token counts keeps."""
+@pytest.fixture(scope="module")
+def with_lists(spark, data):
+    """A standing list for most stays; that of stay 3 is over every limit, that of stay 5 over some."""
     rows, stays = data
+    lengths = {0: 2, 1: 5, 2: 9, 3: 200, 5: 45, 6: 1, 8: 3}
+    listed = [(stay, i, f"finding {i}") for stay, n in lengths.items() for i in range(n)]
+    anchor = stays.select("stay_id", F.col("stay_id").alias("event_id"), "event_t")
+    lists = spark.createDataFrame(listed, "stay_id int, n int, name string").join(anchor, "stay_id")
+    return stage(rows.unionByName(section_rows(lists, FINDINGS, 2, TOKENIZER, rank=0))), stays
+
+
+@pytest.mark.parametrize(("limit", "standing"), [(120, ()), (200, ()), (350, ()), (120, ("findings",)), (350, ("findings",))])
+def test_samples_equal_cutting_after_rendering(data, with_lists, limit, standing):
+    """Cutting by sizes before rendering keeps exactly what cutting by real token counts keeps."""
+    rows, stays = with_lists if standing else data
     wording = Wording()
-    common = dict(targets=["labs", "beds"], wording=wording, tokenizer=TOKENIZER)
+    common = dict(targets=["labs", "beds"], standing=standing, wording=wording, tokenizer=TOKENIZER)
     early = stage(build_samples(rows, stays, max_tokens=limit, **common))
     every = stage(build_samples(rows, stays, max_tokens=None, **common))
     tokens = tokenise(every, TOKENIZER, wording)
@@ -142,6 +154,28 @@ def test_a_lower_bound_cuts_nothing_that_fits(spark, data):
     assert early.count() < every.count()
 
 
+def test_ties_are_typed_and_whole(spark):
+    """Numbers sort as numbers, texts by their whole length."""
+    anchor = spark.createDataFrame([(1, START)], "stay_id int, event_t timestamp_ntz").withColumn("event_id", F.col("stay_id"))
+    drug = "Acetaminophen 325 mg "
+    made = [(1, 10, drug + "tablet"), (1, -5, "b"), (1, 10, drug + "suppository"), (1, 9, "a"), (1, -40, "ab")]
+    df = spark.createDataFrame(made, "stay_id int, n long, name string").join(anchor, "stay_id")
+
+    def order(*tie):
+        rows = section_rows(df, Section("drugs", "values", ("name",), tie=tie), 0, TOKENIZER, rank=0)
+        return [r["line_full"][3:-1] for r in rows.orderBy("tie").collect()]
+
+    assert order("n", "name") == ["ab", "b", "a", drug + "suppository", drug + "tablet"]
+    assert order("name") == [drug + "suppository", drug + "tablet", "a", "ab", "b"]
+
+
+def test_discharge_samples_keep_every_label(spark):
+    stays = spark.createDataFrame([(1, 7, "note"), (2, 7, "note")], "stay_id int, subject_id int, note string")
+    labels = spark.createDataFrame([(1, i, f"d{i}") for i in range(500)], "stay_id int, n int, name string")
+    got = discharge_samples(stays, labels, preamble=F.lit(""), note="note", label="name", tie=["n"], question="Which?").collect()
+    assert [r["output"] for r in got] == ["Potential diagnoses:\n" + "".join(f" - d{i}\n" for i in range(500)) + "\n"]
+
+
 def test_long_label_lists_give_no_discharge_sample(spark):
     stays = spark.createDataFrame([(1, 7, "note"), (2, 7, "note"), (3, 7, "note")], "stay_id int, subject_id int, note string")
     labels = spark.createDataFrame([(1, i, f"d{i}") for i in range(3)] + [(2, i, f"d{i}") for i in range(50)], "stay_id int, n int, name string")

@@ -17,7 +17,7 @@ from chronoweave.operators.joins import counts_before
 from chronoweave.operators.ordered import ordered_scan, scan_limit, time_bucket
 from chronoweave.plans.cohort import assign_stays, cohort, cohort_per_visit
 from chronoweave.plans.samples import build_samples, token_dataset
-from chronoweave.plans.snapshots import fitting_rows, snapshot_sizes, snapshot_texts, visible_counts
+from chronoweave.plans.snapshots import snapshot_sizes, snapshot_texts, visible_counts
 from chronoweave.plans.targets import answer_texts, change_groups, change_rows, next_changes
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
 from chronoweave.session import stage
@@ -26,7 +26,7 @@ from workload.base import query, table
 
 TOKENIZER = PatternTokenizer()
 WORDING = Wording(title="User:")
-MAX_TOKENS = 260
+MAX_TOKENS = 220  # limit of the queries whose feature is the cut
 
 START = Section("start time", "scalar", ("start_t",), time="start_t", spine=True)
 PLAN = Section("plan", "scalar", ("plan",))
@@ -41,6 +41,7 @@ PURCHASES = Section(
 )
 END = Section("end time", "scalar", ("end_t",), time="end_t", spine=True)
 CODE = Section("code", "scalar", ("k",))
+REPORTED = Section("reported codes", "values", ("k",), tie=("row_id",), target=True, mute=True)
 TARGETS = ("clicks", "purchases")
 
 
@@ -64,8 +65,8 @@ def _k():
     return F.regexp_extract("props", "[0-9]+", 0)
 
 
-def rows_of(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """All timeline rows, and the stays they belong to."""
+def rows_of(spark: SparkSession, sf: str, more: bool = False) -> tuple[DataFrame, DataFrame]:
+    """All timeline rows, and the stays they belong to; with ``more`` also the codes that a stay reports, as a list."""
     events = stage(assigned(spark, sf), "event_type")
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("subject_id"), "c_name", "c_mktsegment")
     stays = stays_of(events).join(customers, "subject_id", "left")
@@ -98,6 +99,8 @@ def rows_of(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         event_rows(incident, TOKENIZER, event_type="Incident", rank=1),
         section_rows(incident, CODE, 0, TOKENIZER, rank=1),
     ]
+    if more:
+        parts.append(section_rows(kind("error"), REPORTED, 6, TOKENIZER, rank=0))
     return union_rows(parts), stays
 
 
@@ -192,28 +195,39 @@ answers AS (
   FROM printed GROUP BY stay_id, section, t)
 """
 
-SAMPLES_SQL = (
-    TEXT_SQL
-    + NEXT_SQL
-    + """,
+# Sections sort by name as they rank: clicks, purchases, then the standing list.
+FOUND_SQL = "SELECT stay_id, t, section, answer FROM nexts JOIN answers USING (stay_id, section, next_t)"
+STANDING_SQL = """
+  SELECT p.stay_id, p.t, 'reported codes' AS section, f.answer FROM spine p JOIN (
+    SELECT stay_id, 'Potential reported codes:' || chr(10) ||
+      string_agg(' - ' || regexp_extract(props, '[0-9]+') || chr(10), '' ORDER BY event_id) AS answer
+    FROM child WHERE event_type = 'error' GROUP BY stay_id) f USING (stay_id)"""
+
+
+def samples_sql(found: str, limit: int | None) -> str:
+    """All samples, numbered and counted; then, with a limit, those ahead of a stay's first overlong one."""
+    fits = "true" if limit is None else f"n_tokens < {limit} AND (first_over IS NULL OR number < first_over)"
+    return (
+        TEXT_SQL
+        + NEXT_SQL
+        + f""",
+found AS ({found}),
 numbered AS (
   SELECT x.stay_id, x.subject_id, x.t, n.section, x.text || chr(10) || chr(10) || 'Which ' || n.section || ' come next?' AS input,
-    a.answer AS output,
+    n.answer AS output,
     row_number() OVER (PARTITION BY x.stay_id ORDER BY x.t, n.section) - 1 AS number
-  FROM texts x JOIN nexts n USING (stay_id, t) JOIN answers a USING (stay_id, section, next_t)),
+  FROM texts x JOIN found n USING (stay_id, t)),
 prompts AS (
   SELECT *, '<|im_start|>system' || chr(10) || 'You read the course of a stay and say what comes next.' || chr(10) || '<|im_end|>' || chr(10)
     || '<|im_start|>user' || chr(10) || input || chr(10) || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)
     || output || chr(10) || '<|im_end|></s>' AS prompt FROM numbered),
-counted AS (SELECT *, """
-    + COUNT_SQL.format("prompt")
-    + f""" AS n_tokens FROM prompts),
-cutoff AS (SELECT stay_id, min(number) AS first_over FROM counted WHERE n_tokens > {MAX_TOKENS} GROUP BY stay_id),
+counted AS (SELECT *, {COUNT_SQL.format("prompt")} AS n_tokens FROM prompts),
+cutoff AS (SELECT stay_id, min(number) AS first_over FROM counted WHERE n_tokens > {limit or 0} GROUP BY stay_id),
 samples AS (
   SELECT CAST(stay_id AS VARCHAR) || '_' || number AS sample_id, c.* FROM counted c LEFT JOIN cutoff o USING (stay_id)
-  WHERE n_tokens < {MAX_TOKENS} AND (first_over IS NULL OR number < first_over))
+  WHERE {fits})
 """
-)
+    )
 
 
 # --- cohort and timeline ------------------------------------------------------------------
@@ -369,14 +383,13 @@ def snapshot_censored(spark, sf):
 
 @query(
     "snapshot_text",
-    f"WITH {TEXT_SQL} SELECT stay_id, t, text, {COUNT_SQL.format('text')} AS n_tokens FROM texts"
-    f" WHERE {COUNT_SQL.format('text')} <= {MAX_TOKENS}",
+    f"WITH {TEXT_SQL} SELECT stay_id, t, text, {COUNT_SQL.format('text')} AS n_tokens FROM texts",
 )
 def snapshot_text(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
-    sizes = stage(snapshot_sizes(rows, TOKENIZER, large_key=scan_limit(rows, ["stay_id"])).where(F.col("size") <= MAX_TOKENS))
+    sizes = snapshot_sizes(rows, TOKENIZER, large_key=scan_limit(rows, ["stay_id"]))
     asked = sizes.where("in_spine").select("stay_id", "t", F.col("size").cast("bigint").alias("n_tokens"))
-    return snapshot_texts(asked, fitting_rows(rows, sizes, MAX_TOKENS)).select("stay_id", "t", "text", "n_tokens")
+    return snapshot_texts(asked, rows).select("stay_id", "t", "text", "n_tokens")
 
 
 # --- targets and samples ---------------------------------------------------------------------
@@ -392,37 +405,43 @@ def next_change(spark, sf):
 @query(
     "answer_text",
     f"WITH {STAYS_SQL}{NEXT_SQL} SELECT stay_id, section, next_t, answer FROM answers WHERE section <> 'views'"
-    f" AND size <= {MAX_TOKENS} AND next_t IN"
-    " (SELECT n.next_t FROM nexts n WHERE n.stay_id = answers.stay_id AND n.section = answers.section)",
+    " AND next_t IN (SELECT n.next_t FROM nexts n WHERE n.stay_id = answers.stay_id AND n.section = answers.section)",
 )
 def answer_text(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
     changes = change_rows(rows)
     found = stage(next_changes(snapshot_times(rows), change_groups(changes), TARGETS, large_key=scan_limit(rows, ["stay_id"])))
-    fitting = found.where(F.col("answer_size") <= MAX_TOKENS)
-    return answer_texts(changes, fitting, WORDING)
+    return answer_texts(changes, found, WORDING)
 
 
-@query(
-    "training_samples",
-    f"WITH {SAMPLES_SQL} SELECT sample_id, subject_id, stay_id, t, section, input, output, n_tokens FROM samples",
-)
+SAMPLE_COLUMNS = "SELECT sample_id, subject_id, stay_id, t, section, input, output, n_tokens FROM samples"
+
+
+@query("training_samples", f"WITH {samples_sql(FOUND_SQL, None)} {SAMPLE_COLUMNS}")
 def training_samples(spark, sf):
+    """Every sample, whatever its length."""
     rows, stays = rows_of(spark, sf)
+    return build_samples(rows, stays, targets=TARGETS, wording=WORDING, tokenizer=TOKENIZER, max_tokens=None)
+
+
+@query("standing_samples", f"WITH {samples_sql(f'{FOUND_SQL} UNION ALL {STANDING_SQL}', MAX_TOKENS)} {SAMPLE_COLUMNS}")
+def standing_samples(spark, sf):
+    """With a list that is asked whole at every snapshot; a stay ends at its first sample over the limit."""
+    rows, stays = rows_of(spark, sf, more=True)
     return build_samples(
-        rows, stays, targets=TARGETS, wording=WORDING, tokenizer=TOKENIZER, max_tokens=MAX_TOKENS
+        rows, stays, targets=TARGETS, standing=(REPORTED.name,), wording=WORDING, tokenizer=TOKENIZER, max_tokens=MAX_TOKENS
     )
 
 
 @query(
     "token_dataset",
-    f"WITH {SAMPLES_SQL} SELECT sample_id, subject_id, n_tokens AS token_count FROM samples WHERE n_tokens < 220 AND number <"
-    " coalesce((SELECT min(number) FROM counted c WHERE c.stay_id = samples.stay_id AND c.n_tokens > 220), 1000000000)",
+    f"WITH {samples_sql(FOUND_SQL, MAX_TOKENS)} SELECT sample_id, subject_id, n_tokens AS token_count FROM samples",
 )
 def token_dataset_query(spark, sf):
-    """Samples as token rows, cut again at a lower limit by their true counts."""
-    samples = training_samples(spark, sf).select("sample_id", "subject_id", "input", "output")
-    tokens = token_dataset(samples, TOKENIZER, WORDING, max_tokens=220)
+    """Token rows of the samples that fit, cut by size before texts are built and by true counts after."""
+    rows, stays = rows_of(spark, sf)
+    samples = build_samples(rows, stays, targets=TARGETS, wording=WORDING, tokenizer=TOKENIZER, max_tokens=MAX_TOKENS)
+    tokens = token_dataset(samples.select("sample_id", "subject_id", "input", "output"), TOKENIZER, WORDING, max_tokens=MAX_TOKENS)
     return tokens.select("sample_id", "subject_id", F.col("token_count").cast("bigint").alias("token_count"))
 
 

@@ -78,7 +78,7 @@ def prefix_cutoff(spark, sf):
     "discharge_samples",
     """WITH l AS (SELECT doc_id, 1 AS k, 'quality ' || quality AS label FROM labels UNION ALL SELECT doc_id, 2, 'toxic ' || toxic FROM labels),
 g AS (SELECT doc_id, string_agg(' - ' || label || chr(10), '' ORDER BY k) AS lines FROM l GROUP BY doc_id
-  HAVING sum(len(regexp_extract_all(' - ' || label, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\r]'))) <= 32000)
+)
 SELECT doc_id || '_discharge' AS sample_id, source AS subject_id, doc_id AS stay_id,
   'language: ' || lang || chr(10) || chr(10) || 'note: ' || text || chr(10) || chr(10) || chr(10) || 'Which labels fit?' AS input,
   'Potential labels:' || chr(10) || lines || chr(10) AS output FROM documents JOIN g USING (doc_id)""",
@@ -96,7 +96,7 @@ def discharge_query(spark, sf):
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("stay_id"), F.inline(pair))
     return discharge_samples(
         stays, labels, preamble=lines.block([("language", F.col("lang"))]), note="text", label="label", tie=["k"],
-        question="Which labels fit?", heading="Potential labels", tokenizer=TOKENIZER, max_tokens=32_000,
+        question="Which labels fit?", heading="Potential labels",
     )
 
 
@@ -206,20 +206,16 @@ def chat_prompt_query(spark, sf):
     )
 
 
-CONTEXT_SQL = f"""WITH m AS (SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS body FROM conversations),
-s AS (SELECT *, sum({COUNT.format('body')}) OVER (PARTITION BY conv_id ORDER BY turn) AS total FROM m),
+CONTEXT_SQL = """WITH m AS (SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS body FROM conversations),
 o AS (SELECT '<|im_start|>system' || chr(10) || 'You answer briefly.<|im_end|>' || chr(10) AS opening, '<|im_start|>assistant' || chr(10) AS closing),
-asked AS (SELECT conv_id, turn FROM s, o WHERE role = 'user' AND total + {COUNT.format('opening')} + {COUNT.format('closing')} <= 400),
+asked AS (SELECT conv_id, turn FROM m WHERE role = 'user'),
 ctx AS (SELECT a.conv_id, a.turn, CAST(count(*) + 1 AS INTEGER) AS n_messages,
   any_value(o.opening) || string_agg(m.body, '' ORDER BY m.turn) || any_value(o.closing) AS prompt
   FROM asked a JOIN m ON m.conv_id = a.conv_id AND m.turn <= a.turn, o GROUP BY a.conv_id, a.turn)"""
 
 
 def contexts(spark, sf):
-    return conversation_contexts(
-        table(spark, sf, "conversations"), "conv_id", "turn", "role", "text",
-        system=SYSTEM, tokenizer=TOKENIZER, max_tokens=400,
-    )
+    return conversation_contexts(table(spark, sf, "conversations"), "conv_id", "turn", "role", "text", system=SYSTEM)
 
 
 @query("conversation_context", f"{CONTEXT_SQL} SELECT conv_id, turn, n_messages FROM ctx")
