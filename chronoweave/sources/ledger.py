@@ -8,6 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from chronoweave.operators.joins import not_in
 
 
+def run_names(spark: SparkSession, path: str) -> set[str]:
+    """The names in a table of runs; none if it is not there yet."""
+    try:
+        return {r["run"] for r in spark.read.schema("run string").parquet(path).collect()}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+
+
 class Ledger:
     """A Parquet id table; its path and id type are parameters."""
 
@@ -31,6 +41,14 @@ class Ledger:
 
     def reset(self) -> None:
         self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(self.path)
+        self.spark.createDataFrame([], "run string").write.mode("overwrite").parquet(f"{self.path}-runs")
+
+    def runs(self) -> set[str]:
+        """Names of the runs whose ids are all logged."""
+        return run_names(self.spark, f"{self.path}-runs")
+
+    def add_run(self, run: str) -> None:
+        self.spark.createDataFrame([(run,)], "run string").write.mode("append").parquet(f"{self.path}-runs")
 
     def todo(self, candidates: DataFrame) -> DataFrame:
         """Distinct candidate ids that are not done."""

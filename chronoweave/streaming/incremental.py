@@ -2,39 +2,51 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chronoweave.operators.joins import restrict
 from chronoweave.session import cut_lineage
-from chronoweave.sources.ledger import Ledger
+from chronoweave.sources.ledger import Ledger, run_names
 
 
 def build_new(candidates: DataFrame, ledger: Ledger, build: Callable[[DataFrame], DataFrame], out: str) -> None:
-    """Build the ids that are not in the ledger, then log them.
+    """Build the ids that are not in the ledger, then log them. One writer at a time.
 
-    Ids whose rows were written but not logged (a run that died in between) count
-    as done: they are logged without being built again.
+    Each run writes a folder of its own below ``out``, publishes it by a mark beside ``out``,
+    and logs its ids. Rows of a run that died while writing have no mark: ``published`` leaves
+    them out and their ids are built again. A run that died after its mark is
+    logged by the next one, from that run's folder alone.
     """
     spark = candidates.sparkSession
+    logged = ledger.runs()
+    for run in sorted(_marked(spark, out) - logged):
+        ledger.add(spark.read.parquet(f"{out}/run={run}"))
+        ledger.add_run(run)
     todo = cut_lineage(ledger.todo(candidates))
-    written = _written_ids(spark, out, ledger.key)
-    fresh = todo if written is None else todo.join(written, ledger.key, "left_anti")
-    build(fresh).write.mode("append").parquet(out)
+    run = uuid.uuid4().hex
+    build(todo).write.parquet(f"{out}/run={run}")
+    spark.createDataFrame([(run,)], "run string").write.mode("append").parquet(_marks(out))
     ledger.add(todo)
+    ledger.add_run(run)
 
 
-def _written_ids(spark: SparkSession, out: str, key: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(out).select(key).distinct()
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
+def published(spark: SparkSession, out: str) -> DataFrame:
+    """The rows of all runs that ``build_new`` finished; at least one must be."""
+    return spark.read.parquet(*[f"{out}/run={run}" for run in sorted(_marked(spark, out))])
+
+
+def _marks(out: str) -> str:
+    return f"{out.rstrip('/')}-published"
+
+
+def _marked(spark: SparkSession, out: str) -> set[str]:
+    """Names of the finished runs; there are as many as there were runs."""
+    return run_names(spark, _marks(out))
 
 
 def stream_builds(
@@ -66,13 +78,15 @@ def stream_builds(
     )
 
 
-def running_totals(stream: DataFrame, keys: list[str], count: str, name: str, checkpoint: str) -> StreamingQuery:
-    """Running token totals, complete after each micro-batch, in an in-memory table."""
+def running_totals(stream: DataFrame, keys: list[str], count: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Running token totals, complete after each micro-batch, in the Parquet table ``out``.
+
+    A micro-batch that is run again writes the same totals again.
+    """
     totals = stream.groupBy(*keys).agg(F.sum(count).alias("tokens"), F.count(F.lit(1)).alias("n_rows"))
     return (
         totals.writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(name)
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

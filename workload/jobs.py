@@ -11,7 +11,7 @@ from chronoweave.plans.splits import split_by_hash
 from chronoweave.session import shared_folder
 from chronoweave.sources.ledger import Ledger
 from chronoweave.sources.sinks import append_rows, read_split, write_splits
-from chronoweave.streaming.incremental import build_new, running_totals, stream_builds
+from chronoweave.streaming.incremental import build_new, published, running_totals, stream_builds
 from workload.base import query, table
 from workload.texts import COUNT, FRACTION
 
@@ -63,7 +63,7 @@ def incremental_build(spark, sf):
     build = _build_orders(spark, sf)
     build_new(orders.where("o_orderstatus = 'F'"), ledger, build, f"{path}/out")
     build_new(orders, ledger, build, f"{path}/out")
-    return spark.read.parquet(f"{path}/out")
+    return published(spark, f"{path}/out")
 
 
 @query("streaming_build", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
@@ -77,7 +77,7 @@ def streaming_build(spark, sf):
         stream_builds(
             arrivals, ledger, lambda held: held.select("o_orderkey", "o_custkey", "o_totalprice"), f"{path}/out", f"{path}/state"
         ).awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    return published(spark, f"{path}/out")
 
 
 @query(
@@ -90,9 +90,9 @@ def streaming_totals(spark, sf):
     schema = table(spark, sf, "documents").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
     counted = stream.select("lang", PatternTokenizer().count(F.col("text")).alias("n"))
-    name = f"totals_{uuid.uuid4().hex}"
-    running_totals(counted, ["lang"], "n", name, _folder(spark)).awaitTermination()
-    return spark.table(name)
+    out = _folder(spark)
+    running_totals(counted, ["lang"], "n", out, _folder(spark)).awaitTermination()
+    return spark.read.parquet(out)
 
 
 @query("hook_tokens", f"SELECT doc_id, {COUNT.format('text')} AS n_tokens FROM documents")
