@@ -14,10 +14,14 @@ coordinate with the probability of the similarity. Darts thrown do not depend on
 length of a text. Documents in which a coordinate stayed empty throw on to twice the rank.
 
 Candidates: bands of six coordinates. 40 bands miss a pair of similarity 0.8 with a
-probability of 5e-6. Equal multisets are one class first. In every bucket the members are
-paired with the bucket's least member; that finds a group of copies in one pass over its
-rows. Buckets whose members are then not all in one component are paired once more,
-between members of different components only, so that nothing is left unseen.
+probability of 5e-6. Equal multisets are one class first. In every bucket one member leads,
+the one that meets most others over all its buckets, and every document is paired with the
+leader it meets most often; that joins a group of copies in one pass over its rows. Buckets
+whose members are then not all in one component are paired once more, between members of
+different components only, so that nothing is left unseen. There a pair is left out if it
+can't be similar enough: elements that no other document of these buckets has are shared
+with none, which bounds what two documents have in common. Copies that were changed too
+much for a link have many such elements, so a large group of them gives few pairs.
 Candidates are verified by their exact similarity.
 
 Defined results: null, empty and blank texts have no runs and are single classes;
@@ -151,6 +155,42 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
     return pairs.join(b, "b").join(a, "a").select("a", "b", "left", "right").mapInArrow(run, schema)
 
 
+def _led(shared: DataFrame, close) -> DataFrame:
+    """(a, b): every node b with the leader a that it shares the most buckets with.
+
+    The leader of a bucket is the member that meets most others over all its buckets: in a
+    group of copies that is the text the copies were made from, or one close to it.
+    """
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    ranked = stage(shared.select("bucket", "node", "words").join(met, "node"))
+    best = F.max(F.struct("met", (-F.col("node")).alias("other"), F.col("words").alias("leading"))).alias("best")
+    led = ranked.join(ranked.groupBy("bucket").agg(best), "bucket").select(
+        "node", "words", (-F.col("best.other")).alias("leader"), F.col("best.leading").alias("leading")
+    )
+    led = led.where((F.col("node") != F.col("leader")) & close("words", "leading")).repartition("node")
+    votes = led.groupBy("node", "leader").agg(F.count(F.lit(1)).alias("votes"))
+    first = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("leader")).alias("other"))).alias("first"))
+    return first.select((-F.col("first.other")).alias("a"), F.col("node").alias("b"))
+
+
+def _cores(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(node, core): how many units of a node's weight occur in any other of the nodes."""
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("strip", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches, "text"):
+            owner, element = Words(batch.column("text")).shingles(width)
+            order, unit = occurrences(owner, element)
+            strip = mix(element[order] + unit.astype(np.uint64) * _SEED)
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(owner[order])), pa.array(strip.view(np.int64))], names=schema.names)
+
+    strips = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(run, schema)
+    owners = strips.groupBy("strip").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+    alone = owners.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = texts.join(nodes, "node", "left_semi").select("node", "words")
+    return sizes.join(alone, "node", "left").select("node", (F.col("words") - F.coalesce("alone", F.lit(0))).alias("core"))
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -178,14 +218,12 @@ def near_duplicates(
         return F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
 
     keyed = classes.select("node", "words", F.explode("bands").alias("bucket"))
-    least = keyed.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stage(keyed.join(least.select("bucket", "leader"), "bucket"))
-    pairs = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"), "words").distinct()
-    sizes = classes.select(F.col("node").alias("a"), F.col("words").alias("leading"))
-    pairs = stage(pairs.join(sizes, "a").where(close("words", "leading")).select("a", "b"))
-    met = shared.select("node").distinct().join(classes.select("node", "name"), "node").select("node", F.col("name.body").alias("body"))
+    sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stage(keyed.join(sizes, "bucket"))
+    pairs = stage(_led(shared, close))
+    met = shared.select("node").distinct().join(classes.select("node", "words", "name"), "node").select("node", "words", F.col("name.body").alias("body"))
     bodies = docs.select(F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("body"), F.col(text).cast("string").alias("text"))
-    texts = stage(bodies.join(stage(met), "body").groupBy("node").agg(F.first("text").alias("text")))
+    texts = stage(bodies.join(stage(met), "body").groupBy("node").agg(F.first("words").alias("words"), F.first("text").alias("text")))
     links = stage(_verified(pairs, texts, width, similarity))
     roots = components(links, "a", "b")
 
@@ -194,11 +232,15 @@ def near_duplicates(
     placed = stage(placed)
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
     rest = stage(placed.join(open_, "bucket"))
-    left = rest.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("words").alias("wa"))
-    right = rest.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("words").alias("wb"))
-    apart = (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & close("wa", "wb")
+    cores = _cores(rest.select("node").distinct(), texts, width)
+    rest = rest.join(cores, "node").where(F.col("core") >= similarity * F.col("words") - 1e-9)
+    left = rest.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("words").alias("wa"), F.col("core").alias("ca"))
+    right = rest.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("words").alias("wb"), F.col("core").alias("cb"))
+    most = F.least("ca", "cb")  # two texts have no more in common than either has with all the others
+    apart = (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & (most >= similarity * (F.col("wa") + F.col("wb") - most) - 1e-9)
     more = left.join(right, "bucket").where(apart).select("a", "b").distinct()
-    more = stage(more.join(pairs, ["a", "b"], "left_anti"))
+    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = stage(more.join(tried, ["a", "b"], "left_anti"))
     links = stage(links.union(_verified(more, texts, width, similarity)))
     roots = components(links, "a", "b")
 
