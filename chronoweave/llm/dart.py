@@ -19,9 +19,11 @@ the one that meets most others over all its buckets, and every document is paire
 leader it meets most often; that joins a group of copies in one pass over its rows. Buckets
 whose members are then not all in one component are paired once more, between members of
 different components only, so that nothing is left unseen. There a pair is left out if it
-can't be similar enough: elements that no other document of these buckets has are shared
-with none, which bounds what two documents have in common. Copies that were changed too
-much for a link have many such elements, so a large group of them gives few pairs.
+can't be similar enough: what two documents have in common is at most what each shares with
+more than ``FEW`` of these documents, unless they meet in an element that ``FEW`` or fewer
+have; such pairs are found by the element, with the weight that each shares with any other
+as their bound. Copies that were changed too much for a link have many elements of their
+own, so a large group of them gives few pairs.
 Candidates are verified by their exact similarity.
 
 Defined results: null, empty and blank texts have no runs and are single classes;
@@ -48,6 +50,7 @@ WIDTH = 5
 SIMILARITY = 0.8
 BANDS = 40
 ROWS = 6
+FEW = 8
 _SEED = np.uint64(0xA0761D6478BD642F)
 _STEP = np.uint64(0xE7037ED1A0B428DB)
 _WRAP = (1 << 64) - 1
@@ -173,8 +176,12 @@ def _led(shared: DataFrame, close) -> DataFrame:
     return first.select((-F.col("first.other")).alias("a"), F.col("node").alias("b"))
 
 
-def _cores(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(node, core): how many units of a node's weight occur in any other of the nodes."""
+def _cores(nodes: DataFrame, texts: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """(node, words, shared, common), and (node, strip) of the strips that 2 to FEW nodes have.
+
+    shared is the part of a node's weight that any other of the nodes has as well, common
+    the part that more than FEW nodes have.
+    """
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("strip", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,11 +191,18 @@ def _cores(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             strip = mix(element[order] + unit.astype(np.uint64) * _SEED)
             yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(owner[order])), pa.array(strip.view(np.int64))], names=schema.names)
 
-    strips = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(run, schema)
-    owners = strips.groupBy("strip").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
-    alone = owners.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    sizes = texts.join(nodes, "node", "left_semi").select("node", "words")
-    return sizes.join(alone, "node", "left").select("node", (F.col("words") - F.coalesce("alone", F.lit(0))).alias("core"))
+    texts = texts.join(nodes, "node", "left_semi")
+    strips = stage(texts.select("node", "text").mapInArrow(run, schema))
+    few = strips.groupBy("strip").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= FEW)
+    held = stage(strips.join(few, "strip"))
+    less = held.groupBy("node").agg(F.count(F.lit(1)).alias("few"), F.sum((F.col("n") == 1).cast("long")).alias("alone"))
+    cores = texts.select("node", "words").join(less, "node", "left").select(
+        "node",
+        "words",
+        (F.col("words") - F.coalesce("alone", F.lit(0))).alias("shared"),
+        (F.col("words") - F.coalesce("few", F.lit(0))).alias("common"),
+    )
+    return stage(cores), held.where("n > 1").select("node", "strip")
 
 
 def near_duplicates(
@@ -232,13 +246,22 @@ def near_duplicates(
     placed = stage(placed)
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
     rest = stage(placed.join(open_, "bucket"))
-    cores = _cores(rest.select("node").distinct(), texts, width)
-    rest = rest.join(cores, "node").where(F.col("core") >= similarity * F.col("words") - 1e-9)
-    left = rest.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("words").alias("wa"), F.col("core").alias("ca"))
-    right = rest.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("words").alias("wb"), F.col("core").alias("cb"))
-    most = F.least("ca", "cb")  # two texts have no more in common than either has with all the others
-    apart = (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & (most >= similarity * (F.col("wa") + F.col("wb") - most) - 1e-9)
-    more = left.join(right, "bucket").where(apart).select("a", "b").distinct()
+    cores, seldom = _cores(rest.select("node").distinct(), texts, width)
+
+    def apart(core: str):
+        """Two nodes of different components whose weights in common can be enough."""
+        most = F.least(f"l.{core}", f"r.{core}")
+        enough = most >= similarity * (F.col("l.words") + F.col("r.words") - most) - 1e-9
+        return (F.col("l.node") < F.col("r.node")) & (F.col("l.root") != F.col("r.root")) & enough
+
+    def met_in(rows: DataFrame, by: str, core: str) -> DataFrame:
+        rows = rows.where(F.col(core) >= similarity * F.col("words") - 1e-9)
+        both = rows.alias("l").join(rows.alias("r"), (F.col(f"l.{by}") == F.col(f"r.{by}")) & apart(core))
+        return both.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+
+    roles = cores.join(rest.groupBy("node").agg(F.first("root").alias("root")), "node")
+    usual = rest.select("bucket", "node").join(roles, "node")
+    more = met_in(usual, "bucket", "common").union(met_in(seldom.join(roles, "node"), "strip", "shared")).distinct()
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stage(more.join(tried, ["a", "b"], "left_anti"))
     links = stage(links.union(_verified(more, texts, width, similarity)))

@@ -101,6 +101,32 @@ def test_dart_signature_estimates_weighted_similarity():
     assert abs((signature[0] == signature[1]).mean() - 150 / 250) < 0.05
 
 
+def test_group_of_changed_copies_equals_brute_force(spark):
+    """Copies changed a little, copies changed too much, copies of copies, and shortened ones."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for size, most in ((70, 9), (40, 5)):
+        members = [[f"w{w}" for w in rng.integers(0, 3000, 150)]]
+        for _ in range(size):
+            made = list(members[rng.integers(len(members))] if rng.random() < 0.3 else members[0])
+            for at in rng.integers(0, 120, rng.integers(0, most + 1)):
+                made[at] = f"w{rng.integers(3000)}"
+            members.append(made[: rng.integers(120, 151)] if rng.random() < 0.2 else made)
+        texts += members
+    rng.shuffle(shuffled := [" ".join(t) for t in texts])
+    runs = [collections.Counter(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) for t in shuffled]
+    root = list(range(len(runs)))
+    for a in range(len(runs)):
+        for b in range(a):
+            common = (runs[a] & runs[b]).total()
+            if common >= 0.8 * (runs[a].total() + runs[b].total() - common) - 1e-9 and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    df = spark.createDataFrame(list(enumerate(shuffled)), "doc_id long, text string")
+    got = {r.id: r.class_id for r in dart.near_duplicates(df).collect()}
+    assert got == dict(enumerate(root)) and len(set(root)) > 5
+
+
 def test_near_duplicates(docs, empty):
     rows = dart.near_duplicates(docs).collect()
     assert collections.Counter((r.id, r.class_id) for r in rows) == collections.Counter(
