@@ -65,14 +65,25 @@ def tokenizer(path: str):
 
 
 def split_words(encoding, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all words, subwords of each word); every word has at least one."""
-    parts, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for at in range(0, len(words), 10_000):
-        ids = encoding.encode_ordinary_batch([" " + w.decode("utf-8", "replace") for w in words[at : at + 10_000]], num_threads=1)
-        sizes = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-        parts.append(np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum())))
-        counts.append(sizes)
-    return np.concatenate(parts), np.concatenate(counts)
+    """(ids of all words, subwords of each word); every word has at least one.
+
+    Pieces never run over a space, so words are split many at a time, and the bytes of the
+    subwords tell where each word ends. Words that hold white space of their own go one by one.
+    """
+    spelled = [w.decode("utf-8", "replace") for w in words]
+    plain = np.array([w.split() == [w] for w in spelled], bool)
+    counts, ids = np.zeros(len(words), np.int64), [np.empty(0, np.int64)]
+    size = np.array([len(encoding.decode_single_token_bytes(i)) for i in range(encoding.n_vocab)])
+    bounds = np.unique(np.concatenate([[0, len(words)], np.arange(0, len(words), 10_000), np.flatnonzero(~plain), np.flatnonzero(~plain) + 1]))
+    for at, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        found = np.array(encoding.encode_ordinary("".join([" " + w for w in spelled[at:end]])), np.int64)
+        ids.append(found)
+        if end == at + 1:
+            counts[at] = len(found)
+        else:
+            ends = np.cumsum([len(w.encode()) + 1 for w in spelled[at:end]])
+            counts[at:end] = np.diff(np.searchsorted(np.cumsum(size[found]), ends), prepend=-1)
+    return np.concatenate(ids), counts
 
 
 def most_frequent(counted: DataFrame, limit: int) -> pa.Table:
@@ -275,25 +286,6 @@ class Lexicon:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_encoding"}
 
-    def _groups(self, top: np.ndarray, grams: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Classes by the subwords that stand before and after, from the trigram counts."""
-        rng = np.random.default_rng(0)
-        project = rng.standard_normal((65536, 24))
-        sides = np.zeros((65536, 48))
-        a, b = (grams >> 16) & 0xFFFF, grams & 0xFFFF
-        np.add.at(sides[:, :24], a, project[b] * n[:, None])
-        np.add.at(sides[:, 24:], b, project[a] * n[:, None])
-        points = sides[top] / np.maximum(np.linalg.norm(sides[top], axis=1, keepdims=True), 1e-9)
-        centres = points[:: max(1, len(points) // (CLASSES - 1))][: CLASSES - 1]
-        for _ in range(12):
-            near = (points @ centres.T).argmax(1)
-            sums = np.zeros_like(centres)
-            np.add.at(sums, near, points)
-            centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
-        group = np.full(65536, CLASSES - 1)
-        group[top] = (points @ centres.T).argmax(1)
-        return group
-
     def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids, subwords per word, their probabilities by counts, log10 probability of each word's stops)."""
         if not hasattr(self, "_encoding"):
@@ -365,15 +357,21 @@ class Network:
     _MASK = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
 
     def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
-        x = self.embed[inputs] + self.place
-        q, k, v = x @ self.query, x @ self.key, x @ self.value
-        a = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + self._MASK
-        a = np.exp(a - a.max(-1, keepdims=True))
+        x = self.embed[inputs]
+        x += self.place
+        rows = x.reshape(-1, WIDTH)
+        q, k, v = ((rows @ m).reshape(x.shape) for m in (self.query, self.key, self.value))
+        a = (q * np.float32(WIDTH**-0.5)) @ k.transpose(0, 2, 1)
+        a += self._MASK
+        a -= a.max(-1, keepdims=True)
+        np.exp(a, out=a)
         a /= a.sum(-1, keepdims=True)
         mixed = a @ v
-        z = x + mixed @ self.merge
-        logits = z @ self.out + self.bias
-        classes = np.exp(logits[..., :CLASSES] - logits[..., :CLASSES].max(-1, keepdims=True))
+        z = x + (mixed.reshape(-1, WIDTH) @ self.merge).reshape(x.shape)
+        logits = (z.reshape(-1, WIDTH) @ self.out).reshape(*inputs.shape, -1)
+        logits += self.bias
+        classes = logits[..., :CLASSES] - logits[..., :CLASSES].max(-1, keepdims=True)
+        np.exp(classes, out=classes)
         classes /= classes.sum(-1, keepdims=True)
         gate = 1 / (1 + np.exp(logits[..., CLASSES + 1] - logits[..., CLASSES]))
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": mixed, "z": z, "classes": classes, "gate": gate}
@@ -492,8 +490,8 @@ def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens
             n, words = batch.num_rows, Words(batch.column("text"))
             laid = _laid_out(lexicon, words)
             logs = np.zeros(len(laid["ids"]))
-            for at in range(0, len(laid["index"]), 1024):
-                rows, scored = laid["index"][at : at + 1024], laid["scored"][at : at + 1024]
+            for at in range(0, len(laid["index"]), 128):
+                rows, scored = laid["index"][at : at + 128], laid["scored"][at : at + 128]
                 ids = laid["ids"][rows]
                 f = net.forward(laid["before"][rows])
                 p, _ = net.probability(f, lexicon.group[ids], laid["share"][rows], laid["chance"][rows], laid["opening"][rows])
