@@ -19,10 +19,10 @@ Texts are read in windows of 32 subwords, 24 apart; a subword is scored once, in
 first window that holds it, with at least 8 subwords of context unless the text has
 less. Windows of equal length are batched, and later subwords are masked.
 
-Bounds of the model: the ``HEAD`` most frequent words have their subwords looked up (all
-others are split where they occur), and the ``GRAMS`` most frequent trigrams are kept. Counts
-of words cover all training texts: frequent words are looked up, all others are joined by
-their 64-bit hash.
+Counts of words, of what follows in a word and of trigrams cover all training texts and stay in
+Spark tables, where the probabilities of every different word are worked out. The ``HEAD``
+most frequent words are looked up; a text has all its other words with it, joined by their
+64-bit hash. So ``head`` changes no score.
 
 Defined results: null is empty; an empty text is one end. Without training texts all
 counts are 0, and the model is uniform. A null id is a training row. Repeated rows are
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,13 +47,13 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 FOLDS, HELD = 7, 2
 HEAD = 150_000
-GRAMS = 400_000
 DISCOUNT = 0.5
 WINDOW, STRIDE = 32, 24
 WIDTH, CLASSES, KNOWN = 16, 48, 4096
 SHARE, LEAST = 128, 2000  # one in so many training texts trains the network, or about so many texts if that is more
 WORKERS, ROUNDS, BATCH, RATE = 4, 2, 128, 0.01
 _START, _STOP = 65535, 65534
+FACTS = ("hash", "n", "ids", "chance")
 
 
 def tokenizer(path: str):
@@ -87,12 +87,12 @@ def split_words(encoding, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def most_frequent(counted: DataFrame, limit: int) -> pa.Table:
-    """The rows whose ``n`` is so high that at most ``limit`` rows have as much; read without a sort."""
-    sizes = counted.groupBy("n").agg(F.count(F.lit(1)).alias("c")).toArrow()  # a row for each different count
-    n, c = sizes.column("n").to_numpy(), sizes.column("c").to_numpy()
-    order = np.argsort(-n)
+    """The rows whose ``m`` is so high that at most ``limit`` rows have as much; read without a sort."""
+    sizes = counted.groupBy("m").agg(F.count(F.lit(1)).alias("c")).toArrow()  # a row for each different count
+    m, c = sizes.column("m").to_numpy(), sizes.column("c").to_numpy()
+    order = np.argsort(-m)
     fits = np.flatnonzero(np.cumsum(c[order]) <= limit)
-    return counted.where(F.col("n") >= int(n[order[fits[-1]]]) if len(fits) else F.lit(False)).toArrow()
+    return counted.where(F.col("m") >= int(m[order[fits[-1]]]) if len(fits) else F.lit(False)).toArrow()
 
 
 def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -101,31 +101,39 @@ def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) of all texts; each chunk is summed before it is shuffled."""
-    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n, m) of all texts, n in training texts and m in all; each chunk is summed before it is shuffled."""
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType()), T.StructField("m", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", 4 << 20):
             words = Words(batch.column("text"))
-            _, first, n = np.unique(words.hash, return_index=True, return_counts=True)
+            _, first, index, m = np.unique(words.hash, return_index=True, return_inverse=True, return_counts=True)
+            training = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+            n = np.bincount(index, training[words.text], minlength=len(first)).astype(np.int64)
             start = words.offsets[words.text[first]] + words.start[first]
             length = words.end[first] - words.start[first]
             data = LOWER[words.raw[_gather(start, length)]].tobytes()
             offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
             names = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data))
-            yield pa.RecordBatch.from_arrays([names, pa.array(n)], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([names, pa.array(n), pa.array(m)], names=schema.names)
 
-    return texts.mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("held_out", "text").mapInArrow(run, schema)
+    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
-def _hashed(vocabulary: DataFrame) -> DataFrame:
-    schema = T.StructType([*vocabulary.schema.fields, T.StructField("hash", T.LongType())])
+def _split(vocabulary: DataFrame, path: str) -> DataFrame:
+    """(hash, n, m, ids) of all words; ids are the subwords."""
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in ("hash", "n", "m")), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding = tokenizer(path)
         for batch in batches:
             hashes = pa.array(Words(batch.column("word")).hash.view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=[*batch.schema.names, "hash"])
+            ids, counts = split_words(encoding, [w.encode() for w in batch.column("word").to_pylist()])
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([hashes, batch.column("n"), batch.column("m"), lists], names=schema.names)
 
     return vocabulary.mapInArrow(run, schema)
 
@@ -141,20 +149,36 @@ def _trigrams(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (two << 32) | (one << 16) | ids, stop
 
 
-def _gram_counts(vocabulary: DataFrame, path: str) -> DataFrame:
-    schema = T.StructType([T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
+def _list(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, length of each list) of a list column without nulls."""
+    return column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _steps(words: DataFrame) -> DataFrame:
+    """(hash, at, parent, child, gram, n): what follows in a word after its first subword, and its stop last."""
+    longs = ("hash", "parent", "child", "gram", "n")
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in longs), T.StructField("at", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = tokenizer(path)
         for batch in batches:
-            ids, counts = split_words(encoding, [w.encode() for w in batch.column("word").to_pylist()])
-            n = batch.column("n").to_numpy()
+            if not batch.num_rows:
+                continue
+            ids, counts = _list(batch.column("ids"))
+            ids = ids.astype(np.int64)
             grams, stops = _trigrams(ids, counts)
-            keys, index = np.unique(np.concatenate([grams, stops]), return_inverse=True)
-            sums = np.bincount(index, np.concatenate([np.repeat(n, counts), n])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], names=["gram", "n"])
+            before, after, stopped = _prefixes(ids, counts)
+            last = np.cumsum(counts) - 1
+            word = np.repeat(np.arange(len(counts)), counts)
+            at = np.arange(len(ids)) - (last - counts + 1)[word]
+            inner = np.flatnonzero(at > 0)
+            word = np.concatenate([word[inner], np.arange(len(counts))])
+            columns = [batch.column("hash").take(pa.array(word))]
+            for a, b in ((before, after[last]), (after, stopped), (grams, stops)):
+                columns.append(pa.array(np.concatenate([a[inner], b]).view(np.int64)))
+            columns += [batch.column("n").take(pa.array(word)), pa.array(np.concatenate([at[inner], counts]).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return vocabulary.select("word", "n").mapInArrow(run, schema).groupBy("gram").agg(F.sum("n").alias("n"))
+    return words.select("hash", "n", "ids").mapInArrow(run, schema)
 
 
 def _prefixes(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,77 +198,66 @@ def _prefixes(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return before, after, mix(state * np.uint64(0x9E3779B97F4A7C15) + np.uint64(_STOP + 1))
 
 
-class Prefixes:
-    """What follows in a word after all its subwords so far, by the frequent words."""
+def _discounted(below: str) -> Column:
+    """Probability by counts ``n`` of ``total`` with absolute discounting; the rest, or all if nothing is known, goes by ``below``."""
+    kept = f"greatest(n - {DISCOUNT}D, 0D)"
+    return F.expr(f"CASE WHEN total > 0 THEN {kept} / total + (1 - held / total) * {below} ELSE {below} END")
 
-    def __init__(self, ids: np.ndarray, counts: np.ndarray, n: np.ndarray) -> None:
-        before, after, stop = _prefixes(ids, counts)
-        last = np.cumsum(counts) - 1
-        parent, child = np.concatenate([before, after[last]]), np.concatenate([after, stop])
-        weight = np.concatenate([np.repeat(n, counts), n]).astype(float)
-        self.child, pick, index = np.unique(child, return_index=True, return_inverse=True)
-        total = np.bincount(index, weight)
-        self.context, index = np.unique(parent[pick], return_inverse=True)
-        part = np.maximum(total - DISCOUNT, 0) / np.bincount(index, total)[index]
-        self.part, self.rest = part, 1 - np.bincount(index, part)
-
-    def mixed(self, parent: np.ndarray, child: np.ndarray, below: np.ndarray) -> np.ndarray:
-        if not len(self.child):
-            return below
-        at = np.minimum(np.searchsorted(self.child, child), len(self.child) - 1)
-        c = np.minimum(np.searchsorted(self.context, parent), len(self.context) - 1)
-        below = np.where(self.context[c] == parent, self.rest[c] * below, below)
-        return below + np.where(self.child[at] == child, self.part[at], 0)
-
-
-class Counts:
-    """Interpolated trigrams with absolute discounting, from packed trigrams and counts."""
-
-    def __init__(self, grams: np.ndarray, n: np.ndarray) -> None:
-        order = np.argsort(grams)
-        self.levels, grams, n = [], grams[order], n[order].astype(float)
-        for _ in range(2):
-            context, index = np.unique(grams >> 16, return_inverse=True)
-            total = np.bincount(index, n)
-            part = np.maximum(n - DISCOUNT, 0) / total[index]
-            rest = 1 - np.bincount(index, part)
-            self.levels.append((grams, part, context, rest))
-            grams, index = np.unique(grams & 0xFFFFFFFF, return_inverse=True)
-            n = np.bincount(index, n)
-        self.single = np.full(65536, 0.5)
-        np.add.at(self.single, grams & 0xFFFF, n)
-        self.single /= self.single.sum()
-
-    def probability(self, grams: np.ndarray) -> np.ndarray:
-        p = self.single[grams & 0xFFFF]
-        for (known, part, context, rest), mask in zip(self.levels[::-1], (0xFFFFFFFF, -1), strict=True):
-            key = grams & mask
-            if not len(known):
-                continue
-            at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-            c = np.minimum(np.searchsorted(context, key >> 16), len(context) - 1)
-            seen = context[c] == key >> 16
-            p = np.where(seen, rest[c] * p, p) + np.where(known[at] == key, part[at], 0)
-        return p
+
+def _totals(counted: DataFrame, context: str) -> DataFrame:
+    return counted.groupBy(context).agg(F.sum("n").alias("total"), F.sum(F.expr(f"greatest(n - {DISCOUNT}D, 0D)")).alias("held"))
+
+
+def word_chances(words: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """``words`` with chance (probability by counts of every subword but the first, then of the stop), and two arrays
+    by subword: its count, and the count of words that it begins.
+
+    Counts are interpolated: what follows in a word after all its subwords so far, trigrams, pairs, single subwords.
+    Words that no training text has come with n = 0, so every probability that is asked for has its row.
+    """
+    steps = _steps(words)
+    nodes = stage(steps.groupBy("child").agg(F.first("parent").alias("parent"), F.first("gram").alias("gram"), F.sum("n").alias("n")))
+    grams = stage(nodes.groupBy("gram").agg(F.sum("n").alias("n")))
+    pairs = stage(grams.groupBy(F.expr("gram & 4294967295").alias("pair")).agg(F.sum("n").alias("n")))
+    pairs = pairs.withColumns({"one": F.expr("shiftright(pair, 16)"), "last": F.expr("pair & 65535")})
+
+    def by_subword(counted: DataFrame) -> np.ndarray:
+        found = counted.toArrow()  # at most 65,536 rows
+        out = np.zeros(65536)
+        out[found.column("last").to_numpy()] = found.column("n").to_numpy()
+        return out
+
+    starts = by_subword(words.groupBy(F.col("ids")[0].cast("long").alias("last")).agg(F.sum("n").alias("n")))
+    single = by_subword(pairs.groupBy("last").agg(F.sum("n").alias("n"))) + starts
+    spark = words.sparkSession
+    singles = pa.table({"last": np.arange(65536), "p1": (single + 0.5) / (single.sum() + 0.5 * 65536)})
+    singles = spark.createDataFrame(singles)
+    pairs = pairs.join(F.broadcast(singles), "last").join(F.broadcast(_totals(pairs, "one")), "one")
+    pairs = pairs.select("pair", _discounted("p1").alias("p2"))
+    grams = grams.withColumns({"two": F.expr("shiftright(gram, 16)"), "pair": F.expr("gram & 4294967295")})
+    grams = grams.join(_totals(grams, "two"), "two").join(pairs, "pair").select("gram", _discounted("p2").alias("p3"))
+    nodes = nodes.join(_totals(nodes, "parent"), "parent").join(grams, "gram").select("child", _discounted("p3").alias("p"))
+    chances = steps.select("hash", "at", "child").join(nodes, "child").groupBy("hash")
+    chances = chances.agg(F.array_sort(F.collect_list(F.struct("at", "p"))).alias("chance"))  # one for each subword of a word
+    return words.join(chances.select("hash", F.col("chance.p").alias("chance")), "hash"), single, starts
 
 
 class Lexicon:
     """Subwords of frequent words with their probabilities, and the classes of subwords."""
 
-    def __init__(self, words: pa.Table, grams: np.ndarray, n: np.ndarray, path: str) -> None:
-        """``words`` has word, hash and n."""
-        self.path, self.counts = path, Counts(grams, n)
-        self._encoding = tokenizer(path)
-        hashes = words.column("hash").to_numpy().astype(np.int64).view(np.uint64)
-        order = np.argsort(hashes)
-        self.hash, self.n = hashes[order], words.column("n").to_numpy().astype(np.int64)[order]
-        spelled = [w.encode() for w in words.column("word").take(pa.array(order)).to_pylist()]
-        self.prefixes = Prefixes(*split_words(self._encoding, spelled), self.n)
-        self.ids, self.length, self.chance, self.stop = self.read(spelled)
-        self.first = np.cumsum(self.length) - self.length
-        weight = self.counts.single.copy()
+    def __init__(self, words: pa.Table, single: np.ndarray, starts: np.ndarray) -> None:
+        """``words`` has hash, n, ids and chance; the arrays are those of ``word_chances``."""
+        self.head = self.read([pa.concat_arrays(words.column(c).chunks) if words.num_rows else words.column(c).combine_chunks() for c in FACTS])
+        order = np.argsort(self.head[0])
+        self.order, self.hash = order, self.head[0][order]
+        self.single = (single + 0.5) / (single.sum() + 0.5 * 65536)
+        total = max(starts.sum(), 1.0)
+        kept = np.maximum(starts - DISCOUNT, 0) / total
+        self.starts = self.single
+        for _ in range(2):  # as a pair and as a trigram with nothing before it
+            self.starts = kept + (1 - kept.sum()) * self.starts if starts.any() else self.single
         self.rank = np.full(65536, KNOWN, np.int64)
-        top = np.argsort(-weight, kind="stable")[:KNOWN]
+        top = np.argsort(-self.single, kind="stable")[:KNOWN]
         self.rank[top] = np.arange(len(top))
         self.top = top
         self.classify(None)
@@ -262,17 +275,16 @@ class Lexicon:
                 centres = np.where(np.abs(sums).sum(1, keepdims=True) > 0, sums, centres)
                 centres = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
             self.group[self.top] = (points @ centres.T).argmax(1)
-        weight = self.counts.single
+        weight = self.single
         share = np.bincount(self.group, weight, minlength=CLASSES)
         self.share = weight / np.maximum(share[self.group], 1e-30)
-        starts = self.counts.probability((_START << 32) | (_START << 16) | np.arange(65536))
-        share = np.bincount(self.group, starts, minlength=CLASSES)
-        self.start_share = starts / np.maximum(share[self.group], 1e-30)
+        share = np.bincount(self.group, self.starts, minlength=CLASSES)
+        self.start_share = self.starts / np.maximum(share[self.group], 1e-30)
 
     def contexts(self, laid: dict[str, np.ndarray]) -> np.ndarray:
         """For every frequent subword the sum of what its windows hold, in a random projection."""
         project = np.random.default_rng(0).standard_normal((KNOWN + 1, 32)).astype(np.float32)
-        project[: len(self.top)] /= np.sqrt(self.counts.single[self.top] + 1e-4)[:, None].astype(np.float32)
+        project[: len(self.top)] /= np.sqrt(self.single[self.top] + 1e-4)[:, None].astype(np.float32)
         project[KNOWN] = 0
         out = np.zeros((KNOWN + 1, 32), np.float32)
         for at in range(0, len(laid["index"]), 1024):
@@ -283,44 +295,63 @@ class Lexicon:
             np.add.at(out, rank.ravel(), around.reshape(-1, 32))
         return out[:KNOWN]
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "_encoding"}
-
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, subwords per word, their probabilities by counts, log10 probability of each word's stops)."""
-        if not hasattr(self, "_encoding"):
-            self._encoding = tokenizer(self.path)
-        ids, counts = split_words(self._encoding, words)
-        if not len(ids):
-            return ids, counts, np.zeros(0, np.float32), np.zeros(0)
-        grams, stops = _trigrams(ids, counts)
-        before, after, stopped = _prefixes(ids, counts)
+    @staticmethod
+    def read(facts: list[pa.Array]) -> tuple[np.ndarray, ...]:
+        """(hash, n, subwords per word, log10 probability of each stop, ids of all words, their probabilities)."""
+        hashes, n, ids, chance = facts
+        ids, counts = _list(ids)
+        chance, _ = _list(chance)  # all subwords but the first, and the stop
         last = np.cumsum(counts) - 1
-        chance = self.prefixes.mixed(before, after, self.counts.probability(grams))
-        stop = self.prefixes.mixed(after[last], stopped, self.counts.probability(stops))
-        stop = np.log10(np.maximum(stop, 1e-30))
-        return ids, counts, chance.astype(np.float32), stop
-
-    def subwords(self, words: Words) -> tuple[np.ndarray, ...]:
-        """For a chunk of texts: word index in the head or -1, then id, probability and text of every subword, and stops by word."""
-        at = np.minimum(np.searchsorted(self.hash, words.hash), max(len(self.hash) - 1, 0)) if len(self.hash) else np.zeros(len(words.hash), np.int64)
-        head = np.where(self.hash[at] == words.hash, at, -1) if len(self.hash) else np.full(len(words.hash), -1)
-        rare = np.flatnonzero(head < 0)
-        _, pick, where = np.unique(words.hash[rare], return_index=True, return_inverse=True)
-        begin = words.offsets[words.text[rare[pick]]] + words.start[rare[pick]]
-        end = begin + words.end[rare[pick]] - words.start[rare[pick]]
-        data = LOWER[words.raw].tobytes()
-        ids, length, chance, stop = self.read([data[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)])
-        all_ids, all_chance = np.concatenate([self.ids, ids]), np.concatenate([self.chance, chance])
-        first = np.concatenate([self.first, len(self.ids) + np.cumsum(length) - length])
-        sizes, stops = np.concatenate([self.length, length]), np.concatenate([self.stop, stop])
-        word = head.copy()
-        word[rare] = len(self.length) + where
-        flat = _gather(first[word], sizes[word])
+        stop = np.log10(np.maximum(chance[last], 1e-30)) if len(last) else np.zeros(0)
+        shifted = np.roll(chance, 1).astype(np.float32)
+        shifted[last - counts + 1] = 0  # how words begin is left to the attention
+        return hashes.to_numpy().view(np.uint64), n.to_numpy(), counts, stop, ids.astype(np.int64), shifted
+
+    def subwords(self, batch: pa.RecordBatch, words: Words) -> tuple[np.ndarray, ...]:
+        """For a chunk of texts: count of each word, then id, probability, share, opening and text of every subword, and stops by word."""
+        rare = self.read(batch.column("rare").flatten().flatten())
+        hashes, pick = np.unique(rare[0], return_index=True)
+        known, order = np.concatenate([self.hash, hashes]), np.concatenate([self.order, len(self.order) + pick])
+        # A word is in one of the two sorted halves.
+        at = np.searchsorted(self.hash, words.hash)
+        inside = np.append(self.hash, np.uint64(0))[at] == words.hash
+        inside &= at < len(self.hash)
+        at = np.where(inside, at, len(self.hash) + np.searchsorted(hashes, words.hash))
+        if len(at) and not (known[np.minimum(at, len(known) - 1)] == words.hash).all():
+            raise ValueError("a text came without its words")
+        word = order[at]
+        n, sizes, stops, all_ids, all_chance = (np.concatenate(pair) for pair in zip(self.head[1:], rare[1:], strict=True))
+        flat = _gather((np.cumsum(sizes) - sizes)[word], sizes[word])
         all_ids, opening = all_ids[flat], np.zeros(len(flat), bool)
         opening[np.cumsum(sizes[word]) - sizes[word]] = True
         share = np.where(opening, self.start_share[all_ids], self.share[all_ids]).astype(np.float32)
-        return head, all_ids, all_chance[flat], share, opening, np.repeat(words.text, sizes[word]), stops[word]
+        return n[word], all_ids, all_chance[flat], share, opening, np.repeat(words.text, sizes[word]), stops[word]
+
+
+def with_rare_words(docs: DataFrame, words: DataFrame, head: np.ndarray) -> DataFrame:
+    """``docs`` with rare: (hash, n, ids, chance) of the words of each text that are not in ``head``, sorted hashes."""
+    schema = T.StructType([T.StructField("body", T.BinaryType()), T.StructField("hash", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches, "text"):
+            found = Words(batch.column("text"))
+            at = np.searchsorted(head, found.hash)
+            rare = np.flatnonzero((np.append(head, np.uint64(0))[at] != found.hash) | (at == len(head)))
+            owner, hashes = found.text[rare], found.hash[rare]
+            order = np.lexsort((hashes, owner))
+            owner, hashes = owner[order], hashes[order]
+            new = np.ones(len(owner), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
+            columns = [batch.column("body").take(pa.array(owner[new])), pa.array(hashes[new].view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    keyed = docs.withColumn("body", F.unhex(F.md5("text")))
+    pairs = keyed.select("body", "text").mapInArrow(run, schema).distinct()
+    listed = pairs.join(words.select(*FACTS), "hash").groupBy("body")
+    listed = listed.agg(F.collect_list(F.struct(*FACTS)).alias("rare"))  # at most one for each word of a text
+    joined = keyed.join(listed, "body", "left").drop("body")
+    none = F.array().cast(listed.schema["rare"].dataType)
+    return joined.withColumn("rare", F.coalesce("rare", none))
 
 
 def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -413,15 +444,16 @@ class Network:
         return g.flat
 
 
-def _laid_out(lexicon: Lexicon, words: Words) -> dict[str, np.ndarray]:
-    head, ids, chance, share, opening, text, stops = lexicon.subwords(words)
+def _laid_out(lexicon: Lexicon, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    words = Words(batch.column("text"))
+    n, ids, chance, share, opening, text, stops = lexicon.subwords(batch, words)
     lengths = np.bincount(text, minlength=len(words.first) - 1)
     index, valid, scored = windows(lengths)
     rank = lexicon.rank[ids]
     begins = np.zeros(len(ids), bool)
     begins[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
     before = np.where(begins, KNOWN + 1, np.roll(rank, 1)) if len(ids) else rank
-    return {"head": head, "ids": ids, "chance": chance, "share": share, "opening": opening, "text": text, "stops": stops, "index": index, "scored": scored, "before": before}
+    return {"words": words, "n": n, "ids": ids, "chance": chance, "share": share, "opening": opening, "text": text, "stops": stops, "index": index, "scored": scored, "before": before}
 
 
 def _train_network(texts: DataFrame, lexicon: Lexicon, workers: int, rounds: int) -> np.ndarray:
@@ -436,7 +468,7 @@ def _train_network(texts: DataFrame, lexicon: Lexicon, workers: int, rounds: int
     def context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n = np.zeros((KNOWN, 32)), 0
         for batch in text_batches(batches, "text"):
-            out, n = out + lexicon.contexts(_laid_out(lexicon, Words(batch.column("text")))), n + batch.num_rows
+            out, n = out + lexicon.contexts(_laid_out(lexicon, batch)), n + batch.num_rows
         yield from one(out, n)
 
     def gathered(run) -> list:
@@ -453,7 +485,7 @@ def _train_network(texts: DataFrame, lexicon: Lexicon, workers: int, rounds: int
             net, m, v, step = Network(start.copy()), np.zeros_like(start), np.zeros_like(start), 0
             seen = 0
             for batch in text_batches(batches, "text"):
-                laid = _laid_out(lexicon, Words(batch.column("text")))
+                laid = _laid_out(lexicon, batch)
                 order = np.random.default_rng(step).permutation(len(laid["index"]))
                 for at in range(0, len(order), BATCH):
                     step, seen = step + 1, seen + len(order[at : at + BATCH])
@@ -476,19 +508,17 @@ def adam_step(net: Network, lexicon: Lexicon, laid: dict, rows: np.ndarray, m: n
 
 
 def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens: int, distinct: int, ends: int) -> DataFrame:
-    """(key, held_out, n_tokens, known, base, score, rare, rare_n): words of the head are settled, the others listed."""
-    fields = [docs.schema["id"], docs.schema["held_out"], T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType())]
-    fields += [T.StructField("base", T.DoubleType()), T.StructField("score", T.DoubleType())]
-    fields += [T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("rare_n", T.ArrayType(T.LongType()))]
+    """(id, held_out, n_tokens, n_known, base_score, score)."""
+    fields = [docs.schema["id"], docs.schema["held_out"], T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType())]
+    fields += [T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())]
     room = train_tokens + distinct + 1.0
     end_base, end_chance = np.log10((ends + 1) / room), (ends + 1) / (train_tokens + 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(weights.copy())
-        head_base = np.log10((lexicon.n + 1) / room)
         for batch in text_batches(batches, "text"):
-            n, words = batch.num_rows, Words(batch.column("text"))
-            laid = _laid_out(lexicon, words)
+            n, laid = batch.num_rows, _laid_out(lexicon, batch)
+            words = laid["words"]
             logs = np.zeros(len(laid["ids"]))
             for at in range(0, len(laid["index"]), 128):
                 rows, scored = laid["index"][at : at + 128], laid["scored"][at : at + 128]
@@ -499,57 +529,30 @@ def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens
             per_text = np.diff(words.first)
             score = np.bincount(laid["text"], logs, minlength=n) + np.bincount(words.text, laid["stops"], minlength=n)
             score = score + per_text * np.log10(1 - end_chance) + np.log10(end_chance)
-            known = laid["head"] >= 0
-            base = np.bincount(words.text[known], head_base[laid["head"][known]], minlength=n) + end_base
-            n_known = np.bincount(words.text[known], minlength=n) + (ends > 0)
-            owner, hashes = words.text[~known], words.hash[~known]
-            order = np.lexsort((hashes, owner))
-            owner, hashes = owner[order], hashes[order]
-            new = np.ones(len(owner), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
-            begin = np.flatnonzero(new)
-            times = np.diff(np.append(begin, len(owner)))
-            offsets = pa.array(np.searchsorted(owner[begin], np.arange(n + 1)).astype(np.int32))
-            columns = [batch.column("id"), batch.column("held_out"), pa.array((per_text + 1).astype(np.int64)), pa.array(n_known.astype(np.int64))]
-            columns += [pa.array(base), pa.array(score), pa.ListArray.from_arrays(offsets, pa.array(hashes[begin].view(np.int64)))]
-            columns.append(pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int64))))
+            base = np.bincount(words.text, np.log10((laid["n"] + 1) / room), minlength=n) + end_base
+            n_known = np.bincount(words.text, laid["n"] > 0, minlength=n).astype(np.int64) + (ends > 0)
+            columns = [batch.column("id"), batch.column("held_out"), pa.array((per_text + 1).astype(np.int64)), pa.array(n_known), pa.array(base), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    return docs.select("id", "held_out", "text").mapInArrow(run, T.StructType(fields))
+    return docs.select("id", "held_out", "text", "rare").mapInArrow(run, T.StructType(fields))
 
 
-def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, head: int = HEAD, grams: int = GRAMS, share: int = SHARE, workers: int = WORKERS) -> DataFrame:
+def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, head: int = HEAD, share: int = SHARE, workers: int = WORKERS) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score): one row per document."""
     held = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
     slim = docs.select(F.col(key).alias("id"), held.alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    training = slim.where(~F.col("held_out")).select("text")
-    vocabulary = stage(_hashed(word_counts(training)))
-    words, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    ends = training.count()
+    split = stage(_split(word_counts(slim), path))
+    words, distinct = split.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    ends = slim.where(~F.col("held_out")).count()
     train_tokens, distinct = words + ends, distinct + (ends > 0)
-    frequent = most_frequent(vocabulary.select("word", "hash", "n"), head)
-    top = most_frequent(stage(_gram_counts(vocabulary, path)), grams)
-    lexicon = Lexicon(frequent, top.column("gram").to_numpy().astype(np.int64), top.column("n").to_numpy().astype(np.int64), path)
+    chances, single, starts = word_chances(split)
+    chances = stage(chances)
+    lexicon = Lexicon(most_frequent(chances, head), single, starts)
+    full = stage(with_rare_words(slim, chances, lexicon.hash))
     some = F.pmod(F.xxhash64(F.md5("text")), F.lit(max(1, min(share, ends // LEAST)))) == 0
-    weights = _train_network(training.where(some), lexicon, workers, ROUNDS)
-    scored = _scored(slim, lexicon, weights, train_tokens, distinct, ends)
-    scored = stage(scored.withColumn("row", F.monotonically_increasing_id()))
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select("row", F.col("r.rare").alias("hash"), F.col("r.rare_n").alias("times"))
-    joined = rare.join(vocabulary.select("hash", "n"), "hash", "left")
-    room = float(train_tokens + distinct + 1)
-    sums = joined.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(room))).alias("more"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("found"),
-    )
-    return scored.drop("rare", "rare_n").join(sums, "row", "left").select(
-        F.col("id").alias(key),
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"),
-        F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
+    weights = _train_network(full.where(~F.col("held_out")).where(some), lexicon, workers, ROUNDS)
+    scored = _scored(full, lexicon, weights, train_tokens, distinct, ends)
+    return scored.select(F.col("id").alias(key), "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 @query("op4_attention_scores")

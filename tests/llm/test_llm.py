@@ -266,6 +266,36 @@ def test_scores(spark, docs, empty):
     assert attention.score_texts(empty).count() == 0
 
 
+def test_counts_are_whole_whatever_is_looked_up(spark, docs):
+    """Scores do not depend on ``head``, and chances equal dictionaries of all counts, of unknown words too."""
+    got = [{(r.doc_id, r.n_tokens): r for r in attention.score_texts(docs, head=h).collect()} for h in (0, 20, 150_000)]
+    for other in got[1:]:
+        assert all(r.n_known == other[k].n_known and abs(r.base_score - other[k].base_score) < 1e-6 and abs(r.score - other[k].score) < 1e-3 for k, r in got[0].items())
+    words = spark.createDataFrame([(1, 3, 3, [5, 6, 7]), (2, 2, 2, [5, 6]), (3, 1, 1, [8]), (4, 0, 1, [5, 6, 7, 7]), (5, 0, 1, [9, 6, 7])], "hash long, n long, m long, ids array<int>")
+    chances, _, _ = attention.word_chances(words)
+    begin, stop = attention._START, attention._STOP
+    seen = [collections.Counter() for _ in range(4)]
+    rows = chances.collect()
+    steps = {r.hash: [(tuple(r.ids[:i]), ([*r.ids, stop])[i]) for i in range(len(r.ids) + 1)] for r in rows}
+    views = [lambda before: before, lambda before: (begin, begin, *before)[-2:], lambda before: (begin, *before)[-1:], lambda before: ()]
+    for r in rows:
+        for before, item in steps[r.hash]:
+            for level, view in enumerate(views):
+                seen[level][view(before), item] += r.n
+
+    def p(level, before, item):
+        inside = {i: n for (b, i), n in seen[level].items() if b == views[level](before)}
+        if level == 3:
+            return (inside.get(item, 0) + 0.5) / (sum(inside.values()) + 0.5 * 65536)
+        total = sum(inside.values())
+        below = p(level + 1, before, item)
+        held = sum(max(n - 0.5, 0) for n in inside.values())
+        return max(inside.get(item, 0) - 0.5, 0) / total + (1 - held / total) * below if total else below
+
+    for r in rows:
+        assert np.allclose(r.chance, [p(0, *step) for step in steps[r.hash][1:]], rtol=1e-6)
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
