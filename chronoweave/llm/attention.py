@@ -11,9 +11,10 @@ experts give the probability of the next subword, and a gate mixes them:
   a class a subword has its share of the counts. How a word begins is left to it; inside
   words the gate, which reads the same output, weighs the two.
 
-The network is trained in numpy by averaging: a share of the training texts, chosen by
-digest and growing with the corpus, is dealt to workers, each takes steps of its
-own over its windows, and the averages start the next round. Only weights reach the driver.
+The network is trained in numpy by averaging, in one pass over all training texts: each
+round reads the texts of its own part, chosen by digest; every partition takes steps of its
+own over its windows, Spark averages the weights, and the averages start the next round.
+Only sums of fixed size reach the driver.
 
 Texts are read in windows of 32 subwords, 24 apart; a subword is scored once, in the
 first window that holds it, with at least 8 subwords of context unless the text has
@@ -50,8 +51,8 @@ HEAD = 150_000
 DISCOUNT = 0.5
 WINDOW, STRIDE = 32, 24
 WIDTH, CLASSES, KNOWN = 16, 48, 4096
-SHARE, LEAST = 128, 2000  # one in so many training texts trains the network, or about so many texts if that is more
-WORKERS, ROUNDS, BATCH, RATE = 4, 2, 128, 0.01
+ROUNDS, BATCH, RATE = 2, 128, 0.01
+SUMS = 16  # partitions in which weights are added up
 _START, _STOP = 65535, 65534
 FACTS = ("hash", "n", "ids", "chance")
 
@@ -456,30 +457,46 @@ def _laid_out(lexicon: Lexicon, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     return {"words": words, "n": n, "ids": ids, "chance": chance, "share": share, "opening": opening, "text": text, "stops": stops, "index": index, "scored": scored, "before": before}
 
 
-def _train_network(texts: DataFrame, lexicon: Lexicon, workers: int, rounds: int) -> np.ndarray:
+def added(made: DataFrame) -> tuple[np.ndarray | None, int]:
+    """Sum of the float arrays of all rows (part, made, n), weighted by n, and the sum of n; added up in Spark first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = None, 0
+        for batch in batches:
+            for array, weight in zip(batch.column("made"), batch.column("n").to_pylist(), strict=True):
+                more = np.frombuffer(array.as_py(), np.float64) * weight
+                total, n = more if total is None else total + more, n + weight
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([(total / n).tobytes()]), pa.array([n])], names=["made", "n"])
+
+    schema = T.StructType([T.StructField("made", T.BinaryType()), T.StructField("n", T.LongType())])
+    rows = made.repartition(SUMS, "part").sortWithinPartitions("part").select("made", "n").mapInArrow(run, schema).collect()
+    return (sum(np.frombuffer(r.made, np.float64) * r.n for r in rows) if rows else None), sum(r.n for r in rows)
+
+
+def _train_network(texts: DataFrame, lexicon: Lexicon, rounds: int) -> np.ndarray:
     """Weights after rounds of local steps and averaging; sets the classes of ``lexicon`` before."""
-    dealt = stage(texts.repartition(workers, F.xxhash64("text")))
     schema = T.StructType([T.StructField("made", T.BinaryType()), T.StructField("n", T.LongType())])
 
     def one(made: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([made.astype(np.float32).tobytes()]), pa.array([n])], names=["made", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([made.astype(np.float64).tobytes()]), pa.array([n])], names=["made", "n"])
 
     def context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n = np.zeros((KNOWN, 32)), 0
         for batch in text_batches(batches, "text"):
             out, n = out + lexicon.contexts(_laid_out(lexicon, batch)), n + batch.num_rows
-        yield from one(out, n)
+        yield from one(out / max(n, 1), n)
 
-    def gathered(run) -> list:
-        return dealt.mapInArrow(run, schema).collect()  # one row of fixed size for each worker
+    def gathered(some: DataFrame, run) -> tuple[np.ndarray | None, int]:
+        return added(some.select("text", "rare").mapInArrow(run, schema).withColumn("part", F.spark_partition_id()))
 
-    found = [np.frombuffer(r.made, np.float32).reshape(KNOWN, 32) for r in gathered(context)]
+    found, _ = gathered(texts, context)
     weights = Network().flat
-    if not found:
+    if found is None:
         return weights
-    lexicon.classify(sum(found))
-    for _ in range(rounds):
+    lexicon.classify(found.reshape(KNOWN, 32))
+    for number in range(rounds):
 
         def steps(batches: Iterator[pa.RecordBatch], start: np.ndarray = weights) -> Iterator[pa.RecordBatch]:
             net, m, v, step = Network(start.copy()), np.zeros_like(start), np.zeros_like(start), 0
@@ -492,9 +509,9 @@ def _train_network(texts: DataFrame, lexicon: Lexicon, workers: int, rounds: int
                     adam_step(net, lexicon, laid, order[at : at + BATCH], m, v, step)
             yield from one(net.flat, seen)
 
-        made = gathered(steps)
-        total = sum(r.n for r in made)
-        weights = sum(np.frombuffer(r.made, np.float32) * (r.n / total) for r in made).astype(np.float32)
+        made, seen = gathered(texts.where(F.pmod(F.xxhash64(F.md5("text")), F.lit(rounds)) == number), steps)
+        if seen:
+            weights = (made / seen).astype(np.float32)
     return weights
 
 
@@ -537,7 +554,7 @@ def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens
     return docs.select("id", "held_out", "text", "rare").mapInArrow(run, T.StructType(fields))
 
 
-def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, head: int = HEAD, share: int = SHARE, workers: int = WORKERS) -> DataFrame:
+def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, head: int = HEAD) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score): one row per document."""
     held = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
     slim = docs.select(F.col(key).alias("id"), held.alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -549,8 +566,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
     chances = stage(chances)
     lexicon = Lexicon(most_frequent(chances, head), single, starts)
     full = stage(with_rare_words(slim, chances, lexicon.hash))
-    some = F.pmod(F.xxhash64(F.md5("text")), F.lit(max(1, min(share, ends // LEAST)))) == 0
-    weights = _train_network(full.where(~F.col("held_out")).where(some), lexicon, workers, ROUNDS)
+    weights = _train_network(full.where(~F.col("held_out")), lexicon, ROUNDS)
     scored = _scored(full, lexicon, weights, train_tokens, distinct, ends)
     return scored.select(F.col("id").alias(key), "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -296,6 +296,20 @@ def test_counts_are_whole_whatever_is_looked_up(spark, docs):
         assert np.allclose(r.chance, [p(0, *step) for step in steps[r.hash][1:]], rtol=1e-6)
 
 
+def test_network_trains_on_all_texts(spark, monkeypatch):
+    """Every training window is stepped on once, however many texts there are."""
+    df = spark.createDataFrame([(i, f"w{i} and more") for i in range(5000)], "doc_id long, text string").repartition(3)
+    seen, added = [], attention.added
+
+    def noted(made):
+        seen.append(added(made))
+        return seen[-1]
+
+    monkeypatch.setattr(attention, "added", noted)
+    training = attention.score_texts(df).where("NOT held_out").count()
+    assert [n for _, n in seen[:1]] == [training] == [sum(n for _, n in seen[1:])] and training > 4000
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
