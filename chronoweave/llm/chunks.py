@@ -122,7 +122,8 @@ def deduplicate_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text",
     often = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
     alive = stage(rows.join(often, "digest"))
     first = alive.groupBy("digest", "check").agg(F.min(F.struct("id", "body", "start", "end")).alias("first"), F.count(F.lit(1)).alias("n"))
-    marked = alive.join(first.where("n > 1").select("digest", "check", "first"), ["digest", "check"])
+    # Rows that repeat id and text have the same chunks, which are counted above; here one of each is enough.
+    marked = alive.distinct().join(first.where("n > 1").select("digest", "check", "first"), ["digest", "check"])
     here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("body") == F.col("first.body"))
     itself = here & (F.col("start") == F.col("first.start"))
     begin = F.when(here, F.greatest("start", "first.end")).otherwise(F.col("start"))

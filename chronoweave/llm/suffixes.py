@@ -260,7 +260,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", depth: int = DEPTH, digi
     found = _sorted_groups(cut.where("NOT crowded"), depth, step).unionByName(_counted(cut.where("crowded"), depth, step))
     found = found.join(classes.where("n = 1").select("run", "digit", "whole"), "run").select("digit", "whole", "lo", "hi")
     found = stage(found.unionByName(classes.where("n > 1").select("digit", "whole", "lo", "hi")))
-    spans = alive.select("digit", "whole", "body", "at").join(found, ["digit", "whole"])
+    # Equal texts have equal runs, which are counted above; here one of each is enough.
+    spans = alive.select("digit", "whole", "body", "at").distinct().join(found, ["digit", "whole"])
     span = F.struct((F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + depth).alias("end"))
     spans = spans.groupBy("body").agg(F.collect_list(span).alias("spans"))  # at most one for each byte of a text
     return cut_spans(whole.select("body", "text").join(spans, "body"), ["body"])

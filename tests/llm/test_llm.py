@@ -219,6 +219,31 @@ def test_suffixes(spark, docs, empty, crowd):
     assert suffixes.remove_repeats(empty).count() == 0 and suffixes.remove_repeats(docs).count() == 10
 
 
+def _longest_lists(monkeypatch, module, run):
+    """Results by row, and whether any text came with more spans than bytes."""
+    from pyspark.sql import functions as F
+
+    over, cut = [], module.cut_spans
+
+    def noted(texts, keys):
+        over.append(texts.where(F.size("spans") > F.octet_length("text")).count())
+        return cut(texts, keys)
+
+    monkeypatch.setattr(module, "cut_spans", noted)
+    return run().collect(), over
+
+
+def test_copies_do_not_lengthen_span_lists(spark, monkeypatch):
+    rng = random.Random(11)
+    text = "".join(rng.choice("abcdefgh") for _ in range(1500))
+    df = spark.createDataFrame([(i, text) for i in range(600)], "doc_id long, text string")
+    rows, over = _longest_lists(monkeypatch, suffixes, lambda: suffixes.remove_repeats(df))
+    assert over == [0] and len(rows) == 600 and all(r.n_removed == 1500 and r.n_spans == 1 for r in rows)
+    df = spark.createDataFrame([(1, text), *[(2, text)] * 600], "doc_id long, text string")
+    rows, over = _longest_lists(monkeypatch, chunks, lambda: chunks.deduplicate_chunks(df))
+    assert over == [0] and len(rows) == 601 and all((r.n_removed > 1300) == (r.doc_id == 2) for r in rows)
+
+
 def test_chunks_resist_shifts(docs, empty):
     rng = random.Random(7)
     passage = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(1000)) for _ in range(60)).encode()
