@@ -7,13 +7,16 @@ border, so borders depend on nearby bytes only and come back a few bytes after a
 insertion. Stretches without a border are cut every 512 bytes. A chunk runs from a border
 to the first border at least 64 bytes on; chunks start at every border and so overlap,
 which lets a passage be covered from its first border to its last, whatever surrounds it.
+The closing chunk of a text ends at its end, from the last border at least 64 bytes before
+it, or from the start of a shorter text; so chunks cover all bytes, and exact copies go whole.
 
 Chunks are deduplicated by digest: the first one (by document id, then position) stays, all
-later ones are removed. Chunks of 64 bytes and more do not repeat by chance. A chunk that
-overlaps its own first occurrence loses only what lies beyond that.
+later ones are removed. Chunks of 64 bytes and more do not repeat by chance; shorter ones are
+whole texts and equal only those. A chunk that overlaps its own first occurrence loses only
+what lies beyond that.
 
-Defined results: null is empty; texts without a whole chunk stay as they are; null ids come
-first. Rows that repeat id and text are the same document. An empty table gives no rows.
+Defined results: null is empty; an empty text has no chunk; null ids come first. Rows
+that repeat id and text are the same document. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -73,13 +76,16 @@ def borders(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def chunks_of(raw: np.ndarray, offsets: np.ndarray, least: int = CHUNK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, start, end) of all chunks."""
+    """(text, start, end) of all chunks; together they cover every byte."""
     text, place = borders(raw, offsets)
     spot = offsets[text] + text + place  # texts set apart by one, so that a search stays inside
     end = np.searchsorted(spot, spot + least)
     inside = np.flatnonzero(end < len(spot))
     inside = inside[text[end[inside]] == text[inside]]
-    return text[inside], place[inside], place[end[inside]]
+    text, start, end, lengths = text[inside], place[inside], place[end[inside]], np.diff(offsets)
+    open_ = np.setdiff1d(np.flatnonzero(lengths), text[end == lengths[text]])
+    last = np.searchsorted(spot, offsets[open_] + open_ + np.maximum(lengths[open_] - least, 0), "right") - 1
+    return np.concatenate([text, open_]), np.concatenate([start, place[last]]), np.concatenate([end, lengths[open_]])
 
 
 def _chunk_rows(docs: DataFrame, least: int) -> DataFrame:

@@ -258,6 +258,22 @@ def test_chunks_resist_shifts(docs, empty):
     assert chunks.deduplicate_chunks(empty).count() == 0
 
 
+def test_chunks_cover_all_bytes(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdef ghij") for _ in range(n)) for n in (0, 1, 15, 63, 64, 65, 200, 800, 3000, 0, 1500)]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    found = list(zip(*map(np.ndarray.tolist, chunks.chunks_of(raw, offsets)), strict=True))
+    assert len(set(found)) == len(found)
+    for i, t in enumerate(texts):
+        mine = [(a, b) for text, a, b in found if text == i]
+        assert merged(mine) == ([[0, len(t)]] if t else []) and all(b - a >= min(64, len(t)) for a, b in mine)
+    df = spark.createDataFrame([(10 * k + i, t) for k in range(2) for i, t in enumerate(texts[1:9])], "doc_id long, text string")
+    for r in chunks.deduplicate_chunks(df).collect():
+        whole = r.doc_id >= 10
+        assert (r.n_removed == r.n_bytes and r.kept_sha256 == hashlib.sha256(b"").hexdigest()) == whole and r.n_repeated == r.n_bytes
+
+
 def test_attention_gradient():
     rng = np.random.default_rng(2)
     net = attention.Network()
