@@ -177,6 +177,16 @@ def test_secrets(spark, docs, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_the_ratio_alone_decides_random_runs(spark):
+    """Runs of letters or digits alone, and runs that go beyond a known span; not runs inside one."""
+    model = [1.0] * secrets._SYMBOLS**2, 15.5
+    texts = ["a QWERTYUIOPASDFGHJ b", "12345678901234567", "XYZW0123456789abcdefXYZW", "0123456789abcdef01", "short run"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.secrets if s.kind == 3] for r in secrets.find_secrets(df, model).collect()}
+    assert got == {0: [(2, 19)], 1: [], 2: [(0, 24)], 3: [], 4: []}
+    assert {r.doc_id: r.text for r in secrets.redact(df, model).collect()}[2] == "[SECRET]"
+
+
 def test_kneser_ney_sums_to_one():
     _, runs, _ = language.letter_runs(["abab cab", "bca"])
     keys, n = np.unique(runs, return_counts=True)
