@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoweave.llm.base import LOWER, Words, mix, query, stage, table, text_batches
+from chronoweave.llm.base import LOWER, Words, mix, query, recording, release, stage, table, text_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how texts are cut before byte pairs are merged; words reach it one by one.
@@ -237,7 +238,8 @@ def word_chances(words: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     pairs = pairs.select("pair", _discounted("p1").alias("p2"))
     grams = grams.withColumns({"two": F.expr("shiftright(gram, 16)"), "pair": F.expr("gram & 4294967295")})
     grams = grams.join(_totals(grams, "two"), "two").join(pairs, "pair").select("gram", _discounted("p2").alias("p3"))
-    nodes = nodes.join(_totals(nodes, "parent"), "parent").join(grams, "gram").select("child", _discounted("p3").alias("p"))
+    grams = stage(grams)
+    nodes = stage(nodes.join(_totals(nodes, "parent"), "parent").join(grams, "gram").select("child", _discounted("p3").alias("p")))
     chances = steps.select("hash", "at", "child").join(nodes, "child").groupBy("hash")
     chances = chances.agg(F.array_sort(F.collect_list(F.struct("at", "p"))).alias("chance"))  # one for each subword of a word
     return words.join(chances.select("hash", F.col("chance.p").alias("chance")), "hash"), single, starts
@@ -554,19 +556,37 @@ def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens
     return docs.select("id", "held_out", "text", "rare").mapInArrow(run, T.StructType(fields))
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark deletes the shuffle files of a query when it ends; only staged tables are read again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, head: int = HEAD) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score): one row per document."""
     held = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
     slim = docs.select(F.col(key).alias("id"), held.alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    split = stage(_split(word_counts(slim), path))
-    words, distinct = split.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    ends = slim.where(~F.col("held_out")).count()
-    train_tokens, distinct = words + ends, distinct + (ends > 0)
-    chances, single, starts = word_chances(split)
-    chances = stage(chances)
-    lexicon = Lexicon(most_frequent(chances, head), single, starts)
-    full = stage(with_rare_words(slim, chances, lexicon.hash))
-    weights = _train_network(full.where(~F.col("held_out")), lexicon, ROUNDS)
+    spark = docs.sparkSession
+    with _shuffles_dropped(spark):
+        with recording() as counted:
+            split = stage(_split(word_counts(slim), path))
+            words, distinct = split.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+            ends = slim.where(~F.col("held_out")).count()
+            train_tokens, distinct = words + ends, distinct + (ends > 0)
+            chances, single, starts = word_chances(split)
+            with recording() as chosen:
+                chances = stage(chances)
+        release(spark, [f for f in counted if f not in chosen])
+        lexicon = Lexicon(most_frequent(chances, head), single, starts)
+        full = stage(with_rare_words(slim, chances, lexicon.hash))
+        release(spark, chosen)
+        weights = _train_network(full.where(~F.col("held_out")), lexicon, ROUNDS)
     scored = _scored(full, lexicon, weights, train_tokens, distinct, ends)
     return scored.select(F.col("id").alias(key), "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
