@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.operators.ordered import block_bucket, ordered_scan
+from chronoweave.operators.ordered import ordered_scan
 
 # Role markers of the prompt format.
 OPEN = "<|im_start|>"
@@ -67,7 +67,7 @@ def conversation_contexts(
     fitting = turns
     if max_tokens is not None:
         sized = turns.withColumn("__size", tokenizer.floor(message_text(F.col(role), F.col(text))))
-        sized = ordered_scan(sized, [conversation], [turn], block_bucket(turn), running={"__total": "__size"})
+        sized = ordered_scan(sized, [conversation], [turn], running={"__total": "__size"})
         opening = F.lit(f"{OPEN}system\n{system}{CLOSE}\n")
         closing = F.lit(f"{OPEN}assistant\n")
         fitting = sized.where(F.col("__total") + tokenizer.floor(opening) + tokenizer.floor(closing) <= max_tokens)

@@ -15,7 +15,6 @@ def nest_children(
     keys: Sequence[str],
     order: Sequence[str],
     fields: Sequence[str],
-    bucket: Column,
     *,
     part_rows: int = 10_000,
     out: str = "rows",
@@ -25,7 +24,7 @@ def nest_children(
     A key with more rows continues in ``part`` 1, 2, ..., so that no list and no
     task holds an unbounded key. ``n_rows`` is the length of the part.
     """
-    numbered = ordered_scan(df, keys, order, bucket, number="__rn")
+    numbered = ordered_scan(df, keys, order, number="__rn")
     record = F.struct("__rn", *fields)
     parts = numbered.withColumn("part", F.floor((F.col("__rn") - 1) / part_rows))
     grouped = parts.groupBy(*keys, "part").agg(

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.operators.ordered import ordered_scan, time_bucket
+from chronoweave.operators.aggregates import nest_children
+from chronoweave.operators.ordered import ordered_scan
+from chronoweave.session import stage
 
 
 def restrict(df: DataFrame, ids: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -72,8 +74,6 @@ def counts_before(
     time: str,
     row_id: str,
     value: str,
-    *,
-    hours: int = 24,
 ) -> DataFrame:
     """For each anchor, the subject's rows strictly before its cutoff, as running figures.
 
@@ -99,7 +99,6 @@ def counts_before(
         both,
         [subject],
         order,
-        time_bucket("__t", hours),
         running={"n_before": "__one", "value_before": "__value"},
         carry={"last_before": "__tie"},
     )
@@ -111,10 +110,60 @@ def counts_before(
     )
 
 
+def prefix_lengths(anchors: DataFrame, rows: DataFrame, subject: str, cutoff: str, time: str) -> DataFrame:
+    """Anchors with ``n_before``, how many rows of the subject lie strictly before the cutoff; those with none are left out.
+
+    With the subject's rows in order of time, ``(subject, n_before)`` says which rows they are.
+    """
+    asked = anchors.where(F.col(cutoff).isNotNull()).withColumns({"__t": F.col(cutoff), "__kind": F.lit(0), "__n": F.lit(0).cast("bigint")})
+    steps = rows.where(F.col(time).isNotNull()).groupBy(F.col(subject), F.col(time).alias("__t")).agg(
+        F.lit(1).alias("__kind"), F.count(F.lit(1)).alias("__n")
+    )
+    both = asked.unionByName(steps, allowMissingColumns=True)
+    scanned = ordered_scan(both, [subject], ["__t", "__kind"], running={"n_before": "__n"})
+    return scanned.where("__kind = 0 AND n_before > 0").select(*anchors.columns, "n_before")
+
+
+def history_parts(rows: DataFrame, subject: str, time: str, tie: Sequence[str], part_rows: int) -> DataFrame:
+    """The rows of each subject in order of time, numbered and in lists of ``part_rows``: ``subject, part, n_rows, history``."""
+    fields = [c for c in rows.columns if c != subject]
+    return nest_children(rows.where(F.col(time).isNotNull()), [subject], [time, *tie], fields, part_rows=part_rows, out="history")
+
+
 def rows_before(
-    anchors: DataFrame, rows: DataFrame, subject: str, cutoff: str, time: str
+    anchors: DataFrame,
+    rows: DataFrame,
+    subject: str,
+    cutoff: str | None,
+    time: str,
+    tie: Sequence[str] | None = None,
+    *,
+    last: int | None = None,
+    number: str | None = None,
+    part_rows: int = 1_000,
 ) -> DataFrame:
-    """The same join with the rows themselves, for rows already bounded per subject."""
-    held = rows.withColumnRenamed(subject, "__subject")
-    on = (F.col(subject) == F.col("__subject")) & (F.col(time) < F.col(cutoff))
-    return anchors.join(held, on).drop("__subject")
+    """The same join with the rows themselves: each anchor with the rows of its subject before its cutoff.
+
+    A subject's rows are numbered and laid in parts once. An anchor is a prefix of them,
+    and reads the parts that its prefix reaches into, by an equi-join on (subject, part): no
+    pair of an anchor and a row is made or compared that is not in the result. With
+    ``last``, only the latest so many rows are read. ``cutoff=None`` takes the whole history.
+
+    tie     columns that order rows of equal time; by default all others
+    number  output column for the row's number in the subject's history, from 1
+    """
+    tie = [c for c in rows.columns if c not in (subject, time)] if tie is None else list(tie)
+    parts = stage(history_parts(rows, subject, time, tie, part_rows))
+    if cutoff is None:
+        reads = anchors.join(parts.groupBy(subject).agg(F.sum("n_rows").alias("n_before")), subject)
+    else:
+        reads = prefix_lengths(anchors, rows, subject, cutoff, time)
+    first = F.lit(0).cast("bigint") if last is None else F.greatest(F.col("n_before") - last, F.lit(0))
+    reads = reads.withColumn("__first", first)
+    reads = reads.withColumn("part", F.explode(F.sequence(F.floor(F.col("__first") / part_rows), F.floor((F.col("n_before") - 1) / part_rows))))
+    start = F.col("part") * part_rows
+    begin = F.greatest(F.col("__first") - start, F.lit(0))
+    held = F.slice("history", (begin + 1).cast("int"), (F.least(F.col("n_before") - start, F.col("n_rows")) - begin).cast("int"))
+    each = reads.join(parts, [subject, "part"]).select(*anchors.columns, (start + begin).alias("__before"), F.posexplode(held).alias("__pos", "__row"))
+    place = [] if number is None else [(F.col("__before") + F.col("__pos") + 1).alias(number)]
+    return each.select(*anchors.columns, *place, "__row.*")

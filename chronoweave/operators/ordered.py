@@ -1,57 +1,93 @@
 """Ordered operators that hold when one key owns a large share of all rows.
 
-``Window.partitionBy(key)`` puts a whole key into one task. ``ordered_scan`` first
-counts rows per key (combined on the map side). If no key is large, plain windows
-are the cheapest plan: one shuffle. Large keys are split into *buckets* that follow
-the sort order (calendar days, blocks of a sequence number): each bucket is one
-window group, and one summary row per ``(key, bucket)`` carries the state between
-buckets. A large key then costs a task at most one bucket of rows, plus one summary
-row per bucket, and the number of buckets per key is bounded by the calendar (or by
-``max(seq) / block``). Other keys are not touched by that.
+``Window.partitionBy(key)`` puts a whole key into one task. ``ordered_scan`` range-partitions
+the keys for which that matters: ``key_cuts`` samples one row in so many, as Spark's own range
+partitioner does, and cuts a key at every so-many-th sampled row of its order. A key with
+fewer rows has no cut and is one stretch; any other has stretches of about ``rows`` rows,
+wherever its rows lie, also if all share one hour or one instant (the cuts are values of
+the whole order, ties included). Each stretch is one window group; one summary row per
+stretch carries the state to the next one. If no key has a cut, the plan is the plain
+windows: one shuffle.
+
+Cuts only decide where rows are scanned, never what comes out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.session import cut_lineage, stage
 
-LARGE_KEY = 1_000_000  # rows of one key that one task sorts without trouble
+STRETCH = 1_000_000  # rows of one key that one task is meant to sort
+SAMPLED = 256  # sampled rows per stretch: its length is met within a few percent
+MOST_CUTS = 1 << 14  # of one key; beyond, its stretches grow
 
+_S = "__stretch"
 _B = "__bucket"
-_NULLS_FIRST = -(1 << 62)  # nulls sort ahead of all values, so their bucket is the lowest
 _HEX = 4  # digits of a digest that choose the bucket
 _POSITION_BITS = 33  # monotonically_increasing_id() keeps the row position in its low 33 bits
 
 
-def time_bucket(t: str | Column, hours: int = 24) -> Column:
-    """Order-preserving bucket number of a timestamp or date, ``hours`` wide."""
-    c = F.col(t) if isinstance(t, str) else t
-    number = F.floor((F.unix_date(c.cast("date")).cast("bigint") * 24 + F.hour(c)) / hours)
-    return F.coalesce(number, F.lit(_NULLS_FIRST))
+@dataclass(frozen=True)
+class Cuts:
+    """Where long keys are cut: ``table`` has ``keys`` and ``__cuts``, a sorted list of ``order`` values; None: no key is long."""
 
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    table: DataFrame | None
 
-def block_bucket(seq: str | Column, size: int = 1024) -> Column:
-    """Order-preserving bucket number of an integer sequence column."""
-    c = F.col(seq) if isinstance(seq, str) else seq
-    return F.coalesce(F.floor(c / size), F.lit(_NULLS_FIRST))
+    def stretch(self) -> Column:
+        """The stretch of a row joined with ``table``: how many cuts are not above it. Null without cuts."""
+        here = F.struct(*[F.col(f"`{c}`") for c in self.order])
+        steps = F.array(*[F.lit(MOST_CUTS >> i) for i in range(1, MOST_CUTS.bit_length())])
+        # Binary search: beyond the end of the list get() is null, which counts as above.
+        found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("__cuts", at + step - 1) <= here, at + step).otherwise(at))
+        return F.when(F.col("__cuts").isNotNull(), found)
+
+    def placed(self, df: DataFrame, out: str = _S) -> DataFrame:
+        """``df`` with the stretch of each row."""
+        if self.table is None:
+            return df.withColumn(out, F.lit(None).cast("int"))
+        return df.join(self.table, list(self.keys), "left").withColumn(out, self.stretch()).drop("__cuts")
+
+
+def key_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = STRETCH, seed: int = 7) -> Cuts:
+    """Cut every key into stretches of about ``rows`` rows along ``order``, by a sample of the key and order columns.
+
+    The cuts serve any table with these keys whose rows lie along the same order, so
+    several scans of one pipeline can share them. They are staged, so retried tasks see the same ones.
+    """
+    share = min(1.0, SAMPLED / rows)
+    step = max(int(rows * share), 1)
+    narrow = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *order])])
+    sampled = narrow.sample(share, seed) if share < 1 else narrow
+    if sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > step).isEmpty():
+        return Cuts(tuple(keys), tuple(order), None)
+    in_order = Window.partitionBy(*keys).orderBy(*order)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    width = F.lit(step) * F.ceil(n / F.lit(step * (MOST_CUTS - 1)))
+    marked = sampled.select(*keys, F.struct(*order).alias("__at"), F.row_number().over(in_order).alias("__i"), width.alias("__width"))
+    picked = marked.where((F.col("__i") > 1) & ((F.col("__i") - 1) % F.col("__width") == 0))
+    lists = picked.groupBy(*keys).agg(F.array_sort(F.collect_list("__at")).alias("__cuts"))  # at most MOST_CUTS long
+    return Cuts(tuple(keys), tuple(order), stage(lists))
 
 
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     *,
     number: str | None = None,
     running: Mapping[str, str] | None = None,
     carry: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
     monotone: Sequence[str] = (),
-    large_key: int | None = LARGE_KEY,
+    cuts: Cuts | None = None,
+    rows: int = STRETCH,
 ) -> DataFrame:
     """Window functions over ``keys`` ordered by ``order``.
 
@@ -61,46 +97,27 @@ def ordered_scan(
     following  {out: value}  first non-null value strictly after this row
     monotone   outputs of carry/following whose value never falls along the order;
                they are summarised by plain min/max
-    bucket     a column, or a struct, that never falls along the order
-    large_key  keys with more rows than this are scanned bucket by bucket;
-               None: the caller knows that keys are bounded
+    cuts       from ``key_cuts`` over some of ``keys`` and the first columns of ``order``;
+               by default those of ``df`` itself, in stretches of about ``rows`` rows
 
     Keys must not be null and ``order`` must be total within a key.
     """
     outs = _Outputs(number, dict(running or {}), dict(carry or {}), dict(following or {}), set(monotone))
-    large = None if large_key is None else _large_keys(df, keys, large_key)
-    if large is None:
+    cuts = key_cuts(df, keys, order, rows) if cuts is None else cuts
+    if cuts.table is None:
         whole = df.select("*", *outs.windows(list(keys), order))
         return whole.select(*outs.kept(df), *[outs.local(o).alias(o) for o in outs.names])
 
-    d = df.join(large, list(keys), "left").withColumn(_B, F.when(F.col("__large"), bucket))
-    groups = [*keys, _B]
-    up = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy(*keys).orderBy(F.col(_B).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    # Rows of other keys have a null bucket, so they find no state and stay as they are.
-    state = d.where("__large").groupBy(*groups).agg(*outs.summaries(order)).select(*groups, *outs.before(up, down))
+    d = cuts.placed(df)
+    groups = [*keys, _S]
+    up = Window.partitionBy(*keys).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*keys).orderBy(F.col(_S).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    # Rows of keys without cuts have no stretch, so they find no state and stay as they are.
+    state = d.where(F.col(_S).isNotNull()).groupBy(*groups).agg(*outs.summaries(order)).select(*groups, *outs.before(up, down))
     scanned = d.select("*", *outs.windows(groups, order)).join(state, groups, "left")
     return scanned.select(*outs.kept(df), *[outs.combined(o).alias(o) for o in outs.names])
 
 
-def scan_limit(df: DataFrame, keys: Sequence[str], large_key: int = LARGE_KEY) -> int | None:
-    """``large_key`` for scans over tables derived from ``df``: None if no key of ``df`` is large.
-
-    Several scans of one pipeline share the answer, and only the key columns are read.
-    """
-    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
-    return None if longest is None or longest <= large_key else large_key
-
-
-def _large_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Keys with more than ``limit`` rows (at most rows/limit of them), or None."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    longest = counts.agg(F.max("__n")).first()[0]
-    if longest is None or longest <= limit:
-        return None
-    return stage(counts.where(F.col("__n") > limit).select(*keys, F.lit(True).alias("__large")))
-
-
 class _Outputs:
     """The column expressions of one scan."""
 

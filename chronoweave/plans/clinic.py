@@ -20,6 +20,8 @@ from chronoweave.operators.columns import (
 )
 from chronoweave.operators.joins import enrich, first_seen, full_merge, keep_if_listed, look_up, restrict, rows_before
 from chronoweave.operators.ordered import first_by
+from chronoweave.plans.records import stay_records
+from chronoweave.plans.samples import discharge_samples as label_samples
 from chronoweave.plans.timeline import event_rows, section_rows, union_rows
 from chronoweave.spec import Section, Wording
 
@@ -122,6 +124,10 @@ HIDDEN = {
         "poe id", "order time", "start time", "stop time", "discontinues poe id", "discontinued by poe id",
     ),
 }
+CHILDREN = (
+    "hospital services", "transfers", "lab tests", "microbiology tests", "procedures", "provider orders",
+    "other patient information", "radiology notes", "discharge note", "diagnoses",
+)
 TARGETS = ("lab tests", "microbiology tests", "provider orders", "procedures")
 STANDING = ("diagnoses",)
 
@@ -248,9 +254,9 @@ def discharge_notes(tables: Tables, stays: DataFrame) -> DataFrame:
 
 
 def other_information(tables: Tables, stays: DataFrame) -> DataFrame:
-    """Outpatient measurements of the stay's subject, all of them: sizes are judged once snapshots are sized."""
-    measured = _named(restrict(tables["omr"], stays, ["subject_id"]), "omr")
-    return stays.select("stay_id", "subject_id").join(measured.where(F.col("`chart date`").isNotNull()), "subject_id")
+    """Outpatient measurements of the stay's subject, all of them: stays share the lists of their subject."""
+    measured = restrict(tables["omr"], stays, ["subject_id"])
+    return _named(rows_before(stays.select("stay_id", "subject_id"), measured, "subject_id", None, "chartdate"), "omr")
 
 
 def radiology_notes(tables: Tables, stays: DataFrame, options: Options = Options()) -> DataFrame:
@@ -269,7 +275,7 @@ def radiology_notes(tables: Tables, stays: DataFrame, options: Options = Options
         tables["radiology_detail"], ["note_id", "subject_id"], "field_name", "field_value", NOTE_DETAILS, ["field_value"]
     )
     detailed = enrich(notes, details, ["note_id", "subject_id"])
-    before = rows_before(anchors, detailed, "subject_id", "cutoff", "charttime")
+    before = rows_before(anchors, detailed, "subject_id", "cutoff", "charttime", ["note_id"])
     return _named(before, "radiology")
 
 
@@ -325,6 +331,55 @@ def _fields(df: DataFrame, *without: str) -> tuple[str, ...]:
     return tuple(c for c in df.columns if c not in _KEYS and c not in without)
 
 
+def admission_children(tables: Tables, stays: DataFrame, options: Options = Options()) -> list[tuple[Section, DataFrame]]:
+    """Each child of the admission with its section, in the order of ``CHILDREN``."""
+
+    def records(name: str, df: DataFrame, time: str, tie: Sequence[str], *without: str, **more) -> tuple[Section, DataFrame]:
+        fields = _fields(df, *without)
+        return Section(name, "records", fields, time=time, tie=tuple(tie), hidden=HIDDEN.get(name, ()), **more), df
+
+    titles = Section("diagnoses", "values", ("name",), tie=("seq_num",), target=True, mute=True)
+    return [
+        records("hospital services", services(tables, stays), "transfer time", ["current service"]),
+        records("transfers", transfers(tables, stays), "in time", ["care unit"], spine=True, end="out time"),
+        records("lab tests", lab_tests(tables, stays), "chart time", ["labevent_id"], "labevent_id", spine=True, target=True),
+        records("microbiology tests", microbiology_tests(tables, stays), "chart time", ["microevent_id"], "microevent_id", spine=True, target=True),
+        records("procedures", procedures(tables, stays), "chart date", ["seq_num"], "seq_num", spine=True, target=True),
+        records("provider orders", provider_orders(tables, stays, options), "visible", ["poe id", "drug"], "visible", spine=True, target=True),
+        records("other patient information", other_information(tables, stays), "chart date", ["seq_num", "name", "value"], "seq_num"),
+        records("radiology notes", radiology_notes(tables, stays, options), "chart time", ["note id"], spine=True),
+        records("discharge note", discharge_notes(tables, stays), "chart time", ["note_id"], "note_id", spine=True),
+        (titles, diagnoses(tables, stays)),
+    ]
+
+
+def nested_stays(tables: Tables, stays: DataFrame, options: Options = Options(), *, part_rows: int = 10_000) -> DataFrame:
+    """The nested record of each stay: patient and admission fields, and every child as a list (see ``stay_records``)."""
+    admission = drop_listed(tables["admissions"], ("subject_id", "admittime", "dischtime", *DROPPED["admissions"])).withColumnRenamed("hadm_id", "stay_id")
+    patients = patient_information(tables, stays).drop("subject_id", "race", "marital status", "language")
+    whole = stays.join(patients, "stay_id", "left").join(admission, "stay_id", "left")
+    return stay_records(whole, admission_children(tables, stays, options), part_rows=part_rows)
+
+
+def discharge_samples(
+    tables: Tables, stays: DataFrame, *, question: str = "Which diagnoses fit this stay?", heading: str = "Potential diagnoses", **limits
+) -> DataFrame:
+    """One sample per stay with diagnoses: who the patient is and the discharge notes in, the diagnoses out."""
+    patients = patient_information(tables, stays)
+    who = text.record_lines([(c, F.col(f"`{c}`")) for c in patients.columns if c not in ("stay_id", "subject_id")])
+    about = patients.select("stay_id", F.concat(F.lit("patient information:\n"), text.numbered(who, F.lit(1), F.lit(1))).alias("__who"))
+    notes = discharge_notes(tables, stays)
+    line = text.record_lines([(c, F.col(f"`{c}`")) for c in notes.columns if c not in ("stay_id", "note_id")])
+    notes = notes.select("stay_id", F.struct(F.col("`chart time`").alias("t"), "note_id", line.alias("line")).alias("note"))
+    letters = notes.groupBy("stay_id").agg(F.array_sort(F.collect_list("note")).alias("__notes"))  # a stay has few discharge notes
+    letter = F.concat(F.lit("discharge note:\n"), text.numbered_list(F.transform("__notes", lambda n: n["line"])))
+    told = stays.join(about, "stay_id", "left").join(letters, "stay_id", "left")
+    told = told.select("stay_id", "subject_id", F.concat(F.coalesce("__who", F.lit("")), F.coalesce(letter, F.lit("")), F.lit("\n")).alias("__told"))
+    return label_samples(
+        told, diagnoses(tables, stays), preamble=F.col("__told"), note=None, label="name", tie=["seq_num"], question=question, heading=heading, **limits
+    )
+
+
 def timeline_rows(
     tables: Tables,
     stays: DataFrame,
@@ -354,37 +409,20 @@ def timeline_rows(
             F.col("deathtime").alias("death time"),
         )
     )
-    labs, micro = own(lab_tests(tables, stays)), own(microbiology_tests(tables, stays))
-    done, ordered = own(procedures(tables, stays)), own(provider_orders(tables, stays, options))
-    omr = own(other_information(tables, stays))
-    notes = own(radiology_notes(tables, stays, options))
-    served, moved = own(services(tables, stays)), own(transfers(tables, stays))
-    letters, findings = own(discharge_notes(tables, stays)), own(diagnoses(tables, stays))
+    held = {section.name: (own(df), section) for section, df in admission_children(tables, stays, options)}
 
     def scalar(name: str, time: str | None = None, spine: bool = False) -> tuple[DataFrame, Section]:
         return scalars, Section(name, "scalar", (name,), time=time, spine=spine)
 
-    def records(name: str, df: DataFrame, time: str, tie: Sequence[str], *without: str, **more):
-        fields = _fields(df, *without)
-        return df, Section(name, "records", fields, time=time, tie=tuple(tie), hidden=HIDDEN.get(name, ()), **more)
-
     main = [
         scalar("admission time", "admission time", spine=True),
         scalar("admission type"),
         scalar("admission location"),
-        records("hospital services", served, "transfer time", ["current service"]),
-        records("transfers", moved, "in time", ["care unit"], spine=True, end="out time"),
-        records("lab tests", labs, "chart time", ["labevent_id"], "labevent_id", spine=True, target=True),
-        records("microbiology tests", micro, "chart time", ["microevent_id"], "microevent_id", spine=True, target=True),
-        records("procedures", done, "chart date", ["seq_num"], "seq_num", spine=True, target=True),
-        records("provider orders", ordered, "visible", ["poe id", "drug"], "visible", spine=True, target=True),
-        records("other patient information", omr, "chart date", ["seq_num", "name", "value"], "seq_num"),
+        *[held[name] for name in CHILDREN[:7]],
         scalar("discharge time", "discharge time", spine=True),
         scalar("discharge location", "discharge time"),
         scalar("death time", "death time", spine=True),
-        records("radiology notes", notes, "chart time", ["note id"], spine=True),
-        records("discharge note", letters, "chart time", ["note_id"], "note_id", spine=True),
-        (findings, Section("diagnoses", "values", ("name",), tie=("seq_num",), target=True, mute=True)),
+        *[held[name] for name in CHILDREN[7:]],
     ]
     if options.death_policy == "asof":
         dated = head.withColumn("since", midnight(F.col("`date of death`")))

@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.operators.columns import shorter_than_days
-from chronoweave.operators.ordered import ordered_scan, time_bucket
+from chronoweave.operators.ordered import ordered_scan
 
 
-def assign_stays(
-    events: DataFrame, subject: str, time: str, event: str, opens: Column, *, hours: int = 24
-) -> DataFrame:
+def assign_stays(events: DataFrame, subject: str, time: str, event: str, opens: Column) -> DataFrame:
     """Give every event the stay it falls into: the subject's last opening event.
 
     Adds ``stay_id, start_t, end_t``; a stay lasts until the next opening event.
@@ -29,7 +27,6 @@ def assign_stays(
         marked,
         [subject],
         [time, event],
-        time_bucket(time, hours),
         carry={"__stay": "__opened"},
         following={"end_t": "__next"},
         monotone=["__stay", "end_t"],

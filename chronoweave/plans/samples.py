@@ -11,7 +11,7 @@ from chronoweave.functions import text
 from chronoweave.functions.identifiers import base_id, numeric_id, sample_id
 from chronoweave.functions.prompts import chat_prompt
 from chronoweave.functions.tokens import attention_mask
-from chronoweave.operators.ordered import ordered_scan, scan_limit, time_bucket
+from chronoweave.operators.ordered import key_cuts, ordered_scan
 from chronoweave.plans.snapshots import fitting_rows, snapshot_sizes, snapshot_texts
 from chronoweave.plans.targets import answer_head, answer_texts, change_groups, change_rows, next_changes
 from chronoweave.session import stage
@@ -54,7 +54,6 @@ def build_samples(
     wording: Wording,
     tokenizer,
     max_tokens: int | None,
-    hours: int = 24,
     dedupe: str = "distinct",
     keep_empty: bool = False,
     reuse: Callable[[DataFrame], DataFrame] = stage,
@@ -71,7 +70,7 @@ def build_samples(
     stay: meant for stays of known length.
     """
     rows = reuse(rows)
-    large_key = scan_limit(rows, ["stay_id"])
+    cuts = key_cuts(rows, ["stay_id"], ["t"])  # shared by all scans along the time of a stay
     sections = [*targets, *standing]
     overhead = tokenizer.floor(
         chat_prompt(
@@ -81,13 +80,13 @@ def build_samples(
         )
     ).cast("double")
 
-    sizes = snapshot_sizes(rows, tokenizer, hours, large_key)
+    sizes = snapshot_sizes(rows, tokenizer, cuts)
     if max_tokens is not None:
         sizes = reuse(sizes.where(F.col("size") <= max_tokens))
     snapshots = sizes.where("in_spine").select("stay_id", "t", "size")
 
     changes = change_rows(rows, dedupe)
-    asked = next_changes(snapshots, change_groups(changes), targets, hours, large_key)
+    asked = next_changes(snapshots, change_groups(changes), targets, cuts)
     if not keep_empty:
         asked = asked.where(F.col("n_rows") > 0)
     asked = asked.select("stay_id", "t", "size", "section", "next_t", "answer_size")
@@ -103,7 +102,7 @@ def build_samples(
         (F.col("size") + F.col("answer_size") + overhead).alias("n_tokens"),
     )
     if max_tokens is None:
-        kept = ordered_scan(asked, ["stay_id"], ["t", "rank"], time_bucket("t", hours), number="number", large_key=large_key)
+        kept = ordered_scan(asked, ["stay_id"], ["t", "rank"], number="number", cuts=cuts)
     else:
         # Every snapshot here fits, so a stay has at most about max_tokens of them: a plain window.
         upto = Window.partitionBy("stay_id").orderBy("t", "rank")
@@ -200,7 +199,7 @@ def discharge_samples(
     labels: DataFrame,
     *,
     preamble: Column,
-    note: str,
+    note: str | None,
     label: str,
     tie: Sequence[str],
     question: str,
@@ -211,7 +210,7 @@ def discharge_samples(
     """One sample per stay: what is known at the end in, the list of labels out.
 
     A stay without labels gives no sample. Every other stay gives one; its length is
-    judged by the filters on token rows. With ``max_tokens`` and a ``tokenizer``, lists
+    judged by the filters on token rows. ``note=None``: the preamble holds the note. With ``max_tokens`` and a ``tokenizer``, lists
     that alone are longer (their prompts would be cut later) are never collected.
     """
     lines = labels.select("stay_id", *tie, text.value_line(F.col(label)).alias("__line"))
@@ -224,6 +223,6 @@ def discharge_samples(
         F.concat(F.col("stay_id").cast("string"), F.lit("_discharge")).alias("sample_id"),
         "subject_id",
         "stay_id",
-        F.concat(preamble, text.field_line("note", F.col(note)), F.lit(f"\n\n{question}")).alias("input"),
+        F.concat(preamble, *([] if note is None else [text.field_line("note", F.col(note))]), F.lit(f"\n\n{question}")).alias("input"),
         F.concat(F.lit(f"{heading}:\n"), answer, F.lit("\n")).alias("output"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.functions import text
-from chronoweave.operators.ordered import LARGE_KEY, ordered_scan, time_bucket
+from chronoweave.operators.ordered import Cuts, ordered_scan
 from chronoweave.spec import Wording
 
 
@@ -37,14 +37,13 @@ def next_changes(
     snapshots: DataFrame,
     groups: DataFrame,
     sections: Sequence[str],
-    hours: int = 24,
-    large_key: int | None = LARGE_KEY,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """For each snapshot and section, the section's next instant after the snapshot.
 
     ``snapshots`` has ``stay_id, t`` and may carry more columns. Adds ``section,
     next_t, n_rows, answer_size``; a snapshot without a later change gives no row.
-    One backward scan per section replaces the search through later snapshots.
+    ``cuts``: of some table by ``stay_id`` along ``t``. One backward scan per section replaces the search through later snapshots.
     """
     extra = [c for c in snapshots.columns if c not in ("stay_id", "t")]
     asked = snapshots.select(
@@ -57,8 +56,8 @@ def next_changes(
     # A change sorts ahead of a question at the same instant, so that it is not "after" it.
     scanned = ordered_scan(
         asked.unionByName(found, allowMissingColumns=True),
-        ["stay_id", "section"], ["t", "asks"], time_bucket("t", hours),
-        following={"next": "change"}, monotone=["next"], large_key=large_key,
+        ["stay_id", "section"], ["t", "asks"],
+        following={"next": "change"}, monotone=["next"], cuts=cuts,
     )
     return scanned.where((F.col("asks") == 1) & F.col("next").isNotNull()).select(
         "stay_id",

@@ -32,7 +32,7 @@ NUMBER_LINE = " - 1 of 1\n"
 _TIE = "array<struct<whole:decimal(38,10),real:double,words:string>>"
 
 
-def _tie(df: DataFrame, names: Sequence[str]) -> Column:
+def sort_key(df: DataFrame, names: Sequence[str]) -> Column:
     """Sort key: one struct per column, its value in the field of its kind, so numbers sort as numbers.
 
     Whole texts count. Nulls sort first.
@@ -75,7 +75,7 @@ def event_rows(
         kind="event",
         t=F.col("event_t"),
         t_end=None,
-        tie=_tie(events, ()),
+        tie=sort_key(events, ()),
         line_open=F.lit(None).cast("string"),
         line_full=opening,
         size_open=size,
@@ -131,7 +131,7 @@ def section_rows(
         kind=section.kind,
         t=t,
         t_end=F.col(f"`{section.end}`").cast("timestamp_ntz") if section.end else None,
-        tie=_tie(df, section.tie),
+        tie=sort_key(df, section.tie),
         line_open=no_line if line_open is None else line_open,
         line_full=line_full,
         size_open=(size_full if line_open is None else size_open).cast("double"),

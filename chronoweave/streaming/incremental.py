@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from chronoweave.operators.joins import restrict
@@ -14,22 +15,29 @@ from chronoweave.session import cut_lineage
 from chronoweave.sources.ledger import Ledger, run_names
 
 
-def build_new(candidates: DataFrame, ledger: Ledger, build: Callable[[DataFrame], DataFrame], out: str) -> None:
+def build_new(
+    candidates: DataFrame, ledger: Ledger, build: Callable[[DataFrame], DataFrame], out: str, run: str | None = None
+) -> None:
     """Build the ids that are not in the ledger, then log them. One writer at a time.
 
     Each run writes a folder of its own below ``out``, publishes it by a mark beside ``out``,
     and logs its ids. Rows of a run that died while writing have no mark: ``published`` leaves
     them out and their ids are built again. A run that died after its mark is
     logged by the next one, from that run's folder alone.
+
+    A run that may be repeated brings its name in ``run``: it then overwrites what it left half
+    written, and does nothing once it is published.
     """
     spark = candidates.sparkSession
-    logged = ledger.runs()
-    for run in sorted(_marked(spark, out) - logged):
-        ledger.add(spark.read.parquet(f"{out}/run={run}"))
-        ledger.add_run(run)
+    marked = _marked(spark, out)
+    for done in sorted(marked - ledger.runs()):
+        ledger.add(spark.read.parquet(f"{out}/run={done}"))
+        ledger.add_run(done)
+    if run in marked:
+        return
     todo = cut_lineage(ledger.todo(candidates))
-    run = uuid.uuid4().hex
-    build(todo).write.parquet(f"{out}/run={run}")
+    run = uuid.uuid4().hex if run is None else run
+    build(todo).write.mode("overwrite").parquet(f"{out}/run={run}")
     spark.createDataFrame([(run,)], "run string").write.mode("append").parquet(_marks(out))
     ledger.add(todo)
     ledger.add_run(run)
@@ -49,6 +57,16 @@ def _marked(spark: SparkSession, out: str) -> set[str]:
     return run_names(spark, _marks(out))
 
 
+def file_arrivals(spark: SparkSession, path: str, schema: T.StructType, *, files_per_trigger: int | None = None, pattern: str | None = None) -> DataFrame:
+    """A stream of the Parquet files that arrive in a folder, at most ``files_per_trigger`` to a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.parquet(path)
+
+
 def stream_builds(
     arrivals: DataFrame,
     ledger: Ledger,
@@ -58,17 +76,17 @@ def stream_builds(
 ) -> StreamingQuery:
     """Run ``build_new`` over arriving stays; process what is there, then stop.
 
-    The stream checkpoint remembers finished files and the ledger finished ids, so
-    a repeated micro-batch adds nothing.
+    The stream checkpoint remembers finished files and the ledger finished ids. A run is
+    named by the stream's id, which its checkpoint keeps, and the number of the
+    micro-batch: one that failed midway overwrites its own folder when it is
+    repeated, and one that was published is skipped. Arrivals are read twice, for
+    their ids and for their rows, and not kept in between, so a backlog needs no memory;
+    ``file_arrivals`` bounds how much of it one micro-batch takes.
     """
 
-    def one(batch: DataFrame, _: int) -> None:
-        # The batch DataFrame is only valid in here and is used more than once.
-        held = batch.persist()
-        try:
-            build_new(held, ledger, lambda ids: build(restrict(held, ids, [ledger.key])), out)
-        finally:
-            held.unpersist()
+    def one(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        build_new(batch, ledger, lambda ids: build(restrict(batch, ids, [ledger.key])), out, f"{stream}-{number}")
 
     return (
         arrivals.writeStream.foreachBatch(one)

@@ -1,13 +1,14 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from chronoweave.functions.tokens import PatternTokenizer
 from chronoweave.plans import clinic
 from chronoweave.plans.cohort import clean_and_bad, cohort_per_visit
 from chronoweave.plans.samples import build_samples
-from chronoweave.plans.snapshots import snapshot_sizes, snapshot_texts
+from chronoweave.plans.snapshots import snapshot_sizes, snapshot_texts, with_closing_list
 from chronoweave.plans.timeline import snapshot_times
 from chronoweave.session import stage
 from chronoweave.sources.catalog import child_tables, structure_of
@@ -261,3 +262,46 @@ def test_admission_scalars(spark, tables):
     got = {r["t"]: r for r in clinic.admission_scalars(tables, at).collect()}
     assert got[D(2020, 5, 2)]["discharge_location"] is None
     assert got[D(2020, 5, 4, 12)]["discharge_location"] == "HOME"
+
+
+@pytest.mark.parametrize("part_rows", [2, 100])
+def test_nested_stays(tables, stays, part_rows):
+    """Every child of a stay in its record, in lists of bounded length, and nothing of other stays."""
+    got = clinic.nested_stays(tables, stays, OPTIONS, part_rows=part_rows)
+    children = dict((s.name, (s, df)) for s, df in clinic.admission_children(tables, stays, OPTIONS))
+    assert set(clinic.CHILDREN) == set(children) and set(clinic.CHILDREN) <= set(got.columns)
+    rows = got.orderBy("stay_id", "part").collect()
+    assert {r["stay_id"] for r in rows} == {1, 3} and all(r["gender"] == {1: "F", 3: "M"}[r["stay_id"]] for r in rows)
+    for name, (section, df) in children.items():
+        held = df.collect()
+        for stay in (1, 3):
+            listed = [x for r in rows if r["stay_id"] == stay for x in r[name]]
+            assert sorted(map(str, listed)) == sorted(str(Row(**{f: h[f] for f in section.fields})) for h in held if h["stay_id"] == stay)
+            times = [x[section.time] for x in listed if section.time in section.fields and x[section.time] is not None]
+            assert times == sorted(times)
+    assert max(len(r[name]) for r in rows for name in clinic.CHILDREN) <= part_rows
+    assert [x["name"] for r in rows for x in r["diagnoses"]] == ["Hypertension", "Primary hypertension", "Other version"]
+
+
+def test_clinic_discharge_samples(tables, stays):
+    made = clinic.discharge_samples(tables, stays, question="Which?").collect()
+    assert [(r["sample_id"], r["subject_id"], r["stay_id"]) for r in made] == [("1_discharge", 10, 1)]  # stay 3 has no diagnoses
+    assert made[0]["output"] == "Potential diagnoses:\n - Hypertension\n - Primary hypertension\n - Other version\n\n"
+    assert made[0]["input"].startswith("patient information:\n - 1 of 1\n   - gender: F\n   - age at anchor year: 50\n")
+    note = tables["discharge"].where("hadm_id = 1").first()
+    assert "discharge note:\n - 1 of 1\n" in made[0]["input"] and f"   - discharge note: {note['text']}\n" in made[0]["input"]
+    assert made[0]["input"].endswith("\n\n\nWhich?")
+
+
+def test_closing_list(tables, stays, rows):
+    last = snapshot_times(rows).groupBy("stay_id").agg(F.max("t").alias("t"))
+    texts = snapshot_texts(last, rows)
+    plain = {r["stay_id"]: r["text"] for r in texts.collect()}
+    closed = {r["stay_id"]: r["text"] for r in with_closing_list(texts, clinic.diagnoses(tables, stays), ["seq_num"], "name").collect()}
+    assert closed[1] == plain[1] + "Diagnoses:\n - Hypertension\n - Primary hypertension\n - Other version\n"
+    assert closed[3] == plain[3]
+
+
+def test_other_information_takes_the_whole_history(tables, stays, rows_of):
+    got = clinic.other_information(tables, stays)
+    assert rows_of(got, "stay_id", "name", "value") == [(1, "Weight", "70"), (1, "Weight", "71"), (3, "Weight", "80")]

@@ -1,5 +1,7 @@
+import random
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from chronoweave.functions import text
@@ -13,7 +15,6 @@ from chronoweave.operators.columns import (
     drop_unset, known_at, midnight, not_denied, null_second_if_both, recode, shorter_than_days, whole_days,
 )
 from chronoweave.operators.joins import counts_before, first_seen, full_merge, rows_before
-from chronoweave.operators.ordered import block_bucket
 from chronoweave.plans.samples import cut_after_overflow
 from chronoweave.plans.splits import hold_out, split_by_hash, split_chunks, validation_count
 
@@ -72,9 +73,26 @@ def test_rows_before_is_strict_and_agrees_with_counts(spark, rows_of):
     assert rows_of(counts, "a", "n_before", "value_before", "last_before") == [(10, 1, 5, 1), (11, 3, 18, 3), (12, 0, None, None)]
 
 
+@pytest.mark.parametrize(("part_rows", "last"), [(1, None), (3, None), (7, 4), (1_000, 1), (2, 50)])
+def test_histories_in_parts_equal_the_join(spark, rows_of, part_rows, last):
+    rng = random.Random(6)
+    anchors = spark.createDataFrame([(rng.randrange(4), i, D(2020, 1, 1 + rng.randrange(25)) if i % 5 else None) for i in range(40)], "s int, a int, cut timestamp_ntz")
+    notes = [(0 if i % 3 else rng.randrange(5), i, D(2020, 1, 1 + rng.randrange(25)) if i % 11 else None) for i in range(90)]
+    df = spark.createDataFrame(notes, "s int, n int, t timestamp_ntz")
+    got = rows_before(anchors, df, "s", "cut", "t", part_rows=part_rows, last=last, number="number")
+    want = []
+    for a in anchors.collect():
+        held = sorted((t, n) for s, n, t in notes if s == a.s and t is not None)
+        seen = [(a.s, a.a, a.cut, k, n, t) for k, (t, n) in enumerate(held, 1) if a.cut is not None and t < a.cut]
+        want += seen if last is None else seen[-last:]
+    assert rows_of(got, "s", "a", "cut", "number", "n", "t") == sorted(want, key=str)
+    whole = rows_before(anchors, df, "s", None, "t", part_rows=part_rows)
+    assert whole.count() == sum(1 for a in anchors.collect() for s, _, t in notes if s == a.s and t is not None)
+
+
 def test_nesting_in_parts(spark, rows_of):
     df = spark.createDataFrame([(1, i) for i in range(7)] + [(2, 0)], "k int, i int")
-    got = nest_children(df, ["k"], ["i"], ["i"], block_bucket("i", 2), part_rows=3)
+    got = nest_children(df, ["k"], ["i"], ["i"], part_rows=3)
     flat = got.select("k", "part", "n_rows", F.transform("rows", lambda r: r["i"]).alias("v"))
     assert rows_of(flat) == [(1, 0, 3, [0, 1, 2]), (1, 1, 3, [3, 4, 5]), (1, 2, 1, [6]), (2, 0, 1, [0])]
     assert rows_of(nest_values(df, ["k"], ["i"], "i", "v")) == [(1, list(range(7))), (2, [0])]

@@ -1,4 +1,4 @@
-"""Bucketed scans against plain windows, with one key that holds a third of the rows."""
+"""Scans by stretches against plain windows, with keys that hold a third of the rows, an hour's or an instant's."""
 
 import random
 from datetime import datetime, timedelta
@@ -7,9 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from chronoweave.operators.ordered import (
-    block_bucket, first_by, global_positions, hash_positions, ordered_scan, scan_limit, time_bucket,
-)
+from chronoweave.operators.ordered import first_by, global_positions, hash_positions, key_cuts, ordered_scan
 from chronoweave.session import stage
 
 
@@ -25,17 +23,19 @@ def skewed(spark):
     return stage(spark.createDataFrame(rows, "k int, t timestamp_ntz, i int, v int, n int"))
 
 
-@pytest.mark.parametrize("large_key", [0, 25, 100, 10_000, None])
-@pytest.mark.parametrize("hours", [1, 24, 24 * 365])
-def test_scan_equals_windows(skewed, large_key, hours):
-    d = skewed.withColumn("vt", F.when(F.col("v").isNotNull(), F.struct("t", "i")))
-    got = ordered_scan(
-        d, ["k"], ["t", "i"], time_bucket("t", hours), number="rn", running={"total": "n"},
-        carry={"last_v": "v"}, following={"next_v": "v", "next_t": "vt"}, monotone=["next_t"], large_key=large_key,
+def _scanned(d, **options):
+    d = d.withColumn("vt", F.when(F.col("v").isNotNull(), F.struct("t", "i")))
+    return ordered_scan(
+        d, ["k"], ["t", "i"], number="rn", running={"total": "n"},
+        carry={"last_v": "v"}, following={"next_v": "v", "next_t": "vt"}, monotone=["next_t"], **options,
     )
+
+
+def _by_windows(d, columns):
     w = Window.partitionBy("k").orderBy("t", "i")
     upto, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(1, Window.unboundedFollowing)
-    want = d.withColumns(
+    d = d.withColumn("vt", F.when(F.col("v").isNotNull(), F.struct("t", "i")))
+    return d.withColumns(
         {
             "rn": F.row_number().over(w).cast("bigint"),
             "total": F.sum("n").over(upto),
@@ -43,21 +43,51 @@ def test_scan_equals_windows(skewed, large_key, hours):
             "next_v": F.first("v", ignorenulls=True).over(after),
             "next_t": F.first("vt", ignorenulls=True).over(after),
         }
-    ).select(*got.columns)
+    ).select(*columns)
+
+
+@pytest.mark.parametrize("rows", [1, 10, 100, 400, 1_000_000])
+def test_scan_equals_windows(skewed, rows):
+    got = _scanned(skewed, rows=rows)
     assert got.count() == 1500
-    assert got.exceptAll(want).count() == 0
+    assert got.exceptAll(_by_windows(skewed, got.columns)).count() == 0
 
 
-def test_struct_bucket(skewed):
-    bucket = F.struct("n", block_bucket("i", 64).alias("b"))
-    got = ordered_scan(skewed, ["k"], ["n", "i"], bucket, number="rn", large_key=50)
-    want = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("n", "i")).cast("bigint"))
+@pytest.mark.parametrize("cut_by", [["t"], ["t", "i"]])
+def test_shared_cuts(skewed, cut_by):
+    """Cuts of one table serve others along the same order, or along its first columns."""
+    cuts = key_cuts(skewed.where("i % 2 = 0"), ["k"], cut_by, 20)
+    got = _scanned(skewed, cuts=cuts)
+    assert got.exceptAll(_by_windows(skewed, got.columns)).count() == 0 and got.count() == 1500
+    finer = ordered_scan(skewed, ["k", "n"], ["t", "i"], number="rn", cuts=cuts)
+    want = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k", "n").orderBy("t", "i")).cast("bigint"))
+    assert finer.exceptAll(want.select(*finer.columns)).count() == 0
+
+
+@pytest.mark.parametrize("instants", [1, 60])
+def test_a_key_within_one_hour_is_spread(spark, instants):
+    """All rows of a key in one instant, or in one hour: stretches stay short, and lie in several tasks."""
+    rows = spark.range(40_000).select(
+        F.lit(1).alias("k"), F.make_dt_interval(mins=(F.col("id") % instants).cast("int")).alias("at"), F.col("id").alias("i"), (F.col("id") % 7).alias("n")
+    )
+    rows = stage(rows.withColumn("t", F.lit(datetime(2020, 1, 1, 9)).cast("timestamp_ntz") + F.col("at")).drop("at"))
+    cuts = key_cuts(rows, ["k"], ["t", "i"], 2_000)
+    placed = cuts.placed(rows)
+    sizes = [r["count"] for r in placed.groupBy("__stretch").count().collect()]
+    assert 15 <= len(sizes) <= 26 and max(sizes) < 3_000
+    tasks = placed.repartition(8, "k", "__stretch").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 5
+    got = ordered_scan(rows, ["k"], ["t", "i"], number="rn", running={"total": "n"}, cuts=cuts)
+    w = Window.partitionBy("k").orderBy("t", "i")
+    want = rows.withColumns({"rn": F.row_number().over(w).cast("bigint"), "total": F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))})
     assert got.exceptAll(want.select(*got.columns)).count() == 0
 
 
-def test_scan_limit(skewed):
-    assert scan_limit(skewed, ["k"], 499) == 499
-    assert scan_limit(skewed, ["k"], 500) is None
+def test_cuts_of_no_rows_and_short_keys(skewed):
+    assert key_cuts(skewed.limit(0), ["k"], ["t"], 5).table is None
+    assert key_cuts(skewed, ["k"], ["t"]).table is None
+    long = key_cuts(skewed, ["k"], ["t", "i"], 100).table.collect()
+    assert [r["k"] for r in long] == [0] and len(long[0]["__cuts"]) == 4 and long[0]["__cuts"] == sorted(long[0]["__cuts"])
 
 
 def test_first_by(skewed):

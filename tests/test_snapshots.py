@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronoweave.functions.tokens import HookTokenizer, PatternTokenizer
+from chronoweave.operators.ordered import key_cuts
 from chronoweave.plans.samples import build_samples, cut_after_overflow, discharge_samples, token_dataset, tokenise
-from chronoweave.plans.snapshots import fitting_rows, snapshot_sizes, snapshot_texts, visible_counts
+from chronoweave.plans.snapshots import PRINTED, fitting_rows, snapshot_sizes, snapshot_texts, visibility_runs, visible_counts
 from chronoweave.plans.targets import change_groups, change_rows, next_changes
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
 from chronoweave.session import stage
@@ -47,10 +48,14 @@ def data(spark):
     return stage(rows), stays
 
 
-@pytest.mark.parametrize("large_key", [1, 40, None])
-def test_counts_equal_the_range_join(data, large_key):
+def cuts_of(rows, length):
+    return key_cuts(rows, ["stay_id"], ["t"], length)
+
+
+@pytest.mark.parametrize("length", [1, 40, 10_000])
+def test_counts_equal_the_range_join(data, length):
     rows, _ = data
-    got = visible_counts(rows, large_key=large_key).select("stay_id", "section", "t", "n_visible")
+    got = visible_counts(rows, cuts=cuts_of(rows, length)).select("stay_id", "section", "t", "n_visible")
     shown = rows.where("kind <> 'event'").select(F.col("stay_id").alias("s"), "section", "t_eff")
     times = snapshot_times(rows)
     want = times.join(shown, (F.col("stay_id") == F.col("s")) & (F.col("t_eff") <= F.col("t"))).groupBy("stay_id", "section", "t").agg(
@@ -60,11 +65,11 @@ def test_counts_equal_the_range_join(data, large_key):
     assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
 
 
-@pytest.mark.parametrize("large_key", [1, 40, None])
-def test_next_changes_equal_the_search(data, large_key):
+@pytest.mark.parametrize("length", [1, 40, 10_000])
+def test_next_changes_equal_the_search(data, length):
     rows, _ = data
     times, groups = snapshot_times(rows), change_groups(change_rows(rows))
-    got = next_changes(times, groups, ["labs", "beds"], large_key=large_key).select("stay_id", "t", "section", "next_t", "n_rows")
+    got = next_changes(times, groups, ["labs", "beds"], cuts_of(rows, length)).select("stay_id", "t", "section", "next_t", "n_rows")
     g = groups.select(F.col("stay_id").alias("s"), "section", F.col("t").alias("gt"), "n_rows")
     later = times.join(g, (F.col("stay_id") == F.col("s")) & (F.col("gt") > F.col("t")))
     first = later.groupBy("stay_id", "t", "section").agg(
@@ -74,10 +79,83 @@ def test_next_changes_equal_the_search(data, large_key):
     assert got.exceptAll(first).count() == 0 and got.count() == first.count()
 
 
-@pytest.mark.parametrize("large_key", [1, None])
-def test_sizes_and_texts(data, large_key):
+def test_runs_hold_what_snapshots_see(data):
+    """One run per section and instant of change, and at every snapshot the run around it says the count."""
+    rows, _ = data
+    runs = visibility_runs(rows, cuts_of(rows, 25))
+    shown = rows.where("kind <> 'event'")
+    assert runs.count() == shown.select("stay_id", "event_id", "section", "t_eff").distinct().count()
+    asked = visible_counts(rows)
+    names = {"stay_id": "s", "event_id": "e", "section": "sec", "n_visible": "n", "last_t": "l"}
+    held = asked.join(
+        runs.withColumnsRenamed(names),
+        F.expr("stay_id = s AND event_id = e AND section = sec AND from_t <= t AND (until_t IS NULL OR t < until_t)"),
+    )
+    assert held.count() == asked.count() > 100 and held.where("n <> n_visible OR l <> last_t").count() == 0
+
+
+@pytest.mark.parametrize("part_rows", [1, 7, 60])
+def test_texts_by_parts_equal_whole_texts(data, part_rows):
+    rows, _ = data
+    times = snapshot_times(rows).withColumn("mark", F.lit(3))
+    whole, parted = snapshot_texts(times, rows), snapshot_texts(times, rows, part_rows)
+    assert key_cuts(rows, ["stay_id"], PRINTED, part_rows).table.count() >= (10 if part_rows < 60 else 1)
+    assert parted.columns == whole.columns and parted.count() == whole.count() == times.count()
+    assert parted.exceptAll(whole).count() == 0
+
+
+def test_parts_of_several_events_and_kinds(spark):
+    """Events, lists and scalars that run over the ends of parts, one of them later than its event's rows."""
+    at = [START + timedelta(hours=h) for h in range(40)]
+    stay = spark.createDataFrame([(1, 1, at[0]), (2, 2, at[5])], "stay_id int, event_id int, event_t timestamp_ntz")
+    more = spark.createDataFrame([(1, 50 + i, at[3 * i], f"code {i}") for i in range(1, 9)], "stay_id int, event_id int, event_t timestamp_ntz, code string")
+    labs = [(1, 1, at[0], i, at[(7 * i) % 40], f"lab{i}") for i in range(60)] + [(1, 53, at[9], i, at[i % 12], f"late{i}") for i in range(20)]
+    labs = spark.createDataFrame(labs, "stay_id int, event_id int, event_t timestamp_ntz, id int, time timestamp_ntz, name string").withColumn("value", F.lit("v"))
+    lists = labs.where("event_id = 1 AND id % 3 = 0")
+    rows = stage(
+        union_rows(
+            [
+                event_rows(stay, TOKENIZER, event_type="Stay", rank=0, preamble=F.lit("Who:\n\n"), spine=True),
+                section_rows(lists, Section("names", "values", ("name",), tie=("id",)), 0, TOKENIZER, rank=0),
+                section_rows(labs.where("event_id = 1"), LABS, 1, TOKENIZER, rank=0),
+                event_rows(more, TOKENIZER, event_type="Visit", rank=1),
+                section_rows(more, Section("code", "scalar", ("code",)), 0, TOKENIZER, rank=1),
+                section_rows(labs.where("event_id = 53"), LABS, 1, TOKENIZER, rank=1),
+            ]
+        )
+    )
+    times = spark.createDataFrame([(1, t) for t in at] + [(2, at[5])], "stay_id int, t timestamp_ntz")
+    whole = snapshot_texts(times, rows)
+    for part_rows in (1, 4, 13):
+        assert snapshot_texts(times, rows, part_rows).exceptAll(whole).count() == 0
+
+
+def test_a_long_stay_is_built_by_many_tasks(spark):
+    """100,000 rows of one stay: lists of bounded length, the text of each snapshot as if it were one list."""
+    n, step = 100_000, 25_000
+    anchor = F.lit(START).cast("timestamp_ntz")
+    each = spark.range(n).select(
+        F.lit(1).alias("stay_id"), F.lit(1).alias("event_id"), anchor.alias("event_t"), F.col("id"),
+        (anchor + F.make_dt_interval(secs=(F.col("id") / 3).cast("int"))).alias("time"), F.concat(F.lit("lab"), F.col("id") % 5).alias("name"),
+        F.lit("v").alias("value"),
+    )
+    stay = spark.createDataFrame([(1, 1, START)], "stay_id int, event_id int, event_t timestamp_ntz")
+    rows = stage(union_rows([event_rows(stay, TOKENIZER, event_type="Stay", rank=0), section_rows(each, LABS, 0, TOKENIZER, rank=0)]))
+    times = spark.createDataFrame([(1, START + timedelta(seconds=k)) for k in range(0, n // 3, step // 3)], "stay_id int, t timestamp_ntz")
+    placed = key_cuts(rows, ["stay_id"], PRINTED, 10_000).placed(rows).groupBy("__stretch").count().collect()
+    assert len(placed) >= 8 and max(r["count"] for r in placed) < 14_000
+    for r in snapshot_texts(times, rows).collect():
+        seen = [i for i in range(n) if START + timedelta(seconds=i // 3) <= r["t"]]
+        body = "".join(
+            f" - {i + 1} of {len(seen)}\n   - time: {START + timedelta(seconds=i // 3)}\n   - name: lab{i % 5}\n   - value: v\n" for i in seen
+        )
+        assert r["text"] == f"Stay (1 of 1)\nlabs:\n{body}\n\n"
+
+
+@pytest.mark.parametrize("length", [1, 10_000])
+def test_sizes_and_texts(data, length):
     rows, _ = data
-    sizes = snapshot_sizes(rows, TOKENIZER, large_key=large_key)
+    sizes = snapshot_sizes(rows, TOKENIZER, cuts_of(rows, length))
     texts = snapshot_texts(sizes.where("in_spine"), rows)
     counted = texts.withColumn("n", TOKENIZER.count(F.col("text")))
     assert counted.where("n <> size").count() == 0 and counted.count() > 100

@@ -13,11 +13,11 @@ from chronoweave.functions import text
 from chronoweave.functions.identifiers import base_id, numeric_id, sample_id
 from chronoweave.functions.tokens import PatternTokenizer
 from chronoweave.operators.columns import known_at, recode, rename, keep_listed, drop_listed, whole_days
-from chronoweave.operators.joins import counts_before
-from chronoweave.operators.ordered import ordered_scan, scan_limit, time_bucket
+from chronoweave.operators.joins import counts_before, look_up, rows_before
+from chronoweave.operators.ordered import ordered_scan
 from chronoweave.plans.cohort import assign_stays, cohort, cohort_per_visit
 from chronoweave.plans.samples import build_samples, token_dataset
-from chronoweave.plans.snapshots import snapshot_sizes, snapshot_texts, visible_counts
+from chronoweave.plans.snapshots import snapshot_sizes, snapshot_texts, visibility_runs, visible_counts, with_closing_list
 from chronoweave.plans.targets import answer_texts, change_groups, change_rows, next_changes
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
 from chronoweave.session import stage
@@ -303,7 +303,7 @@ def timeline(spark, sf):
     )
     numbered = ordered_scan(
         stay.unionByName(incident), ["stay_id"], ["event_t", "event_rank", "event_id"],
-        time_bucket("event_t"), number="event_no",
+        number="event_no",
     )
     return numbered.select("stay_id", "event_type", "event_t", "event_id", "event_no")
 
@@ -328,6 +328,39 @@ def subject_cutoff(spark, sf):
     )
 
 
+HISTORY_SQL = (
+    STAYS_SQL
+    + """,
+held AS (
+  SELECT user_id, event_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS number
+  FROM events WHERE event_type = 'error'),
+before AS (
+  SELECT s.stay_id, h.number, h.event_id, h.ts, h.value, max(h.number) OVER (PARTITION BY s.stay_id) AS n_before
+  FROM stays s JOIN held h ON h.user_id = s.subject_id AND h.ts < s.end_t)
+"""
+)
+
+
+def _history(spark, sf, last=None):
+    events = assigned(spark, sf)
+    anchors = stays_of(events).select(F.col("subject_id").alias("user_id"), "stay_id", F.col("end_t").alias("cutoff"))
+    notes = table(spark, sf, "events").where("event_type = 'error'").select("user_id", "event_id", "ts", "value")
+    found = rows_before(anchors, notes, "user_id", "cutoff", "ts", ["event_id"], last=last, number="number")
+    return found.select("stay_id", "number", "event_id", "ts", "value")
+
+
+@query("subject_rows_before", f"WITH {HISTORY_SQL} SELECT stay_id, number, event_id, ts, value FROM before")
+def subject_rows_before(spark, sf):
+    """Every error of the subject before the end of the stay, in earlier stays too."""
+    return _history(spark, sf)
+
+
+@query("subject_last_rows", f"WITH {HISTORY_SQL} SELECT stay_id, number, event_id, ts, value FROM before WHERE number > n_before - 3")
+def subject_last_rows(spark, sf):
+    """The latest three of them: no others are read into a pair."""
+    return _history(spark, sf, last=3)
+
+
 # --- snapshots -----------------------------------------------------------------------------
 
 
@@ -338,14 +371,36 @@ def spine(spark, sf):
 
 @query(
     "snapshot_asof",
+    f"""WITH {STAYS_SQL},
+marks AS (
+  SELECT stay_id, CAST(stay_id AS VARCHAR) AS event_id, section, t FROM sec
+  UNION ALL SELECT stay_id, CAST(stay_id AS VARCHAR), 'start time', start_t FROM stays
+  UNION ALL SELECT stay_id, CAST(stay_id AS VARCHAR), 'plan', start_t FROM stays
+  UNION ALL SELECT stay_id, CAST(stay_id AS VARCHAR), 'end time', end_t FROM stays WHERE end_t IS NOT NULL
+  UNION ALL SELECT stay_id, CAST(event_id AS VARCHAR), 'code', ts FROM child WHERE event_type = 'error'),
+steps AS (SELECT stay_id, event_id, section, t, count(*) AS n FROM marks GROUP BY ALL)
+SELECT stay_id, event_id, section, t AS from_t, lead(t) OVER w AS until_t, CAST(sum(n) OVER w AS BIGINT) AS n_visible, t AS last_t
+FROM steps WINDOW w AS (PARTITION BY stay_id, event_id, section ORDER BY t)""",
+)
+def snapshot_asof(spark, sf):
+    """What every snapshot sees, of all sections, as run lengths: incidents too, and linear in the events."""
+    return visibility_runs(rows_of(spark, sf)[0])
+
+
+@query(
+    "snapshot_counts",
     f"""WITH {STAYS_SQL}
 SELECT p.stay_id, l.section, p.t, count(*) AS n_visible, max(l.t) AS last_t
 FROM spine p JOIN sec l ON l.stay_id = p.stay_id AND l.t <= p.t GROUP BY p.stay_id, l.section, p.t""",
 )
-def snapshot_asof(spark, sf):
-    rows = stage(rows_of(spark, sf)[0].where("kind = 'records' or spine"))
-    counts = visible_counts(rows, large_key=scan_limit(rows, ["stay_id"])).where(F.col("section").isin("views", "clicks", "purchases"))
-    return counts.select("stay_id", "section", "t", "n_visible", "last_t")
+def snapshot_counts(spark, sf):
+    """Run lengths expanded to the snapshots, for the three sections that are asked for."""
+    rows = stage(rows_of(spark, sf)[0].where("kind = 'records' or spine").select(
+        "stay_id", "event_id", "event_t", "section", "kind", "t", "t_eff", "t_end", "spine", "mute"
+    ))
+    names = F.explode(F.array(*[F.lit(s.name) for s in (VIEWS, CLICKS, PURCHASES)])).alias("section")
+    asked = snapshot_times(rows).select("stay_id", F.col("stay_id").cast("string").alias("event_id"), names, "t")
+    return visible_counts(rows, asked).select("stay_id", "section", "t", "n_visible", "last_t")
 
 
 @query(
@@ -364,7 +419,7 @@ def event_visibility(spark, sf):
     merged = incidents.unionByName(asked, allowMissingColumns=True).groupBy("stay_id", "t").agg(
         F.sum("n").alias("n"), F.max("asked").alias("asked")
     )
-    counted = ordered_scan(merged, ["stay_id"], ["t"], time_bucket("t"), running={"n_events": "n"})
+    counted = ordered_scan(merged, ["stay_id"], ["t"], running={"n_events": "n"})
     return counted.where("asked and n_events > 0").select("stay_id", "t", "n_events")
 
 
@@ -387,18 +442,111 @@ def snapshot_censored(spark, sf):
 )
 def snapshot_text(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
-    sizes = snapshot_sizes(rows, TOKENIZER, large_key=scan_limit(rows, ["stay_id"]))
+    sizes = snapshot_sizes(rows, TOKENIZER)
     asked = sizes.where("in_spine").select("stay_id", "t", F.col("size").cast("bigint").alias("n_tokens"))
     return snapshot_texts(asked, rows).select("stay_id", "t", "text", "n_tokens")
 
 
+def _anchored(spark, sf, kind: str):
+    """Stays as anchors, and their events of one kind beside them."""
+    events = stage(assigned(spark, sf), "event_type")
+    stays = stays_of(events)
+    anchor = stays.select("stay_id", F.col("stay_id").alias("event_id"), F.col("start_t").alias("event_t"))
+    rows = children_of(events).where(F.col("event_type") == kind).select(
+        "stay_id", F.col("stay_id").alias("event_id"), F.col("start_t").alias("event_t"),
+        F.col("ts").alias("time"), "value", _k().alias("k"), F.col("event_id").alias("row_id"),
+    )
+    return stays, anchor, rows
+
+
+@query(
+    "snapshot_end_times",
+    f"""WITH {STAYS_SQL},
+seen AS (SELECT stay_id, t, event_id, k, t + to_minutes(CAST(floor(value) AS BIGINT)) AS until FROM sec WHERE section = 'views'),
+moments AS (SELECT stay_id, start_t AS t FROM stays UNION SELECT stay_id, t FROM seen UNION SELECT stay_id, until FROM seen),
+listed AS (
+  SELECT m.stay_id, m.t, '   - time: ' || CAST(v.t AS VARCHAR) || chr(10) || '   - k: ' || v.k || chr(10)
+      || CASE WHEN v.until <= m.t THEN '   - until: ' || CAST(v.until AS VARCHAR) || chr(10) ELSE '' END AS line,
+    row_number() OVER (PARTITION BY m.stay_id, m.t ORDER BY v.t, v.event_id) AS i, count(*) OVER (PARTITION BY m.stay_id, m.t) AS n
+  FROM moments m JOIN seen v ON v.stay_id = m.stay_id AND v.t <= m.t),
+bodies AS (SELECT stay_id, t, 'views:' || chr(10) || string_agg(' - ' || i || ' of ' || n || chr(10) || line, '' ORDER BY i) AS body FROM listed GROUP BY 1, 2)
+SELECT stay_id, t, 'Stay (1 of 1)' || chr(10) || coalesce(body, '') || chr(10) || chr(10) AS text FROM moments LEFT JOIN bodies USING (stay_id, t)""",
+)
+def snapshot_end_times(spark, sf):
+    """Views with an end time, which is printed only once it has passed, and opens a snapshot of its own."""
+    _, anchor, views = _anchored(spark, sf, "view")
+    views = views.withColumn("until", F.col("time") + F.make_dt_interval(mins=F.floor("value").cast("int")))
+    section = Section("views", "records", ("time", "k", "until"), time="time", end="until", tie=("row_id",), spine=True)
+    rows = union_rows(
+        [event_rows(anchor, TOKENIZER, event_type="Stay", rank=0, spine=True), section_rows(views, section, 0, TOKENIZER, rank=0)]
+    )
+    rows = stage(rows)
+    return snapshot_texts(snapshot_times(rows), rows)
+
+
+@query(
+    "midnight_section",
+    f"""WITH {STAYS_SQL}
+SELECT stay_id, CAST(CAST(t AS DATE) AS TIMESTAMP) AS t, greatest(CAST(CAST(t AS DATE) AS TIMESTAMP), start_t) AS visible_from,
+  '   - day: ' || CAST(CAST(t AS DATE) AS VARCHAR) || chr(10) || '   - k: ' || k || chr(10) AS line
+FROM sec JOIN stays USING (stay_id) WHERE section = 'clicks'""",
+)
+def midnight_section(spark, sf):
+    """Clicks known by their day only: a date counts as its first instant, but no row is visible before its stay."""
+    _, _, clicks = _anchored(spark, sf, "click")
+    days = clicks.withColumn("day", F.to_date("time"))
+    rows = section_rows(days, Section("clicks", "records", ("day", "k"), time="day", tie=("row_id",), spine=True), 0, TOKENIZER, rank=0)
+    return rows.select("stay_id", "t", F.col("t_eff").alias("visible_from"), F.col("line_full").alias("line"))
+
+
+@query(
+    "subject_block",
+    f"""WITH {STAYS_SQL}
+SELECT s.stay_id, 'User:' || chr(10) || 'name: ' || c_name || chr(10) || 'segment: ' || c_mktsegment || chr(10) || 'plan: ' || s.plan || chr(10)
+  || 'end time: ' || coalesce(CAST(s.end_t AS VARCHAR), '?') || chr(10) || chr(10) AS block
+FROM stays s JOIN customer ON c_custkey = s.subject_id WHERE s.end_t IS NOT NULL
+UNION ALL
+SELECT s.stay_id, 'User:' || chr(10) || 'name: ' || c_name || chr(10) || 'segment: ' || c_mktsegment || chr(10) || 'plan: ' || s.plan || chr(10) || chr(10)
+FROM stays s JOIN customer ON c_custkey = s.subject_id WHERE s.end_t IS NULL""",
+)
+def subject_block(spark, sf):
+    """Fields of the stay moved into the block of its subject; one that is null is left out."""
+    stays = stays_of(assigned(spark, sf))
+    moved = stays.select("stay_id", "plan", F.col("end_t").alias("end time"))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("subject_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    block = keep_listed(
+        look_up(look_up(stays.select("stay_id", "subject_id"), customers, ["subject_id"]), moved, ["stay_id"]),
+        ["stay_id", "name", "segment", "plan", "end time"],
+    )
+    shown = [(c, F.col(f"`{c}`")) for c in block.columns if c != "stay_id"]
+    return block.select("stay_id", F.concat(F.lit(f"{WORDING.title}\n"), text.block(shown)).alias("block"))
+
+
+@query(
+    "closing_list",
+    f"""WITH {TEXT_SQL},
+codes AS (
+  SELECT stay_id, 'Codes:' || chr(10) || string_agg(' - ' || regexp_extract(props, '[0-9]+') || chr(10), '' ORDER BY event_id) AS listed
+  FROM child WHERE event_type = 'error' GROUP BY stay_id),
+lasts AS (SELECT stay_id, max(t) AS t FROM spine GROUP BY stay_id)
+SELECT stay_id, t, text || coalesce(listed, '') AS text FROM texts JOIN lasts USING (stay_id, t) LEFT JOIN codes USING (stay_id)""",
+)
+def closing_list(spark, sf):
+    """The whole course of each stay, with what it reported as a list at its end."""
+    rows, _ = rows_of(spark, sf)
+    rows = stage(rows)
+    last = snapshot_times(rows).groupBy("stay_id").agg(F.max("t").alias("t"))
+    codes = rows.where("section = 'code'").select("stay_id", F.col("event_id").cast("bigint").alias("n"), F.regexp_extract("line_full", "[0-9]+", 0).alias("k"))
+    return with_closing_list(snapshot_texts(last, rows), codes, ["n"], "k", "Codes").select("stay_id", "t", "text")
+
+
 # --- targets and samples ---------------------------------------------------------------------
 
 
 @query("next_change", f"WITH {STAYS_SQL}{NEXT_SQL} SELECT stay_id, t, section, next_t FROM nexts")
 def next_change(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
-    found = next_changes(snapshot_times(rows), change_groups(change_rows(rows)), TARGETS, large_key=scan_limit(rows, ["stay_id"]))
+    found = next_changes(snapshot_times(rows), change_groups(change_rows(rows)), TARGETS)
     return found.select("stay_id", "t", "section", "next_t")
 
 
@@ -410,7 +558,7 @@ def next_change(spark, sf):
 def answer_text(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
     changes = change_rows(rows)
-    found = stage(next_changes(snapshot_times(rows), change_groups(changes), TARGETS, large_key=scan_limit(rows, ["stay_id"])))
+    found = stage(next_changes(snapshot_times(rows), change_groups(changes), TARGETS))
     return answer_texts(changes, found, WORDING)
 
 

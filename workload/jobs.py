@@ -6,12 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from chronoweave.functions.hooks import good_and_failed, guarded_map
 from chronoweave.functions.tokens import HookTokenizer, map_batches
 from chronoweave.plans.splits import split_by_hash
 from chronoweave.session import shared_folder
 from chronoweave.sources.ledger import Ledger
+from chronoweave.sources.shuffled import buffered_shuffle
 from chronoweave.sources.sinks import append_rows, read_split, write_splits
-from chronoweave.streaming.incremental import build_new, published, running_totals, stream_builds
+from chronoweave.streaming.incremental import build_new, file_arrivals, published, running_totals, stream_builds
 from workload.base import query, table
 from workload.texts import COUNT, FRACTION
 
@@ -73,7 +75,7 @@ def streaming_build(spark, sf):
     ledger = Ledger(spark, f"{path}/log", "o_orderkey")
     schema = table(spark, sf, "orders").schema
     for _ in range(2):
-        arrivals = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
+        arrivals = file_arrivals(spark, sf, schema, files_per_trigger=100, pattern="orders.parquet")
         stream_builds(
             arrivals, ledger, lambda held: held.select("o_orderkey", "o_custkey", "o_totalprice"), f"{path}/out", f"{path}/state"
         ).awaitTermination()
@@ -88,7 +90,7 @@ def streaming_totals(spark, sf):
     from chronoweave.functions.tokens import PatternTokenizer
 
     schema = table(spark, sf, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    stream = file_arrivals(spark, sf, schema, pattern="documents.parquet")
     counted = stream.select("lang", PatternTokenizer().count(F.col("text")).alias("n"))
     out = _folder(spark)
     running_totals(counted, ["lang"], "n", out, _folder(spark)).awaitTermination()
@@ -120,3 +122,36 @@ def batched_map(spark, sf):
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), n], names=["doc_id", "n_chars"])
 
     return map_batches(table(spark, sf, "documents").select("doc_id", "text"), lengths, "doc_id long, n_chars long")
+
+
+@query(
+    "hook_quarantine",
+    """WITH counted AS (SELECT doc_id, len(regexp_extract_all(text, '[^ \t\n\r]+')) AS n FROM documents)
+SELECT doc_id, CASE WHEN n BETWEEN 5 AND 400 THEN n END AS n_words,
+  CASE WHEN n < 5 THEN 'ValueError: only ' || n || ' words' WHEN n > 400 THEN 'OverflowError: ' || n || ' words' END AS error FROM counted""",
+)
+def hook_quarantine(spark, sf):
+    """A hook that fails on very short and on long texts: their ids and messages beside all other results."""
+    import pyarrow as pa
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        import re
+
+        words = [len(re.findall(r"[^ \t\n\r]+", text)) for text in batch.column("text").to_pylist()]
+        for n in words:
+            if n < 5:
+                raise ValueError(f"only {n} words")
+            if n > 400:
+                raise OverflowError(f"{n} words")
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.int64())], names=["n_words"])
+
+    tried = guarded_map(table(spark, sf, "documents").select("doc_id", "text"), count, "n_words long", ["doc_id"])
+    good, failed = good_and_failed(tried, ["doc_id"])
+    return good.unionByName(failed, allowMissingColumns=True)
+
+
+@query("buffered_shuffle", "SELECT doc_id, lang, n_chars FROM documents")
+def buffered_shuffle_query(spark, sf):
+    """Every row once, in the order that shard and place say; tests check the order, which SQL has no words for."""
+    read = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    return buffered_shuffle(read, seed=7, buffer=1_000).drop("shard", "place")

@@ -15,8 +15,9 @@ from chronoweave.operators.columns import (
     drop_unset, first_set, not_denied, null_second_if_both, recode, trimmed, whole_days,
 )
 from chronoweave.operators.joins import enrich, first_seen, full_merge, keep_if_listed, look_up, not_in, restrict
-from chronoweave.operators.ordered import block_bucket, first_by, scan_limit, time_bucket
+from chronoweave.operators.ordered import first_by
 from chronoweave.plans.cohort import clean_and_bad, missing_children
+from chronoweave.plans.records import stay_records
 from chronoweave.plans.targets import answer_texts, change_groups, change_rows, next_changes
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
 from chronoweave.session import stage
@@ -92,17 +93,51 @@ SELECT n.stay_id, n.t, n.section, n.next_t, a.n_rows, a.answer FROM nexts n JOIN
 def next_event_targets(spark, sf):
     rows = stage(rows_of(spark, sf))
     changes = change_rows(rows)
-    found = next_changes(
-        snapshot_times(rows), change_groups(changes), list(FLAGS.values()), hours=24 * 30,
-        large_key=scan_limit(rows, ["stay_id"]),
-    )
-    found = stage(found)
+    found = stage(next_changes(snapshot_times(rows), change_groups(changes), list(FLAGS.values())))
     texts = answer_texts(changes, found, WORDING)
     return found.join(texts, ["stay_id", "section", "next_t"], "left").select(
         "stay_id", "t", "section", "next_t", "n_rows", "answer"
     )
 
 
+# --- records ---------------------------------------------------------------------------------
+
+RECORDS = {
+    "A": Section("accepted", "records", ("l_linenumber", "l_partkey"), time="l_shipdate", tie=("l_linenumber",)),
+    "N": Section("open", "records", ("l_partkey", "l_quantity"), time="l_shipdate", tie=("l_partkey",)),
+    "R": Section("returned", "records", ("l_suppkey", "l_partkey", "l_linenumber"), tie=("l_suppkey",)),
+}
+
+
+@query(
+    "stay_record",
+    """WITH line AS (
+  SELECT l_orderkey AS o_orderkey, 'accepted' AS section, l_linenumber || ':' || l_partkey AS record,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey) - 1 AS n FROM lineitem WHERE l_returnflag = 'A'
+  UNION ALL SELECT l_orderkey, 'open', l_partkey || ':' || CAST(l_quantity AS INTEGER),
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_partkey, l_quantity) - 1 FROM lineitem WHERE l_returnflag = 'N'
+  UNION ALL SELECT l_orderkey, 'returned', l_suppkey || ':' || l_partkey || ':' || l_linenumber,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey, l_partkey, l_linenumber) - 1 FROM lineitem WHERE l_returnflag = 'R'),
+lists AS (SELECT o_orderkey, n // 2 AS part, section, string_agg(record, ' ' ORDER BY n) AS body FROM line GROUP BY 1, 2, 3),
+parts AS (
+  SELECT o_orderkey, part, max(body) FILTER (WHERE section = 'accepted') AS accepted, max(body) FILTER (WHERE section = 'open') AS open,
+    max(body) FILTER (WHERE section = 'returned') AS returned FROM lists GROUP BY 1, 2)
+SELECT o.o_orderkey, o.o_custkey, coalesce(part, 0) AS part, coalesce(accepted, '') AS accepted, coalesce(open, '') AS open,
+  coalesce(returned, '') AS returned FROM orders o LEFT JOIN parts USING (o_orderkey)""",
+)
+def stay_record(spark, sf):
+    """Orders with three child lists of different fields, two records to a part."""
+    lines = table(spark, sf, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast("int")).withColumnRenamed("l_orderkey", "o_orderkey")
+    children = [(section, lines.where(F.col("l_returnflag") == flag)) for flag, section in RECORDS.items()]
+    nested = stay_records(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), children, "o_orderkey", part_rows=2)
+
+    def body(section: Section):
+        shown = F.transform(section.name, lambda r: F.concat_ws(":", *[r[f].cast("string") for f in section.fields]))
+        return F.array_join(shown, " ").alias(section.name)
+
+    return nested.select("o_orderkey", "o_custkey", "part", *[body(s) for s in RECORDS.values()])
+
+
 # --- predicates ------------------------------------------------------------------------------
 
 
@@ -166,8 +201,7 @@ def ordered_codes(spark, sf):
     titles = table(spark, sf, "part").where("p_size < 40").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     named = look_up(codes, titles, ["l_partkey"])
     lists = nest_children(
-        named, ["l_orderkey"], ["seq", "l_partkey"], ["p_name"],
-        F.struct("seq", block_bucket("l_partkey", 4096).alias("block")), part_rows=4,
+        named, ["l_orderkey"], ["seq", "l_partkey"], ["p_name"], part_rows=4,
     )
     return lists.select(
         "l_orderkey", "part", F.array_join(F.transform("rows", lambda r: r["p_name"]), ", ").alias("names"), "n_rows"
@@ -288,8 +322,7 @@ SELECT o_orderkey, o_custkey, part, n_rows, body FROM orders LEFT JOIN g ON l_or
 def nested_children(spark, sf):
     lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", *LINES)
     nested = nest_children(
-        lines, ["o_orderkey"], ["l_shipdate", *LINES], ["l_linenumber", "l_partkey"],
-        time_bucket("l_shipdate", 24 * 30), part_rows=5,
+        lines, ["o_orderkey"], ["l_shipdate", *LINES], ["l_linenumber", "l_partkey"], part_rows=5,
     )
     stays = enrich(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), nested, ["o_orderkey"])
     body = F.transform("rows", lambda r: F.concat_ws(":", r["l_linenumber"].cast("string"), r["l_partkey"].cast("string")))
