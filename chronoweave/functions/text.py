@@ -29,17 +29,27 @@ def record_lines(fields: Sequence[tuple[str, Column]]) -> Column:
     return F.concat(*[field_line(name, value, "   - ") for name, value in fields])
 
 
-def field_size(name: str, value: Column, tokenizer, prefix: str = "") -> Column:
-    """Token figure of ``field_line``: the label's is a constant, only the value is read."""
-    shown = printable(value)
-    label = tokenizer.floor(F.lit(f"{prefix}{name}: \n"))
-    return F.when(shown.isNotNull(), label + tokenizer.floor(shown)).otherwise(F.lit(0))
+def printed_line(label: str, shown: Column, prefix: str = "") -> Column:
+    """The line of a value that is text already; nothing if it is null."""
+    return F.coalesce(F.concat(F.lit(f"{prefix}{label}"), shown, F.lit("\n")), F.lit(""))
+
+
+def printed_size(label: str, shown: Column, size: Column, tokenizer, prefix: str = "") -> Column:
+    """Token figure of ``printed_line``: the label's is a constant, ``size`` is the value's."""
+    return F.when(shown.isNotNull(), tokenizer.floor(F.lit(f"{prefix}{label}\n")) + size).otherwise(F.lit(0))
+
+
+def printed_record(fields: Sequence[tuple[str, Column, Column]]) -> Column:
+    """``record_lines`` of ``(name, text, size)``."""
+    if not fields:
+        return F.lit("")
+    return F.concat(*[printed_line(f"{name}: ", shown, "   - ") for name, shown, _ in fields])
 
 
-def record_size(fields: Sequence[tuple[str, Column]], tokenizer) -> Column:
+def printed_record_size(fields: Sequence[tuple[str, Column, Column]], tokenizer) -> Column:
     total = F.lit(0)
-    for name, value in fields:
-        total = total + field_size(name, value, tokenizer, "   - ")
+    for name, shown, size in fields:
+        total = total + printed_size(f"{name}: ", shown, size, tokenizer, "   - ")
     return total
 
 

@@ -194,13 +194,19 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     return picked.select(*columns) if others or rest else picked.select(*keys)
 
 
-def global_positions(df: DataFrame, order: Sequence[str], out: str = "position") -> DataFrame:
+def global_positions(df: DataFrame, order: Sequence[str], out: str = "position", *, unique: bool = False) -> DataFrame:
     """Number all rows from 1 in global ``order`` without a one-task window.
 
+    ``unique``: the order columns are not null and tell all rows apart. Then they alone are
+    sorted and written, and the numbers are joined back to the rows, which move once.
+
     Range partitioning sorts the rows; the sorted rows are checkpointed so that
     positions inside a partition are fixed; one offset per partition (a table with
     as many rows as there are partitions) turns them into global positions.
     """
+    if unique and set(df.columns) - set(order):
+        places = stage(global_positions(df.select(*order), order, out))
+        return df.join(places, list(order)).select(*df.columns, out)
     sorted_rows = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
     tagged = sorted_rows.withColumn("__id", F.monotonically_increasing_id())
     tagged = tagged.withColumn("__part", F.shiftright("__id", _POSITION_BITS))

@@ -63,10 +63,6 @@ def missing_children(stays: DataFrame, children: DataFrame, key: str, flag: str)
     return stays.join(present, key, "left").withColumn(flag, F.col("__has").isNull()).drop("__has")
 
 
-def without_quarantined(df: DataFrame, bad: DataFrame, key: str) -> DataFrame:
-    return df.join(bad.select(key), key, "left_anti")
-
-
 def clean_and_bad(stays: DataFrame, key: str, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Usable stays, and the quarantine table. Both read the rules' columns of ``stays``."""
     bad = quarantine(stays, key, rules)

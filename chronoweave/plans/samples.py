@@ -11,8 +11,8 @@ from chronoweave.functions import text
 from chronoweave.functions.identifiers import base_id, numeric_id, sample_id
 from chronoweave.functions.prompts import chat_prompt
 from chronoweave.functions.tokens import attention_mask
-from chronoweave.operators.ordered import key_cuts, ordered_scan
-from chronoweave.plans.snapshots import fitting_rows, snapshot_sizes, snapshot_texts
+from chronoweave.operators.ordered import ordered_scan
+from chronoweave.plans.snapshots import fitting_rows, snapshot_sizes, snapshot_texts, stay_cuts
 from chronoweave.plans.targets import answer_head, answer_texts, change_groups, change_rows, next_changes
 from chronoweave.session import stage
 from chronoweave.spec import Wording
@@ -70,7 +70,7 @@ def build_samples(
     stay: meant for stays of known length.
     """
     rows = reuse(rows)
-    cuts = key_cuts(rows, ["stay_id"], ["t"])  # shared by all scans along the time of a stay
+    cuts = stay_cuts(rows)  # shared by all scans along the time of a stay
     sections = [*targets, *standing]
     overhead = tokenizer.floor(
         chat_prompt(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions import text
-from chronoweave.operators.ordered import Cuts, key_cuts, ordered_scan
+from chronoweave.operators.ordered import STRETCH, Cuts, key_cuts, ordered_scan
 from chronoweave.plans.timeline import HEADER, snapshot_times
 from chronoweave.session import stage
 
@@ -19,6 +19,11 @@ PRINTED = ("event_t", "event_rank", "event_id", "sec_ord", "section", "t", "tie"
 _SECTION = ("stay_id", "event_id", "section")
 
 
+def stay_cuts(rows: DataFrame, length: int = STRETCH) -> Cuts:
+    """Where long stays are cut along time, for all scans over what their rows give."""
+    return key_cuts(rows.select("stay_id", F.col("t_eff").alias("t")), ["stay_id"], ["t"], length)
+
+
 def _section_changes(rows: DataFrame) -> DataFrame:
     """Rows that appear per section and instant: ``stay_id, event_id, section, t, n, own_t``."""
     shown = rows.where((F.col("kind") != "event") & ~F.col("mute"))
@@ -33,6 +38,7 @@ def visibility_runs(rows: DataFrame, cuts: Cuts | None = None) -> DataFrame:
     ``until_t`` (null: to the end), every snapshot sees ``n_visible`` rows, the last of
     them of ``last_t``. Rows are linear in the input, however many snapshots and events a stay has.
     """
+    cuts = stay_cuts(rows) if cuts is None else cuts
     scanned = ordered_scan(
         _section_changes(rows), list(_SECTION), ["t"], running={"n_visible": "n"}, carry={"last_t": "own_t"},
         following={"until_t": "t"}, monotone=["last_t", "until_t"], cuts=cuts,
@@ -64,6 +70,7 @@ def visible_counts(rows: DataFrame, asked: DataFrame | None = None, cuts: Cuts |
     changes = _section_changes(rows)
     if asked is None:
         asked = snapshot_times(rows).join(changes.select(*_SECTION).distinct(), "stay_id")
+    cuts = stay_cuts(rows) if cuts is None else cuts
     return counts_at(changes, asked.select(*_SECTION, "t"), list(_SECTION), cuts).where("n_visible > 0")
 
 
@@ -74,6 +81,7 @@ def snapshot_sizes(rows: DataFrame, tokenizer, cuts: Cuts | None = None) -> Data
     lines when it becomes visible, a section adds its header with its first row,
     and an end time adds its field when it has passed. Nothing is rendered.
     """
+    cuts = stay_cuts(rows) if cuts is None else cuts
     shown = rows.where(~F.col("mute"))
     steps = F.array(
         F.struct(F.col("t_eff").alias("t"), F.col("size_open").alias("size")),

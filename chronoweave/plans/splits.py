@@ -31,13 +31,13 @@ def split_by_hash(df: DataFrame, key: str, test_share: float, seed: int = 0) ->
 
 
 def split_chunks(
-    df: DataFrame, order: Sequence[str], key: str, chunk: int, test_share: float, seed: int = 0
+    df: DataFrame, order: Sequence[str], key: str, chunk: int, test_share: float, seed: int = 0, *, unique: bool = False
 ) -> DataFrame:
     """Exact split inside each run of ``chunk`` rows: the ceil(n * share) lowest digests are test.
 
-    A chunk is a fixed number of rows, so ranking it is one small window group.
+    A chunk is a fixed number of rows, so ranking it is one small window group. ``unique``: see ``global_positions``.
     """
-    numbered = global_positions(df, order, "__position")
+    numbered = global_positions(df, order, "__position", unique=unique)
     numbered = numbered.withColumn("chunk", F.floor((F.col("__position") - 1) / chunk)).drop("__position")
     sized = numbered.groupBy("chunk").agg(F.count(F.lit(1)).alias("__n"))
     inside = Window.partitionBy("chunk").orderBy(seeded_digest(key, seed), key)

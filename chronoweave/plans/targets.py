@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.functions import text
@@ -12,24 +12,28 @@ from chronoweave.operators.ordered import Cuts, ordered_scan
 from chronoweave.spec import Wording
 
 
+_INSTANT = ("stay_id", "section", "t")
+
+
 def change_rows(rows: DataFrame, dedupe: str = "distinct") -> DataFrame:
-    """Rows of the timed target sections, exact duplicates settled.
+    """Rows of the timed target sections, with a 128-bit key of their text that says which are equal.
 
     distinct   equal rows of one instant are one row
     unique     rows that occur more than once in their instant are dropped
     """
     timed = rows.where(F.col("target") & (F.col("kind") == "records"))
-    keys = ["stay_id", "section", "t", "line_full", "answer", "answer_size"]
-    merged = timed.groupBy(*keys).agg(F.min("tie").alias("tie"), F.count(F.lit(1)).alias("copies"))
-    return merged.withColumn("stands", F.lit(True) if dedupe == "distinct" else F.col("copies") == 1)
+    same = [F.xxhash64("line_full", "answer").alias("h"), F.xxhash64(F.lit(1), F.col("line_full"), F.col("answer")).alias("g")]
+    return timed.select(*_INSTANT, "tie", "line_full", "answer", "answer_size", *same, F.lit(dedupe == "unique").alias("unique"))
 
 
 def change_groups(changes: DataFrame) -> DataFrame:
-    """One row per instant of a section: how many rows appear and how long their text is."""
-    stands = F.col("stands")
-    return changes.groupBy("stay_id", "section", "t").agg(
-        F.count(F.when(stands, 1)).alias("n_rows"),
-        F.coalesce(F.sum(F.when(stands, F.col("answer_size"))), F.lit(0.0)).alias("size"),
+    """One row per instant of a section: how many rows appear and how long their text is. Only keys and sizes are shuffled."""
+    merged = changes.groupBy(*_INSTANT, "h", "g").agg(
+        F.max("answer_size").alias("size"), F.max("unique").alias("unique"), F.count(F.lit(1)).alias("copies")
+    )
+    stands = ~F.col("unique") | (F.col("copies") == 1)
+    return merged.groupBy(*_INSTANT).agg(
+        F.count(F.when(stands, 1)).alias("n_rows"), F.coalesce(F.sum(F.when(stands, F.col("size"))), F.lit(0.0)).alias("size")
     )
 
 
@@ -73,20 +77,27 @@ def next_changes(
 def answer_texts(changes: DataFrame, wanted: DataFrame, wording: Wording) -> DataFrame:
     """Texts of the wanted instants: ``stay_id, section, next_t, answer``.
 
-    Only wanted instants are collected, and those are bounded by the token limit
-    that ``wanted`` was selected with.
+    Only rows of wanted instants are shuffled with their text. An answer holds all rows
+    of one instant of a section, which is what bounds the list that is collected;
+    ``build_samples`` with ``max_tokens`` bounds it by their size before.
     """
     keys = wanted.select("stay_id", "section", F.col("next_t").alias("t")).distinct()
-    held = changes.where("stands").join(keys, ["stay_id", "section", "t"], "left_semi")
-    listed = held.groupBy("stay_id", "section", "t").agg(
-        F.array_sort(F.collect_list(F.struct("tie", "line_full", "answer"))).alias("list")
-    )
-    records = F.transform("list", lambda r: r["answer"])
-    return listed.select(
-        "stay_id",
-        "section",
-        F.col("t").alias("next_t"),
-        F.concat(answer_head(wording), text.numbered_list(records)).alias("answer"),
+    held = changes.join(keys, list(_INSTANT), "left_semi")
+    row = F.struct("h", "g", "tie", "line_full", "answer")
+    listed = held.groupBy(*_INSTANT).agg(F.array_sort(F.collect_list(row)).alias("list"), F.max("unique").alias("unique"))
+
+    def same(row: Column, at: Column) -> Column:
+        other = F.get("list", at)
+        return F.coalesce((other["h"] == row["h"]) & (other["g"] == row["g"]), F.lit(False))
+
+    def stands(row: Column, i: Column) -> Column:
+        return ~same(row, i - 1) & ~(F.col("unique") & same(row, i + 1))
+
+    # Equal rows lie next to each other, ordered by their tie: the first of them stands.
+    first = F.transform(F.filter("list", stands), lambda r: F.struct(r["tie"], r["line_full"], r["answer"]))
+    told = listed.select(*_INSTANT, F.transform(F.array_sort(first), lambda r: r["answer"]).alias("told")).where(F.size("told") > 0)
+    return told.select(
+        "stay_id", "section", F.col("t").alias("next_t"), F.concat(answer_head(wording), text.numbered_list(F.col("told"))).alias("answer")
     )
 
 

@@ -97,8 +97,8 @@ def section_rows(
     ``sec_ord`` are then columns.
     """
 
-    def values(names: Sequence[str]) -> list[tuple[str, Column]]:
-        return [(n, F.col(f"`{n}`")) for n in names]
+    def values(names: Sequence[str]) -> list[tuple[str, Column, Column]]:
+        return [(n, F.col(f"__text_{i}"), F.col(f"__size_{i}")) for n in names for i in (section.fields.index(n),)]
 
     ended = section.end is not None and section.end in section.fields
     shown = values(section.fields)
@@ -107,21 +107,24 @@ def section_rows(
     number_line = tokenizer.floor(F.lit(NUMBER_LINE))
     no_line, line_open = F.lit(None).cast("string"), None
     if section.kind == "records":
-        line_full, size_full = text.record_lines(shown), text.record_size(shown, tokenizer) + number_line
-        answer, answer_size = text.record_lines(told), text.record_size(told, tokenizer) + number_line
+        line_full, size_full = text.printed_record(shown), text.printed_record_size(shown, tokenizer) + number_line
+        answer, answer_size = text.printed_record(told), text.printed_record_size(told, tokenizer) + number_line
         if ended:
-            line_open, size_open = text.record_lines(still), text.record_size(still, tokenizer) + number_line
+            line_open, size_open = text.printed_record(still), text.printed_record_size(still, tokenizer) + number_line
     elif section.kind == "values":
-        line_full = answer = text.value_line(shown[0][1])
-        size_full = answer_size = tokenizer.floor(line_full)
+        line_full = answer = text.printed_line("", shown[0][1], " - ")
+        size_full = answer_size = text.printed_size("", *shown[0][1:], tokenizer, " - ")
     else:
-        line_full = answer = text.field_line(section.name, shown[0][1])
-        size_full = answer_size = text.field_size(section.name, shown[0][1], tokenizer)
+        line_full = answer = text.printed_line(f"{section.name}: ", shown[0][1])
+        size_full = answer_size = text.printed_size(f"{section.name}: ", *shown[0][1:], tokenizer)
 
     t = F.col(f"`{section.time}`").cast("timestamp_ntz") if section.time else F.col("event_t")
     base = df.where(F.col(f"`{section.time}`").isNotNull()) if section.time else df
+    # Each value is printed once, and its tokens are counted once, for all texts and sizes that hold it.
+    base = base.select("*", *[text.printable(F.col(f"`{f}`")).alias(f"__text_{i}") for i, f in enumerate(section.fields)])
+    base = base.select("*", *[tokenizer.floor(F.col(f"__text_{i}")).alias(f"__size_{i}") for i in range(len(section.fields))])
     if section.kind == "scalar":
-        base = base.where(text.printable(F.col(f"`{section.fields[0]}`")).isNotNull())
+        base = base.where(F.col("__text_0").isNotNull())
 
     return _canonical(
         base,

@@ -26,7 +26,7 @@ def page_count(df: DataFrame, size: int) -> DataFrame:
     return df.agg(n.alias("n_rows"), F.ceil(n / size).alias("n_pages"))
 
 
-def batches(df: DataFrame, order: Sequence[str], size: int, out: str = "batch") -> DataFrame:
-    """Consecutive groups of ``size`` rows in ``order``; the last may be short."""
-    numbered = global_positions(df, order, "__position")
+def batches(df: DataFrame, order: Sequence[str], size: int, out: str = "batch", *, unique: bool = False) -> DataFrame:
+    """Consecutive groups of ``size`` rows in ``order``; the last may be short. ``unique``: see ``global_positions``."""
+    numbered = global_positions(df, order, "__position", unique=unique)
     return numbered.withColumn(out, F.floor((F.col("__position") - 1) / size)).drop("__position")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions import text
 from chronoweave.functions.identifiers import base_id, numeric_id
 from chronoweave.functions.links import extract_links
-from chronoweave.functions.prompts import apply_template, chat_prompt, conversation_contexts, ends_with_stop
+from chronoweave.functions.prompts import apply_template, chat_prompt, context_parts, conversation_contexts, ends_with_stop
 from chronoweave.functions.tokens import HookTokenizer, PatternTokenizer, pad_batches
 from chronoweave.functions.vectors import argmax, f_measure, mean_best_cosine, unit
 from chronoweave.operators.aggregates import nest_children, nest_values, pivot_first, spread_attributes, symmetric_difference
@@ -139,8 +139,9 @@ def test_null_words_and_records(spark):
     assert df.select(text.block(fields)).first()[0] == "c: x\nd: 1.5\n\n"
     assert df.select(text.clean_record(fields)).first()[0] == {"a": "None", "b": "nan", "c": "x", "d": "1.5"}
     tokenizer = PatternTokenizer()
-    row = df.select(text.record_size(fields, tokenizer), tokenizer.count(text.record_lines(fields))).first()
-    assert row[0] == row[1]
+    printed = [(c, text.printable(v), tokenizer.floor(text.printable(v))) for c, v in fields]
+    row = df.select(text.printed_record_size(printed, tokenizer), tokenizer.count(text.record_lines(fields)), text.printed_record(printed), text.record_lines(fields)).first()
+    assert row[0] == row[1] and row[2] == row[3]
 
 
 def test_prompts(spark):
@@ -239,3 +240,28 @@ def test_splits(spark):
     assert held.where("split = 'validation'").count() == validation_count(1000, 0.1) == 100
     owned = ids.withColumn("subject", F.col("i") % 7)
     assert split_by_hash(owned, "subject", 0.5).groupBy("subject").agg(F.countDistinct("split").alias("n")).where("n > 1").count() == 0
+
+
+@pytest.mark.parametrize("part_turns", [1, 3, 1_000])
+def test_contexts_in_parts_are_whole(spark, part_turns):
+    rows = [(c, k, ("user", "assistant")[k % 2], f"t{c}-{k}") for c in (1, 2, 3) for k in range(3 * c)]
+    turns = spark.createDataFrame(rows, "c int, k int, role string, text string").repartition(3)
+    got = conversation_contexts(turns, "c", "k", "role", "text", system="S", part_turns=part_turns).collect()
+    want = {(c, k): [("system", "S")] + [(r, t) for d, j, r, t in rows if d == c and j <= k] for c, k, role, _ in rows if role == "user"}
+    assert {(r.c, r.k): [tuple(m) for m in r.messages] for r in got} == want
+    some = conversation_contexts(turns, "c", "k", "role", "text", system="S", part_turns=part_turns, asked=turns.where("k = 2")).collect()
+    assert sorted((r.c, r.k) for r in some) == [(1, 2), (2, 2), (3, 2)]
+
+
+def test_a_long_conversation_lies_in_parts(spark):
+    """100,000 turns: lists of bounded length, and a context is as long as its turn says."""
+    n = 100_000
+    role = F.when(F.col("id") % 2 == 0, "user").otherwise("assistant")
+    turns = spark.range(n).select(F.lit(1).alias("c"), F.col("id").alias("k"), role.alias("role"), F.concat(F.lit("t"), "id").alias("text"))
+    asked = turns.where("k in (0, 998, 1000, 54322, 99998)").select("c", "k")
+    pieces = context_parts(turns, "c", "k", "role", "text", asked=asked)
+    assert pieces.agg(F.max(F.size("messages"))).first()[0] == 1_000 and pieces.where("k = 99998").count() == 100
+    got = conversation_contexts(turns, "c", "k", "role", "text", system="S", asked=asked)
+    for r in got.collect():
+        assert [m.text for m in r.messages] == ["S", *[f"t{i}" for i in range(r.k + 1)]]
+    assert got.count() == 5

@@ -103,6 +103,15 @@ def test_global_positions(skewed):
     assert got.exceptAll(want).count() == 0 and got.count() == 1500
 
 
+def test_positions_over_keys_alone(skewed):
+    """The same numbers, joined back to wide rows that were never sorted."""
+    wide = skewed.withColumn("text", F.repeat(F.lit("x"), 50))
+    got, want = global_positions(wide, ["n", "i"], "p", unique=True), global_positions(wide, ["n", "i"], "p")
+    assert got.columns == want.columns and got.exceptAll(want).count() == 0 and got.count() == 1500
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan
+
+
 def test_hash_positions_survive_repartitioning(skewed):
     digest = F.md5(F.col("i").cast("string"))
     once = hash_positions(skewed.select("i"), digest, ["i"])

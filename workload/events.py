@@ -17,7 +17,7 @@ from chronoweave.operators.joins import counts_before, look_up, rows_before
 from chronoweave.operators.ordered import ordered_scan
 from chronoweave.plans.cohort import assign_stays, cohort, cohort_per_visit
 from chronoweave.plans.samples import build_samples, token_dataset
-from chronoweave.plans.snapshots import snapshot_sizes, snapshot_texts, visibility_runs, visible_counts, with_closing_list
+from chronoweave.plans.snapshots import snapshot_sizes, snapshot_texts, stay_cuts, visibility_runs, visible_counts, with_closing_list
 from chronoweave.plans.targets import answer_texts, change_groups, change_rows, next_changes
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
 from chronoweave.session import stage
@@ -546,7 +546,7 @@ def closing_list(spark, sf):
 @query("next_change", f"WITH {STAYS_SQL}{NEXT_SQL} SELECT stay_id, t, section, next_t FROM nexts")
 def next_change(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
-    found = next_changes(snapshot_times(rows), change_groups(change_rows(rows)), TARGETS)
+    found = next_changes(snapshot_times(rows), change_groups(change_rows(rows)), TARGETS, stay_cuts(rows))
     return found.select("stay_id", "t", "section", "next_t")
 
 
@@ -558,7 +558,7 @@ def next_change(spark, sf):
 def answer_text(spark, sf):
     rows = stage(rows_of(spark, sf)[0])
     changes = change_rows(rows)
-    found = stage(next_changes(snapshot_times(rows), change_groups(changes), TARGETS))
+    found = stage(next_changes(snapshot_times(rows), change_groups(changes), TARGETS, stay_cuts(rows)))
     return answer_texts(changes, found, WORDING)
 
 

@@ -18,6 +18,7 @@ from chronoweave.operators.joins import enrich, first_seen, full_merge, keep_if_
 from chronoweave.operators.ordered import first_by
 from chronoweave.plans.cohort import clean_and_bad, missing_children
 from chronoweave.plans.records import stay_records
+from chronoweave.plans.snapshots import stay_cuts
 from chronoweave.plans.targets import answer_texts, change_groups, change_rows, next_changes
 from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
 from chronoweave.session import stage
@@ -93,7 +94,7 @@ SELECT n.stay_id, n.t, n.section, n.next_t, a.n_rows, a.answer FROM nexts n JOIN
 def next_event_targets(spark, sf):
     rows = stage(rows_of(spark, sf))
     changes = change_rows(rows)
-    found = stage(next_changes(snapshot_times(rows), change_groups(changes), list(FLAGS.values())))
+    found = stage(next_changes(snapshot_times(rows), change_groups(changes), list(FLAGS.values()), stay_cuts(rows)))
     texts = answer_texts(changes, found, WORDING)
     return found.join(texts, ["stay_id", "section", "next_t"], "left").select(
         "stay_id", "t", "section", "next_t", "n_rows", "answer"

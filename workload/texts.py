@@ -270,7 +270,7 @@ SELECT conv_id, turn, batch, width, array_to_string(list_concat(ids, zeros), ' '
 )
 def pad_query(spark, sf):
     turns = table(spark, sf, "conversations").select("conv_id", "turn", TOKENIZER.ids(F.col("text")).alias("ids"))
-    padded = pad_batches(batches(turns, ["conv_id", "turn"], 16), "batch", "ids")
+    padded = pad_batches(batches(turns, ["conv_id", "turn"], 16, unique=True), "batch", "ids")
     listed = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "attention_mask", "labels")]
     return padded.select("conv_id", "turn", "batch", F.col("width").cast("bigint").alias("width"), *listed)
 
