@@ -181,17 +181,15 @@ class _Outputs:
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the first row per ``keys`` in ``order``; null keys form a group.
+    """Keep the first row per ``keys`` in ``order``, then by its other columns; null keys form a group.
 
-    A min over a struct combines on the map side, so a hot key never reaches one
-    task whole, unlike ``row_number() = 1``.
+    Spark turns the rank filter into a limit per group that each map task applies ahead of
+    the shuffle, so a task sends one row of a key however many it has.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    row = F.min(F.struct(*order, *rest)).alias("__row")
-    picked = df.groupBy(*keys).agg(row)
-    others = [c for c in order if c not in keys]
-    columns = [F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns]
-    return picked.select(*columns) if others or rest else picked.select(*keys)
+    ahead = [*order, *rest] or list(keys)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*ahead))
+    return df.withColumn("__first", rank).where("__first = 1").drop("__first")
 
 
 def global_positions(df: DataFrame, order: Sequence[str], out: str = "position", *, unique: bool = False) -> DataFrame:

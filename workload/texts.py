@@ -100,7 +100,8 @@ def discharge_query(spark, sf):
     )
 
 
-FITS = (10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 10000)
+FITS = (8, 16, 32, 128, 256, 512, 1024, 2048, 4096, 8192)  # rows in a batch, multiples of the first
+BUDGET, AT = 1 << 35, 500_000  # bytes, rows
 
 
 @query(
@@ -108,18 +109,21 @@ FITS = (10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 10000)
     f"""WITH d AS (SELECT strlen(text) AS bytes, row_number() OVER (ORDER BY doc_id) AS pos FROM documents),
 b AS (SELECT n, (pos - 1) // n AS batch, count(*) AS n_rows, sum(bytes) AS bytes FROM d, (SELECT unnest({list(FITS)}) AS n) GROUP BY 1, 2),
 f AS (SELECT regr_slope(bytes, n_rows) AS slope, regr_intercept(bytes, n_rows) AS intercept FROM b)
-SELECT round(slope, 4) AS slope, round(intercept, 4) + 0.0 AS intercept, round((32000000000 - intercept) / slope, 2) AS x_at_budget,
-  round(intercept + slope * 540000, 2) AS y_at_x FROM f""",
+SELECT round(slope, 4) AS slope, round(intercept, 4) + 0.0 AS intercept, round(({BUDGET} - intercept) / slope, 2) AS x_at_budget,
+  round(intercept + slope * {AT}, 2) AS y_at_x FROM f""",
 )
 def payload_fit(spark, sf):
     """Bytes per batch of rows for several batch sizes over the whole table, and the line through them."""
     sizes = table(spark, sf, "documents").select("doc_id", F.octet_length("text").alias("bytes"))
     placed = global_positions(sizes, ["doc_id"], "pos")
-    each = placed.select("bytes", "pos", F.explode(F.array(*[F.lit(n) for n in FITS])).alias("n"))
-    per_batch = each.groupBy("n", F.floor((F.col("pos") - 1) / F.col("n")).alias("batch")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("bytes").alias("bytes")
+    least = FITS[0]
+    blocks = placed.groupBy(F.floor((F.col("pos") - 1) / least).alias("block")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("bytes").alias("bytes"))
+    # Every batch is made of whole blocks, so blocks are counted once per size, not rows.
+    each = blocks.select("block", "n_rows", "bytes", F.explode(F.array(*[F.lit(n) for n in FITS])).alias("n"))
+    per_batch = each.groupBy("n", F.floor(F.col("block") * least / F.col("n")).alias("batch")).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("bytes").alias("bytes")
     )
-    fit = project_capacity(linear_fit(per_batch, "n_rows", "bytes"), 32_000_000_000, 540_000)
+    fit = project_capacity(linear_fit(per_batch, "n_rows", "bytes"), BUDGET, AT)
     return fit.select(
         F.round("slope", 4).alias("slope"), (F.round("intercept", 4) + 0.0).alias("intercept"),
         F.round("x_at_budget", 2).alias("x_at_budget"), F.round("y_at_x", 2).alias("y_at_x"),
