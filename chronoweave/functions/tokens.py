@@ -51,13 +51,15 @@ class PatternTokenizer:
 class HookTokenizer:
     """Any Python tokenizer, over Arrow batches.
 
-    ``factory`` runs once per worker and returns ``text -> list of ids``.
+    ``factory`` runs once per task and returns ``text -> list of ids``, or with ``batched`` a
+    function of a list of texts to a list of such lists, which is called once per batch.
     ``longest`` is the length in characters of the longest vocabulary entry; it
     gives the lower bound that lets overlong samples be cut before rendering.
     """
 
-    def __init__(self, factory: Callable[[], Callable[[str], Sequence[int]]], longest: int):
+    def __init__(self, factory: Callable[[], Callable], longest: int, *, batched: bool = False):
         self.factory = factory
+        self.batched = batched
         self.longest = longest
 
     def floor(self, piece: Column) -> Column:
@@ -66,12 +68,15 @@ class HookTokenizer:
     def ids(self, text: Column) -> Column:
         import pandas as pd
 
-        factory = self.factory
+        factory, batched = self.factory, self.batched
 
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             tokenizer = factory()
             for batch in batches:
-                yield batch.map(lambda t: None if t is None else list(tokenizer(t)))
+                known = batch.notna()
+                texts = batch[known].tolist()
+                ids = iter(tokenizer(texts) if batched else [list(tokenizer(t)) for t in texts])
+                yield pd.Series([next(ids) if k else None for k in known], dtype=object)
 
         encode.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
         return F.pandas_udf(encode, "array<int>")(text)

@@ -97,18 +97,23 @@ def streaming_totals(spark, sf):
     return spark.read.parquet(out)
 
 
-@query("hook_tokens", f"SELECT doc_id, {COUNT.format('text')} AS n_tokens FROM documents")
+@query(
+    "hook_tokens",
+    f"""SELECT doc_id, {COUNT.format('text')} AS n_tokens,
+  array_to_string(list_transform(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\n\\r]'), lambda x: length(x)), ' ') AS ids FROM documents""",
+)
 def hook_tokens(spark, sf):
-    """A Python tokenizer over Arrow batches."""
+    """A Python tokenizer that is called once per Arrow batch."""
 
-    def load():  # runs once per worker; local, so that it travels with the task
+    def load():  # runs once per task; local, so that it travels with the task
         import re
 
         pattern = re.compile(r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r]")
-        return lambda text: [len(t) for t in pattern.findall(text)]
+        return lambda texts: [[len(t) for t in pattern.findall(text)] for text in texts]
 
-    ids = HookTokenizer(load, longest=16).ids(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.size(ids).alias("n_tokens"))
+    ids = HookTokenizer(load, longest=16, batched=True).ids(F.col("text"))
+    tokens = table(spark, sf, "documents").select("doc_id", ids.alias("ids"))
+    return tokens.select("doc_id", F.size("ids").alias("n_tokens"), F.array_join("ids", " ").alias("ids"))
 
 
 @query("batched_map", "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars FROM documents")
