@@ -2,14 +2,17 @@
 
 Tokens of the report are words, letters A-Z in lower case, and one end per text. The
 model splits every word into subwords of a public vocabulary (never trained here). Two
-experts give the probability of the next subword, and a gate mixes them:
+experts give the probability of the next subword, and are mixed:
 
 * counts: what follows in a word after all its subwords so far, interpolated with trigrams
   of subwords, from the counts of all training words, which Spark sums; it also says
   where a word ends;
 * attention: one causal head over the last subwords predicts a class of subwords; within
-  a class a subword has its share of the counts. How a word begins is left to it; inside
-  words the gate, which reads the same output, weighs the two.
+  a class a subword has its share of the counts. How a word begins is left to it. Inside
+  words it counts for ``GATE``, and says that a word ends as often as words do.
+
+So what can follow (the subwords at the beginning of a word; the subwords and the stop inside
+one) has probabilities that sum to 1, and a score is a log probability.
 
 The network is trained in numpy by averaging, in one pass over all training texts: each
 round reads the texts of its own part, chosen by digest; every partition takes steps of its
@@ -42,12 +45,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoweave.llm.base import LOWER, Words, mix, query, recording, release, stage, table, text_batches
+from chronoweave.llm.base import LOWER, Words, mix, query, recording, release, shuffles_dropped, stage, table, text_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how texts are cut before byte pairs are merged; words reach it one by one.
 PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 FOLDS, HELD = 7, 2
+GATE = 0.1  # weight of the attention inside words
 HEAD = 150_000
 DISCOUNT = 0.5
 WINDOW, STRIDE = 32, 24
@@ -254,6 +258,7 @@ class Lexicon:
         order = np.argsort(self.head[0])
         self.order, self.hash = order, self.head[0][order]
         self.single = (single + 0.5) / (single.sum() + 0.5 * 65536)
+        self.ends = float((single[_STOP] + 0.5) / (single.sum() - starts.sum() + 1))  # of what comes inside words
         total = max(starts.sum(), 1.0)
         kept = np.maximum(starts - DISCOUNT, 0) / total
         self.starts = self.single
@@ -278,11 +283,13 @@ class Lexicon:
                 centres = np.where(np.abs(sums).sum(1, keepdims=True) > 0, sums, centres)
                 centres = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
             self.group[self.top] = (points @ centres.T).argmax(1)
-        weight = self.single
-        share = np.bincount(self.group, weight, minlength=CLASSES)
-        self.share = weight / np.maximum(share[self.group], 1e-30)
-        share = np.bincount(self.group, self.starts, minlength=CLASSES)
-        self.start_share = self.starts / np.maximum(share[self.group], 1e-30)
+        self.share, self.start_share = (self._shares(weight) for weight in (self.single, self.starts))
+
+    def _shares(self, weight: np.ndarray) -> np.ndarray:
+        """The share of each subword in its class; the stop is none."""
+        weight = weight.copy()
+        weight[_STOP] = 0
+        return weight / np.maximum(np.bincount(self.group, weight, minlength=CLASSES)[self.group], 1e-30)
 
     def contexts(self, laid: dict[str, np.ndarray]) -> np.ndarray:
         """For every frequent subword the sum of what its windows hold, in a random projection."""
@@ -327,8 +334,9 @@ class Lexicon:
         flat = _gather((np.cumsum(sizes) - sizes)[word], sizes[word])
         all_ids, opening = all_ids[flat], np.zeros(len(flat), bool)
         opening[np.cumsum(sizes[word]) - sizes[word]] = True
-        share = np.where(opening, self.start_share[all_ids], self.share[all_ids]).astype(np.float32)
-        return n[word], all_ids, all_chance[flat], share, opening, np.repeat(words.text, sizes[word]), stops[word]
+        share = np.where(opening, self.start_share[all_ids], (1 - self.ends) * self.share[all_ids]).astype(np.float32)
+        ended = np.log10(GATE * self.ends + (1 - GATE) * 10.0 ** stops[word])
+        return n[word], all_ids, all_chance[flat], share, opening, np.repeat(words.text, sizes[word]), ended
 
 
 def with_rare_words(docs: DataFrame, words: DataFrame, head: np.ndarray) -> DataFrame:
@@ -370,11 +378,11 @@ def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Network:
-    """One causal attention head over subwords; outputs classes and a gate of two experts."""
+    """One causal attention head over subwords; outputs classes of subwords."""
 
     SHAPES = {
         "embed": (KNOWN + 2, WIDTH), "place": (WINDOW, WIDTH), "query": (WIDTH, WIDTH), "key": (WIDTH, WIDTH),
-        "value": (WIDTH, WIDTH), "merge": (WIDTH, WIDTH), "out": (WIDTH, CLASSES + 2), "bias": (CLASSES + 2,),
+        "value": (WIDTH, WIDTH), "merge": (WIDTH, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,),
     }
 
     def __init__(self, flat: np.ndarray | None = None) -> None:
@@ -404,15 +412,14 @@ class Network:
         z = x + (mixed.reshape(-1, WIDTH) @ self.merge).reshape(x.shape)
         logits = (z.reshape(-1, WIDTH) @ self.out).reshape(*inputs.shape, -1)
         logits += self.bias
-        classes = logits[..., :CLASSES] - logits[..., :CLASSES].max(-1, keepdims=True)
+        classes = logits - logits.max(-1, keepdims=True)
         np.exp(classes, out=classes)
         classes /= classes.sum(-1, keepdims=True)
-        gate = 1 / (1 + np.exp(logits[..., CLASSES + 1] - logits[..., CLASSES]))
-        return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": mixed, "z": z, "classes": classes, "gate": gate}
+        return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": mixed, "z": z, "classes": classes}
 
     def probability(self, f: dict, group: np.ndarray, share: np.ndarray, chance: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(probability, part of the attention expert in it) of the subwords that came."""
-        gate = np.where(opening, np.float32(1), f["gate"])  # how words begin is left to the attention
+        gate = np.where(opening, np.float32(1), np.float32(GATE))  # how words begin is left to the attention
         own = gate * np.take_along_axis(f["classes"], group[..., None], -1)[..., 0] * share
         total = own + (1 - gate) * chance
         return total, own / np.maximum(total, 1e-30)
@@ -422,11 +429,8 @@ class Network:
         f = self.forward(inputs)
         _, part = self.probability(f, group, share, chance, opening)
         weight = (scored / max(scored.sum(), 1)).astype(np.float32)
-        dlogits = np.zeros((*inputs.shape, CLASSES + 2), np.float32)
-        dlogits[..., :CLASSES] = -f["classes"] * part[..., None]
+        dlogits = -f["classes"] * part[..., None]
         np.put_along_axis(dlogits, group[..., None], np.take_along_axis(dlogits, group[..., None], -1) + part[..., None], -1)
-        dlogits[..., CLASSES] = np.where(opening, np.float32(0), part - f["gate"])
-        dlogits[..., CLASSES + 1] = -dlogits[..., CLASSES]
         dlogits *= weight[..., None]
         flat = lambda t: t.reshape(-1, t.shape[-1])
         g = Network(np.zeros_like(self.flat))
@@ -556,24 +560,12 @@ def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens
     return docs.select("id", "held_out", "text", "rare").mapInArrow(run, T.StructType(fields))
 
 
-@contextmanager
-def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Inside, Spark deletes the shuffle files of a query when it ends; only staged tables are read again."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, head: int = HEAD) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score): one row per document."""
     held = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
     slim = docs.select(F.col(key).alias("id"), held.alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     spark = docs.sparkSession
-    with _shuffles_dropped(spark):
+    with shuffles_dropped(spark):
         with recording() as counted:
             split = stage(_split(word_counts(slim), path))
             words, distinct = split.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()

@@ -51,6 +51,23 @@ def release(spark: SparkSession, paths: list[str]) -> None:
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark deletes the shuffle files of a query when it ends; only staged tables are read again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def files_of(*tables: DataFrame) -> list[str]:
+    """A file of each staged table, for ``release``."""
+    return [file for t in tables for file in t.inputFiles()[:1]]
+
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 

@@ -9,7 +9,9 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from chronoweave.llm import attention, chunks, dart, decontaminate, html, language, mixing, queries, secrets, suffixes, vectors
@@ -229,6 +231,23 @@ def test_suffixes(spark, docs, empty, crowd):
     assert suffixes.remove_repeats(empty).count() == 0 and suffixes.remove_repeats(docs).count() == 10
 
 
+def test_shorter_repeats_are_counted_not_removed(spark):
+    """A passage of 300 bytes in two texts; input columns with the names of inner ones."""
+    rng = random.Random(12)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+
+    passage = noise(300)
+    texts = [noise(900) + passage + noise(500), passage + noise(2000), noise(3000), noise(100), None]
+    df = spark.createDataFrame([(i, t, "mine", "own") for i, t in enumerate(texts)], "doc_id long, text string, body string, __sha string")
+    rows = {r.doc_id: r for r in suffixes.remove_repeats(df).collect()}
+    assert all(64 <= rows[i].n_repeated <= 300 for i in (0, 1)) and all(rows[i].n_repeated == 0 for i in (2, 3, 4))
+    assert all(r.n_removed == 0 and r.body == "mine" and r["__sha"] == "own" for r in rows.values())
+    body = suffixes.remove_repeats(df.select("doc_id", F.col("text").alias("body")), "body").collect()
+    assert {(r.doc_id, r.body, r.n_repeated) for r in body} == {(i, texts[i], r.n_repeated) for i, r in rows.items()}
+
+
 def _longest_lists(monkeypatch, module, run):
     """Results by row, and whether any text came with more spans than bytes."""
     from pyspark.sql import functions as F
@@ -304,6 +323,30 @@ def test_attention_gradient():
         assert abs((value(net.flat + e * d) - value(net.flat - e * d)) / (2 * e) - float(g @ d)) < 0.05 * max(1, abs(float(g @ d)))
 
 
+def test_what_can_follow_sums_to_one():
+    """All subwords at the beginning of a word; all subwords and the stop inside one."""
+    rng = np.random.default_rng(3)
+    stop, n = attention._STOP, 65536
+    single = rng.integers(0, 50, n).astype(float)
+    single[attention._START], single[stop] = 0, 4000
+    starts = np.where(rng.random(n) < 0.1, single, 0) * (np.arange(n) < stop)
+    facts = [pa.chunked_array([pa.array([], t)]) for t in (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.float64()))]
+    lexicon = attention.Lexicon(pa.table(facts, names=attention.FACTS), single, starts)
+    lexicon.classify(rng.standard_normal((attention.KNOWN, 32)))
+    net = attention.Network(rng.standard_normal(len(attention.Network().flat)).astype(np.float32) * 0.3)
+    every = np.arange(n)[None]
+    f = net.forward(rng.integers(0, 500, (1, attention.WINDOW)))
+    here = {"classes": np.repeat(f["classes"][:, 5:6], n, 1)}
+    chance = rng.random(n + 1)
+    chance /= chance.sum()  # of all subwords, and of the stop
+    chance[stop] = 0
+    chance /= chance.sum()
+    opened, _ = net.probability(here, lexicon.group[every], lexicon.start_share[every], np.zeros((1, n)), np.ones((1, n), bool))
+    inside, _ = net.probability(here, lexicon.group[every], (1 - lexicon.ends) * lexicon.share[every], chance[None, :n], np.zeros((1, n), bool))
+    ended = attention.GATE * lexicon.ends + (1 - attention.GATE) * chance[n]
+    assert abs(opened.sum() - 1) < 1e-5 and abs(inside.sum() + ended - 1) < 1e-5
+
+
 def test_windows_score_each_subword_once():
     lengths = np.array([0, 1, 31, 32, 33, 56, 57, 200])
     index, _, scored = attention.windows(lengths)
