@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoweave.llm.base import Words, mix, query, stage, table, text_batches
+from chronoweave.llm.base import Words, files_of, mix, query, release, shuffles_dropped, stage, table, text_batches
 from chronoweave.llm.components import components
 
 WIDTH = 5
@@ -164,10 +164,10 @@ def _led(shared: DataFrame, close) -> DataFrame:
     The leader of a bucket is the member that meets most others over all its buckets: in a
     group of copies that is the text the copies were made from, or one close to it.
     """
-    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
-    ranked = stage(shared.select("bucket", "node", "words").join(met, "node"))
+    met = stage(shared.groupBy("node").agg(F.sum("n").alias("met")))
     best = F.max(F.struct("met", (-F.col("node")).alias("other"), F.col("words").alias("leading"))).alias("best")
-    led = ranked.join(ranked.groupBy("bucket").agg(best), "bucket").select(
+    leaders = stage(shared.select("bucket", "node", "words").join(met, "node").groupBy("bucket").agg(best))
+    led = shared.select("bucket", "node", "words").join(leaders, "bucket").select(
         "node", "words", (-F.col("best.other")).alias("leader"), F.col("best.leading").alias("leading")
     )
     led = led.where((F.col("node") != F.col("leader")) & close("words", "leading")).repartition("node")
@@ -202,7 +202,9 @@ def _cores(nodes: DataFrame, texts: DataFrame, width: int) -> tuple[DataFrame, D
         (F.col("words") - F.coalesce("alone", F.lit(0))).alias("shared"),
         (F.col("words") - F.coalesce("few", F.lit(0))).alias("common"),
     )
-    return stage(cores), held.where("n > 1").select("node", "strip")
+    cores = stage(cores)
+    release(nodes.sparkSession, files_of(strips))
+    return cores, held.where("n > 1").select("node", "strip")
 
 
 def near_duplicates(
@@ -220,32 +222,45 @@ def near_duplicates(
     its least id and, among rows of that id, the least body. Rows that repeat both are
     all marked.
     """
+    with shuffles_dropped(docs.sparkSession):
+        return _classed(docs, key, text, width, similarity, bands, rows)
+
+
+def _classed(docs: DataFrame, key: str, text: str, width: int, similarity: float, bands: int, rows: int) -> DataFrame:
+    """Every table is deleted after its last reader; bands, of which a document has many, lie on disk once."""
+    spark = docs.sparkSession
     signed = stage(_signed(docs, key, text, width, bands, rows))
     name = F.struct(F.col("id").isNull().alias("none"), "id", "body")
     classes = signed.where("digest IS NOT NULL").groupBy("digest").agg(
         F.min(name).alias("name"), F.first("words").alias("words"), F.first("bands").alias("bands")
     )
-    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()))
+    numbered = stage(classes.withColumn("node", F.monotonically_increasing_id()))
+    classes, signs = stage(numbered.drop("bands")), stage(signed.select("id", "body", "digest"))
+    release(spark, files_of(signed))
 
     def close(x: str, y: str):
         """No pair is similar enough whose sizes differ too much."""
         return F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
 
-    keyed = classes.select("node", "words", F.explode("bands").alias("bucket"))
+    keyed = numbered.select("node", "words", F.explode("bands").alias("bucket"))
     sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stage(keyed.join(sizes, "bucket"))
+    release(spark, files_of(numbered))
     pairs = stage(_led(shared, close))
     met = shared.select("node").distinct().join(classes.select("node", "words", "name"), "node").select("node", "words", F.col("name.body").alias("body"))
     bodies = docs.select(F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("body"), F.col(text).cast("string").alias("text"))
-    texts = stage(bodies.join(stage(met), "body").groupBy("node").agg(F.first("words").alias("words"), F.first("text").alias("text")))
+    # Both sides grow with the corpus: without the hint a small one would be broadcast, and the plan change with the size.
+    texts = stage(bodies.join(stage(met).hint("merge"), "body").groupBy("node").agg(F.first("words").alias("words"), F.first("text").alias("text")))
     links = stage(_verified(pairs, texts, width, similarity))
     roots = components(links, "a", "b")
 
     # What the leaders did not settle: buckets that hold more than one component.
-    placed = shared.select("bucket", "node", "words").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = stage(placed)
+    roots = stage(roots)
+    placed = shared.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    rest = stage(placed.join(open_, "bucket"))
+    rest = shared.select("bucket", "node").join(stage(open_), "bucket")
+    rest = stage(rest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    release(spark, files_of(shared))
     cores, seldom = _cores(rest.select("node").distinct(), texts, width)
 
     def apart(core: str):
@@ -272,7 +287,8 @@ def near_duplicates(
     named = stage(joined.join(named, "root").select("digest", "best"))
     single = F.col("digest").isNull()
     same = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("body") == F.col("best.body"))
-    return signed.select("id", "body", "digest").join(named, "digest", "left").select(
+    release(spark, files_of(texts, rest, cores, joined, classes))
+    return signs.join(named, "digest", "left").select(
         "id", "body", F.when(single, F.col("id")).otherwise(F.col("best.id")).alias("class_id"), (single | same).alias("kept")
     )
 
@@ -280,13 +296,18 @@ def near_duplicates(
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without near-duplicates: one row of each class, and all without words."""
     body = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
-    marked = near_duplicates(docs, key, text, **options).where("kept").select(F.col("id").alias("__id"), F.col("body").alias("__body")).distinct()
+    kept = near_duplicates(docs, key, text, **options).where("kept").groupBy(F.col("id").alias("__id"), F.col("body").alias("__match"))
+    marked = stage(kept.agg(F.count(F.lit(1)).alias("__n")))
     keyed = docs.withColumn("__body", body)
     blank = ~F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    chosen = keyed.where(~blank).join(marked.withColumnRenamed("__body", "__match"), F.col(key).eqNullSafe(F.col("__id")) & (F.col("__body") == F.col("__match")), "left_semi")
+    same = F.col(key).eqNullSafe(F.col("__id")) & (F.col("__body") == F.col("__match"))
+    # Rows that repeat key and text are few; the others need no grouping, which would move their texts again.
+    once = keyed.where(~blank).join(marked.where("__n = 1"), same, "left_semi")
+    again = keyed.where(~blank).join(marked.where("__n > 1"), same, "left_semi")
     first = [F.first(f"`{c}`").alias(c) for c in docs.columns if c != key]
-    one = chosen.groupBy(key, "__body").agg(*first).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return one.unionByName(docs.where(blank))
+    again = again.groupBy(key, "__body").agg(*first)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return once.select(*columns).unionByName(again.select(*columns)).unionByName(docs.where(blank))
 
 
 @query("op3_minhash_dups")
