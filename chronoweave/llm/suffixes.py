@@ -16,11 +16,17 @@ that would shuffle the corpus many times over, so the passes are arranged by wha
    more than ``crowd`` different runs is not gathered: its positions are counted by a
    digest of all passes.
 
+``n_repeated`` looks for shorter repeats, and removes nothing: every ``NEAR`` bytes in a row hold
+at least one content-defined string of ``DIGIT`` bytes, and equal bytes choose equal strings, so
+bytes of such strings that occur elsewhere are counted wherever ``NEAR`` or more bytes repeat.
+
 Matches never cross texts, and are judged on the input. Digits are compared by 64-bit
 hashes (two independent ones for whole runs).
 
 Defined results: null is empty; texts shorter than ``depth`` bytes stay whole; overlaps of a
-text with itself count; repeated rows repeat each other. An empty table gives no rows.
+text with itself count; repeated rows repeat each other. Very long texts are cut into runs as
+they are, whose number grows with their length. An empty table gives no rows. Input columns
+named like an output are replaced, also if one of them is the text.
 """
 
 from __future__ import annotations
@@ -33,12 +39,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoweave.llm.base import mix, prefix_hash, query, span_hash, stage, table, text_batches, text_bytes
+from chronoweave.llm.base import files_of, mix, prefix_hash, query, release, shuffles_dropped, span_hash, stage, table, text_batches, text_bytes
+from chronoweave.llm.chunks import _covered
 from chronoweave.llm.groups import group_bounds, map_groups
 from chronoweave.llm.spans import cut_spans
 
 DEPTH = 400
 DIGIT = 64
+NEAR = 256
 PASS = 100
 CROWD = 4096
 WINDOWS = 1 << 20  # positions that one step sorts
@@ -267,24 +275,44 @@ def repeated_spans(docs: DataFrame, text: str = "text", depth: int = DEPTH, digi
     return cut_spans(whole.select("body", "text").join(spans, "body"), ["body"])
 
 
+def repeated_bytes(docs: DataFrame, text: str = "text", near: int = NEAR, digit: int = DIGIT) -> DataFrame:
+    """(body, n_repeated) of every different text of at least ``near`` bytes with a chosen string that occurs elsewhere."""
+    texts = docs.select(body_of(text).alias("body"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    strings = stage(_runs(texts.where(F.octet_length("text") >= near), near, digit).select("digit", "body", F.col("at").cast("int").alias("at")))
+    often = strings.groupBy("digit").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("digit")
+    held = strings.join(often, "digit").select("body", F.col("at").alias("start"), (F.col("at") + digit).alias("end")).distinct()
+    spans = held.groupBy("body").agg(F.collect_list(F.struct("start", "end")).alias("seen"))  # at most one for each byte of a text
+    counted = stage(spans.select("body", _covered("seen").alias("n_repeated")))
+    release(docs.sparkSession, files_of(strings))
+    return counted
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The documents with ``spans`` (byte ranges to remove), n_bytes, n_removed, n_spans and kept_sha256."""
-    made = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+    """The documents with ``spans`` (byte ranges to remove), n_bytes, n_repeated, n_removed, n_spans and kept_sha256."""
+    made = ("n_bytes", "n_repeated", "n_removed", "n_spans", "kept_sha256", "spans")
     full = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    results = stage(repeated_spans(docs, text, **options).withColumnRenamed("kept_sha256", "__sha"))
-    rows = docs.drop(*made).withColumns({"body": body_of(text), "n_bytes": F.octet_length(full).cast("long"), "__all": F.sha2(full, 256)})
-    joined = rows.join(results, "body", "left").drop("body")
-    return joined.withColumns(
-        {
-            "n_removed": F.coalesce("n_removed", F.lit(0)).cast("long"),
-            "n_spans": F.coalesce("n_spans", F.lit(0)).cast("long"),
-            "kept_sha256": F.coalesce("__sha", "__all"),
-            "spans": F.coalesce("spans", F.array().cast("array<array<bigint>>")),
-        }
-    ).drop("__sha", "__all")
+    with shuffles_dropped(docs.sparkSession):
+        near = repeated_bytes(docs, text).withColumnRenamed("n_repeated", "__near")
+        results = stage(repeated_spans(docs, text, **options))
+    results = results.select(*[F.col(c).alias(f"__{c}") for c in results.columns])
+    results = results.join(near.withColumnRenamed("body", "__body"), "__body", "full")
+    rows = docs.select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in made], body_of(text).alias("__body"),
+        F.octet_length(full).cast("long").alias("n_bytes"), F.sha2(full, 256).alias("__all"),
+    )
+    joined = rows.join(results, "__body", "left")
+    return joined.select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in made],
+        "n_bytes",
+        F.coalesce("__near", F.lit(0)).cast("long").alias("n_repeated"),
+        F.coalesce("__n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("__n_spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("__kept_sha256", "__all").alias("kept_sha256"),
+        F.coalesce("__spans", F.array().cast("array<array<bigint>>")).alias("spans"),
+    )
 
 
 @query("op8_suffix_repeats")
 def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return made.select("doc_id", "n_bytes", "n_repeated", "n_removed", "n_spans", "kept_sha256")
