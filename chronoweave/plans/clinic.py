@@ -124,6 +124,7 @@ HIDDEN = {
         "poe id", "order time", "start time", "stop time", "discontinues poe id", "discontinued by poe id",
     ),
 }
+# Names of the sections, and which of them a snapshot asks for. Names of scalars are those of their columns below.
 CHILDREN = (
     "hospital services", "transfers", "lab tests", "microbiology tests", "procedures", "provider orders",
     "other patient information", "radiology notes", "discharge note", "diagnoses",

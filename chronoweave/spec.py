@@ -40,6 +40,7 @@ class Section:
 class Wording:
     """Strings of the texts; callers set their own."""
 
+    # The forms of the title and of the head of an answer.
     title: str = "Subject Information:"
     answer: str = "Potential {section}:"
     system: str = "You read the course of a stay and say what comes next."
