@@ -57,9 +57,18 @@ def _marked(spark: SparkSession, out: str) -> set[str]:
     return run_names(spark, _marks(out))
 
 
-def file_arrivals(spark: SparkSession, path: str, schema: T.StructType, *, files_per_trigger: int | None = None, pattern: str | None = None) -> DataFrame:
-    """A stream of the Parquet files that arrive in a folder, at most ``files_per_trigger`` to a micro-batch."""
+def file_arrivals(
+    spark: SparkSession, path: str, schema: T.StructType, *, files_per_trigger: int | None = None, pattern: str | None = None, nested: bool = False
+) -> DataFrame:
+    """A stream of the Parquet files that arrive in a folder, at most ``files_per_trigger`` to a micro-batch.
+
+    ``pattern`` is held against names of files, not of folders. With ``nested``, files in folders below
+    count too (their names give no partition columns), and ``path`` may be one file: so it reads a table whether
+    that is a file or a folder of part files.
+    """
     reader = spark.readStream.schema(schema)
+    if nested:
+        reader = reader.option("recursiveFileLookup", "true")
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if pattern is not None:

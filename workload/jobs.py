@@ -75,7 +75,7 @@ def streaming_build(spark, sf):
     ledger = Ledger(spark, f"{path}/log", "o_orderkey")
     schema = table(spark, sf, "orders").schema
     for _ in range(2):
-        arrivals = file_arrivals(spark, sf, schema, files_per_trigger=100, pattern="orders.parquet")
+        arrivals = file_arrivals(spark, f"{sf}/orders.parquet", schema, files_per_trigger=100, nested=True)
         stream_builds(
             arrivals, ledger, lambda held: held.select("o_orderkey", "o_custkey", "o_totalprice"), f"{path}/out", f"{path}/state"
         ).awaitTermination()
@@ -90,7 +90,7 @@ def streaming_totals(spark, sf):
     from chronoweave.functions.tokens import PatternTokenizer
 
     schema = table(spark, sf, "documents").schema
-    stream = file_arrivals(spark, sf, schema, pattern="documents.parquet")
+    stream = file_arrivals(spark, f"{sf}/documents.parquet", schema, nested=True)
     counted = stream.select("lang", PatternTokenizer().count(F.col("text")).alias("n"))
     out = _folder(spark)
     running_totals(counted, ["lang"], "n", out, _folder(spark)).awaitTermination()
