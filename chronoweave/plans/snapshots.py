@@ -65,11 +65,12 @@ def visible_counts(rows: DataFrame, asked: DataFrame | None = None, cuts: Cuts |
     """Rows visible per snapshot and section: ``stay_id, event_id, section, t, n_visible, last_t``; none are left out.
 
     ``visibility_runs`` expanded on demand, for ``asked`` (``stay_id, event_id, section, t``) alone; by
-    default every snapshot asks for every section of its stay, which is their product.
+    default every snapshot asks for every section of its stay that has shown a row by then.
     """
     changes = _section_changes(rows)
     if asked is None:
-        asked = snapshot_times(rows).join(changes.select(*_SECTION).distinct(), "stay_id")
+        first = changes.groupBy(*_SECTION).agg(F.min("t").alias("first_t"))
+        asked = snapshot_times(rows).join(first, "stay_id").where(F.col("first_t") <= F.col("t"))
     cuts = stay_cuts(rows) if cuts is None else cuts
     return counts_at(changes, asked.select(*_SECTION, "t"), list(_SECTION), cuts).where("n_visible > 0")
 

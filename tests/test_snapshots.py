@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from chronoweave.functions.tokens import HookTokenizer, PatternTokenizer
 from chronoweave.operators.ordered import key_cuts
 from chronoweave.plans.samples import build_samples, cut_after_overflow, discharge_samples, token_dataset, tokenise
@@ -264,3 +265,28 @@ def test_long_label_lists_give_no_discharge_sample(spark):
     assert [(r["sample_id"], r["input"], r["output"]) for r in got] == [
         ("1_discharge", "x: y\n\nnote: note\n\n\nWhich?", "Potential diagnoses:\n - d0\n - d1\n - d2\n\n")
     ]
+
+
+def test_asof_query_tells_every_snapshot_all_its_sections(spark, tmp_path):
+    """A row per snapshot and section seen by then, incidents too: against a plain count over all pairs."""
+    kinds = ["signup", "view", "error", "view", "click", "error", "purchase", "signup", "error", "view"]
+    events = [(100 * u + i, u, START + timedelta(hours=i), k, 1.5, '{"k": 7}') for u in (1, 2) for i, k in enumerate(kinds)]
+    schema = "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(1, "a", "x")], "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    got = queries()["snapshot_asof"](spark, str(tmp_path)).collect()
+
+    names = {"view": "views", "click": "clicks", "purchase": "purchases"}
+    want = {}
+    for u in (1, 2):
+        for first, last in ((0, 7), (7, 10)):
+            stay, at = 100 * u + first, lambda i: START + timedelta(hours=i)
+            marks = [(str(stay), "start time", at(first)), (str(stay), "plan", at(first))] + [(str(stay), "end time", at(7))] * (first == 0)
+            marks += [(str(stay), names[kinds[i]], at(i)) for i in range(first, last) if kinds[i] in names]
+            marks += [(str(100 * u + i), "code", at(i)) for i in range(first, last) if kinds[i] == "error"]
+            for t in {t for event, section, t in marks if section != "code"}:
+                for event, section, shown in marks:
+                    if shown <= t:
+                        n, latest = want.get((stay, event, section, t), (0, shown))
+                        want[stay, event, section, t] = n + 1, max(shown, latest)
+    assert {(r.stay_id, r.event_id, r.section, r.t): (r.n_visible, r.last_t) for r in got} == want and len(got) == len(want) > 40

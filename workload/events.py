@@ -369,21 +369,46 @@ def spine(spark, sf):
     return snapshot_times(rows_of(spark, sf)[0])
 
 
-@query(
-    "snapshot_asof",
-    f"""WITH {STAYS_SQL},
+MARKS_SQL = (
+    STAYS_SQL
+    + """,
 marks AS (
   SELECT stay_id, CAST(stay_id AS VARCHAR) AS event_id, section, t FROM sec
   UNION ALL SELECT stay_id, CAST(stay_id AS VARCHAR), 'start time', start_t FROM stays
   UNION ALL SELECT stay_id, CAST(stay_id AS VARCHAR), 'plan', start_t FROM stays
   UNION ALL SELECT stay_id, CAST(stay_id AS VARCHAR), 'end time', end_t FROM stays WHERE end_t IS NOT NULL
-  UNION ALL SELECT stay_id, CAST(event_id AS VARCHAR), 'code', ts FROM child WHERE event_type = 'error'),
+  UNION ALL SELECT stay_id, CAST(event_id AS VARCHAR), 'code', ts FROM child WHERE event_type = 'error')
+"""
+)
+
+
+def _marks(spark, sf):
+    """What visibility reads of the rows; their texts are not printed."""
+    return stage(rows_of(spark, sf)[0].where("kind <> 'event' or spine").select(
+        "stay_id", "event_id", "event_t", "section", "kind", "t", "t_eff", "t_end", "spine", "mute"
+    ))
+
+
+@query(
+    "snapshot_asof",
+    f"""WITH {MARKS_SQL}
+SELECT p.stay_id, m.event_id, m.section, p.t, count(*) AS n_visible, max(m.t) AS last_t
+FROM spine p JOIN marks m ON m.stay_id = p.stay_id AND m.t <= p.t GROUP BY p.stay_id, m.event_id, m.section, p.t""",
+)
+def snapshot_asof(spark, sf):
+    """What every snapshot sees, of all sections, incidents too."""
+    return visible_counts(_marks(spark, sf)).select("stay_id", "event_id", "section", "t", "n_visible", "last_t")
+
+
+@query(
+    "snapshot_runs",
+    f"""WITH {MARKS_SQL},
 steps AS (SELECT stay_id, event_id, section, t, count(*) AS n FROM marks GROUP BY ALL)
 SELECT stay_id, event_id, section, t AS from_t, lead(t) OVER w AS until_t, CAST(sum(n) OVER w AS BIGINT) AS n_visible, t AS last_t
 FROM steps WINDOW w AS (PARTITION BY stay_id, event_id, section ORDER BY t)""",
 )
-def snapshot_asof(spark, sf):
-    """What every snapshot sees, of all sections, as run lengths: incidents too, and linear in the events."""
+def snapshot_runs(spark, sf):
+    """The same as run lengths, linear in the events: between which instants the count of a section holds."""
     return visibility_runs(rows_of(spark, sf)[0])
 
 
