@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: a token is a run of ASCII word characters or one other non-space character.
 TOKEN_PATTERN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r]"
 
+SLICE_BYTES = 2 << 20  # text that a Python hook gets at once
+
 
 class Tokenizer(Protocol):
     """What the engine needs from a tokenizer."""
@@ -52,34 +57,46 @@ class HookTokenizer:
     """Any Python tokenizer, over Arrow batches.
 
     ``factory`` runs once per task and returns ``text -> list of ids``, or with ``batched`` a
-    function of a list of texts to a list of such lists, which is called once per batch.
+    function of a list of texts to a list of such lists, which is called once per slice of a batch.
+    A slice holds at most ``slice_bytes`` of text, or one text, so that a task keeps the texts
+    and ids of one slice as Python objects, however many rows Spark puts into a batch.
     ``longest`` is the length in characters of the longest vocabulary entry; it
     gives the lower bound that lets overlong samples be cut before rendering.
     """
 
-    def __init__(self, factory: Callable[[], Callable], longest: int, *, batched: bool = False):
+    def __init__(self, factory: Callable[[], Callable], longest: int, *, batched: bool = False, slice_bytes: int = SLICE_BYTES):
         self.factory = factory
         self.batched = batched
         self.longest = longest
+        self.slice_bytes = slice_bytes
 
     def floor(self, piece: Column) -> Column:
         return F.length(piece) / F.lit(self.longest)
 
     def ids(self, text: Column) -> Column:
-        import pandas as pd
-
-        factory, batched = self.factory, self.batched
+        factory, batched, limit = self.factory, self.batched, self.slice_bytes
 
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             tokenizer = factory()
             for batch in batches:
-                known = batch.notna()
-                texts = batch[known].tolist()
-                ids = iter(tokenizer(texts) if batched else [list(tokenizer(t)) for t in texts])
-                yield pd.Series([next(ids) if k else None for k in known], dtype=object)
-
-        encode.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-        return F.pandas_udf(encode, "array<int>")(text)
+                for held in text_slices(batch, limit):
+                    texts = held.drop_null().to_pylist()
+                    ids = iter(tokenizer(texts) if batched else [list(tokenizer(t)) for t in texts])
+                    yield pa.array([next(ids) if known else None for known in held.is_valid().to_pylist()], pa.list_(pa.int32()))
+
+        encode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+        return F.arrow_udf(encode, "array<int>")(text.cast("string"))
+
+
+def text_slices(texts: pa.Array, limit: int) -> Iterator[pa.Array]:
+    """Consecutive slices of a string array, of at most ``limit`` bytes of text each, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        done = int(ends[at - 1]) if at else 0
+        end = max(int(np.searchsorted(ends, done + limit, "right")), at + 1)
+        yield texts.slice(at, end - at)
+        at = end
 
 
 def attention_mask(ids: str) -> Column:

@@ -201,6 +201,23 @@ def test_hook_tokenizer(spark, rows_of):
     assert rows_of(df.select(HookTokenizer(load, 1).ids(F.col("t")).alias("ids"))) == [(None,), ([97, 98],)]
 
 
+def test_hook_gets_texts_in_slices_of_bounded_size(spark):
+    """However many rows a batch has; a longer text comes alone, and nulls take no place."""
+
+    def load():
+        def encode(texts):
+            assert len(texts) <= 1 or sum(len(t.encode()) for t in texts) <= 40, texts
+            return [[len(t), len(texts)] for t in texts]
+
+        return encode
+
+    texts = [(i, None if i % 7 == 0 else "é" * (i % 45)) for i in range(300)]
+    df = spark.createDataFrame(texts, "i int, t string").coalesce(1)
+    got = {r.i: r.ids for r in df.select("i", HookTokenizer(load, 1, batched=True, slice_bytes=40).ids(F.col("t")).alias("ids")).collect()}
+    assert [got[i] and got[i][0] for i, _ in texts] == [None if t is None else len(t) for _, t in texts]
+    assert max(ids[1] for ids in got.values() if ids) > 2
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([([1.0, 9.0, 9.0],)], "v array<double>")
     assert df.select(argmax(F.col("v"))).first()[0] == 1
