@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions import text
 from chronoweave.operators.ordered import Cuts, ordered_scan
+from chronoweave.plans.timeline import sort_key_of, whole_numbers
 from chronoweave.spec import Wording
 
 
@@ -47,30 +48,29 @@ def next_changes(
 
     ``snapshots`` has ``stay_id, t`` and may carry more columns. Adds ``section,
     next_t, n_rows, answer_size``; a snapshot without a later change gives no row.
-    ``cuts``: of some table by ``stay_id`` along ``t``. One backward scan per section replaces the search through later snapshots.
+    ``cuts``: of some table by ``stay_id`` along ``t``. One backward scan per stay, which knows the next change of every section, replaces the search through later snapshots.
     """
     extra = [c for c in snapshots.columns if c not in ("stay_id", "t")]
-    asked = snapshots.select(
-        "stay_id", "t", *extra, F.explode(F.array(*[F.lit(s) for s in sections])).alias("section"), F.lit(1).alias("asks"),
-    )
-    found = groups.select(
-        "stay_id", "section", "t", F.lit(0).alias("asks"),
-        F.struct(F.col("t"), F.col("n_rows"), F.col("size")).alias("change"),
+    change = F.struct(F.col("t"), F.col("n_rows"), F.col("size"))
+    asked = snapshots.select("stay_id", "t", *extra, F.lit(1).alias("__asks"))
+    found = groups.where(F.col("section").isin(*sections)).select(
+        "stay_id", "t", F.lit(0).alias("__asks"), *[F.when(F.col("section") == s, change).alias(f"__change_{i}") for i, s in enumerate(sections)],
     )
     # A change sorts ahead of a question at the same instant, so that it is not "after" it.
     scanned = ordered_scan(
-        asked.unionByName(found, allowMissingColumns=True),
-        ["stay_id", "section"], ["t", "asks"],
-        following={"next": "change"}, monotone=["next"], cuts=cuts,
+        asked.unionByName(found, allowMissingColumns=True), ["stay_id"], ["t", "__asks"],
+        following={f"__next_{i}": f"__change_{i}" for i in range(len(sections))}, monotone=[f"__next_{i}" for i in range(len(sections))], cuts=cuts,
     )
-    return scanned.where((F.col("asks") == 1) & F.col("next").isNotNull()).select(
+    each = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"__next_{i}").alias("next")) for i, s in enumerate(sections)])
+    told = scanned.where("__asks = 1").select("stay_id", "t", *extra, F.explode(F.filter(each, lambda x: x["next"].isNotNull())).alias("__told"))
+    return told.select(
         "stay_id",
         "t",
         *extra,
-        "section",
-        F.col("next.t").alias("next_t"),
-        F.col("next.n_rows").alias("n_rows"),
-        F.col("next.size").alias("answer_size"),
+        "__told.section",
+        F.col("__told.next.t").alias("next_t"),
+        F.col("__told.next.n_rows").alias("n_rows"),
+        F.col("__told.next.size").alias("answer_size"),
     )
 
 
@@ -82,13 +82,16 @@ def answer_texts(changes: DataFrame, wanted: DataFrame, wording: Wording) -> Dat
     ``build_samples`` with ``max_tokens`` bounds it by their size before.
     """
     keys = wanted.select("stay_id", "section", F.col("next_t").alias("t")).distinct()
-    held = changes.join(keys, list(_INSTANT), "left_semi")
-    row = F.struct("h", "g", "tie", "line_full", "answer")
+    # The keys of the texts are left behind, and whole numbers of a sort key travel as such: they make up half of a row.
+    numbers = whole_numbers("tie")
+    held = changes.select(*_INSTANT, "line_full", "answer", "unique", numbers.alias("numbers"), F.when(numbers.isNull(), F.col("tie")).alias("tie"))
+    held = held.join(keys, list(_INSTANT), "left_semi")
+    row = F.struct("line_full", "answer", F.coalesce("tie", sort_key_of("numbers")).alias("tie"))
     listed = held.groupBy(*_INSTANT).agg(F.array_sort(F.collect_list(row)).alias("list"), F.max("unique").alias("unique"))
 
     def same(row: Column, at: Column) -> Column:
         other = F.get("list", at)
-        return F.coalesce((other["h"] == row["h"]) & (other["g"] == row["g"]), F.lit(False))
+        return F.coalesce(other["line_full"].eqNullSafe(row["line_full"]) & other["answer"].eqNullSafe(row["answer"]), F.lit(False))
 
     def stands(row: Column, i: Column) -> Column:
         return ~same(row, i - 1) & ~(F.col("unique") & same(row, i + 1))

@@ -51,6 +51,23 @@ def sort_key(df: DataFrame, names: Sequence[str]) -> Column:
     return F.array(*[part(n) for n in names]).cast(_TIE)
 
 
+def whole_numbers(tie: str) -> Column:
+    """A sort key of whole numbers as an array of these; null for any other key."""
+    def number(x: Column) -> Column:
+        return x["whole"].try_cast("bigint")
+
+    fits = F.forall(tie, lambda x: x["real"].isNull() & x["words"].isNull() & x["whole"].eqNullSafe(number(x).cast("decimal(38,10)")))
+    return F.when(fits, F.transform(tie, number))
+
+
+def sort_key_of(numbers: str) -> Column:
+    """The sort key that ``whole_numbers`` gave this array for."""
+    nothing = F.lit(None)
+    return F.transform(numbers, lambda n: F.struct(
+        n.cast("decimal(38,10)").alias("whole"), nothing.cast("double").alias("real"), nothing.cast("string").alias("words")
+    ))
+
+
 def event_rows(
     events: DataFrame,
     tokenizer,

@@ -12,7 +12,7 @@ from chronoweave.operators.ordered import key_cuts
 from chronoweave.plans.samples import build_samples, cut_after_overflow, discharge_samples, token_dataset, tokenise
 from chronoweave.plans.snapshots import PRINTED, fitting_rows, snapshot_sizes, snapshot_texts, visibility_runs, visible_counts
 from chronoweave.plans.targets import change_groups, change_rows, next_changes
-from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, union_rows
+from chronoweave.plans.timeline import event_rows, section_rows, snapshot_times, sort_key, sort_key_of, union_rows, whole_numbers
 from chronoweave.session import stage
 from chronoweave.spec import Section, Wording
 
@@ -80,6 +80,23 @@ def test_next_changes_equal_the_search(data, length):
     assert got.exceptAll(first).count() == 0 and got.count() == first.count()
 
 
+def test_a_snapshot_is_scanned_once_for_all_sections(data):
+    """Snapshots meet the sections after the scan, so that what is shuffled does not grow with the number of sections."""
+    rows, _ = data
+    found = next_changes(snapshot_times(rows), change_groups(change_rows(rows)), ["labs", "beds"], cuts_of(rows, 10_000))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Window")
+
+
+def test_sort_keys_of_whole_numbers_travel_as_numbers(spark):
+    whole = spark.createDataFrame([(1, -3), (None, 2**62), (4, None)], "a int, b long")
+    other = spark.createDataFrame([(1, "x", 0.5), (2, None, None)], "a int, b string, c double")
+    for df, names, packed in ((whole, ("a", "b"), 3), (whole, (), 3), (other, ("a", "b", "c"), 1), (other.selectExpr("a + 0.5BD AS a"), ("a",), 0)):
+        keyed = df.select(sort_key(df, names).alias("tie")).withColumn("numbers", whole_numbers("tie"))
+        back = keyed.withColumn("again", F.coalesce(sort_key_of("numbers"), "tie"))
+        assert keyed.where("numbers IS NOT NULL").count() == packed and back.where("again <=> tie").count() == df.count()
+
+
 def test_runs_hold_what_snapshots_see(data):
     """One run per section and instant of change, and at every snapshot the run around it says the count."""
     rows, _ = data

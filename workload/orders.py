@@ -92,7 +92,9 @@ SELECT n.stay_id, n.t, n.section, n.next_t, a.n_rows, a.answer FROM nexts n JOIN
 
 @query("next_event_targets", NEXT_SQL)
 def next_event_targets(spark, sf):
-    rows = stage(rows_of(spark, sf))
+    rows = stage(rows_of(spark, sf).select(
+        "stay_id", "event_t", "section", "kind", "t", "t_eff", "t_end", "tie", "line_full", "answer", "answer_size", "spine", "target"
+    ))
     changes = change_rows(rows)
     found = stage(next_changes(snapshot_times(rows), change_groups(changes), list(FLAGS.values()), stay_cuts(rows)))
     texts = answer_texts(changes, found, WORDING)
