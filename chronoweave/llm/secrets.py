@@ -5,12 +5,14 @@ strings. Other secrets are found by two character Markov models, one of random s
 and one of ordinary words and identifiers: a run of 16 or more letters, digits and
 ``_ + / = -`` that does not lie inside a known form is a secret if the log-likelihood ratio of
 the models over its neighbouring characters is above a threshold. The models are trained
-from labelled samples: the values that the known forms find in all documents against
-the other words of about ``sample`` documents chosen by digest and identifiers made of them. The random model
-starts from a uniform prior, so that alphabets no sample shows are still random. The
-threshold is the larger of ``odds`` and the 99.9th percentile of the ordinary words.
-
-Everything is per row, apart from sums of the training counts (at most 96 x 96 pairs).
+from all documents: the values that the known forms find against the other words and
+identifiers made of them. Texts are joined to identifiers by each of ``JOINERS``; these are many, so
+an identifier weighs ``1 / IDENTIFIER_SHARE`` of a word. The random model
+starts from a uniform prior, so that alphabets no text shows are still random. The
+threshold is the larger of ``odds`` and the 99.9th percentile of the ordinary words, by weight, rounded up to
+``STEP``.
+
+Everything is per row, apart from counts of different words and sums of the training counts (at most 96 x 96 pairs).
 Positions are code points, ends exclusive.
 
 Defined results: null and empty texts hold nothing; repeated rows give the same spans;
@@ -37,12 +39,12 @@ ASSIGNED = 12  # characters of an assigned value
 CANDIDATE = r"[A-Za-z0-9_+/=-]{16,}"
 ORDINARY = r"[A-Za-z0-9_+/=-]{8,}"
 KINDS = ("assign", "access", "hex", "random")
-SAMPLE = 20_000
 ODDS = math.log(10_000)
 PRIOR = 64.0  # weight of the uniform prior in each context of the random model
-JOINERS = ("_", "-", "/", "_2_")  # identifiers are made of the words of sampled texts
+JOINERS = ("_", "-", "/", "_2_")  # identifiers are made of the words of a text
 IDENTIFIER_SHARE = 16
 MARK = "[SECRET]"
+STEP = 0.01  # of a score, so that the percentile is taken over a bounded number of values
 _SYMBOLS = 96
 _ALPHABET = 65
 
@@ -81,30 +83,61 @@ def _pairs(token: Column) -> Column:
     return F.transform(both, lambda p: _place(p) * _SYMBOLS + _place(F.substring(p, 2, 1)))
 
 
-def _labelled(docs: DataFrame, text: str, sample: int) -> DataFrame:
-    """(token, secret): values of known forms in all texts, and other words of sampled texts."""
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    slim = docs.select(body.alias("text"))
+def _plain(docs: DataFrame, text: str) -> DataFrame:
+    """(plain): the texts without known forms."""
+    return docs.select(reduce(lambda t, p: F.regexp_replace(t, p, " "), (ASSIGN, ACCESS, HEX), F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("plain"))
+
+
+def _secret_values(docs: DataFrame, text: str) -> DataFrame:
+    """(token): values of known forms."""
+    slim = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     spans = slim.where(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")).select("text", F.explode(known_spans(F.col("text"))).alias("s"))
-    secret = spans.select(F.substr("text", F.col("s.from") + 1, F.col("s.end") - F.col("s.from")).alias("token"), F.lit(True).alias("secret"))
-    rows = max(slim.count(), 1)
-    chosen = F.pmod(F.xxhash64(F.md5("text")), F.lit(1 << 20)) < int(min(1.0, sample / rows) * (1 << 20))
-    plain = reduce(lambda t, p: F.regexp_replace(t, p, " "), (ASSIGN, ACCESS, HEX), F.col("text"))
-    sampled = slim.where(chosen).select("text", plain.alias("plain"))
-    words = sampled.select(F.explode(F.regexp_extract_all("plain", F.lit(ORDINARY), F.lit(0))).alias("token"))
-    few = sampled.where(F.pmod(F.xxhash64(F.md5("text")), F.lit(IDENTIFIER_SHARE)) == 0)
-    joined = F.array(*[F.regexp_replace("plain", "[^A-Za-z0-9]+", j) for j in JOINERS])
-    names = few.select(F.explode(joined).alias("token")).where(F.length("token") > 1)
-    return secret.union(words.union(names).withColumn("secret", F.lit(False)))
-
-
-def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, odds: float = ODDS) -> tuple[list[float], float]:
-    """(log-likelihood ratio by pair of characters, threshold)."""
-    tokens = stage(_labelled(docs, text, sample))
-    pairs = tokens.select("secret", F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("secret", "pair").agg(F.count(F.lit(1)).alias("n"))
-    seen: dict[bool, dict[int, int]] = {True: {}, False: {}}
-    for secret, pair, n in pairs.collect():  # at most 2 x 96 x 96 rows
-        seen[secret][pair] = n
+    return spans.select(F.substr("text", F.col("s.from") + 1, F.col("s.end") - F.col("s.from")).alias("token"))
+
+
+def _counted(docs: DataFrame, text: str) -> DataFrame:
+    """(role, token, n): secret values, ordinary words, and words of identifiers, each with how often it occurs.
+
+    A gap is what an identifier has a joiner for. A word of role ``name`` has a space on each side that
+    has a gap; role ``gap`` counts these.
+    """
+    plain = _plain(docs, text)
+    spaced = F.regexp_replace("plain", "[^A-Za-z0-9]+", "  ")
+    words = F.transform(F.regexp_extract_all("plain", F.lit(ORDINARY), F.lit(0)), lambda t: F.struct(F.lit("word").alias("role"), t.alias("token")))
+    names = F.transform(F.regexp_extract_all(spaced, F.lit(" ?[A-Za-z0-9]+ ?"), F.lit(0)), lambda t: F.struct(F.lit("name").alias("role"), t.alias("token")))
+    each = plain.select(F.explode(F.concat(words, names)).alias("x")).select("x.role", "x.token")
+    each = each.union(_secret_values(docs, text).select(F.lit("secret"), "token"))
+    gaps = plain.select(F.lit("gap").alias("role"), F.lit("").alias("token"), F.regexp_count("plain", F.lit("[^A-Za-z0-9]+")).alias("k"))
+    counted = each.groupBy("role", "token").agg(F.count(F.lit(1)).alias("n"))
+    return counted.unionByName(gaps.groupBy("role", "token").agg(F.sum("k").cast("long").alias("n")))
+
+
+def _joined_pairs(role: Column, token: Column) -> Column:
+    """Numbers of the neighbouring characters that a token adds to the identifiers of all joiners."""
+    word = F.trim(token)
+    nothing = F.array().cast("array<int>")
+    inside = F.flatten(F.array_repeat(_pairs(word), len(JOINERS)))
+    ahead = F.flatten(F.array(*[_pairs(F.concat(F.lit(j[-1]), F.substring(word, 1, 1))) for j in JOINERS]))
+    behind = F.flatten(F.array(*[_pairs(F.concat(F.right(word, F.lit(1)), F.lit(j[0]))) for j in JOINERS]))
+    name = F.concat(inside, F.when(token.startswith(" "), ahead).otherwise(nothing), F.when(token.endswith(" "), behind).otherwise(nothing))
+    joiners = F.flatten(F.array(*[_pairs(F.lit(j)) for j in JOINERS]))
+    return F.when(role == "name", name).when(role == "gap", joiners).otherwise(_pairs(token))
+
+
+def pair_counts(docs: DataFrame, text: str = "text") -> dict[bool, dict[int, float]]:
+    """How often characters are neighbours in secret values (True) and in ordinary words and identifiers (False)."""
+    counted = stage(_counted(docs, text))
+    pairs = counted.select("role", "n", F.explode(_joined_pairs(F.col("role"), F.col("token"))).alias("pair"))
+    seen: dict[bool, dict[int, float]] = {True: {}, False: {}}
+    for role, pair, n in pairs.groupBy("role", "pair").agg(F.sum("n")).collect():  # at most 4 x 96 x 96 rows
+        side = seen[role == "secret"]
+        side[pair] = side.get(pair, 0) + (n / IDENTIFIER_SHARE if role in ("name", "gap") else n)
+    return seen
+
+
+def train(docs: DataFrame, text: str = "text", odds: float = ODDS) -> tuple[list[float], float]:
+    """(log-likelihood ratio by pair of characters, threshold), from all texts."""
+    seen = pair_counts(docs, text)
     ratio = [0.0] * (_SYMBOLS * _SYMBOLS)
     for first in range(_SYMBOLS):
         row = range(first * _SYMBOLS, (first + 1) * _SYMBOLS)
@@ -112,8 +145,17 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, odds: float
         plain = sum(seen[False].get(p, 0) for p in row) + _ALPHABET
         for p in row:
             ratio[p] = math.log((seen[True].get(p, 0) + PRIOR / _ALPHABET) / random) - math.log((seen[False].get(p, 0) + 1) / plain)
-    ordinary = tokens.where(~F.col("secret") & F.col("token").rlike(f"^{CANDIDATE}$") & (F.length("token") < 64))
-    high = ordinary.select(F.percentile_approx(_score(F.col("token"), ratio), 0.999, 10_000)).first()[0]
+    plain = _plain(docs, text)
+    words = F.transform(F.regexp_extract_all("plain", F.lit(ORDINARY), F.lit(0)), lambda t: F.struct(t.alias("token"), F.lit(IDENTIFIER_SHARE).alias("weight")))
+    names = F.array(*[F.struct(F.regexp_replace("plain", "[^A-Za-z0-9]+", j).alias("token"), F.lit(1).alias("weight")) for j in JOINERS])
+    # Identifiers of texts with more letters and digits than that are longer than a candidate that counts.
+    short = F.regexp_count("plain", F.lit("[A-Za-z0-9]")) < 64
+    ordinary = plain.select(F.explode(words).alias("x")).union(plain.where(short).select(F.explode(names))).select("x.token", "x.weight")
+    ordinary = ordinary.where(F.col("token").rlike(f"^{CANDIDATE}$") & (F.length("token") < 64))
+    ordinary = ordinary.groupBy("token").agg(F.sum("weight").alias("weight"))
+    score = F.ceil(_score(F.col("token"), ratio) / STEP) * STEP
+    high = ordinary.select(score.alias("score"), "weight").groupBy("score").agg(F.sum("weight").alias("weight"))
+    high = high.select(F.percentile("score", 0.999, F.col("weight"))).first()[0]
     return ratio, max(odds, high if high is not None else odds)
 
 

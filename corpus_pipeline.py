@@ -38,10 +38,12 @@ def tidy(step):
 
 @tidy
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that language identification rejects, and write the language it finds."""
+    """Drop the documents that language identification rejects, and write the language it finds.
+
+    It learns from all labelled documents: nothing here is held out to be judged.
+    """
     columns = docs.columns
-    training = F.coalesce(language.fold("doc_id", language.FOLDS) != 0, F.lit(False))
-    labelled = language.identify(docs, language.train(docs.where(training)), training)
+    labelled = language.identify(docs, language.train(docs), F.lit(True))
     kept = labelled.where(~F.col("rejected")).withColumn("lang", F.col("lang_pred"))
     return kept.select(*[F.col(f"`{c}`") for c in columns])
 

@@ -179,6 +179,31 @@ def test_secrets(spark, docs, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_pairs_are_counted_in_all_texts(spark):
+    """Against plain counts: words of every text, and identifiers of every text at a sixteenth of their weight."""
+    odd = ["", None, "?!", "-a-", "key", "  several longwords-and_numbers 2024, été!", "token=abcdefghijkl0 tail wordswords"]
+    texts = odd + [f"number{i} of certainly{i % 5} many; texts" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    seen, want = secrets.pair_counts(df), {}
+    for text in texts:
+        plain = re.sub(r"token=abcdefghijkl0", " ", text or "")
+        tokens = [(w, 16) for w in re.findall(r"[A-Za-z0-9_+/=-]{8,}", plain)] + [(re.sub(r"[^A-Za-z0-9]+", j, plain), 1) for j in secrets.JOINERS]
+        for token, weight in tokens:
+            for a, b in zip(token, token[1:]):
+                place = (ord(a) - 32) * 96 + ord(b) - 32
+                want[place] = want.get(place, 0) + weight
+    assert {p: n * 16 for p, n in seen[False].items()} == want and len(want) > 100
+    assert sum(seen[True].values()) == len("abcdefghijkl0") - 1
+
+
+def test_pipeline_learns_language_from_all_texts(spark, monkeypatch):
+    taught, learn = [], language.train
+    monkeypatch.setattr(language, "train", lambda docs, **k: taught.append(docs.count()) or learn(docs, **k))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(100)
+    corpus_pipeline.identify_language(spark, docs, SF)
+    assert taught == [100]
+
+
 def test_the_ratio_alone_decides_random_runs(spark):
     """Runs of letters or digits alone, and runs that go beyond a known span; not runs inside one."""
     model = [1.0] * secrets._SYMBOLS**2, 15.5
