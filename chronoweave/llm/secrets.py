@@ -103,13 +103,19 @@ def _counted(docs: DataFrame, text: str) -> DataFrame:
     """
     plain = _plain(docs, text)
     spaced = F.regexp_replace("plain", "[^A-Za-z0-9]+", "  ")
-    words = F.transform(F.regexp_extract_all("plain", F.lit(ORDINARY), F.lit(0)), lambda t: F.struct(F.lit("word").alias("role"), t.alias("token")))
-    names = F.transform(F.regexp_extract_all(spaced, F.lit(" ?[A-Za-z0-9]+ ?"), F.lit(0)), lambda t: F.struct(F.lit("name").alias("role"), t.alias("token")))
-    each = plain.select(F.explode(F.concat(words, names)).alias("x")).select("x.role", "x.token")
-    each = each.union(_secret_values(docs, text).select(F.lit("secret"), "token"))
-    gaps = plain.select(F.lit("gap").alias("role"), F.lit("").alias("token"), F.regexp_count("plain", F.lit("[^A-Za-z0-9]+")).alias("k"))
-    counted = each.groupBy("role", "token").agg(F.count(F.lit(1)).alias("n"))
-    return counted.unionByName(gaps.groupBy("role", "token").agg(F.sum("k").cast("long").alias("n")))
+
+    def row(role: str, token: Column, k: Column | None = None) -> Column:
+        return F.struct(F.lit(role).alias("role"), token.alias("token"), (F.lit(1) if k is None else k).cast("long").alias("k"))
+
+    words = F.transform(F.regexp_extract_all("plain", F.lit(ORDINARY), F.lit(0)), lambda t: row("word", t))
+    names = F.transform(F.regexp_extract_all(spaced, F.lit(" ?[A-Za-z0-9]+ ?"), F.lit(0)), lambda t: row("name", t))
+    gaps = F.array(row("gap", F.lit(""), F.regexp_count("plain", F.lit("[^A-Za-z0-9]+"))))
+    # Identifiers of fewer than 64 characters count for the threshold; two spaces are at most twice a joiner.
+    short = F.array(*[row("short", F.regexp_replace("plain", "[^A-Za-z0-9]+", j)) for j in JOINERS])
+    short = F.when(F.length(spaced) < 128, short).otherwise(F.array().cast("array<struct<role:string,token:string,k:bigint>>"))
+    each = plain.select(F.explode(F.concat(words, names, gaps, short)).alias("x")).select("x.role", "x.token", "x.k")
+    each = each.union(_secret_values(docs, text).select(F.lit("secret"), "token", F.lit(1).cast("long")))
+    return each.groupBy("role", "token").agg(F.sum("k").alias("n"))
 
 
 def _joined_pairs(role: Column, token: Column) -> Column:
@@ -126,8 +132,11 @@ def _joined_pairs(role: Column, token: Column) -> Column:
 
 def pair_counts(docs: DataFrame, text: str = "text") -> dict[bool, dict[int, float]]:
     """How often characters are neighbours in secret values (True) and in ordinary words and identifiers (False)."""
-    counted = stage(_counted(docs, text))
-    pairs = counted.select("role", "n", F.explode(_joined_pairs(F.col("role"), F.col("token"))).alias("pair"))
+    return _pair_sums(stage(_counted(docs, text)))
+
+
+def _pair_sums(counted: DataFrame) -> dict[bool, dict[int, float]]:
+    pairs = counted.where("role <> 'short'").select("role", "n", F.explode(_joined_pairs(F.col("role"), F.col("token"))).alias("pair"))
     seen: dict[bool, dict[int, float]] = {True: {}, False: {}}
     for role, pair, n in pairs.groupBy("role", "pair").agg(F.sum("n")).collect():  # at most 4 x 96 x 96 rows
         side = seen[role == "secret"]
@@ -137,7 +146,8 @@ def pair_counts(docs: DataFrame, text: str = "text") -> dict[bool, dict[int, flo
 
 def train(docs: DataFrame, text: str = "text", odds: float = ODDS) -> tuple[list[float], float]:
     """(log-likelihood ratio by pair of characters, threshold), from all texts."""
-    seen = pair_counts(docs, text)
+    counted = stage(_counted(docs, text))
+    seen = _pair_sums(counted)
     ratio = [0.0] * (_SYMBOLS * _SYMBOLS)
     for first in range(_SYMBOLS):
         row = range(first * _SYMBOLS, (first + 1) * _SYMBOLS)
@@ -145,14 +155,9 @@ def train(docs: DataFrame, text: str = "text", odds: float = ODDS) -> tuple[list
         plain = sum(seen[False].get(p, 0) for p in row) + _ALPHABET
         for p in row:
             ratio[p] = math.log((seen[True].get(p, 0) + PRIOR / _ALPHABET) / random) - math.log((seen[False].get(p, 0) + 1) / plain)
-    plain = _plain(docs, text)
-    words = F.transform(F.regexp_extract_all("plain", F.lit(ORDINARY), F.lit(0)), lambda t: F.struct(t.alias("token"), F.lit(IDENTIFIER_SHARE).alias("weight")))
-    names = F.array(*[F.struct(F.regexp_replace("plain", "[^A-Za-z0-9]+", j).alias("token"), F.lit(1).alias("weight")) for j in JOINERS])
-    # Identifiers of texts with more letters and digits than that are longer than a candidate that counts.
-    short = F.regexp_count("plain", F.lit("[A-Za-z0-9]")) < 64
-    ordinary = plain.select(F.explode(words).alias("x")).union(plain.where(short).select(F.explode(names))).select("x.token", "x.weight")
+    weight = F.when(F.col("role") == "word", F.col("n") * IDENTIFIER_SHARE).otherwise(F.col("n")).alias("weight")
+    ordinary = counted.where(F.col("role").isin("word", "short")).select("token", weight)
     ordinary = ordinary.where(F.col("token").rlike(f"^{CANDIDATE}$") & (F.length("token") < 64))
-    ordinary = ordinary.groupBy("token").agg(F.sum("weight").alias("weight"))
     score = F.ceil(_score(F.col("token"), ratio) / STEP) * STEP
     high = ordinary.select(score.alias("score"), "weight").groupBy("score").agg(F.sum("weight").alias("weight"))
     high = high.select(F.percentile("score", 0.999, F.col("weight"))).first()[0]
