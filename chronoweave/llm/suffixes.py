@@ -50,6 +50,7 @@ NEAR = 256
 PASS = 100
 CROWD = 4096
 WINDOWS = 1 << 20  # positions that one step sorts
+SLICE = 1 << 19  # text bytes that one step cuts into runs, at some 100 bytes of memory each
 _OTHER_BASE = 0xBF58476D1CE4E5B9
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -111,7 +112,7 @@ def _runs(docs: DataFrame, depth: int, digit: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, "text"):
+        for batch in text_batches(batches, "text", SLICE):
             found = runs_of(*text_bytes(batch.column("text")), depth, digit)
             if found:
                 yield pa.RecordBatch.from_arrays(
@@ -129,6 +130,16 @@ def _runs(docs: DataFrame, depth: int, digit: int) -> DataFrame:
     return docs.select("body", "text").mapInArrow(run, schema)
 
 
+def _recurring(rows: DataFrame, files: int) -> DataFrame:
+    """The rows of a staged table whose digit is there more than once.
+
+    These digits are staged too: then both sides of the join come straight from a shuffle, and a
+    digit that very many rows have is split over several tasks.
+    """
+    often = rows.groupBy("digit").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("digit")
+    return rows.join(stage(often.coalesce(files)), "digit")
+
+
 def _cut(texts: DataFrame, depth: int) -> DataFrame:
     """(run, digit, n, crowded, lo, hi, bytes) for every wanted run of a text."""
     schema = T.StructType(
@@ -251,23 +262,23 @@ def repeated_spans(docs: DataFrame, text: str = "text", depth: int = DEPTH, digi
     texts = docs.select(body_of(text).alias("body"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     texts = texts.where(F.octet_length("text") >= depth)
     runs = stage(_runs(texts, depth, digit))
-    often = runs.groupBy("digit").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("digit")
-    alive = stage(runs.join(often, "digit"))
+    files = max(1, len(runs.inputFiles()))  # no table below is larger than the texts, or needs more files than they have parts
+    alive = stage(_recurring(runs, files).coalesce(files))
     # Equal runs are one class; a class of several rows is repeated as a whole.
     first = F.min(F.struct("body", "at")).alias("first")
     classes = alive.groupBy("digit", "whole").agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), first)
-    classes = stage(classes.withColumn("run", F.monotonically_increasing_id()))
+    classes = stage(classes.withColumn("run", F.monotonically_increasing_id()).coalesce(files))
     crowds = classes.groupBy("digit").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 AND least = 1")
     open_ = classes.join(crowds.select("digit", (F.col("m") > crowd).alias("crowded")), "digit")
     wanted = open_.select(F.col("first.body").alias("body"), F.struct("run", "digit", "n", "crowded", "lo", "hi", F.col("first.at").alias("at")).alias("w"))
     wanted = wanted.groupBy("body").agg(F.collect_list("w").alias("wanted"))  # at most one run for each byte of a text
     touched = alive.select("body").distinct()
     whole = texts.join(touched, "body", "left_semi").groupBy("body").agg(F.first("text").alias("text"))
-    whole = stage(whole.join(wanted, "body", "left"))
+    whole = stage(whole.join(wanted, "body", "left").coalesce(files))
     cut = stage(_cut(whole.where("wanted IS NOT NULL"), depth))
     found = _sorted_groups(cut.where("NOT crowded"), depth, step).unionByName(_counted(cut.where("crowded"), depth, step))
     found = found.join(classes.where("n = 1").select("run", "digit", "whole"), "run").select("digit", "whole", "lo", "hi")
-    found = stage(found.unionByName(classes.where("n > 1").select("digit", "whole", "lo", "hi")))
+    found = found.unionByName(classes.where("n > 1").select("digit", "whole", "lo", "hi"))
     # Equal texts have equal runs, which are counted above; here one of each is enough.
     spans = alive.select("digit", "whole", "body", "at").distinct().join(found, ["digit", "whole"])
     span = F.struct((F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + depth).alias("end"))
@@ -279,10 +290,10 @@ def repeated_bytes(docs: DataFrame, text: str = "text", near: int = NEAR, digit:
     """(body, n_repeated) of every different text of at least ``near`` bytes with a chosen string that occurs elsewhere."""
     texts = docs.select(body_of(text).alias("body"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     strings = stage(_runs(texts.where(F.octet_length("text") >= near), near, digit).select("digit", "body", F.col("at").cast("int").alias("at")))
-    often = strings.groupBy("digit").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("digit")
-    held = strings.join(often, "digit").select("body", F.col("at").alias("start"), (F.col("at") + digit).alias("end")).distinct()
+    files = max(1, len(strings.inputFiles()))
+    held = _recurring(strings, files).select("body", F.col("at").alias("start"), (F.col("at") + digit).alias("end")).distinct()
     spans = held.groupBy("body").agg(F.collect_list(F.struct("start", "end")).alias("seen"))  # at most one for each byte of a text
-    counted = stage(spans.select("body", _covered("seen").alias("n_repeated")))
+    counted = stage(spans.select("body", _covered("seen").alias("n_repeated")).coalesce(files))
     release(docs.sparkSession, files_of(strings))
     return counted
 
@@ -293,7 +304,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     full = F.coalesce(F.col(text).cast("string"), F.lit(""))
     with shuffles_dropped(docs.sparkSession):
         near = repeated_bytes(docs, text).withColumnRenamed("n_repeated", "__near")
-        results = stage(repeated_spans(docs, text, **options))
+        results = repeated_spans(docs, text, **options)
+        results = stage(results.coalesce(max(1, len(near.inputFiles()))))
     results = results.select(*[F.col(c).alias(f"__{c}") for c in results.columns])
     results = results.join(near.withColumnRenamed("body", "__body"), "__body", "full")
     rows = docs.select(

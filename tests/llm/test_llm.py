@@ -273,6 +273,33 @@ def test_shorter_repeats_are_counted_not_removed(spark):
     assert {(r.doc_id, r.body, r.n_repeated) for r in body} == {(i, texts[i], r.n_repeated) for i, r in rows.items()}
 
 
+def test_repeats_are_staged_in_no_more_files_than_the_texts_have_parts(spark, monkeypatch):
+    """Executors start a process for every local file they write; many shuffle partitions must not make many small files."""
+    rng = random.Random(13)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    texts = [shared[: rng.randrange(450, 700)] + "".join(rng.choice("abcdefgh ") for _ in range(600)) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    files, staged = [], suffixes.stage
+
+    def noted(made):
+        made = staged(made)
+        files.append(len(made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(suffixes, "stage", noted)
+    options = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        rows = {r.doc_id: r for r in suffixes.remove_repeats(df).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = _repeated([t.encode() for t in texts], 400)
+    assert [[list(s) for s in rows[i].spans] for i in range(len(texts))] == want and max(files) <= 3
+
+
 def _longest_lists(monkeypatch, module, run):
     """Results by row, and whether any text came with more spans than bytes."""
     from pyspark.sql import functions as F
