@@ -28,6 +28,10 @@ Spark tables, where the probabilities of every different word are worked out. Th
 most frequent words are looked up; a text has all its other words with it, joined by their
 64-bit hash. So ``head`` changes no score.
 
+Tables of over ``SLICE`` different words are worked on in up to ``SLICES`` slices, one after the
+other, so that the disk holds the shuffle files of one slice only: what follows in words by their first
+subword, which no slice shares with another, and texts by their digest.
+
 Defined results: null is empty; an empty text is one end. Without training texts all
 counts are 0, and the model is uniform. A null id is a training row. Repeated rows are
 scored alike.
@@ -36,8 +40,10 @@ scored alike.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +51,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoweave.llm.base import LOWER, Words, mix, query, recording, release, shuffles_dropped, stage, table, text_batches
+from chronoweave.llm.base import LOWER, Words, files_of, mix, query, recording, release, shuffles_dropped, stage, table, text_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how texts are cut before byte pairs are merged; words reach it one by one.
@@ -58,6 +64,7 @@ WINDOW, STRIDE = 32, 24
 WIDTH, CLASSES, KNOWN = 16, 48, 4096
 ROUNDS, BATCH, RATE = 2, 128, 0.01
 SUMS = 16  # partitions in which weights are added up
+SLICE, SLICES = 200_000, 4  # different words of a slice; slices at most, since each shuffles the rare words again
 _START, _STOP = 65535, 65534
 FACTS = ("hash", "n", "ids", "chance")
 
@@ -107,6 +114,11 @@ def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
 
 
+def _slices(df: DataFrame, key: Column, n: int) -> list[DataFrame]:
+    """``df`` in ``n`` parts, rows with equal ``key`` together."""
+    return [df.where(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)] if n > 1 else [df]
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n, m) of all texts, n in training texts and m in all; each chunk is summed before it is shuffled."""
     schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType()), T.StructField("m", T.LongType())])
@@ -214,16 +226,17 @@ def _totals(counted: DataFrame, context: str) -> DataFrame:
     return counted.groupBy(context).agg(F.sum("n").alias("total"), F.sum(F.expr(f"greatest(n - {DISCOUNT}D, 0D)")).alias("held"))
 
 
-def word_chances(words: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+def word_chances(words: DataFrame, slices: int = 1) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """``words`` with chance (probability by counts of every subword but the first, then of the stop), and two arrays
     by subword: its count, and the count of words that it begins.
 
     Counts are interpolated: what follows in a word after all its subwords so far, trigrams, pairs, single subwords.
     Words that no training text has come with n = 0, so every probability that is asked for has its row.
     """
-    steps = _steps(words)
-    nodes = stage(steps.groupBy("child").agg(F.first("parent").alias("parent"), F.first("gram").alias("gram"), F.sum("n").alias("n")))
-    grams = stage(nodes.groupBy("gram").agg(F.sum("n").alias("n")))
+    parts = _slices(words, F.col("ids")[0], slices)
+    node = [F.first("parent").alias("parent"), F.first("gram").alias("gram"), F.sum("n").alias("n")]
+    nodes = [stage(_steps(part).groupBy("child").agg(*node)) for part in parts]
+    grams = stage(reduce(DataFrame.unionByName, nodes).groupBy("gram").agg(F.sum("n").alias("n")))
     pairs = stage(grams.groupBy(F.expr("gram & 4294967295").alias("pair")).agg(F.sum("n").alias("n")))
     pairs = pairs.withColumns({"one": F.expr("shiftright(pair, 16)"), "last": F.expr("pair & 65535")})
 
@@ -243,10 +256,15 @@ def word_chances(words: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     grams = grams.withColumns({"two": F.expr("shiftright(gram, 16)"), "pair": F.expr("gram & 4294967295")})
     grams = grams.join(_totals(grams, "two"), "two").join(pairs, "pair").select("gram", _discounted("p2").alias("p3"))
     grams = stage(grams)
-    nodes = stage(nodes.join(_totals(nodes, "parent"), "parent").join(grams, "gram").select("child", _discounted("p3").alias("p")))
-    chances = steps.select("hash", "at", "child").join(nodes, "child").groupBy("hash")
-    chances = chances.agg(F.array_sort(F.collect_list(F.struct("at", "p"))).alias("chance"))  # one for each subword of a word
-    return words.join(chances.select("hash", F.col("chance.p").alias("chance")), "hash"), single, starts
+    made = []
+    for part, counted in zip(parts, nodes, strict=True):
+        known = stage(counted.join(_totals(counted, "parent"), "parent").join(grams, "gram").select("child", _discounted("p3").alias("p")))
+        release(spark, files_of(counted))
+        chances = _steps(part).select("hash", "at", "child").join(known, "child").groupBy("hash")
+        chances = chances.agg(F.array_sort(F.collect_list(F.struct("at", "p"))).alias("chance"))  # one for each subword of a word
+        made.append(stage(part.join(chances.select("hash", F.col("chance.p").alias("chance")), "hash")))
+        release(spark, files_of(known))
+    return reduce(DataFrame.unionByName, made), single, starts
 
 
 class Lexicon:
@@ -268,8 +286,21 @@ class Lexicon:
         top = np.argsort(-self.single, kind="stable")[:KNOWN]
         self.rank[top] = np.arange(len(top))
         self.top = top
+        self.shared = None
         self.classify(None)
 
+    def send(self, spark: SparkSession) -> None:
+        """Send the frequent words to the executors once, not with every job."""
+        self.shared = spark.sparkContext.broadcast((self.head, self.order, self.hash))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if self.shared is None or k not in ("head", "order", "hash")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        if self.shared is not None:
+            self.head, self.order, self.hash = self.shared.value
+
     def classify(self, context: np.ndarray | None) -> None:
         """Classes of the frequent subwords by the direction of their contexts; the rest is the last class."""
         self.group = np.full(65536, CLASSES - 1)
@@ -317,9 +348,20 @@ class Lexicon:
         shifted[last - counts + 1] = 0  # how words begin is left to the attention
         return hashes.to_numpy().view(np.uint64), n.to_numpy(), counts, stop, ids.astype(np.int64), shifted
 
+    @staticmethod
+    def read_short(facts: list[pa.Array]) -> tuple[np.ndarray, ...]:
+        """The same of the columns that ``_short`` makes."""
+        hashes, n, ids, chance, stop = facts
+        ids, counts = _list(ids)
+        shifted = np.zeros(len(ids), np.float32)
+        inner = np.ones(len(ids), bool)
+        inner[np.cumsum(counts) - counts] = False
+        shifted[inner] = _list(chance)[0]
+        return hashes.to_numpy().view(np.uint64), n.to_numpy(), counts, np.log10(np.maximum(stop.to_numpy(), 1e-30)), ids.astype(np.int64) & 65535, shifted
+
     def subwords(self, batch: pa.RecordBatch, words: Words) -> tuple[np.ndarray, ...]:
         """For a chunk of texts: count of each word, then id, probability, share, opening and text of every subword, and stops by word."""
-        rare = self.read(batch.column("rare").flatten().flatten())
+        rare = self.read_short(batch.column("rare").flatten().flatten())
         hashes, pick = np.unique(rare[0], return_index=True)
         known, order = np.concatenate([self.hash, hashes]), np.concatenate([self.order, len(self.order) + pick])
         # A word is in one of the two sorted halves.
@@ -339,8 +381,15 @@ class Lexicon:
         return n[word], all_ids, all_chance[flat], share, opening, np.repeat(words.text, sizes[word]), ended
 
 
+def _short(words: DataFrame) -> DataFrame:
+    """hash, n, ids (two bytes each), chance (floats, as they are used) and stop (the last chance) of ``words``."""
+    ids = F.transform("ids", lambda i: F.when(i > 32767, i - 65536).otherwise(i).cast("smallint"))
+    inner = F.slice("chance", F.lit(1), F.size("chance") - 1).cast("array<float>")
+    return words.select("hash", "n", ids.alias("ids"), inner.alias("chance"), F.element_at("chance", -1).alias("stop"))
+
+
 def with_rare_words(docs: DataFrame, words: DataFrame, head: np.ndarray) -> DataFrame:
-    """``docs`` with rare: (hash, n, ids, chance) of the words of each text that are not in ``head``, sorted hashes."""
+    """``docs`` with rare: what ``_short`` gives for the words of each text that are not in ``head``, sorted hashes."""
     schema = T.StructType([T.StructField("body", T.BinaryType()), T.StructField("hash", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,9 +406,10 @@ def with_rare_words(docs: DataFrame, words: DataFrame, head: np.ndarray) -> Data
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     keyed = docs.withColumn("body", F.unhex(F.md5("text")))
-    pairs = keyed.select("body", "text").mapInArrow(run, schema).distinct()
-    listed = pairs.join(words.select(*FACTS), "hash").groupBy("body")
-    listed = listed.agg(F.collect_list(F.struct(*FACTS)).alias("rare"))  # at most one for each word of a text
+    pairs = keyed.select("body", "text").mapInArrow(run, schema).repartition("hash").distinct()  # dealt once, for the join too
+    facts = _short(words)
+    listed = pairs.join(facts, "hash").groupBy("body")
+    listed = listed.agg(F.collect_list(F.struct(*facts.columns)).alias("rare"))  # at most one for each word of a text
     joined = keyed.join(listed, "body", "left").drop("body")
     none = F.array().cast(listed.schema["rare"].dataType)
     return joined.withColumn("rare", F.coalesce("rare", none))
@@ -571,13 +621,17 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
             words, distinct = split.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
             ends = slim.where(~F.col("held_out")).count()
             train_tokens, distinct = words + ends, distinct + (ends > 0)
-            chances, single, starts = word_chances(split)
-            with recording() as chosen:
-                chances = stage(chances)
-        release(spark, [f for f in counted if f not in chosen])
-        lexicon = Lexicon(most_frequent(chances, head), single, starts)
-        full = stage(with_rare_words(slim, chances, lexicon.hash))
-        release(spark, chosen)
+            slices = min(SLICES, 1 + split.count() // SLICE)
+            chances, single, starts = word_chances(split, slices)
+        chosen = {os.path.dirname(f): f for f in chances.inputFiles()}
+        release(spark, [f for f in counted if os.path.dirname(f) not in chosen])
+        frequent = most_frequent(chances, head)
+        lexicon = Lexicon(frequent, single, starts)
+        lexicon.send(spark)
+        rare = chances.where(F.col("m") < int(frequent.column("m").to_numpy().min())) if frequent.num_rows else chances
+        full = [stage(with_rare_words(part, rare, lexicon.hash)) for part in _slices(slim, F.col("text"), slices)]
+        full = reduce(DataFrame.unionByName, full)
+        release(spark, [*chosen.values()])
         weights = _train_network(full.where(~F.col("held_out")), lexicon, ROUNDS)
     scored = _scored(full, lexicon, weights, train_tokens, distinct, ends)
     return scored.select(F.col("id").alias(key), "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

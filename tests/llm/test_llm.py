@@ -442,6 +442,29 @@ def test_counts_are_whole_whatever_is_looked_up(spark, docs):
         assert np.allclose(r.chance, [p(0, *step) for step in steps[r.hash][1:]], rtol=1e-6)
 
 
+def test_slices_change_no_counts(spark, monkeypatch):
+    """Worked on in four slices: each stages a part of the tables, chances and counts are those of one, each text is scored once."""
+    rng = random.Random(14)
+    words = [(i, rng.randrange(3), 1, [rng.randrange(6), *(rng.choice([7, 40_000, 65_000]) for _ in range(rng.randrange(4)))]) for i in range(300)]
+    words = spark.createDataFrame(words, "hash long, n long, m long, ids array<int>")
+    (whole, *sums), (parts, *others) = attention.word_chances(words), attention.word_chances(words, 4)
+    rows = {r.hash: r.chance for r in whole.collect()}
+    assert rows == {r.hash: r.chance for r in parts.collect()} and parts.count() == 300 and all(np.array_equal(a, b) for a, b in zip(sums, others, strict=True))
+    packed = {r.hash: r for r in attention._short(whole).collect()}
+    assert all([i & 65535 for i in packed[r.hash].ids] == r.ids and packed[r.hash].stop == r.chance[-1] for r in whole.collect())
+    texts = [" ".join(f"{rng.choice('abc')}{rng.randrange(90)}é" for _ in range(rng.randrange(40))) for _ in range(200)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate([*texts, *texts[:9]])), "doc_id long, text string")
+    monkeypatch.setattr(attention, "ROUNDS", 0)  # steps on other partitions would give other weights
+    one = {r.doc_id: r for r in attention.score_texts(df, head=20).collect()}
+    monkeypatch.setattr(attention, "SLICE", 1)
+    kinds, staged = [], attention.stage
+    monkeypatch.setattr(attention, "stage", lambda made: kinds.append(tuple(made.columns)) or staged(made))
+    four = {r.doc_id: r for r in attention.score_texts(df, head=20).collect()}
+    assert len(four) == len(one) == df.count() and kinds.count(("id", "held_out", "text", "rare")) == 4
+    assert all((r.n_tokens, r.n_known, r.train_tokens) == (four[k].n_tokens, four[k].n_known, four[k].train_tokens) and abs(r.base_score - four[k].base_score) < 1e-9 for k, r in one.items())
+    assert all(abs(r.score - four[k].score) < 1e-3 for k, r in one.items())
+
+
 def test_network_trains_on_all_texts(spark, monkeypatch):
     """Every training window is stepped on once, however many texts there are."""
     df = spark.createDataFrame([(i, f"w{i} and more") for i in range(5000)], "doc_id long, text string").repartition(3)
