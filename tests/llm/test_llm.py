@@ -274,7 +274,7 @@ def test_shorter_repeats_are_counted_not_removed(spark):
 
 
 def test_repeats_are_staged_in_no_more_files_than_the_texts_have_parts(spark, monkeypatch):
-    """Executors start a process for every local file they write; many shuffle partitions must not make many small files."""
+    """Many shuffle partitions must not make many small files."""
     rng = random.Random(13)
     shared = "".join(rng.choice("abcdefgh ") for _ in range(700))
     texts = [shared[: rng.randrange(450, 700)] + "".join(rng.choice("abcdefgh ") for _ in range(600)) for _ in range(150)]
