@@ -61,6 +61,7 @@ GATE = 0.1  # weight of the attention inside words
 HEAD = 150_000
 DISCOUNT = 0.5
 WINDOW, STRIDE = 32, 24
+LEAD = WINDOW - STRIDE  # places of a window that only the first one of a text scores
 WIDTH, CLASSES, KNOWN = 16, 48, 4096
 ROUNDS, BATCH, RATE = 2, 128, 0.01
 SUMS = 16  # partitions in which weights are added up
@@ -69,6 +70,18 @@ _START, _STOP = 65535, 65534
 FACTS = ("hash", "n", "ids", "chance")
 
 
+@contextmanager
+def hashed_joins(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark joins by a hash table, not by two sorts, where every partition that the table is made of was shuffled and is small."""
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def tokenizer(path: str):
     import tiktoken
 
@@ -114,6 +127,25 @@ def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
 
 
+class Sorted:
+    """Finds values among sorted hashes, from where the leading bits of each begin."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = np.append(hashes, np.uint64(0xFFFFFFFFFFFFFFFF))
+        bits = min(max(len(hashes), 1).bit_length() + 2, 22)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place where each value is, or would be; whether it is there)."""
+        at = self.first.take((values >> self.shift).view(np.int64))
+        left = np.flatnonzero(self.hashes.take(at) < values)
+        while len(left):
+            at[left] += 1
+            left = left[self.hashes.take(at[left]) < values[left]]
+        return at, (self.hashes.take(at) == values) & (at < len(self.hashes) - 1)
+
+
 def _slices(df: DataFrame, key: Column, n: int) -> list[DataFrame]:
     """``df`` in ``n`` parts, rows with equal ``key`` together."""
     return [df.where(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)] if n > 1 else [df]
@@ -275,6 +307,7 @@ class Lexicon:
         self.head = self.read([pa.concat_arrays(words.column(c).chunks) if words.num_rows else words.column(c).combine_chunks() for c in FACTS])
         order = np.argsort(self.head[0])
         self.order, self.hash = order, self.head[0][order]
+        self.looked_up = Sorted(self.hash)
         self.single = (single + 0.5) / (single.sum() + 0.5 * 65536)
         self.ends = float((single[_STOP] + 0.5) / (single.sum() - starts.sum() + 1))  # of what comes inside words
         total = max(starts.sum(), 1.0)
@@ -291,15 +324,15 @@ class Lexicon:
 
     def send(self, spark: SparkSession) -> None:
         """Send the frequent words to the executors once, not with every job."""
-        self.shared = spark.sparkContext.broadcast((self.head, self.order, self.hash))
+        self.shared = spark.sparkContext.broadcast((self.head, self.order, self.hash, self.looked_up))
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if self.shared is None or k not in ("head", "order", "hash")}
+        return {k: v for k, v in self.__dict__.items() if self.shared is None or k not in ("head", "order", "hash", "looked_up")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         if self.shared is not None:
-            self.head, self.order, self.hash = self.shared.value
+            self.head, self.order, self.hash, self.looked_up = self.shared.value
 
     def classify(self, context: np.ndarray | None) -> None:
         """Classes of the frequent subwords by the direction of their contexts; the rest is the last class."""
@@ -328,12 +361,13 @@ class Lexicon:
         project[: len(self.top)] /= np.sqrt(self.single[self.top] + 1e-4)[:, None].astype(np.float32)
         project[KNOWN] = 0
         out = np.zeros((KNOWN + 1, 32), np.float32)
-        for at in range(0, len(laid["index"]), 1024):
-            rank = self.rank[laid["ids"][laid["index"][at : at + 1024]]]
-            held = project[rank]
-            around = held.sum(1, keepdims=True) - held
-            around /= np.maximum(np.linalg.norm(around, axis=-1, keepdims=True), 1e-9)
-            np.add.at(out, rank.ravel(), around.reshape(-1, 32))
+        ranks = self.rank[laid["ids"]]
+        for at in range(0, len(laid["index"]), 256):
+            rank = ranks[laid["index"][at : at + 256]]
+            held = project.take(rank, axis=0)
+            around = (held.sum(1, keepdims=True) - held).reshape(-1, 32)
+            around /= np.maximum(np.sqrt((around * around) @ np.ones(32, np.float32)), 1e-9)[:, None]
+            _add_by(out, rank.ravel(), around)
         return out[:KNOWN]
 
     @staticmethod
@@ -363,22 +397,22 @@ class Lexicon:
         """For a chunk of texts: count of each word, then id, probability, share, opening and text of every subword, and stops by word."""
         rare = self.read_short(batch.column("rare").flatten().flatten())
         hashes, pick = np.unique(rare[0], return_index=True)
-        known, order = np.concatenate([self.hash, hashes]), np.concatenate([self.order, len(self.order) + pick])
         # A word is in one of the two sorted halves.
-        at = np.searchsorted(self.hash, words.hash)
-        inside = np.append(self.hash, np.uint64(0))[at] == words.hash
-        inside &= at < len(self.hash)
-        at = np.where(inside, at, len(self.hash) + np.searchsorted(hashes, words.hash))
-        if len(at) and not (known[np.minimum(at, len(known) - 1)] == words.hash).all():
+        at, inside = self.looked_up.find(words.hash)
+        other = np.flatnonzero(~inside)
+        found = np.searchsorted(hashes, words.hash[other])
+        if len(found) and not (len(hashes) and (hashes.take(found, mode="clip") == words.hash[other]).all()):
             raise ValueError("a text came without its words")
-        word = order[at]
+        word = self.order.take(at, mode="clip") if len(self.order) else np.zeros(len(at), np.int64)
+        word[other] = len(self.order) + pick[found]
         n, sizes, stops, all_ids, all_chance = (np.concatenate(pair) for pair in zip(self.head[1:], rare[1:], strict=True))
-        flat = _gather((np.cumsum(sizes) - sizes)[word], sizes[word])
-        all_ids, opening = all_ids[flat], np.zeros(len(flat), bool)
-        opening[np.cumsum(sizes[word]) - sizes[word]] = True
-        share = np.where(opening, self.start_share[all_ids], (1 - self.ends) * self.share[all_ids]).astype(np.float32)
-        ended = np.log10(GATE * self.ends + (1 - GATE) * 10.0 ** stops[word])
-        return n[word], all_ids, all_chance[flat], share, opening, np.repeat(words.text, sizes[word]), ended
+        starts, ended = np.cumsum(sizes) - sizes, np.log10(GATE * self.ends + (1 - GATE) * 10.0**stops)
+        first = np.zeros(len(all_ids), bool)
+        first[starts] = True
+        share = np.where(first, self.start_share[all_ids], (1 - self.ends) * self.share[all_ids]).astype(np.float32)
+        counts = sizes.take(word)
+        flat = _gather(starts.take(word), counts)
+        return n.take(word), all_ids.take(flat), all_chance.take(flat), share.take(flat), first.take(flat), np.repeat(words.text, counts), ended.take(word)
 
 
 def _short(words: DataFrame) -> DataFrame:
@@ -393,10 +427,10 @@ def with_rare_words(docs: DataFrame, words: DataFrame, head: np.ndarray) -> Data
     schema = T.StructType([T.StructField("body", T.BinaryType()), T.StructField("hash", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = Sorted(head)
         for batch in text_batches(batches, "text"):
             found = Words(batch.column("text"))
-            at = np.searchsorted(head, found.hash)
-            rare = np.flatnonzero((np.append(head, np.uint64(0))[at] != found.hash) | (at == len(head)))
+            rare = np.flatnonzero(~frequent.find(found.hash)[1])
             owner, hashes = found.text[rare], found.hash[rare]
             order = np.lexsort((hashes, owner))
             owner, hashes = owner[order], hashes[order]
@@ -427,6 +461,30 @@ def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return base + np.minimum(inside, lengths[text][:, None] - 1), valid, scored
 
 
+_CAUSAL = np.tri(WINDOW, dtype=np.float32)
+
+
+def _exponentials(logits: np.ndarray, seen: np.ndarray | None = None) -> np.ndarray:
+    """exp in place, up to a factor by row, and 0 where ``seen`` is; the largest is only taken off where the range of floats asks for it."""
+    if logits.size and not max(logits.max(), -logits.min()) < 40:
+        if seen is not None:
+            logits += np.where(seen > 0, np.float32(0), np.float32(-1e9))
+        logits -= logits.max(-1, keepdims=True)
+    np.exp(logits, out=logits)
+    if seen is not None:
+        logits *= seen
+    return logits
+
+
+def _add_by(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """``out[at] += rows`` with repeated ``at`` (below 65,536), summed in the order of rows."""
+    at = at.astype(np.uint16)
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.diff(at, prepend=at[:1] + np.uint16(1)))
+    out[at[first]] += np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+
+
 class Network:
     """One causal attention head over subwords; outputs classes of subwords."""
 
@@ -446,58 +504,105 @@ class Network:
             setattr(self, name, self.flat[at : at + size].reshape(shape))
             at += size
 
-    _MASK = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
+    def _ahead(self, inputs: np.ndarray, scored: np.ndarray) -> dict:
+        """What the rows that may be scored need: ``LEAD`` .. ``WINDOW`` of every window, then what is before of those windows that score there.
 
-    def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
-        x = self.embed[inputs]
+        Exponentials stay as they are, with the reciprocal of their sums beside them.
+        """
+        x = self.embed.take(inputs, axis=0)
         x += self.place
-        rows = x.reshape(-1, WIDTH)
-        q, k, v = ((rows @ m).reshape(x.shape) for m in (self.query, self.key, self.value))
-        a = (q * np.float32(WIDTH**-0.5)) @ k.transpose(0, 2, 1)
-        a += self._MASK
-        a -= a.max(-1, keepdims=True)
-        np.exp(a, out=a)
-        a /= a.sum(-1, keepdims=True)
-        mixed = a @ v
-        z = x + (mixed.reshape(-1, WIDTH) @ self.merge).reshape(x.shape)
-        logits = (z.reshape(-1, WIDTH) @ self.out).reshape(*inputs.shape, -1)
+        weights = np.concatenate([self.query * np.float32(WIDTH**-0.5), self.key, self.value], 1)
+        qkv = (x.reshape(-1, WIDTH) @ weights).reshape(len(inputs), WINDOW, 3 * WIDTH)
+        parts, mixed, own, held = [], [], [], []
+        early = np.flatnonzero(scored[:, :LEAD].any(1))
+        for some, at, to in ((slice(None), LEAD, WINDOW), (early, 0, LEAD)):
+            part = qkv[some, :to]
+            q, k, v = part[:, at:, :WIDTH], part[..., WIDTH : 2 * WIDTH], part[..., 2 * WIDTH :]
+            e = _exponentials(q @ k.transpose(0, 2, 1), _CAUSAL[at:to, :to])
+            r = 1 / (e.reshape(-1, to) @ np.ones(to, np.float32))
+            mixed.append((e @ v).reshape(-1, WIDTH) * r[:, None])
+            own.append(x[some, at:to].reshape(-1, WIDTH))
+            held.append(r)
+            parts.append((some, at, to, q, k, v, e))
+        mixed, own = np.concatenate(mixed), np.concatenate(own)
+        own += mixed @ self.merge
+        logits = own @ self.out
         logits += self.bias
-        classes = logits - logits.max(-1, keepdims=True)
-        np.exp(classes, out=classes)
-        classes /= classes.sum(-1, keepdims=True)
-        return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": mixed, "z": z, "classes": classes}
+        e = _exponentials(logits)
+        return {"x": x, "weights": weights, "parts": parts, "mixed": mixed, "z": own, "r": np.concatenate(held), "e": e, "s": e @ np.ones(CLASSES, np.float32)}
 
-    def probability(self, f: dict, group: np.ndarray, share: np.ndarray, chance: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probability, part of the attention expert in it) of the subwords that came."""
+    @staticmethod
+    def _rows(f: dict, values: np.ndarray) -> np.ndarray:
+        """``values`` of all places in the order of the rows of ``_ahead``."""
+        return np.concatenate([values[some, at:to].reshape(-1) for some, at, to, *_ in f["parts"]])
+
+    def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
+        f = self._ahead(inputs, np.ones(inputs.shape, bool))
+        classes = f["e"] / f["s"][:, None]
+        late = len(inputs) * STRIDE
+        return {"classes": np.concatenate([classes[late:].reshape(len(inputs), LEAD, CLASSES), classes[:late].reshape(len(inputs), STRIDE, CLASSES)], 1)}
+
+    @staticmethod
+    def _mixed(own: np.ndarray, share: np.ndarray, chance: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gate = np.where(opening, np.float32(1), np.float32(GATE))  # how words begin is left to the attention
-        own = gate * np.take_along_axis(f["classes"], group[..., None], -1)[..., 0] * share
+        own = gate * own * share
         total = own + (1 - gate) * chance
         return total, own / np.maximum(total, 1e-30)
 
+    def probability(self, f: dict, group: np.ndarray, share: np.ndarray, chance: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(probability, part of the attention expert in it) of the subwords that came."""
+        return self._mixed(np.take_along_axis(f["classes"], group[..., None], -1)[..., 0], share, chance, opening)
+
+    def scores(self, inputs: np.ndarray, group: np.ndarray, share: np.ndarray, chance: np.ndarray, opening: np.ndarray, scored: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, probability) of the scored subwords; ``place`` is what the caller calls each of them."""
+        f = self._ahead(inputs, scored)
+        kept = np.flatnonzero(self._rows(f, scored))
+        place, group, share, chance, opening = (self._rows(f, values)[kept] for values in (place, group, share, chance, opening))
+        own = f["e"].ravel().take(kept * CLASSES + group) / f["s"][kept]
+        return place, self._mixed(own, share, chance, opening)[0]
+
     def gradient(self, inputs: np.ndarray, group: np.ndarray, share: np.ndarray, chance: np.ndarray, opening: np.ndarray, scored: np.ndarray) -> np.ndarray:
         """Gradient of the mean log probability of the scored subwords, laid out as ``flat``."""
-        f = self.forward(inputs)
-        _, part = self.probability(f, group, share, chance, opening)
-        weight = (scored / max(scored.sum(), 1)).astype(np.float32)
-        dlogits = -f["classes"] * part[..., None]
-        np.put_along_axis(dlogits, group[..., None], np.take_along_axis(dlogits, group[..., None], -1) + part[..., None], -1)
-        dlogits *= weight[..., None]
-        flat = lambda t: t.reshape(-1, t.shape[-1])
+        f = self._ahead(inputs, scored)
+        weight = self._rows(f, scored).astype(np.float32) * np.float32(1 / max(scored.sum(), 1))
+        group, share, chance, opening = (self._rows(f, values) for values in (group, share, chance, opening))
+        hit, s = np.arange(len(group)) * CLASSES + group, f["s"]
+        _, part = self._mixed(f["e"].ravel().take(hit) / s, share, chance, opening)
+        part = (part * weight).astype(np.float32)
+        dlogits = f["e"]
+        dlogits *= (-part / s)[:, None]
+        dlogits.ravel()[hit] += part
         g = Network(np.zeros_like(self.flat))
-        g.out += flat(f["z"]).T @ flat(dlogits)
-        g.bias += flat(dlogits).sum(0)
+        mixed, z = f["mixed"], f["z"]
+        g.out[...] = z.T @ dlogits
+        g.bias[...] = np.ones(len(z), np.float32) @ dlogits
         dz = dlogits @ self.out.T
-        g.merge += flat(f["mixed"]).T @ flat(dz)
+        g.merge[...] = mixed.T @ dz
         dmixed = dz @ self.merge.T
-        dv = f["a"].transpose(0, 2, 1) @ dmixed
-        da = dmixed @ f["v"].transpose(0, 2, 1)
-        ds = f["a"] * (da - (da * f["a"]).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-        for d, name in ((dq, "query"), (dk, "key"), (dv, "value")):
-            getattr(g, name)[...] += flat(f["x"]).T @ flat(d)
-        dx = dz + dq @ self.query.T + dk @ self.key.T + dv @ self.value.T
-        g.place += dx.sum(0)
-        np.add.at(g.embed, inputs.ravel(), flat(dx))
+        dmixed *= f["r"][:, None]
+        dot = (dmixed * mixed) @ np.ones(WIDTH, np.float32)
+        dqkv = np.zeros((*inputs.shape, 3 * WIDTH), np.float32)
+        dx, row = np.zeros((*inputs.shape, WIDTH), np.float32), 0
+        for some, at, to, q, k, v, e in f["parts"]:
+            end = row + e.shape[0] * (to - at)
+            dm = dmixed[row:end].reshape(-1, to - at, WIDTH)
+            ds = dm @ v.transpose(0, 2, 1)
+            ds -= dot[row:end].reshape(-1, to - at, 1)
+            ds *= e
+            back = np.zeros((len(e), to, 3 * WIDTH), np.float32) if at == 0 else dqkv
+            back[:, at:to, :WIDTH] = ds @ k
+            back[..., WIDTH : 2 * WIDTH] = ds.transpose(0, 2, 1) @ q
+            back[..., 2 * WIDTH :] = e.transpose(0, 2, 1) @ dm
+            if at == 0:
+                dqkv[some, :to] += back
+            dx[some, at:to] += dz[row:end].reshape(-1, to - at, WIDTH)
+            row = end
+        rows = dqkv.reshape(-1, 3 * WIDTH)
+        found = f["x"].reshape(-1, WIDTH).T @ rows
+        g.query[...], g.key[...], g.value[...] = found[:, :WIDTH] * np.float32(WIDTH**-0.5), found[:, WIDTH : 2 * WIDTH], found[:, 2 * WIDTH :]
+        dx += (rows @ f["weights"].T).reshape(dx.shape)
+        g.place[...] = dx.sum(0)
+        _add_by(g.embed, inputs.ravel(), dx.reshape(-1, WIDTH))
         return g.flat
 
 
@@ -575,9 +680,19 @@ def adam_step(net: Network, lexicon: Lexicon, laid: dict, rows: np.ndarray, m: n
     index = laid["index"][rows]
     known = [laid[k][index] for k in ("share", "chance", "opening")]
     g = net.gradient(laid["before"][index], lexicon.group[laid["ids"][index]], *known, laid["scored"][rows])
-    m += 0.1 * (g - m)
-    v += 0.01 * (g * g - v)
-    net.flat += RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+    change = g - m
+    change *= 0.1
+    m += change
+    np.multiply(g, g, out=change)
+    change -= v
+    change *= 0.01
+    v += change
+    np.divide(v, 1 - 0.99**step, out=g)
+    np.sqrt(g, out=g)
+    g += 1e-6
+    np.multiply(m, RATE / (1 - 0.9**step), out=change)
+    change /= g
+    net.flat += change
 
 
 def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens: int, distinct: int, ends: int) -> DataFrame:
@@ -595,10 +710,9 @@ def _scored(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, train_tokens
             logs = np.zeros(len(laid["ids"]))
             for at in range(0, len(laid["index"]), 128):
                 rows, scored = laid["index"][at : at + 128], laid["scored"][at : at + 128]
-                ids = laid["ids"][rows]
-                f = net.forward(laid["before"][rows])
-                p, _ = net.probability(f, lexicon.group[ids], laid["share"][rows], laid["chance"][rows], laid["opening"][rows])
-                logs[rows[scored]] = np.log10(np.maximum(p[scored], 1e-300))
+                known = [laid[k][rows] for k in ("share", "chance", "opening")]
+                place, p = net.scores(laid["before"][rows], lexicon.group[laid["ids"][rows]], *known, scored, rows)
+                logs[place] = np.log10(np.maximum(p, 1e-300))
             per_text = np.diff(words.first)
             score = np.bincount(laid["text"], logs, minlength=n) + np.bincount(words.text, laid["stops"], minlength=n)
             score = score + per_text * np.log10(1 - end_chance) + np.log10(end_chance)
@@ -615,7 +729,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
     held = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
     slim = docs.select(F.col(key).alias("id"), held.alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     spark = docs.sparkSession
-    with shuffles_dropped(spark):
+    with shuffles_dropped(spark), hashed_joins(spark):
         with recording() as counted:
             split = stage(_split(word_counts(slim), path))
             words, distinct = split.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()

@@ -375,6 +375,51 @@ def test_attention_gradient():
         assert abs((value(net.flat + e * d) - value(net.flat - e * d)) / (2 * e) - float(g @ d)) < 0.05 * max(1, abs(float(g @ d)))
 
 
+def test_network_works_on_scored_places_only():
+    """No row for a place that is never scored; what is left equals plain attention over all places, large weights too."""
+    rng = np.random.default_rng(4)
+    lead, width = attention.WINDOW - attention.STRIDE, attention.WIDTH
+    shape = (5, attention.WINDOW)
+    inputs, group = rng.integers(0, attention.KNOWN + 2, shape), rng.integers(0, attention.CLASSES, shape)
+    share, chance, opening = rng.random(shape).astype(np.float32), rng.random(shape).astype(np.float32), rng.random(shape) < 0.4
+    scored = np.ones(shape, bool)
+    scored[1:, :lead] = False  # later windows of a text
+    for scale in (1, 12):
+        net = attention.Network(attention.Network().flat * scale)
+        x = net.embed[inputs].astype(float) + net.place
+        a = (x @ net.query) @ (x @ net.key).transpose(0, 2, 1) * width**-0.5
+        a = np.where(np.tri(attention.WINDOW, dtype=bool), a, -np.inf)
+        a = np.exp(a - a.max(-1, keepdims=True))
+        logits = (x + a / a.sum(-1, keepdims=True) @ (x @ net.value) @ net.merge) @ net.out + net.bias
+        classes = np.exp(logits - logits.max(-1, keepdims=True))
+        classes /= classes.sum(-1, keepdims=True)
+        assert np.allclose(net.forward(inputs)["classes"], classes, atol=2e-3 if scale > 1 else 1e-5)
+        assert len(net._ahead(inputs, scored)["e"]) == 5 * attention.STRIDE + lead
+        p, _ = net.probability({"classes": classes}, group, share, chance, opening)
+        place, got = net.scores(inputs, group, share, chance, opening, scored, np.arange(scored.size).reshape(shape))
+        assert sorted(place) == np.flatnonzero(scored).tolist() and np.allclose(got, p.ravel()[place], atol=2e-3 if scale > 1 else 1e-5)
+    assert len(net.scores(inputs[:0], group[:0], share[:0], chance[:0], opening[:0], scored[:0], group[:0])[0]) == 0
+
+
+def test_sorted_hashes_are_found():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 7, 5000):
+        for more in ([], [0, 1, 2**64 - 1]):
+            hashes = np.unique(np.concatenate([rng.integers(0, 2**64, n, np.uint64), np.array(more, np.uint64)]))
+            asked = np.concatenate([hashes, rng.integers(0, 2**64, 300, np.uint64), np.array([0, 1, 3, 2**64 - 1], np.uint64)])
+            at, inside = attention.Sorted(hashes).find(asked)
+            assert np.array_equal(at, np.searchsorted(hashes, asked)) and np.array_equal(inside, np.isin(asked, hashes))
+
+
+def test_joins_by_hash_end_with_the_query(spark, docs):
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before, seen, counted = spark.conf.get(name), [], attention.word_counts
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(attention, "word_counts", lambda df: seen.append(spark.conf.get(name)) or counted(df))
+        attention.score_texts(docs)
+    assert seen == [spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")] and spark.conf.get(name) == before
+
+
 def test_what_can_follow_sums_to_one():
     """All subwords at the beginning of a word; all subwords and the stop inside one."""
     rng = np.random.default_rng(3)
