@@ -619,20 +619,22 @@ def _laid_out(lexicon: Lexicon, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
 
 
 def added(made: DataFrame) -> tuple[np.ndarray | None, int]:
-    """Sum of the float arrays of all rows (part, made, n), weighted by n, and the sum of n; added up in Spark first."""
+    """Sum of the float arrays of all rows (part, made, n), weighted by n, and the sum of n; added up in Spark, the driver gets one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = None, 0
+        total, n, part = None, 0, 0
         for batch in batches:
-            for array, weight in zip(batch.column("made"), batch.column("n").to_pylist(), strict=True):
+            for array, weight, at in zip(batch.column("made"), batch.column("n").to_pylist(), batch.column("part").to_pylist(), strict=True):
                 more = np.frombuffer(array.as_py(), np.float64) * weight
-                total, n = more if total is None else total + more, n + weight
+                total, n, part = (more, weight, at) if total is None else (total + more, n + weight, part)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([(total / n).tobytes()]), pa.array([n])], names=["made", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([(total / n).tobytes()]), pa.array([n])], names=["part", "made", "n"])
 
-    schema = T.StructType([T.StructField("made", T.BinaryType()), T.StructField("n", T.LongType())])
-    rows = made.repartition(SUMS, "part").sortWithinPartitions("part").select("made", "n").mapInArrow(run, schema).collect()
-    return (sum(np.frombuffer(r.made, np.float64) * r.n for r in rows) if rows else None), sum(r.n for r in rows)
+    schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("made", T.BinaryType()), T.StructField("n", T.LongType())])
+    for deal in (lambda df: df.repartition(SUMS, "part"), lambda df: df.repartition(1)):
+        made = deal(made).sortWithinPartitions("part").select("part", "made", "n").mapInArrow(run, schema)
+    rows = made.select("made", "n").collect()
+    return (np.frombuffer(rows[0].made, np.float64) * rows[0].n, rows[0].n) if rows else (None, 0)
 
 
 def _train_network(texts: DataFrame, lexicon: Lexicon, rounds: int) -> np.ndarray:
@@ -650,7 +652,7 @@ def _train_network(texts: DataFrame, lexicon: Lexicon, rounds: int) -> np.ndarra
         yield from one(out / max(n, 1), n)
 
     def gathered(some: DataFrame, run) -> tuple[np.ndarray | None, int]:
-        return added(some.select("text", "rare").mapInArrow(run, schema).withColumn("part", F.spark_partition_id()))
+        return added(some.select("text", "rare").mapInArrow(run, schema).withColumn("part", F.spark_partition_id().cast("long")))
 
     found, _ = gathered(texts, context)
     weights = Network().flat

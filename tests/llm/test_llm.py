@@ -411,6 +411,20 @@ def test_sorted_hashes_are_found():
             assert np.array_equal(at, np.searchsorted(hashes, asked)) and np.array_equal(inside, np.isin(asked, hashes))
 
 
+def test_the_driver_gets_one_sum(spark, monkeypatch):
+    """However many partitions add up, no array but the whole sum is collected."""
+    monkeypatch.setattr(attention, "SUMS", 40)
+    arrays = np.random.default_rng(6).random((30, 5))
+    rows = [(i, a.tobytes(), i + 1) for i, a in enumerate(arrays)]
+    made = spark.createDataFrame(rows, "part int, made binary, n long")
+    kind, seen = type(made), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: seen.append(collect(df)) or seen[-1])
+    total, n = attention.added(made)
+    assert n == 465 and np.allclose(total, np.arange(1, 31) @ arrays) and [len(r) for r in seen] == [1]
+    assert attention.added(made.limit(0)) == (None, 0)
+
+
 def test_joins_by_hash_end_with_the_query(spark, docs):
     name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
     before, seen, counted = spark.conf.get(name), [], attention.word_counts
