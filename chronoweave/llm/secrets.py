@@ -12,7 +12,8 @@ starts from a uniform prior, so that alphabets no text shows are still random. T
 threshold is the larger of ``odds`` and the 99.9th percentile of the ordinary words, by weight, rounded up to
 ``STEP``.
 
-Everything is per row, apart from counts of different words and sums of the training counts (at most 96 x 96 pairs).
+Everything is per row, apart from counts of different runs of letters, digits and ``_ + / = -`` and sums of the training
+counts (at most 4 x 97 x 97 pairs).
 Positions are code points, ends exclusive.
 
 Defined results: null and empty texts hold nothing; repeated rows give the same spans;
@@ -23,6 +24,8 @@ no rows. Columns whose names clash with an output are replaced.
 from __future__ import annotations
 
 import math
+import string
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,14 +33,20 @@ from pyspark.sql import functions as F
 
 from chronoweave.llm.base import query, stage, table
 
+# Classes are written with \w and \p{Alnum}, which are ASCII here: Java tests [^A-Za-z0-9_+/=-] some ten times slower.
 # The known forms, each with the group that holds the secret.
-ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ASSIGN = r"""(?=[PSTApsta][AEOPaeop])(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([\w+/.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"  # the longest run is taken, so a shorter one that fails hides none
 HEX = r"[0-9a-f]{16,}"
 ASSIGNED = 12  # characters of an assigned value
 
-CANDIDATE = r"[A-Za-z0-9_+/=-]{16,}"
-ORDINARY = r"[A-Za-z0-9_+/=-]{8,}"
+CANDIDATE = r"(?<![\w+/=-])[\w+/=-]{16,}"  # an access key or hex string lies inside one
+BETWEEN = r"[^\w+/=-]+"
+GAP = r"\P{Alnum}+"
+RUN = 16  # characters of a run, at least
+ORDINARY = 8  # characters of an ordinary word, at least
+LONGEST = 64  # words and identifiers for the threshold have fewer characters
+EDGE, SHORT, VALUE = " ", "~", "!"  # first characters of tokens that are no words
 KINDS = ("assign", "access", "hex", "random")
 ODDS = math.log(10_000)
 PRIOR = 64.0  # weight of the uniform prior in each context of the random model
@@ -47,6 +56,7 @@ MARK = "[SECRET]"
 STEP = 0.01  # of a score, so that the percentile is taken over a bounded number of values
 _SYMBOLS = 96
 _ALPHABET = 65
+_NAME = string.ascii_letters + string.digits
 
 
 def _spans(text: Column, pattern: str, kind: int, value: str | None = None) -> Column:
@@ -73,6 +83,10 @@ def known_spans(text: Column) -> Column:
     return F.concat(assign, _spans(text, ACCESS, 1), _spans(text, HEX, 2))
 
 
+def _has_known(text: Column) -> Column:
+    return text.rlike(ASSIGN) | (text.rlike(CANDIDATE) & (text.rlike(ACCESS) | text.rlike(HEX)))
+
+
 def _place(c: Column) -> Column:
     return F.ascii(c) - 32
 
@@ -83,51 +97,27 @@ def _pairs(token: Column) -> Column:
     return F.transform(both, lambda p: _place(p) * _SYMBOLS + _place(F.substring(p, 2, 1)))
 
 
-def _plain(docs: DataFrame, text: str) -> DataFrame:
-    """(plain): the texts without known forms."""
-    return docs.select(reduce(lambda t, p: F.regexp_replace(t, p, " "), (ASSIGN, ACCESS, HEX), F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("plain"))
-
-
-def _secret_values(docs: DataFrame, text: str) -> DataFrame:
-    """(token): values of known forms."""
-    slim = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    spans = slim.where(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")).select("text", F.explode(known_spans(F.col("text"))).alias("s"))
-    return spans.select(F.substr("text", F.col("s.from") + 1, F.col("s.end") - F.col("s.from")).alias("token"))
-
-
 def _counted(docs: DataFrame, text: str) -> DataFrame:
-    """(role, token, n): secret values, ordinary words, and words of identifiers, each with how often it occurs.
+    """(token, n): the runs of letters, digits and ``_ + / = -`` of the texts without known forms, each with how often it occurs.
 
-    A gap is what an identifier has a joiner for. A word of role ``name`` has a space on each side that
-    has a gap; role ``gap`` counts these.
+    Other tokens begin with a mark: ``EDGE`` the first and last character of a text, each a space if it belongs to a gap
+    (what an identifier has a joiner for); ``SHORT`` an identifier that counts for the threshold; ``VALUE`` a secret value.
     """
-    plain = _plain(docs, text)
-    spaced = F.regexp_replace("plain", "[^A-Za-z0-9]+", "  ")
-
-    def row(role: str, token: Column, k: Column | None = None) -> Column:
-        return F.struct(F.lit(role).alias("role"), token.alias("token"), (F.lit(1) if k is None else k).cast("long").alias("k"))
-
-    words = F.transform(F.regexp_extract_all("plain", F.lit(ORDINARY), F.lit(0)), lambda t: row("word", t))
-    names = F.transform(F.regexp_extract_all(spaced, F.lit(" ?[A-Za-z0-9]+ ?"), F.lit(0)), lambda t: row("name", t))
-    gaps = F.array(row("gap", F.lit(""), F.regexp_count("plain", F.lit("[^A-Za-z0-9]+"))))
-    # Identifiers of fewer than 64 characters count for the threshold; two spaces are at most twice a joiner.
-    short = F.array(*[row("short", F.regexp_replace("plain", "[^A-Za-z0-9]+", j)) for j in JOINERS])
-    short = F.when(F.length(spaced) < 128, short).otherwise(F.array().cast("array<struct<role:string,token:string,k:bigint>>"))
-    each = plain.select(F.explode(F.concat(words, names, gaps, short)).alias("x")).select("x.role", "x.token", "x.k")
-    each = each.union(_secret_values(docs, text).select(F.lit("secret"), "token", F.lit(1).cast("long")))
-    return each.groupBy("role", "token").agg(F.sum("k").alias("n"))
-
-
-def _joined_pairs(role: Column, token: Column) -> Column:
-    """Numbers of the neighbouring characters that a token adds to the identifiers of all joiners."""
-    word = F.trim(token)
-    nothing = F.array().cast("array<int>")
-    inside = F.flatten(F.array_repeat(_pairs(word), len(JOINERS)))
-    ahead = F.flatten(F.array(*[_pairs(F.concat(F.lit(j[-1]), F.substring(word, 1, 1))) for j in JOINERS]))
-    behind = F.flatten(F.array(*[_pairs(F.concat(F.right(word, F.lit(1)), F.lit(j[0]))) for j in JOINERS]))
-    name = F.concat(inside, F.when(token.startswith(" "), ahead).otherwise(nothing), F.when(token.endswith(" "), behind).otherwise(nothing))
-    joiners = F.flatten(F.array(*[_pairs(F.lit(j)) for j in JOINERS]))
-    return F.when(role == "name", name).when(role == "gap", joiners).otherwise(_pairs(token))
+    texts = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    marked = texts.select("text", _has_known(F.col("text")).alias("known"))
+    without = reduce(lambda t, p: F.regexp_replace(t, p, " "), (ASSIGN, ACCESS, HEX), F.col("text"))
+    values = F.transform(known_spans(F.col("text")), lambda s: F.concat(F.lit(VALUE), F.substr("text", s["from"] + 1, s["end"] - s["from"])))
+    nothing = F.array().cast("array<string>")
+    plain = marked.select(F.when(F.col("known"), without).otherwise(F.col("text")).alias("plain"), F.when(F.col("known"), values).otherwise(nothing).alias("values"))
+
+    edges = [F.regexp_replace(c, GAP, " ") for c in (F.substring("plain", 1, 1), F.right(F.col("plain"), F.lit(1)))]
+    edge = F.when(F.col("plain") == "", nothing).otherwise(F.array(F.concat(F.lit(EDGE), *edges)))
+    names = F.array(*[F.concat(F.lit(SHORT), F.regexp_replace("plain", GAP, j)) for j in JOINERS])
+    many = F.col("plain").rlike(rf"^(?:\P{{Alnum}}*+\p{{Alnum}}){{{LONGEST}}}")  # read no further than that
+    tokens = F.concat(F.split("plain", BETWEEN), edge, F.when(many, nothing).otherwise(names), "values")
+    each = plain.select(tokens.alias("tokens")).select(F.explode("tokens").alias("token"))
+    useless = F.col("token").startswith(SHORT) & ~F.length("token").between(RUN + 1, LONGEST)
+    return each.where((F.col("token") != "") & ~useless).groupBy("token").agg(F.count("*").alias("n"))
 
 
 def pair_counts(docs: DataFrame, text: str = "text") -> dict[bool, dict[int, float]]:
@@ -136,12 +126,46 @@ def pair_counts(docs: DataFrame, text: str = "text") -> dict[bool, dict[int, flo
 
 
 def _pair_sums(counted: DataFrame) -> dict[bool, dict[int, float]]:
-    pairs = counted.where("role <> 'short'").select("role", "n", F.explode(_joined_pairs(F.col("role"), F.col("token"))).alias("pair"))
-    seen: dict[bool, dict[int, float]] = {True: {}, False: {}}
-    for role, pair, n in pairs.groupBy("role", "pair").agg(F.sum("n")).collect():  # at most 4 x 96 x 96 rows
-        side = seen[role == "secret"]
-        side[pair] = side.get(pair, 0) + (n / IDENTIFIER_SHARE if role in ("name", "gap") else n)
-    return seen
+    """A name of an identifier is a run of letters and digits; what it shares with a joiner follows from where names begin and end."""
+    token = F.col("token")
+    kind = F.when(token.startswith(VALUE), "value").when(token.startswith(EDGE), "edge").when(F.length(token) >= ORDINARY, "word").otherwise("names")
+    body = F.when(F.col("kind") == "value", F.substr(token, F.lit(2))).otherwise(F.concat(F.lit(" "), token, F.lit(" ")))
+    both = F.regexp_extract_all(body, F.lit("(?s)(?=(..))"), F.lit(1))  # a substring by position costs its distance from the start
+    tokens = counted.where(~token.startswith(SHORT)).select("token", "n", kind.alias("kind"))
+    pairs = tokens.select("kind", "n", F.explode(F.when(F.col("kind") == "edge", F.array(token)).otherwise(both)).alias("pair"))
+    value, plain = Counter(), Counter()
+    begins, ends, gaps = Counter(), Counter(), 0
+    for kind, pair, n in pairs.groupBy("kind", "pair").agg(F.sum("n")).collect():  # at most 4 x 97 x 97 rows
+        if kind == "value":
+            value[pair] += n
+        elif kind == "edge":  # a text has a gap less than names, and one more for each end that is a gap
+            first, last = pair[1:]
+            begins[first] -= n
+            ends[last] -= n
+            gaps += n * ((first == " ") + (last == " ") - 1)
+        else:
+            inside = [c in _NAME for c in pair]
+            plain[pair] += n * (IDENTIFIER_SHARE * (kind == "word" and " " not in pair) + len(JOINERS) * all(inside))
+            if inside == [False, True]:
+                begins[pair[1]] += n
+                gaps += n
+            elif inside == [True, False]:
+                ends[pair[0]] += n
+    for j in JOINERS:
+        for c in _NAME:
+            plain[j[-1] + c] += begins[c]
+            plain[c + j[0]] += ends[c]
+        for pair in zip(j, j[1:], strict=False):
+            plain["".join(pair)] += gaps
+    number = {p: (ord(p[0]) - 32) * _SYMBOLS + ord(p[1]) - 32 for p in {*value, *plain}}
+    return {True: {number[p]: n for p, n in value.items()}, False: {number[p]: n / IDENTIFIER_SHARE for p, n in plain.items() if n}}
+
+
+def _ordinary(counted: DataFrame) -> DataFrame:
+    """(token, weight): the words and identifiers that the threshold is taken from."""
+    short, word = F.col("token").startswith(SHORT), F.length("token").between(RUN, LONGEST - 1) & ~F.col("token").startswith(VALUE)
+    weight = F.when(short, F.col("n")).otherwise(F.col("n") * IDENTIFIER_SHARE).alias("weight")
+    return counted.where(short | word).select(F.when(short, F.substr("token", F.lit(2))).otherwise(F.col("token")).alias("token"), weight)
 
 
 def train(docs: DataFrame, text: str = "text", odds: float = ODDS) -> tuple[list[float], float]:
@@ -155,11 +179,8 @@ def train(docs: DataFrame, text: str = "text", odds: float = ODDS) -> tuple[list
         plain = sum(seen[False].get(p, 0) for p in row) + _ALPHABET
         for p in row:
             ratio[p] = math.log((seen[True].get(p, 0) + PRIOR / _ALPHABET) / random) - math.log((seen[False].get(p, 0) + 1) / plain)
-    weight = F.when(F.col("role") == "word", F.col("n") * IDENTIFIER_SHARE).otherwise(F.col("n")).alias("weight")
-    ordinary = counted.where(F.col("role").isin("word", "short")).select("token", weight)
-    ordinary = ordinary.where(F.col("token").rlike(f"^{CANDIDATE}$") & (F.length("token") < 64))
     score = F.ceil(_score(F.col("token"), ratio) / STEP) * STEP
-    high = ordinary.select(score.alias("score"), "weight").groupBy("score").agg(F.sum("weight").alias("weight"))
+    high = _ordinary(counted).select(score.alias("score"), "weight").groupBy("score").agg(F.sum("weight").alias("weight"))
     high = high.select(F.percentile("score", 0.999, F.col("weight"))).first()[0]
     return ratio, max(odds, high if high is not None else odds)
 

@@ -196,6 +196,41 @@ def test_pairs_are_counted_in_all_texts(spark):
     assert sum(seen[True].values()) == len("abcdefghijkl0") - 1
 
 
+def test_secret_models_read_texts_once(spark, tmp_path):
+    """Each text is cut once, and a run of characters is counted once whatever it is counted for."""
+    texts = ["one long_word, one", "-one", None, "key secret=abcdefghijkl, one"]
+    spark.createDataFrame([(t,) for t in texts], "text string").write.parquet(f"{tmp_path}/docs")
+    counted = secrets._counted(spark.read.parquet(f"{tmp_path}/docs"), "text")
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    short = {"~one_long_word_one": 1, "~one-long-word-one": 1, "~one/long/word/one": 1, "~one_2_long_2_word_2_one": 1}
+    want = {"one": 3, "long_word": 1, "-one": 1, "key": 1, " oe": 1, "  e": 1, " ke": 1, "!abcdefghijkl": 1, **short}
+    assert dict(map(tuple, counted.collect())) == want
+
+
+def test_secret_models_against_brute_force(spark):
+    """Pairs, and words and identifiers for the threshold, of odd texts: ends, joiners alone, long gaps, lengths about the limits."""
+    rng = random.Random(5)
+    parts = [*"aZ09_-/+=.,: ", "é", "😀", "   \n", "_2_", "--", "word", "x" * 15, "y" * 16, "n" * 49, "mm" * 32]
+    texts = ["".join(rng.choices(parts, k=rng.choice([1, 2, 4, 9, 40]))) for _ in range(400)]
+    texts += [None, "", "b" + " " * 300 + "b" * 16, "g" * 63, "g" * 64, "h " * 31 + "hh", "h " * 32, "é" * 90 + "i" * 14 + "."]
+    df = spark.createDataFrame([(t,) for t in texts], "body string")
+    pairs, ordinary = collections.Counter(), collections.Counter()
+    for text in texts:
+        plain = re.sub("[0-9a-f]{16,}", " ", text or "")
+        tokens = [(w, 16) for w in re.findall(r"[A-Za-z0-9_+/=-]{8,}", plain)] + [(re.sub(r"[^A-Za-z0-9]+", j, plain), 1) for j in secrets.JOINERS]
+        for token, weight in tokens:
+            for a, b in zip(token, token[1:]):
+                pairs[a + b] += weight
+            if 16 <= len(token) < 64:
+                ordinary[token] += weight
+    seen = secrets.pair_counts(df, "body")[False]
+    assert {chr(p // 96 + 32) + chr(p % 96 + 32): n * 16 for p, n in seen.items()} == pairs
+    got = collections.Counter()
+    for token, weight in secrets._ordinary(secrets._counted(df, "body")).collect():
+        got[token] += weight
+    assert got == ordinary and {len(t) for t in got} >= {16, 63}
+
+
 def test_pipeline_learns_language_from_all_texts(spark, monkeypatch):
     taught, learn = [], language.train
     monkeypatch.setattr(language, "train", lambda docs, **k: taught.append(docs.count()) or learn(docs, **k))
